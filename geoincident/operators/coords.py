@@ -1,49 +1,77 @@
-"""Coordinate cleaning and parsing as table jobs."""
+"""Coordinate cleaning and parsing as table jobs.
+
+The ``tag_*`` forms add a ``reject_reason`` column (null = valid) in one
+projection and keep every row; the split forms return (valid, rejects).
+Prefer the tagged form when both halves go to the same sink: a filter on the
+reason would be pushed below the projections and re-evaluate the parsing.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoincident.functions.geo import (REJECT_UNPARSEABLE, coordinate_reject_reason,
-                                        parse_coordinate_text, wrap_longitude)
+from geoincident.functions.geo import (COORDINATE_TEXT_PATTERN, PART_NAMES, REJECT_UNPARSEABLE,
+                                        altitude_mismatch, coordinate_from_parts,
+                                        coordinate_reject_reason, coordinate_text_parts,
+                                        normalize_coordinate_text, wrap_longitude)
 
 REASON_COL = "reject_reason"
 
 
-def clean_coordinates(df: DataFrame, lat: str = "lat", lon: str = "lon",
-                      alt: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Split rows into (valid, rejects).
-
-    Valid: both parts present and finite, abs(lat) <= 90; a longitude with
-    abs > 180 is wrapped into [-180, 180). A null altitude counts as 0 km.
-    Rejects keep their original values plus ``reject_reason``. Both outputs
-    come from one tagged projection (no second scan is needed by Spark when
-    the caller caches or writes them)."""
-    reason = coordinate_reject_reason(lat, lon, alt)
-    tagged = df.withColumn(REASON_COL, reason)
-    valid = tagged.where(F.col(REASON_COL).isNull()).drop(REASON_COL).withColumn(lon, wrap_longitude(lon))
+def tag_coordinates(df: DataFrame, lat: str = "lat", lon: str = "lon",
+                    alt: str | None = None) -> DataFrame:
+    """Add ``reject_reason``; on valid rows wrap the longitude (only when
+    abs > 180) and read a null altitude as 0 km. Rejected rows keep their
+    values. Valid: both parts present and finite, abs(lat) <= 90."""
+    tagged = df.withColumn(REASON_COL, coordinate_reject_reason(lat, lon, alt))
+    ok = F.col(REASON_COL).isNull()
+    tagged = tagged.withColumn(lon, F.when(ok, wrap_longitude(lon)).otherwise(F.col(lon)))
     if alt is not None:
-        valid = valid.withColumn(alt, F.coalesce(F.col(alt), F.lit(0.0)))
+        tagged = tagged.withColumn(alt, F.when(ok, F.coalesce(F.col(alt), F.lit(0.0))).otherwise(F.col(alt)))
+    return tagged
+
+
+def _split(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    valid = tagged.where(F.col(REASON_COL).isNull()).drop(REASON_COL)
     rejects = tagged.where(F.col(REASON_COL).isNotNull())
     return valid, rejects
 
 
+def clean_coordinates(df: DataFrame, lat: str = "lat", lon: str = "lon",
+                      alt: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejects) of :func:`tag_coordinates`."""
+    return _split(tag_coordinates(df, lat, lon, alt))
+
+
+def tag_parsed_coordinates(df: DataFrame, text: str, lat: str = "lat", lon: str = "lon",
+                           alt: str = "alt_km") -> DataFrame:
+    """Parse coordinate text (decimal or degree/minute/second, N/S/E/W in
+    front or behind, optional altitude with km, m, mi, ft, nm or nmi) into
+    lat, lon, alt_km and tag it as :func:`tag_coordinates` does; text that
+    does not fit the grammar is tagged ``unparseable``.
+
+    Staged projections: the pattern runs once per group and row; later
+    expressions read the part columns."""
+    staged = df.withColumn("__t", normalize_coordinate_text(text))
+    staged = staged.select("*", F.coalesce(F.col("__t").rlike(COORDINATE_TEXT_PATTERN),
+                                           F.lit(False)).alias("__matched"),
+                           *coordinate_text_parts("__t"))
+    parsed = coordinate_from_parts("__matched")
+    out = (staged.withColumn(lat, parsed["lat"]).withColumn(lon, parsed["lon"])
+           .withColumn(alt, parsed["alt_km"])
+           .drop("__t", *["__p_" + n for n in PART_NAMES]))
+    tagged = tag_coordinates(out, lat, lon, alt)
+    return tagged.withColumn(REASON_COL, F.when(~F.col("__matched"), F.lit(REJECT_UNPARSEABLE))
+                             .otherwise(F.col(REASON_COL))).drop("__matched")
+
+
 def parse_coordinates(df: DataFrame, text: str, lat: str = "lat", lon: str = "lon",
                       alt: str = "alt_km") -> tuple[DataFrame, DataFrame]:
-    """Parse coordinate text (decimal or degree/minute/second, N/S/E/W in
-    front or behind, optional altitude with unit), then clean as above.
-    Returns (valid, rejects); unparseable text is rejected as such."""
-    parsed = parse_coordinate_text(text)
-    out = (df.withColumn(lat, parsed["lat"]).withColumn(lon, parsed["lon"])
-           .withColumn(alt, parsed["alt_km"]).withColumn("__matched", parsed["matched"]))
-    unparsed = (out.where(~F.col("__matched")).drop("__matched")
-                .withColumn(REASON_COL, F.lit(REJECT_UNPARSEABLE)))
-    valid, rejects = clean_coordinates(out.where(F.col("__matched")).drop("__matched"), lat, lon, alt)
-    return valid, rejects.unionByName(unparsed)
+    """(valid, rejects) of :func:`tag_parsed_coordinates`."""
+    return _split(tag_parsed_coordinates(df, text, lat, lon, alt))
 
 
 def altitude_conflicts(df: DataFrame, alt1: str, alt2: str) -> DataFrame:
     """Rows whose two altitudes differ by more than the tolerance."""
-    from geoincident.functions.geo import altitude_mismatch
     return df.where(altitude_mismatch(alt1, alt2))

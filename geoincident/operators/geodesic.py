@@ -142,13 +142,17 @@ def vincenty_sql(lat1: str, lon1: str, lat2: str, lon2: str, source: str,
     final CTE has the ``keep`` columns plus ``geodesic_km``."""
     a, f = ellipsoid_params(ellipsoid)
     b = a * (1 - f)
+
+    def dbl(x: float) -> str:  # exact double literal in any SQL dialect
+        return f"CAST({x!r} AS DOUBLE)"
+
     ctes = [f"""{prefix}0 AS (
   SELECT {keep},
     atan2(sin(radians({lon2}) - radians({lon1})), cos(radians({lon2}) - radians({lon1}))) AS L,
-    atan({1 - f!r} * tan(radians({lat1}))) AS U1,
-    atan({1 - f!r} * tan(radians({lat2}))) AS U2
+    atan({dbl(1 - f)} * tan(radians({lat1}))) AS U1,
+    atan({dbl(1 - f)} * tan(radians({lat2}))) AS U2
   FROM {source}),
-{prefix}lam0 AS (SELECT *, L AS lam FROM {prefix}0)"""]
+{prefix}lam0 AS MATERIALIZED (SELECT *, L AS lam FROM {prefix}0)"""]
     prev = f"{prefix}lam0"
     for i in range(1, rounds + 1):
         name = f"{prefix}it{i}"
@@ -164,23 +168,23 @@ def vincenty_sql(lat1: str, lon1: str, lat2: str, lon2: str, source: str,
   SELECT *, 1 - sa * sa AS c2a FROM {name}_a),
 {name}_m AS (
   SELECT *, CASE WHEN c2a = 0 THEN CAST(0 AS DOUBLE) ELSE cs - 2 * sin(U1) * sin(U2) / c2a END AS c2m,
-    {f!r} / 16 * c2a * (4 + {f!r} * (4 - 3 * c2a)) AS cc
+    {dbl(f)} / 16 * c2a * (4 + {dbl(f)} * (4 - 3 * c2a)) AS cc
   FROM {name}_c),
-{name} AS (
+{name} AS MATERIALIZED (
   SELECT {keep}, L, U1, U2,
-    L + (1 - cc) * {f!r} * sa * (sg + cc * ss * (c2m + cc * cs * (-1 + 2 * c2m * c2m))) AS lam,
+    L + (1 - cc) * {dbl(f)} * sa * (sg + cc * ss * (c2m + cc * cs * (-1 + 2 * c2m * c2m))) AS lam,
     ss AS ss_prev, cs AS cs_prev, sg AS sg_prev, c2a AS c2a_prev, c2m AS c2m_prev
   FROM {name}_m)""")
         prev = name
     ab = (a * a - b * b) / (b * b)
     ctes.append(f"""{prefix}u AS (
-  SELECT *, c2a_prev * {ab!r} AS u2 FROM {prev}),
+  SELECT *, c2a_prev * {dbl(ab)} AS usq FROM {prev}),
 {prefix}ab AS (
-  SELECT *, 1 + u2 / 16384 * (4096 + u2 * (-768 + u2 * (320 - 175 * u2))) AS aa,
-    u2 / 1024 * (256 + u2 * (-128 + u2 * (74 - 47 * u2))) AS bb
+  SELECT *, 1 + usq / 16384 * (4096 + usq * (-768 + usq * (320 - 175 * usq))) AS aa,
+    usq / 1024 * (256 + usq * (-128 + usq * (74 - 47 * usq))) AS bb
   FROM {prefix}u),
 {prefix}out AS (
-  SELECT {keep}, {b!r} * aa * (sg_prev - bb * ss_prev * (c2m_prev + bb / 4 * (
+  SELECT {keep}, {dbl(b)} * aa * (sg_prev - bb * ss_prev * (c2m_prev + bb / 4 * (
       cs_prev * (-1 + 2 * c2m_prev * c2m_prev)
       - bb / 6 * c2m_prev * (-3 + 4 * ss_prev * ss_prev) * (-3 + 4 * c2m_prev * c2m_prev)))) AS geodesic_km
   FROM {prefix}ab)""")

@@ -16,7 +16,7 @@ from geoincident.functions.geo import (COMPASS_POINTS, EARTH_RADIUS_KM, destinat
 from geoincident.functions.money import parse_money
 from geoincident.functions.timeops import text_to_date
 from geoincident.functions.units import convert_length, length_factor
-from geoincident.operators.coords import REASON_COL, clean_coordinates, parse_coordinates
+from geoincident.operators.coords import REASON_COL, tag_coordinates, tag_parsed_coordinates
 from geoincident.operators.geodesic import vincenty_sql
 from geoincident.operators.path import path_length
 from geoincident.operators.spatial import within_distance_join
@@ -47,7 +47,7 @@ def gc_sql(lat1: str, lon1: str, lat2: str, lon2: str, r: float = EARTH_RADIUS_K
     dl = f"(radians({lon2}) - radians({lon1}))"
     return (f"(atan2(sqrt(power(cos({p2}) * sin({dl}), 2) + power(cos({p1}) * sin({p2}) - "
             f"sin({p1}) * cos({p2}) * cos({dl}), 2)), sin({p1}) * sin({p2}) + "
-            f"cos({p1}) * cos({p2}) * cos({dl})) * {r!r})")
+            f"cos({p1}) * cos({p2}) * cos({dl})) * CAST({r!r} AS DOUBLE))")
 
 
 INC_CTE = (f"inc AS (SELECT c_custkey AS incident_id, c_nationkey AS area, c_mktsegment AS segment, "
@@ -202,12 +202,12 @@ def _area(by: str, order: str, strategy=None, metric="great_circle"):
 def _sql_area(by: str, metric="great_circle") -> str:
     if metric == "great_circle":
         return f"""WITH {INC_CTE}, {NATION_CTE},
-j AS (SELECT inc.{by} AS {by}, {gc_sql('lat', 'lon', 'st_lat', 'st_lon')} AS d
+j AS (SELECT {by} AS {by}, {gc_sql('lat', 'lon', 'st_lat', 'st_lon')} AS d
       FROM inc JOIN nst ON inc.area = nst.prec WHERE inc.lat <> 0)
 SELECT {by}, ROUND(AVG(d), {KM_DIGITS}) AS average_distance, COUNT({by}) AS n_incidents FROM j GROUP BY {by}"""
     ctes, final = vincenty_sql("lat", "lon", "st_lat", "st_lon", "pairs", keep="grp")
     return f"""WITH {INC_CTE}, {NATION_CTE},
-pairs AS (SELECT inc.{by} AS grp, lat, lon, st_lat, st_lon
+pairs AS (SELECT {by} AS grp, lat, lon, st_lat, st_lon
           FROM inc JOIN nst ON inc.area = nst.prec WHERE inc.lat <> 0),
 {ctes}
 SELECT grp AS {by}, ROUND(AVG(geodesic_km), {KM_DIGITS}) AS average_distance, COUNT(grp) AS n_incidents
@@ -303,7 +303,7 @@ def q_destination(spark, sf):
 def _dest_sql() -> str:
     p1, l1 = "radians(lat)", "radians(lon)"
     b = "radians(CAST((incident_id * 37) % 360 AS DOUBLE))"
-    d = f"(CAST({DEST_KM!r} AS DOUBLE) * {1.0 / EARTH_RADIUS_KM!r})"
+    d = f"(CAST({DEST_KM!r} AS DOUBLE) * CAST({1.0 / EARTH_RADIUS_KM!r} AS DOUBLE))"
     p2 = f"asin(sin({p1}) * cos({d}) + cos({p1}) * sin({d}) * cos({b}))"
     return f"""WITH {INC_CTE},
 q AS (SELECT incident_id, lat, lon, {p2} AS p2 FROM inc)
@@ -344,7 +344,7 @@ def q_convert_length(spark, sf):
 
 
 def _units_sql() -> str:
-    cols = ", ".join(f"ROUND(km * {length_factor('km', u)!r}, {KM_DIGITS}) AS {u}" for u in ("mi", "ft", "nm"))
+    cols = ", ".join(f"ROUND(km * CAST({length_factor('km', u)!r} AS DOUBLE), {KM_DIGITS}) AS {u}" for u in ("mi", "ft", "nm"))
     return f"""WITH {INC_CTE}, {NATION_CTE},
 j AS (SELECT incident_id, {gc_sql('lat', 'lon', 'st_lat', 'st_lon')} AS km FROM inc JOIN nst ON inc.area = nst.prec)
 SELECT incident_id, ROUND(km, {KM_DIGITS}) AS km, {cols} FROM j"""
@@ -362,8 +362,7 @@ def _dirty_points(spark, sf):
 
 
 def q_clean_coordinates(spark, sf):
-    valid, rejects = clean_coordinates(_dirty_points(spark, sf), "lat", "lon")
-    out = valid.withColumn(REASON_COL, F.lit(None).cast("string")).unionByName(rejects)
+    out = tag_coordinates(_dirty_points(spark, sf), "lat", "lon")
     return out.select("incident_id", F.round("lat", DEG_DIGITS).alias("lat"),
                       F.round("lon", DEG_DIGITS).alias("lon"), REASON_COL)
 
@@ -420,8 +419,7 @@ def _coordinate_text(spark, sf):
 
 
 def q_parse_coordinates(spark, sf):
-    valid, rejects = parse_coordinates(_coordinate_text(spark, sf), "place_text")
-    out = valid.withColumn(REASON_COL, F.lit(None).cast("string")).unionByName(rejects)
+    out = tag_parsed_coordinates(_coordinate_text(spark, sf), "place_text")
     return out.select("incident_id", F.round("lat", DEG_DIGITS).alias("lat"),
                       F.round("lon", DEG_DIGITS).alias("lon"),
                       F.round("alt_km", DEG_DIGITS).alias("alt_km"), REASON_COL)
