@@ -121,14 +121,26 @@ def _candidate_table(cells: DataFrame, fac: DataFrame, fac_cols: Sequence[str],
                       F.lit(math.pi))
         return F.lit(2.0) * F.sin(ang / 2.0) + F.lit(h)
 
-    fac_rows = fac.count()
-    pending = ctr
-    parts = []
+    # One small job over the facility table: its size and extent. The typical
+    # facility spacing picks the first search level (a speed choice only: a
+    # cube that is not settled there moves on to coarser levels).
+    st = fac.agg(F.count(F.lit(1)).alias("n"),
+                 *[F.min("__f" + a).alias("lo" + a) for a in "xyz"],
+                 *[F.max("__f" + a).alias("hi" + a) for a in "xyz"]).first()
+    fac_rows = int(st["n"])
     level = 1
+    if fac_rows > 0:
+        ext = sorted((st["hi" + a] - st["lo" + a]) for a in "xyz")
+        spacing = math.sqrt(ext[1] * ext[2] / fac_rows)
+        level = max(1, math.ceil(math.log2(max((spacing + 2.0 * h) / base, 1.0))))
+    pending = ctr.checkpoint() if checkpoint else ctr
+    parts = []
     w = Window.partitionBy(*_keys("__c"))
     while True:
         size = base * (2.0 ** level)
         final = size >= 2.0 + 2.0 * h
+        if final:
+            size = max(size, 2.0 + 2.0 * h)
         rep = _replicate27(fac.select(*fac_cols, "__fx", "__fy", "__fz"), "__f", size, "__g")
         rep, _ = checked_broadcast(rep, max_broadcast_rows, rows=27 * fac_rows)
         cand = (_with_cell(pending, "__p", size, "__g")
@@ -137,13 +149,13 @@ def _candidate_table(cells: DataFrame, fac: DataFrame, fac_cols: Sequence[str],
                 .withColumn("__r", radius(F.min("__d").over(w))))
         settled = F.lit(True) if final else (F.col("__r") * F.lit(1 + _SLACK) <= F.lit(size))
         cand = cand.withColumn("__ok", settled).drop(*_keys("__g"))
-        if checkpoint and not final:
-            cand = cand.checkpoint()
+        # settled cubes keep the facilities inside their radius; this part is
+        # recomputed from the (checkpointed) pending table in the final job
         parts.append(cand.where(F.col("__ok") & (F.col("__d") <= F.col("__r") * F.lit(1 + _SLACK)))
                      .select(*_keys("__c"), *fac_cols, "__fx", "__fy", "__fz"))
         if final:
             break
-        done = cand.where("__ok").select(*_keys("__c")).distinct()
+        done = cand.where("__ok").select(*_keys("__c"))
         pending = pending.join(done, on=_keys("__c"), how="left_anti")
         if checkpoint:
             pending = pending.checkpoint()

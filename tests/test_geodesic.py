@@ -1,0 +1,97 @@
+import math
+
+import numpy as np
+import pytest
+
+from geoincident.operators.geodesic import (ELLIPSOIDS, ellipsoid_params, geodesic_km, ratio_bound,
+                                            spherical_ratio_bounds, vincenty_km)
+from geoincident.operators.path import path_length
+
+A, F_ = ellipsoid_params("WGS-84")
+
+
+def one(lat1, lon1, lat2, lon2, ell="WGS-84"):
+    a, f = ellipsoid_params(ell)
+    return float(vincenty_km([lat1], [lon1], [lat2], [lon2], a, f)[0])
+
+
+def test_goldens():
+    # Vincenty's series is accurate to about 0.1 mm; the goldens are exact solutions
+    assert one(41.49008, -71.312796, 41.499498, -81.695391) == pytest.approx(866.4554329098687, abs=1e-6)
+    assert one(41.49008, -71.312796, 41.499498, -81.695391) / 1.609344 == pytest.approx(538.390445368, abs=1e-6)
+    assert one(-41.32, 174.81, 40.96, -5.50) == pytest.approx(19959.6792674, abs=1e-4)
+    assert one(40, 160, 40.1, 160.1) == pytest.approx(14.003702498106215, abs=1e-7)
+    assert one(43.668613, 40.258916, 43.658852, 40.250839) == pytest.approx(1.265133525952866, abs=1e-7)
+
+
+def test_special_cases():
+    assert one(10, 20, 10, 20) == 0.0
+    # along the equator: a * dlon
+    assert one(0, 0, 0, 1) == pytest.approx(A * math.radians(1), rel=1e-12)
+    # along one meridian, pole to pole is half the meridian length ~ 20003.93 km
+    assert one(-90, 0, 90, 0) == pytest.approx(20003.931458, abs=1e-3)
+    # across the date line equals the mirrored pair
+    assert one(10, 179.5, 10, -179.5) == pytest.approx(one(10, -0.5, 10, 0.5), rel=1e-12)
+    # nearly antipodal pair does not converge: null (NaN), never a wrong number
+    assert math.isnan(one(0.5, 0, -0.5, 179.7))
+    assert math.isnan(one(float("nan"), 0, 1, 1))
+
+
+def test_other_ellipsoids_and_tuple():
+    for name in ELLIPSOIDS:
+        d = one(41.49008, -71.312796, 41.499498, -81.695391, name)
+        assert 860 < d < 870
+    assert one(1, 1, 2, 2, (6377.0, 6356.0, 1 / 297.0)) > 0
+    with pytest.raises(ValueError):
+        ellipsoid_params("nope")
+
+
+def test_ratio_bounds_hold():
+    lo, hi = spherical_ratio_bounds()
+    assert hi / lo == pytest.approx(ratio_bound(F_))
+    rng = np.random.default_rng(7)
+    lat1, lat2 = rng.uniform(-89, 89, 5000), rng.uniform(-89, 89, 5000)
+    lon1, lon2 = rng.uniform(-180, 180, 5000), rng.uniform(-180, 180, 5000)
+    g = vincenty_km(lat1, lon1, lat2, lon2, A, F_)
+    p1, p2, dl = np.radians(lat1), np.radians(lat2), np.radians(lon2 - lon1)
+    gc = 6371.009 * np.arctan2(np.hypot(np.cos(p2) * np.sin(dl), np.cos(p1) * np.sin(p2) - np.sin(p1) * np.cos(p2) * np.cos(dl)),
+                               np.sin(p1) * np.sin(p2) + np.cos(p1) * np.cos(p2) * np.cos(dl))
+    ok = ~np.isnan(g) & (gc > 0)
+    r = g[ok] / gc[ok]
+    assert r.min() >= lo * (1 - 1e-12) and r.max() <= hi * (1 + 1e-12)
+
+
+def test_pandas_udf_matches_numpy_and_keeps_nulls(spark):
+    df = spark.createDataFrame([(41.49008, -71.312796, 41.499498, -81.695391), (None, 1.0, 2.0, 3.0),
+                                (0.5, 0.0, -0.5, 179.7)], "a double, b double, c double, d double")
+    rows = df.select(geodesic_km("a", "b", "c", "d").alias("km"),
+                     geodesic_km("a", "b", "c", "d", unit="mi").alias("mi")).collect()
+    assert rows[0].km == pytest.approx(866.4554329098687, abs=1e-6)
+    assert rows[0].mi == pytest.approx(538.390445368, abs=1e-6)
+    assert rows[1].km is None and rows[2].km is None
+
+
+def test_path_length_golden_and_slices(spark):
+    pts = spark.createDataFrame([("t", 1, 40.0, 160.0), ("t", 2, 40.1, 160.1), ("t", 3, 40.2, 160.2),
+                                 ("single", 1, 1.0, 1.0)], "track string, seq int, lat double, lon double")
+    out = {r.track: r for r in path_length(pts, ["track"], ["seq"], metric="geodesic").collect()}
+    assert out["t"].path_km == pytest.approx(27.999954644813478, abs=1e-7)
+    assert out["t"].points == 3
+    assert out["single"].path_km == 0.0
+
+
+def test_path_length_long_track_spread_over_slices(spark):
+    rng = np.random.default_rng(3)
+    rows = [("hot", i, float(34 + rng.uniform(-1, 1)), float(-118 + rng.uniform(-1, 1))) for i in range(400)]
+    rows += [(f"t{j}", i, float(rng.uniform(-60, 60)), float(rng.uniform(-180, 180))) for j in range(5) for i in range(7)]
+    df = spark.createDataFrame(rows, "track string, seq int, lat double, lon double")
+    for slices in (1, 4, 16):
+        got = {r.track: r.path_km for r in path_length(df, ["track"], ["seq"], slices=slices).collect()}
+        for t in {r[0] for r in rows}:
+            pts = sorted([r for r in rows if r[0] == t], key=lambda r: r[1])
+            exp = 0.0
+            for (_, _, a, b), (_, _, c, d) in zip(pts, pts[1:]):
+                p1, p2, dl = map(math.radians, (a, c, d - b))
+                exp += 6371.009 * math.atan2(math.hypot(math.cos(p2) * math.sin(dl), math.cos(p1) * math.sin(p2) - math.sin(p1) * math.cos(p2) * math.cos(dl)),
+                                             math.sin(p1) * math.sin(p2) + math.cos(p1) * math.cos(p2) * math.cos(dl))
+            assert got[t] == pytest.approx(exp, rel=1e-9), (slices, t)
