@@ -5,18 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geoincident.operators.ranking import top_k_per_group
+
 
 def extreme_values(df: DataFrame, value_col: str, k: int = 3) -> DataFrame:
     """The ``k`` highest and ``k`` lowest distinct non-null values, one column.
 
-    Each ``orderBy().limit(k)`` runs as TakeOrderedAndProject: every task
-    keeps its local top k and one task merges ``k x tasks`` rows, so nothing
-    unbounded reaches one task or the driver. Result: at most ``2k`` rows.
+    The distinct values are computed once; each value is tagged for both
+    ends and a ``row_number <= k`` per end keeps the extremes. Catalyst
+    plans a partial WindowGroupLimit before the shuffle, so every task sends
+    at most ``2k`` rows onward: nothing unbounded reaches one task or the
+    driver. Result: at most ``2k`` rows.
     """
     values = df.select(value_col).where(F.col(value_col).isNotNull()).distinct()
-    top = values.orderBy(F.col(value_col).desc()).limit(k)
-    bottom = values.orderBy(F.col(value_col).asc()).limit(k)
-    return top.union(bottom).distinct()
+    ends = values.select(value_col, F.explode(F.array(F.lit(0), F.lit(1))).alias("__end"))
+    order = F.when(F.col("__end") == 0, F.col(value_col)).desc_nulls_last()
+    order2 = F.when(F.col("__end") == 1, F.col(value_col)).asc_nulls_last()
+    kept = top_k_per_group(ends, ["__end"], [order, order2], k, "row_number", "__rank")
+    return kept.select(value_col).distinct()
 
 
 def filter_extreme_groups(df: DataFrame, value_col: str, k: int = 3) -> DataFrame:
