@@ -36,7 +36,7 @@ _SLACK = 1e-9
 
 def _xyz(df: DataFrame, lat: str, lon: str, p: str) -> DataFrame:
     x, y, z = unit_vector(lat, lon)
-    return df.withColumn(p + "x", x).withColumn(p + "y", y).withColumn(p + "z", z)
+    return df.withColumns({p + "x": x, p + "y": y, p + "z": z})
 
 
 def _cell(c: Column, size: float) -> Column:
@@ -44,18 +44,14 @@ def _cell(c: Column, size: float) -> Column:
 
 
 def _with_cell(df: DataFrame, p: str, size: float, out: str) -> DataFrame:
-    return (df.withColumn(out + "x", _cell(F.col(p + "x"), size))
-            .withColumn(out + "y", _cell(F.col(p + "y"), size))
-            .withColumn(out + "z", _cell(F.col(p + "z"), size)))
+    return df.withColumns({out + a: _cell(F.col(p + a), size) for a in "xyz"})
 
 
 def _replicate27(df: DataFrame, p: str, size: float, out: str) -> DataFrame:
     """Each row once per neighbour cube of its own cube."""
     o = "__off"
     return (df.withColumn(o, F.explode(_offsets()))
-            .withColumn(out + "x", _cell(F.col(p + "x"), size) + F.col(o + ".dx"))
-            .withColumn(out + "y", _cell(F.col(p + "y"), size) + F.col(o + ".dy"))
-            .withColumn(out + "z", _cell(F.col(p + "z"), size) + F.col(o + ".dz"))
+            .withColumns({out + a: _cell(F.col(p + a), size) + F.col(f"{o}.d{a}") for a in "xyz"})
             .drop(o))
 
 
@@ -145,10 +141,11 @@ def _candidate_table(cells: DataFrame, fac: DataFrame, fac_cols: Sequence[str],
         rep, _ = checked_broadcast(rep, max_broadcast_rows, rows=27 * fac_rows)
         cand = (_with_cell(pending, "__p", size, "__g")
                 .join(rep, on=_keys("__g"), how="inner")
+                .drop(*_keys("__g"))
                 .withColumn("__d", dist)
                 .withColumn("__r", radius(F.min("__d").over(w))))
         settled = F.lit(True) if final else (F.col("__r") * F.lit(1 + _SLACK) <= F.lit(size))
-        cand = cand.withColumn("__ok", settled).drop(*_keys("__g"))
+        cand = cand.withColumn("__ok", settled)
         # settled cubes keep the facilities inside their radius; this part is
         # recomputed from the (checkpointed) pending table in the final job
         parts.append(cand.where(F.col("__ok") & (F.col("__d") <= F.col("__r") * F.lit(1 + _SLACK)))
