@@ -151,6 +151,37 @@ WHERE p_size IN (SELECT p_size FROM e)
 GROUP BY o_orderpriority ORDER BY n_incidents DESC, o_orderpriority"""
 
 
+def _descent_income(strategy):
+    def run(spark, sf):
+        return R.descent_income_report(S.order_incidents(spark, sf), S.customer_geocodes(spark, sf),
+                                       S.nation_income(spark, sf), year=1996, k=3, strategy=strategy)
+    return run
+
+
+def _case_sql(col: str) -> str:
+    whens = " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in DESCENT_CODES.items())
+    return f"CASE {whens} END"
+
+
+def _descent_income_sql() -> str:
+    return f"""WITH inc AS (
+  SELECT o_orderstatus AS descent, {lat_sql('o_custkey')} AS lat, {lon_sql('o_custkey')} AS lon
+  FROM orders WHERE year(o_orderdate) = 1996 AND o_orderstatus <> 'X' AND o_orderstatus IS NOT NULL),
+geo AS (
+  SELECT {lat_sql('c_custkey')} AS g_lat, {lon_sql('c_custkey')} AS g_lon, c_nationkey + 90000 AS zip FROM customer),
+inc_geo AS (SELECT descent, zip FROM inc JOIN geo ON inc.lat = geo.g_lat AND inc.lon = geo.g_lon),
+income AS (
+  SELECT n_nationkey + 90000 AS zip_code,
+         CASE WHEN n_nationkey = 7 THEN NULL ELSE 20000 + (n_nationkey * 7919) % 60000 END AS income
+  FROM nation),
+j AS (SELECT descent, income FROM inc_geo JOIN income ON inc_geo.zip = income.zip_code),
+v AS (SELECT DISTINCT income FROM j WHERE income IS NOT NULL),
+e AS (SELECT income FROM (SELECT income FROM v ORDER BY income DESC LIMIT 3)
+      UNION SELECT income FROM (SELECT income FROM v ORDER BY income ASC LIMIT 3))
+SELECT {_case_sql('descent')} AS "Victim Descent", COUNT(*) AS n_incidents
+FROM j WHERE income IN (SELECT income FROM e) GROUP BY 1"""
+
+
 # ----------------------------------------------------------- F5 / F6
 
 def q_decode_codes(spark, sf):
@@ -161,11 +192,6 @@ def q_decode_codes(spark, sf):
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-def _case_sql(col: str) -> str:
-    whens = " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in DESCENT_CODES.items())
-    return f"CASE {whens} END"
-
-
 SQL_DECODE_CODES = f"""SELECT l_returnflag, {_case_sql('l_returnflag')} AS returnflag_name,
        l_linestatus, {_case_sql('l_linestatus')} AS linestatus_name, COUNT(*) AS n_rows
 FROM lineitem GROUP BY 1, 2, 3, 4"""
@@ -455,6 +481,10 @@ def queries() -> dict[str, Query]:
         "extreme_groups_broadcast": _extreme_groups("broadcast"),
         "extreme_groups_merge": _extreme_groups("merge"),
         "extreme_groups_shuffle_hash": _extreme_groups("shuffle_hash"),
+        "descent_income": _descent_income(None),
+        "descent_income_broadcast": _descent_income("broadcast"),
+        "descent_income_merge": _descent_income("merge"),
+        "descent_income_shuffle_hash": _descent_income("shuffle_hash"),
         "decode_codes": q_decode_codes,
         "parse_money": q_parse_money,
         "union_aligned": q_union_aligned,
@@ -489,6 +519,10 @@ def oracle_sql() -> dict[str, str]:
         "extreme_groups_broadcast": SQL_EXTREME_GROUPS,
         "extreme_groups_merge": SQL_EXTREME_GROUPS,
         "extreme_groups_shuffle_hash": SQL_EXTREME_GROUPS,
+        "descent_income": _descent_income_sql(),
+        "descent_income_broadcast": _descent_income_sql(),
+        "descent_income_merge": _descent_income_sql(),
+        "descent_income_shuffle_hash": _descent_income_sql(),
         "decode_codes": SQL_DECODE_CODES,
         "parse_money": SQL_PARSE_MONEY,
         "union_aligned": SQL_UNION_ALIGNED,

@@ -67,3 +67,32 @@ def orders_as_text_files(spark: SparkSession, sf: str) -> tuple[DataFrame, DataF
               .select(F.col("o_orderkey").alias("ORDER_NO"), F.col("o_custkey").alias("CUSTOMER"),
                       txt.alias("DATE OCC"), F.col("o_totalprice").alias("TOTAL")))
     return first, second
+
+
+def order_incidents(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as incidents in the incident file layout: date, a one-letter
+    code, and the place of the ordering customer."""
+    o = read_table(spark, sf, "orders")
+    k = F.col("o_custkey")
+    return o.select(F.col("o_orderkey").alias("DR_NO"), F.col("o_orderdate").cast("date").alias("DATE OCC"),
+                    F.col("o_orderstatus").alias("Vict Descent"), lat_of(k).alias("LAT"), lon_of(k).alias("LON"))
+
+
+def customer_geocodes(spark: SparkSession, sf: str) -> DataFrame:
+    """Reverse geocodes: a customer's place and a ZIP text whose first five
+    characters are 90000 + nation key."""
+    c = read_table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    zipcode = F.concat((F.col("c_nationkey") + F.lit(90000)).cast("string"), F.lit("-"),
+                       F.lpad((k % 10000).cast("string"), 4, "0"))
+    return c.select(lat_of(k).alias("LAT"), lon_of(k).alias("LON"), zipcode.alias("ZIPcode"))
+
+
+def nation_income(spark: SparkSession, sf: str) -> DataFrame:
+    """Income table: one ZIP per nation, money text, one value unusable."""
+    n = read_table(spark, sf, "nation")
+    k = F.col("n_nationkey")
+    amount = F.lit(20000) + (k * F.lit(7919)) % F.lit(60000)
+    text = F.when(k == 7, F.lit("---")).otherwise(F.concat(F.lit("$"), F.format_number(amount, 0)))
+    return n.select((k + F.lit(90000)).cast("int").alias("Zip Code"), F.col("n_name").alias("Community"),
+                    text.alias("Estimated Median Income"))
