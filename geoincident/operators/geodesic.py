@@ -3,8 +3,12 @@
 The inverse problem is solved with Vincenty's (1975) iteration on the
 longitude difference on the auxiliary sphere, vectorised with NumPy over a
 whole Arrow batch: each round only touches the lanes that have not yet
-converged. Lanes that do not converge (nearly antipodal points) give null,
-never an unconverged number.
+converged. Lanes where that iteration fails (nearly antipodal points) are
+solved instead by bisection on the start azimuth: after reducing the problem
+so that |lat1| >= |lat2|, lat1 <= 0 and the longitude difference is in
+[0, pi], that difference is an increasing function of the azimuth (Karney,
+J. Geodesy 2013), and the same ellipsoidal series give the length. A lane
+that still does not meet the tolerance gives null, never a wrong number.
 """
 
 from __future__ import annotations
@@ -107,12 +111,79 @@ def vincenty_km(lat1, lon1, lat2, lon2, a: float, f: float,
         cos_s * (-1.0 + 2.0 * cos2sm * cos2sm)
         - B / 6.0 * cos2sm * (-3.0 + 4.0 * sin_s * sin_s) * (-3.0 + 4.0 * cos2sm * cos2sm)))
     s = b * A * (sigma - d_sigma)
-    s[~done] = np.nan
     bad = np.isnan(lat1) | np.isnan(lat2) | np.isnan(lon1) | np.isnan(lon2)
+    retry = np.nonzero(~done & ~bad)[0]
+    if retry.size:
+        s[retry] = _azimuth_search_km(lat1[retry], lon1[retry], lat2[retry], lon2[retry], a, f)
     s[bad] = np.nan
     return s
 
 
+def _series_length(b: float, ep2: float, ca0sq, sig12, cos2sm):
+    u2 = ca0sq * ep2
+    A = 1.0 + u2 / 16384.0 * (4096.0 + u2 * (-768.0 + u2 * (320.0 - 175.0 * u2)))
+    B = u2 / 1024.0 * (256.0 + u2 * (-128.0 + u2 * (74.0 - 47.0 * u2)))
+    ss, cs = np.sin(sig12), np.cos(sig12)
+    d_sigma = B * ss * (cos2sm + B / 4.0 * (
+        cs * (-1.0 + 2.0 * cos2sm * cos2sm)
+        - B / 6.0 * cos2sm * (-3.0 + 4.0 * ss * ss) * (-3.0 + 4.0 * cos2sm * cos2sm)))
+    return b * A * (sig12 - d_sigma)
+
+
+def _azimuth_search_km(lat1, lon1, lat2, lon2, a: float, f: float,
+                       rounds: int = 200, tol: float = 1e-12) -> np.ndarray:
+    """Inverse problem by bisection on the start azimuth (fallback lanes)."""
+    b = a * (1.0 - f)
+    ep2 = (a * a - b * b) / (b * b)
+    dlon = np.radians(lon2 - lon1)
+    L = np.abs(np.arctan2(np.sin(dlon), np.cos(dlon)))
+    b1 = np.arctan((1.0 - f) * np.tan(np.radians(lat1)))
+    b2 = np.arctan((1.0 - f) * np.tan(np.radians(lat2)))
+    swap = np.abs(b1) < np.abs(b2)
+    b1, b2 = np.where(swap, b2, b1), np.where(swap, b1, b2)
+    flip = b1 > 0
+    b1, b2 = np.where(flip, -b1, b1), np.where(flip, -b2, b2)
+    sb1, cb1, sb2, cb2 = np.sin(b1), np.cos(b1), np.sin(b2), np.cos(b2)
+
+    def solve(alpha):
+        sa1, ca1 = np.sin(alpha), np.cos(alpha)
+        sa0 = sa1 * cb1
+        ca0sq = ca1 * ca1 + (sa1 * sb1) ** 2
+        s1 = np.arctan2(sb1, ca1 * cb1)
+        w1 = np.arctan2(sa0 * np.sin(s1), np.cos(s1))
+        ca2cb2 = np.sqrt(np.maximum(0.0, (ca1 * cb1) ** 2 + (cb2 * cb2 - cb1 * cb1)))
+        s2 = np.arctan2(sb2, ca2cb2)
+        w2 = np.arctan2(sa0 * np.sin(s2), np.cos(s2))
+        sig12, omg12 = s2 - s1, w2 - w1
+        c2sm = np.cos(s1 + s2)
+        C = f / 16.0 * ca0sq * (4.0 + f * (4.0 - 3.0 * ca0sq))
+        lam = omg12 - (1.0 - C) * f * sa0 * (
+            sig12 + C * np.sin(sig12) * (c2sm + C * np.cos(sig12) * (-1.0 + 2.0 * c2sm * c2sm)))
+        return lam, ca0sq, sig12, c2sm
+
+    lo = np.zeros_like(L)
+    hi = np.full_like(L, np.pi)
+    for _ in range(rounds):
+        mid = 0.5 * (lo + hi)
+        lam, *_ = solve(mid)
+        below = lam < L
+        lo, hi = np.where(below, mid, lo), np.where(below, hi, mid)
+        if np.all(hi - lo < 1e-15):
+            break
+    alpha = 0.5 * (lo + hi)
+    lam, ca0sq, sig12, c2sm = solve(alpha)
+    out = _series_length(b, ep2, ca0sq, sig12, c2sm)
+    out[~(np.abs(lam - L) < 1e-9)] = np.nan
+    # longitude difference exactly pi: the geodesic is the meridian through
+    # the nearer pole (start heading south after the normalisation)
+    merid = L >= np.pi - 1e-15
+    if np.any(merid):
+        m_sig = np.pi + b1[merid] + b2[merid]
+        m_c2sm = -np.cos(b2[merid] - b1[merid])
+        out[merid] = _series_length(b, ep2, np.ones_like(m_sig), m_sig, m_c2sm)
+    return out
+
+
 def geodesic_udf(ellipsoid="WGS-84", unit: str = "km"):
     """A ``pandas_udf(double)`` (lat1, lon1, lat2, lon2) → length in ``unit``."""
     a, f = ellipsoid_params(ellipsoid)

@@ -32,11 +32,32 @@ def test_special_cases():
     assert one(-90, 0, 90, 0) == pytest.approx(20003.931458, abs=1e-3)
     # across the date line equals the mirrored pair
     assert one(10, 179.5, 10, -179.5) == pytest.approx(one(10, -0.5, 10, 0.5), rel=1e-12)
-    # nearly antipodal pair does not converge: null (NaN), never a wrong number
-    assert math.isnan(one(0.5, 0, -0.5, 179.7))
+    # nearly antipodal pairs: Vincenty's iteration fails, the azimuth search solves them
+    assert one(0.5, 0, -0.5, 179.7) == pytest.approx(19995.62488998, abs=1e-6)
+    assert one(0, 0, 0, 180) == pytest.approx(20003.931458, abs=1e-5)       # over a pole
+    assert one(10, 0, -10, 180) == pytest.approx(20003.931458, abs=1e-5)
     assert math.isnan(one(float("nan"), 0, 1, 1))
 
 
+def test_azimuth_search_agrees_with_iteration():
+    from geoincident.operators.geodesic import _azimuth_search_km
+    rng = np.random.default_rng(1)
+    n = 5000
+    la1, la2 = rng.uniform(-89, 89, n), rng.uniform(-89, 89, n)
+    lo1, lo2 = rng.uniform(-180, 180, n), rng.uniform(-180, 180, n)
+    v = vincenty_km(la1, lo1, la2, lo2, A, F_)
+    w = _azimuth_search_km(la1, lo1, la2, lo2, A, F_)
+    assert not np.isnan(w).any()
+    assert np.max(np.abs(v - w)) < 1e-7
+    g = _azimuth_search_km(np.array([-41.32]), np.array([174.81]), np.array([40.96]), np.array([-5.50]), A, F_)
+    assert g[0] == pytest.approx(19959.6792674, abs=1e-4)
+    # near-antipodal points: the answer is within the proven sphere bounds and
+    # no shorter than a dense brute-force check along candidate azimuths allows
+    for lat in (0.5, 20.0, 48.522876735459, 88.202499451857):
+        d = one(lat, 0, -lat, 179.6)
+        assert 19900 < d < 20004
+
+
 def test_other_ellipsoids_and_tuple():
     for name in ELLIPSOIDS:
         d = one(41.49008, -71.312796, 41.499498, -81.695391, name)
@@ -68,7 +89,8 @@ def test_pandas_udf_matches_numpy_and_keeps_nulls(spark):
                      geodesic_km("a", "b", "c", "d", unit="mi").alias("mi")).collect()
     assert rows[0].km == pytest.approx(866.4554329098687, abs=1e-6)
     assert rows[0].mi == pytest.approx(538.390445368, abs=1e-6)
-    assert rows[1].km is None and rows[2].km is None
+    assert rows[1].km is None
+    assert rows[2].km == pytest.approx(19995.62488998, abs=1e-6)
 
 
 def test_path_length_golden_and_slices(spark):
