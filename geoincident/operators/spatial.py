@@ -139,12 +139,14 @@ def _candidate_table(cells: DataFrame, fac: DataFrame, fac_cols: Sequence[str],
             size = max(size, 2.0 + 2.0 * h)
         rep = _replicate27(fac.select(*fac_cols, "__fx", "__fy", "__fz"), "__f", size, "__g")
         rep, _ = checked_broadcast(rep, max_broadcast_rows, rows=27 * fac_rows)
+        # left join: a cube with no facility in its block stays pending
         cand = (_with_cell(pending, "__p", size, "__g")
-                .join(rep, on=_keys("__g"), how="inner")
+                .join(rep, on=_keys("__g"), how="left")
                 .drop(*_keys("__g"))
                 .withColumn("__d", dist)
                 .withColumn("__r", radius(F.min("__d").over(w))))
-        settled = F.lit(True) if final else (F.col("__r") * F.lit(1 + _SLACK) <= F.lit(size))
+        settled = F.lit(True) if final else F.coalesce(
+            F.col("__r") * F.lit(1 + _SLACK) <= F.lit(size), F.lit(False))
         cand = cand.withColumn("__ok", settled)
         # settled cubes keep the facilities inside their radius; this part is
         # recomputed from the (checkpointed) pending table in the final job
@@ -152,8 +154,8 @@ def _candidate_table(cells: DataFrame, fac: DataFrame, fac_cols: Sequence[str],
                      .select(*_keys("__c"), *fac_cols, "__fx", "__fy", "__fz"))
         if final:
             break
-        done = cand.where("__ok").select(*_keys("__c"))
-        pending = pending.join(done, on=_keys("__c"), how="left_anti")
+        # the window already hash-partitioned rows by cube: no new shuffle
+        pending = cand.where(~F.col("__ok")).select(*_keys("__c"), "__px", "__py", "__pz").distinct()
         if checkpoint:
             pending = pending.checkpoint()
         if pending.isEmpty():

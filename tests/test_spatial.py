@@ -96,3 +96,21 @@ def test_within_distance_matches_brute_force(spark):
     assert (len(a) - 2, len(b) - 2) in got and (len(a) - 1, len(b) - 1) in got
     text = plan_text(within_distance_join(adf, bdf, km, "lat", "lon", "blat", "blon"))
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
+
+
+def test_shuffle_paths_and_hot_cube(spark):
+    """No broadcast allowed, and one cube holding a third of all incidents."""
+    rng = np.random.default_rng(21)
+    spread = _points(rng, 200, False)
+    hot = [(34.0 + 1e-5 * i, -118.3) for i in range(100)]          # ~1 m apart, same cube
+    inc = spread + hot
+    fac = _points(rng, 25, False)
+    idf = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(inc)], "id long, lat double, lon double")
+    fdf = spark.createDataFrame([(j, a, b) for j, (a, b) in enumerate(fac)], "fid long, flat double, flon double")
+    got = {r.id: r.distance_km for r in nearest_facility(idf, fdf, ["id"], "lat", "lon", "flat", "flon",
+                                                         max_broadcast_rows=0).collect()}
+    for i, (a, b) in enumerate(inc):
+        assert got[i] == pytest.approx(min(gc(a, b, c, d) for c, d in fac), abs=1e-9)
+    pairs = within_distance_join(idf, fdf, 3.0, "lat", "lon", "flat", "flon", max_broadcast_rows=0)
+    exp = {(i, j) for i, (x, y) in enumerate(inc) for j, (u, v) in enumerate(fac) if gc(x, y, u, v) <= 3.0}
+    assert {(r.id, r.fid) for r in pairs.collect()} == exp
