@@ -16,6 +16,11 @@ STRATEGIES = (None, "broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl"
 # and only broadcast below the bound; above it the planner's shuffle join
 # (plus AQE's runtime conversion) is used instead.
 MAX_BROADCAST_ROWS = 2_000_000
+# ... and only if rows x estimated row width stays below this many bytes.
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+# Conservative widths per column type (bytes); unknown / variable types 64.
+_TYPE_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4,
+               "double": 8, "date": 4, "timestamp": 8, "timestamp_ntz": 8}
 # A shuffle-and-replicate nested loop compares every pair; refuse it beyond this.
 MAX_REPLICATED_PAIRS = 50_000_000
 
@@ -23,13 +28,20 @@ _JOIN_NODES = ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin",
                "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only if its row count is proven <= ``max_rows``.
+def estimated_row_bytes(df: DataFrame) -> int:
+    """Upper-end width of one row from the schema (plus row overhead)."""
+    return 16 + sum(_TYPE_WIDTH.get(t, 64) for _, t in df.dtypes)
+
 
-    Returns the (possibly hinted) frame and whether the hint was applied."""
+def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      rows: int | None = None,
+                      max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Broadcast ``df`` only if its row count (counted, or ``rows`` when the
+    caller already knows it) is <= ``max_rows`` and rows x estimated row
+    width <= ``max_bytes``. Otherwise the frame is returned unhinted and the
+    join shuffles. Returns the frame and whether the hint was applied."""
     n = df.count() if rows is None else rows
-    if n <= max_rows:
+    if n <= max_rows and n * estimated_row_bytes(df) <= max_bytes:
         return F.broadcast(df), True
     return df, False
 
