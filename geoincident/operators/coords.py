@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from geoincident.functions.geo import (COORDINATE_TEXT_PATTERN, PART_NAMES, REJECT_UNPARSEABLE,
                                         altitude_mismatch, coordinate_from_parts,
-                                        coordinate_reject_reason, coordinate_text_parts,
-                                        normalize_coordinate_text, wrap_longitude)
+                                        coordinate_reject_reason, coordinate_text_groups,
+                                        coordinate_text_parts, normalize_coordinate_text,
+                                        wrap_longitude)
 
 REASON_COL = "reject_reason"
 
@@ -51,16 +52,17 @@ def tag_parsed_coordinates(df: DataFrame, text: str, lat: str = "lat", lon: str
     lat, lon, alt_km and tag it as :func:`tag_coordinates` does; text that
     does not fit the grammar is tagged ``unparseable``.
 
-    Staged projections: the pattern runs once per group and row; later
-    expressions read the part columns."""
+    Staged projections: per row the pattern runs twice (a match test and one
+    rewrite that yields all groups); later expressions read the part columns."""
     staged = df.withColumn("__t", normalize_coordinate_text(text))
-    staged = staged.select("*", F.coalesce(F.col("__t").rlike(COORDINATE_TEXT_PATTERN),
-                                           F.lit(False)).alias("__matched"),
-                           *coordinate_text_parts("__t"))
+    matched = F.coalesce(F.col("__t").rlike(COORDINATE_TEXT_PATTERN), F.lit(False))
+    staged = staged.select("*", matched.alias("__matched")).withColumn(
+        "__g", F.when(F.col("__matched"), coordinate_text_groups("__t")))
+    staged = staged.select("*", *coordinate_text_parts("__g"))
     parsed = coordinate_from_parts("__matched")
     out = (staged.withColumn(lat, parsed["lat"]).withColumn(lon, parsed["lon"])
            .withColumn(alt, parsed["alt_km"])
-           .drop("__t", *["__p_" + n for n in PART_NAMES]))
+           .drop("__t", "__g", *["__p_" + n for n in PART_NAMES]))
     tagged = tag_coordinates(out, lat, lon, alt)
     return tagged.withColumn(REASON_COL, F.when(~F.col("__matched"), F.lit(REJECT_UNPARSEABLE))
                              .otherwise(F.col(REASON_COL))).drop("__matched")
