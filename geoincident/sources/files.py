@@ -114,8 +114,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def union_aligned(dfs: Iterable[DataFrame]) -> DataFrame:
     """UNION ALL by position; names and types come from the first input.
 
-    Each later input is cast column by column to the first one's types, so
-    ANSI coercion cannot widen a string column into a number."""
+    Each later input is cast column by column to the first one's types with
+    ``try_cast`` (a value that does not fit becomes null instead of failing
+    the job), so ANSI coercion cannot widen a string column into a number."""
     dfs = list(dfs)
     if not dfs:
         raise ValueError("union_aligned needs at least one DataFrame")
@@ -125,7 +126,7 @@ def union_aligned(dfs: Iterable[DataFrame]) -> DataFrame:
     for other in dfs[1:]:
         if len(other.columns) != len(fields):
             raise ValueError(f"column count {len(other.columns)} != {len(fields)}")
-        aligned = other.select([F.col(f"`{c}`").cast(f.dataType).alias(f.name)
+        aligned = other.select([F.col(f"`{c}`").try_cast(f.dataType).alias(f.name)
                                 for c, f in zip(other.columns, fields)])
         out = out.union(aligned)
     return out

@@ -68,10 +68,10 @@ def test_read_incidents_two_files_union_by_position(spark, tmp_path):
 
 def test_union_aligned_names_and_types_from_first(spark):
     a = spark.createDataFrame([(1, "x")], "k long, s string")
-    b = spark.createDataFrame([("2", "y")], "K2 string, S2 string")
+    b = spark.createDataFrame([("2", "y"), ("oops", "z")], "K2 string, S2 string")
     u = union_aligned([a, b])
     assert u.columns == ["k", "s"] and dict(u.dtypes)["k"] == "bigint"
-    assert sorted(r.k for r in u.collect()) == [1, 2]
+    assert sorted((r.k for r in u.collect()), key=lambda v: (v is None, v)) == [1, 2, None]
     with pytest.raises(ValueError):
         union_aligned([a, a.select("k")])
 
