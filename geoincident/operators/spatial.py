@@ -164,6 +164,48 @@ def _candidate_table(cells: DataFrame, fac: DataFrame, fac_cols: Sequence[str],
     return reduce(DataFrame.unionByName, parts)
 
 
+# A base cube whose candidate set exceeds this many facilities (a dense
+# facility cluster next to it) is refined: its incidents are solved again on
+# a grid 8 times finer, against only the candidates pooled from such cubes.
+HEAVY_CUBE_CANDIDATES = 256
+MAX_REFINE_DEPTH = 3
+
+
+def _join_candidates(Ic: DataFrame, cand: DataFrame, max_broadcast_rows: int) -> DataFrame:
+    cand, _ = checked_broadcast(cand, max_broadcast_rows)
+    return Ic.join(cand, on=_keys("__c"), how="inner").drop(*_keys("__c"))
+
+
+def _candidate_pairs(I: DataFrame, Fc: DataFrame, fac_cols: list[str], base: float, ratio: float,
+                     checkpoint: bool, max_broadcast_rows: int, heavy: int | None,
+                     depth: int) -> DataFrame:
+    """(incident row, candidate facility) pairs; every incident's nearest
+    facilities (and all ties) are among its candidates."""
+    Ic = _with_cell(I, "__i", base, "__c")
+    cells = Ic.select(*_keys("__c")).distinct()
+    cand = _candidate_table(cells, Fc, fac_cols, base, ratio, checkpoint, max_broadcast_rows)
+    if checkpoint:
+        cand = cand.checkpoint()
+    if heavy and depth < MAX_REFINE_DEPTH:
+        hot = (cand.groupBy(*_keys("__c")).count().where(F.col("count") > F.lit(heavy))
+               .select(*_keys("__c")))
+        if checkpoint:
+            hot = hot.checkpoint()
+        if not hot.isEmpty():
+            hot_b, _ = checked_broadcast(hot, max_broadcast_rows)
+            light = _join_candidates(Ic.join(hot_b, _keys("__c"), "left_anti"),
+                                     cand.join(hot_b, _keys("__c"), "left_anti"), max_broadcast_rows)
+            # exact: the nearest facilities of any point in a heavy cube are
+            # in that cube's candidates, so the pool of those is enough
+            pool = (cand.join(hot_b, _keys("__c"), "left_semi").drop(*_keys("__c"))
+                    .dropDuplicates(["__fid"]))
+            dense_inc = Ic.join(hot_b, _keys("__c"), "left_semi").drop(*_keys("__c"))
+            dense = _candidate_pairs(dense_inc, pool, fac_cols, base / 8.0, ratio, checkpoint,
+                                     max_broadcast_rows, heavy, depth + 1)
+            return light.unionByName(dense)
+    return _join_candidates(Ic, cand, max_broadcast_rows)
+
+
 def nearest_facility(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str],
                      inc_lat: str = "lat", inc_lon: str = "lon",
                      fac_lat: str = "lat", fac_lon: str = "lon",
@@ -171,7 +213,8 @@ def nearest_facility(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str],
                      ellipsoid="WGS-84", radius_km: float = EARTH_RADIUS_KM,
                      cell_km: float = 1.0, distance_col: str = "distance_km",
                      checkpoint: bool = True,
-                     max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                     heavy_cube_candidates: int | None = HEAVY_CUBE_CANDIDATES) -> DataFrame:
     """Distance from every incident group to its nearest facility, exactly.
 
     ``id_cols`` name an incident group (a repeated id forms one group).
@@ -181,16 +224,18 @@ def nearest_facility(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str],
       equals its group's minimum, with all incident and facility columns.
 
     ``metric`` is ``"great_circle"`` (sphere of ``radius_km``) or
-    ``"geodesic"`` (ellipsoid; the geodesic UDF only runs on the facilities
-    whose great-circle distance is within the proven ellipsoid/sphere ratio
-    of the great-circle minimum).
+    ``"geodesic"`` (ellipsoid). For the ellipsoid the candidate radius of a
+    cube is widened by the proven ellipsoid/sphere distance ratio, and the
+    geodesic UDF runs on each incident's candidates only.
 
     Plan: incidents are reduced to their distinct base cubes (edge
     ``cell_km``); the candidate facilities of each cube are found by a
     level-by-level widening search on that small table; then the incident
-    table joins its cube's candidates once (equi join on the cube key). No
-    incident x facility cross product is formed. Incident and facility
-    column names must not overlap.
+    table joins its cube's candidates once (equi join on the cube key). A
+    cube with more than ``heavy_cube_candidates`` candidates (a dense
+    facility cluster) is solved again on a finer grid. No incident x facility
+    cross product is formed. Incident and facility column names must not
+    overlap.
     """
     if metric not in ("great_circle", "geodesic"):
         raise ValueError("metric must be 'great_circle' or 'geodesic'")
@@ -204,29 +249,21 @@ def nearest_facility(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str],
         ratio = ratio_bound(f)
 
     fac_cols = list(fac.columns)
-    I = _with_cell(_xyz(inc.where(F.col(inc_lat).isNotNull() & F.col(inc_lon).isNotNull()),
-                        inc_lat, inc_lon, "__i"), "__i", base, "__c")
+    I = _xyz(inc.where(F.col(inc_lat).isNotNull() & F.col(inc_lon).isNotNull()), inc_lat, inc_lon, "__i")
+    # facility rows get a stable id (the small table is materialised first)
     Fc = _xyz(fac.where(F.col(fac_lat).isNotNull() & F.col(fac_lon).isNotNull()), fac_lat, fac_lon, "__f")
-    cells = I.select(*_keys("__c")).distinct()
-    cand = _candidate_table(cells, Fc, fac_cols, base, ratio, checkpoint, max_broadcast_rows)
+    Fc = Fc.withColumn("__fid", F.monotonically_increasing_id())
     if checkpoint:
-        cand = cand.checkpoint()
-    cand, _ = checked_broadcast(cand, max_broadcast_rows)
-
-    gc = great_circle_km(F.col(inc_lat), F.col(inc_lon), F.col(fac_lat), F.col(fac_lon), radius_km)
-    pairs = (I.join(cand, on=_keys("__c"), how="inner")
-             .drop(*_keys("__c"), "__ix", "__iy", "__iz", "__fx", "__fy", "__fz")
-             .withColumn("__gc", gc))
-    ids = list(id_cols)
+        Fc = Fc.checkpoint()
+    pairs = _candidate_pairs(I, Fc, fac_cols + ["__fid"], base, ratio, checkpoint,
+                             max_broadcast_rows, heavy_cube_candidates, 0)
+    pairs = pairs.drop("__ix", "__iy", "__iz", "__fx", "__fy", "__fz", "__fid")
     if metric == "great_circle":
-        pairs = pairs.withColumn(distance_col, F.col("__gc"))
+        dist = great_circle_km(F.col(inc_lat), F.col(inc_lon), F.col(fac_lat), F.col(fac_lon), radius_km)
     else:
-        gmin = pairs.groupBy(*ids).agg(F.min("__gc").alias("__gmin"))
-        pairs = (pairs.join(gmin, on=ids, how="inner")
-                 .where(F.col("__gc") <= F.col("__gmin") * F.lit(ratio * (1 + _SLACK)))
-                 .withColumn(distance_col, geodesic_km(inc_lat, inc_lon, fac_lat, fac_lon, ellipsoid))
-                 .drop("__gmin"))
-    pairs = pairs.drop("__gc")
+        dist = geodesic_km(inc_lat, inc_lon, fac_lat, fac_lon, ellipsoid)
+    pairs = pairs.withColumn(distance_col, dist)
+    ids = list(id_cols)
     best = pairs.groupBy(*ids).agg(F.min(distance_col).alias(distance_col))
     if not keep_ties:
         return best

@@ -114,3 +114,23 @@ def test_shuffle_paths_and_hot_cube(spark):
     pairs = within_distance_join(idf, fdf, 3.0, "lat", "lon", "flat", "flon", max_broadcast_rows=0)
     exp = {(i, j) for i, (x, y) in enumerate(inc) for j, (u, v) in enumerate(fac) if gc(x, y, u, v) <= 3.0}
     assert {(r.id, r.fid) for r in pairs.collect()} == exp
+
+
+def test_dense_facility_cluster_is_refined_and_exact(spark):
+    """A third of the facilities packed into a few metres next to incidents."""
+    rng = np.random.default_rng(33)
+    fac = _points(rng, 40, False) + [(34.0 + 2e-5 * (i % 10), -118.3 + 2e-5 * (i // 10)) for i in range(30)]
+    fac += [fac[-1]]                                   # an exact duplicate row stays a tie
+    inc = _points(rng, 150, False) + [(34.0 + 1e-3 * i, -118.3005 + 1e-4 * i) for i in range(40)]
+    idf = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(inc)], "id long, lat double, lon double")
+    fdf = spark.createDataFrame([(j, a, b) for j, (a, b) in enumerate(fac)], "fid long, flat double, flon double")
+    ties = nearest_facility(idf, fdf, ["id"], "lat", "lon", "flat", "flon", keep_ties=True,
+                            heavy_cube_candidates=4).collect()
+    got = {}
+    for r in ties:
+        got.setdefault(r.id, []).append((r.fid, r.distance_km))
+    for i, (a, b) in enumerate(inc):
+        d = [gc(a, b, c, e) for c, e in fac]
+        m = min(d)
+        assert sorted(f for f, _ in got[i]) == sorted(j for j, x in enumerate(d) if x == m), i
+        assert all(x == pytest.approx(m, abs=1e-9) for _, x in got[i])
