@@ -26,6 +26,15 @@ def to_date_any(c, dtype: str, pattern: str = INCIDENT_DATETIME_PATTERN) -> Colu
     return _col(c).cast("date")
 
 
+def in_year(c, year: int) -> Column:
+    """``year(c) = year`` written as a half-open date range, which (unlike the
+    function call) reaches the Parquet scan as a pushed filter and lets row
+    groups be skipped by their min/max statistics."""
+    col = _col(c)
+    return (col >= F.make_date(F.lit(year), F.lit(1), F.lit(1))) & (
+        col < F.make_date(F.lit(year + 1), F.lit(1), F.lit(1)))
+
+
 def year_of(c) -> Column:
     return F.year(_col(c))
 

@@ -14,7 +14,7 @@ from geoincident.functions.daypart import hhmm_of
 from geoincident.functions.geo import (COMPASS_POINTS, EARTH_RADIUS_KM, destination,
                                         great_circle_km)
 from geoincident.functions.money import parse_money
-from geoincident.functions.timeops import text_to_date
+from geoincident.functions.timeops import in_year, text_to_date
 from geoincident.functions.units import convert_length, length_factor
 from geoincident.operators.coords import REASON_COL, tag_coordinates, tag_parsed_coordinates
 from geoincident.operators.geodesic import vincenty_sql
@@ -129,7 +129,7 @@ def _extreme_groups(strategy):
     def run(spark, sf):
         from geoincident.operators.joins import join_with_strategy
         li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
-        o = (read_table(spark, sf, "orders").where(F.year("o_orderdate") == 1996)
+        o = (read_table(spark, sf, "orders").where(in_year("o_orderdate", 1996))
              .select("o_orderkey", "o_orderpriority"))
         p = read_table(spark, sf, "part").select("p_partkey", "p_size")
         j = join_with_strategy(li, o, li["l_orderkey"] == o["o_orderkey"], strategy=strategy)

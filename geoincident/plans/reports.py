@@ -15,7 +15,7 @@ from geoincident.functions.codes import DESCENT_CODES, decode
 from geoincident.functions.daypart import part_of_day
 from geoincident.functions.geo import EARTH_RADIUS_KM, compass_point, great_circle_km, initial_bearing
 from geoincident.functions.money import parse_money
-from geoincident.functions.timeops import to_date_any
+from geoincident.functions.timeops import in_year, to_date_any
 from geoincident.operators.extremes import filter_extreme_groups
 from geoincident.operators.geodesic import geodesic_km
 from geoincident.operators.joins import join_with_strategy
@@ -125,7 +125,7 @@ def descent_income_report(incidents: DataFrame, geocodes: DataFrame, income: Dat
     ⋈ income(Zip Code, Estimated Median Income[, year]). ``strategy`` picks
     the physical join for both joins."""
     inc = (incidents
-           .where(F.year(F.col("`DATE OCC`")) == F.lit(year))
+           .where(in_year(F.col("`DATE OCC`"), year))
            .where((F.col("`Vict Descent`") != "X") & F.col("`Vict Descent`").isNotNull())
            .select(F.col("`Vict Descent`").alias("descent"), F.col("LAT").alias("lat"),
                    F.col("LON").alias("lon")))
