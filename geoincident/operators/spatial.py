@@ -171,8 +171,9 @@ HEAVY_CUBE_CANDIDATES = 256
 MAX_REFINE_DEPTH = 3
 
 
-def _join_candidates(Ic: DataFrame, cand: DataFrame, max_broadcast_rows: int) -> DataFrame:
-    cand, _ = checked_broadcast(cand, max_broadcast_rows)
+def _join_candidates(Ic: DataFrame, cand: DataFrame, max_broadcast_rows: int,
+                     rows: int | None = None) -> DataFrame:
+    cand, _ = checked_broadcast(cand, max_broadcast_rows, rows=rows)
     return Ic.join(cand, on=_keys("__c"), how="inner").drop(*_keys("__c"))
 
 
@@ -186,24 +187,26 @@ def _candidate_pairs(I: DataFrame, Fc: DataFrame, fac_cols: list[str], base: flo
     cand = _candidate_table(cells, Fc, fac_cols, base, ratio, checkpoint, max_broadcast_rows)
     if checkpoint:
         cand = cand.checkpoint()
-    if heavy and depth < MAX_REFINE_DEPTH:
+    # one small job: total candidate rows (broadcast decision) and the
+    # largest candidate set of a single cube (refinement decision)
+    st = (cand.groupBy(*_keys("__c")).count()
+          .agg(F.sum("count").alias("n"), F.max("count").alias("mx")).first())
+    n_cand, largest = int(st["n"] or 0), int(st["mx"] or 0)
+    if heavy and depth < MAX_REFINE_DEPTH and largest > heavy:
         hot = (cand.groupBy(*_keys("__c")).count().where(F.col("count") > F.lit(heavy))
                .select(*_keys("__c")))
-        if checkpoint:
-            hot = hot.checkpoint()
-        if not hot.isEmpty():
-            hot_b, _ = checked_broadcast(hot, max_broadcast_rows)
-            light = _join_candidates(Ic.join(hot_b, _keys("__c"), "left_anti"),
-                                     cand.join(hot_b, _keys("__c"), "left_anti"), max_broadcast_rows)
-            # exact: the nearest facilities of any point in a heavy cube are
-            # in that cube's candidates, so the pool of those is enough
-            pool = (cand.join(hot_b, _keys("__c"), "left_semi").drop(*_keys("__c"))
-                    .dropDuplicates(["__fid"]))
-            dense_inc = Ic.join(hot_b, _keys("__c"), "left_semi").drop(*_keys("__c"))
-            dense = _candidate_pairs(dense_inc, pool, fac_cols, base / 8.0, ratio, checkpoint,
-                                     max_broadcast_rows, heavy, depth + 1)
-            return light.unionByName(dense)
-    return _join_candidates(Ic, cand, max_broadcast_rows)
+        hot_b, _ = checked_broadcast(hot, max_broadcast_rows, rows=n_cand // heavy + 1)
+        light = _join_candidates(Ic.join(hot_b, _keys("__c"), "left_anti"),
+                                 cand.join(hot_b, _keys("__c"), "left_anti"), max_broadcast_rows, n_cand)
+        # exact: the nearest facilities of any point in a heavy cube are in
+        # that cube's candidates, so the pool of those is enough
+        pool = (cand.join(hot_b, _keys("__c"), "left_semi").drop(*_keys("__c"))
+                .dropDuplicates(["__fid"]))
+        dense_inc = Ic.join(hot_b, _keys("__c"), "left_semi").drop(*_keys("__c"))
+        dense = _candidate_pairs(dense_inc, pool, fac_cols, base / 8.0, ratio, checkpoint,
+                                 max_broadcast_rows, heavy, depth + 1)
+        return light.unionByName(dense)
+    return _join_candidates(Ic, cand, max_broadcast_rows, n_cand)
 
 
 def nearest_facility(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str],
@@ -214,7 +217,8 @@ def nearest_facility(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str],
                      cell_km: float = 1.0, distance_col: str = "distance_km",
                      checkpoint: bool = True,
                      max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                     heavy_cube_candidates: int | None = HEAVY_CUBE_CANDIDATES) -> DataFrame:
+                     heavy_cube_candidates: int | None = HEAVY_CUBE_CANDIDATES,
+                     precision: str = "double") -> DataFrame:
     """Distance from every incident group to its nearest facility, exactly.
 
     ``id_cols`` name an incident group (a repeated id forms one group).
@@ -236,9 +240,15 @@ def nearest_facility(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str],
     facility cluster) is solved again on a finer grid. No incident x facility
     cross product is formed. Incident and facility column names must not
     overlap.
+
+    ``precision="float"`` rounds every distance to float32 before minima and
+    ties are taken (the original per-row UDF returned float32, which ties
+    more often); the default keeps doubles.
     """
     if metric not in ("great_circle", "geodesic"):
         raise ValueError("metric must be 'great_circle' or 'geodesic'")
+    if precision not in ("double", "float"):
+        raise ValueError("precision must be 'double' or 'float'")
     spark = inc.sparkSession
     if checkpoint:
         ensure_checkpoint_dir(spark)
@@ -262,7 +272,7 @@ def nearest_facility(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str],
         dist = great_circle_km(F.col(inc_lat), F.col(inc_lon), F.col(fac_lat), F.col(fac_lon), radius_km)
     else:
         dist = geodesic_km(inc_lat, inc_lon, fac_lat, fac_lon, ellipsoid)
-    pairs = pairs.withColumn(distance_col, dist)
+    pairs = pairs.withColumn(distance_col, dist.cast(precision))
     ids = list(id_cols)
     best = pairs.groupBy(*ids).agg(F.min(distance_col).alias(distance_col))
     if not keep_ties:

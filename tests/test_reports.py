@@ -101,3 +101,15 @@ def test_report_plans_follow_strategy(spark):
                            ("broadcast", "BroadcastHashJoin")):
         df = distance_report(inc, st, "AREA ", "PREC", "DIVISION", strategy=strategy, metric="great_circle")
         assert node in join_strategy_used(df)
+
+
+def test_float_precision_switch(spark):
+    inc = weapon_filter(_incidents(spark))
+    st = _stations(spark)
+    d = {r.DIVISION: r.average_distance for r in distance_report(inc, st, "AREA ", "PREC", "DIVISION").collect()}
+    f = {r.DIVISION: r.average_distance for r in distance_report(inc, st, "AREA ", "PREC", "DIVISION",
+                                                                 precision="float").collect()}
+    for k in d:
+        assert f[k] == pytest.approx(d[k], rel=1e-6)
+    near = nearest_report(inc, st, ["DR_NO"], "DIVISION", True, precision="float").collect()
+    assert sum(r.n_incidents for r in near) == 9
