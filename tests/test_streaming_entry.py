@@ -52,3 +52,25 @@ def test_every_query_matches_its_sql_on_sf0001(spark):
         cols = [d[0] for d in res.description]
         assert sorted(cols) == sorted(df.columns), name
         assert got == _rows(cols, res.fetchall()), name
+
+
+def test_distance_report_on_a_stream_joins_static_stations(spark, tmp_path):
+    from geoincident.plans.reports import distance_report, weapon_filter
+    src = tmp_path / "inc"
+    src.mkdir()
+    header = ",".join(["DR_NO", "Date Rptd", "DATE OCC", "TIME OCC", "AREA "] + [f"c{i}" for i in range(11)]
+                      + ["Weapon Used Cd"] + [f"d{i}" for i in range(9)] + ["LAT", "LON"])
+
+    def line(i, area, weapon, lat, lon):
+        return ",".join([str(i), "", "01/01/2015 12:00:00 AM", "100", str(area)] + [""] * 11 + [str(weapon)]
+                        + [""] * 9 + [str(lat), str(lon)])
+    (src / "a.csv").write_text(header + "\n" + "\n".join([
+        line(1, 5, 101, 33.80, -118.30), line(2, 5, 300, 33.80, -118.30),
+        line(3, 12, 150, 33.95, -118.28), line(4, 12, 150, 0.0, 0.0)]) + "\n")
+    stations = spark.createDataFrame([(-118.289241553, 33.7576608970001, "HARBOR", 5),
+                                      (-118.277669655, 33.9703073800001, "77TH STREET", 12)],
+                                     "X double, Y double, DIVISION string, PREC int")
+    stream = weapon_filter(incident_stream(spark, str(src)))
+    report = distance_report(stream, stations, "AREA ", "PREC", "DIVISION", metric="great_circle", order="count")
+    out = {r.DIVISION: r.n_incidents for r in run_available(report, "dist_stream", str(tmp_path / "ck")).collect()}
+    assert out == {"HARBOR": 1, "77TH STREET": 1}
