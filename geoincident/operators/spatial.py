@@ -23,6 +23,7 @@ from geoincident.operators.geodesic import ellipsoid_params, geodesic_km, ratio_
 from geoincident.operators.joins import MAX_BROADCAST_ROWS, checked_broadcast
 from geoincident.session import ensure_checkpoint_dir
 
+_SLACK = 1e-9
 
 
 def _offsets() -> Column:
@@ -31,8 +32,6 @@ def _offsets() -> Column:
         F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(dz).alias("dz"))
         for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)])
 
-_SLACK = 1e-9
-
 
 def _xyz(df: DataFrame, lat: str, lon: str, p: str) -> DataFrame:
     x, y, z = unit_vector(lat, lon)
