@@ -88,8 +88,56 @@ def within_distance_join(left: DataFrame, right: DataFrame, km: float,
 
 # ------------------------------------------------------------ nearest
 
+def _summary_level(pending: DataFrame, fac: DataFrame, fac_cols: Sequence[str], size: float,
+                   final: bool, w, dist: Column, radius, max_broadcast_rows: int,
+                   fac_rows: int) -> DataFrame:
+    """One search level through facility summaries (see ``_candidate_table``).
+
+    Returns one row per pending cube and opened facility (``__take`` marks
+    the cube's exact candidates) plus one row per cube with ``__ok`` false
+    when the cube is not settled at this level."""
+    sub = size / 8.0
+    fk = fac.withColumns({**{"__o" + a: _cell(F.col("__f" + a), size) for a in "xyz"},
+                          **{"__s" + a: _cell(F.col("__f" + a), sub) for a in "xyz"}})
+    grp = [*_keys("__o"), *_keys("__s")]
+    summ = fk.groupBy(*grp).agg(
+        *[F.min("__f" + a).alias("__lo" + a) for a in "xyz"],
+        *[F.max("__f" + a).alias("__hi" + a) for a in "xyz"],
+        F.min_by(F.struct(*[F.col("__f" + a).alias(a) for a in "xyz"]), F.col("__fid")).alias("__rep"))
+    summ = (summ.withColumn("__off", F.explode(_offsets()))
+            .withColumns({"__g" + a: F.col("__o" + a) + F.col(f"__off.d{a}") for a in "xyz"})
+            .drop("__off"))
+    summ, _ = checked_broadcast(summ, max_broadcast_rows, rows=27 * fac_rows)
+    to_rep = F.sqrt(sum((F.col("__p" + a) - F.col("__rep." + a)) ** 2 for a in "xyz"))
+    to_box = F.sqrt(sum(F.greatest(F.lit(0.0), F.col("__lo" + a) - F.col("__p" + a),
+                                   F.col("__p" + a) - F.col("__hi" + a)) ** 2 for a in "xyz"))
+    # step A: representatives bound the nearest distance from above
+    a = (_with_cell(pending, "__p", size, "__g")
+         .join(summ, on=_keys("__g"), how="left").drop(*_keys("__g"))
+         .withColumn("__R", radius(F.min(to_rep).over(w))))
+    ok = F.lit(True) if final else F.coalesce(
+        F.col("__R") * F.lit(1 + _SLACK) <= F.lit(size), F.lit(False))
+    a = a.withColumn("__ok", ok)
+    opened = (a.where(F.col("__ok") & (to_box <= F.col("__R") * F.lit(1 + _SLACK)))
+              .select(*_keys("__c"), "__px", "__py", "__pz", "__R", *grp))
+    # step B: fetch the facilities of the opened boxes only, then exact radius
+    fb, _ = checked_broadcast(fk.select(*fac_cols, "__fx", "__fy", "__fz", *grp), max_broadcast_rows,
+                              rows=fac_rows)
+    b = (opened.join(fb, on=grp, how="inner").drop(*grp)
+         .withColumn("__d", dist).where(F.col("__d") <= F.col("__R") * F.lit(1 + _SLACK))
+         .withColumn("__r", radius(F.min("__d").over(w)))
+         .withColumn("__take", F.col("__d") <= F.col("__r") * F.lit(1 + _SLACK))
+         .withColumn("__ok", F.lit(True)))
+    waiting = (a.where(~F.col("__ok")).select(*_keys("__c"), "__px", "__py", "__pz")
+               .withColumn("__ok", F.lit(False)))
+    cols = [*_keys("__c"), "__px", "__py", "__pz", "__ok"]
+    return (b.select(*cols, "__take", *fac_cols, "__fx", "__fy", "__fz")
+            .unionByName(waiting, allowMissingColumns=True))
+
+
 def _candidate_table(cells: DataFrame, fac: DataFrame, fac_cols: Sequence[str], base: float,
-                     ratio: float, checkpoint: bool, max_broadcast_rows: int) -> DataFrame:
+                     ratio: float, checkpoint: bool, max_broadcast_rows: int,
+                     summary_min_facilities: int | None = None) -> DataFrame:
     """For every occupied base cube, the facilities that can be nearest (or
     tied nearest) to ANY point in that cube.
 
@@ -102,6 +150,16 @@ def _candidate_table(cells: DataFrame, fac: DataFrame, fac_cols: Sequence[str],
     (cube edge doubles); a cube is settled at the first level whose 27-cube
     block provably contains that radius. Only unsettled cubes move on, and
     each level is checkpointed so lineage stays short.
+
+    Large facility tables (more than ``summary_min_facilities`` rows) take a
+    two-step level: (A) each pending cube meets per-sub-cube summaries
+    (bounding box + one representative facility, sub-cube edge = level edge
+    / 8), at most 27 x 512 rows per cube however dense the facilities are;
+    the representatives give an upper bound m' >= m and a radius R. (B) Only
+    summaries whose box lies within R are opened and their facilities
+    fetched; every facility within radius(m) <= R lies in such a box, so the
+    result is the same exact candidate set, but a dense cluster outside the
+    ball is never joined.
     """
     h = base * math.sqrt(3.0) / 2.0
     ctr = cells.select(*_keys("__c"), *[
@@ -128,6 +186,7 @@ def _candidate_table(cells: DataFrame, fac: DataFrame, fac_cols: Sequence[str],
         ext = sorted((st["hi" + a] - st["lo" + a]) for a in "xyz")
         spacing = math.sqrt(ext[1] * ext[2] / fac_rows)
         level = max(1, math.ceil(math.log2(max((spacing + 2.0 * h) / base, 1.0))))
+    use_summary = summary_min_facilities is not None and fac_rows > summary_min_facilities
     pending = ctr.checkpoint() if checkpoint else ctr
     parts = []
     w = Window.partitionBy(*_keys("__c"))
@@ -136,21 +195,26 @@ def _candidate_table(cells: DataFrame, fac: DataFrame, fac_cols: Sequence[str],
         final = size >= 2.0 + 2.0 * h
         if final:
             size = max(size, 2.0 + 2.0 * h)
-        rep = _replicate27(fac.select(*fac_cols, "__fx", "__fy", "__fz"), "__f", size, "__g")
-        rep, _ = checked_broadcast(rep, max_broadcast_rows, rows=27 * fac_rows)
-        # left join: a cube with no facility in its block stays pending
-        cand = (_with_cell(pending, "__p", size, "__g")
-                .join(rep, on=_keys("__g"), how="left")
-                .drop(*_keys("__g"))
-                .withColumn("__d", dist)
-                .withColumn("__r", radius(F.min("__d").over(w))))
-        settled = F.lit(True) if final else F.coalesce(
-            F.col("__r") * F.lit(1 + _SLACK) <= F.lit(size), F.lit(False))
-        cand = cand.withColumn("__ok", settled)
-        # settled cubes keep the facilities inside their radius; this part is
-        # recomputed from the (checkpointed) pending table in the final job
-        parts.append(cand.where(F.col("__ok") & (F.col("__d") <= F.col("__r") * F.lit(1 + _SLACK)))
-                     .select(*_keys("__c"), *fac_cols, "__fx", "__fy", "__fz"))
+        if use_summary:
+            cand = _summary_level(pending, fac, fac_cols, size, final, w, dist, radius,
+                                  max_broadcast_rows, fac_rows)
+            parts.append(cand.where("__take").select(*_keys("__c"), *fac_cols, "__fx", "__fy", "__fz"))
+        else:
+            rep = _replicate27(fac.select(*fac_cols, "__fx", "__fy", "__fz"), "__f", size, "__g")
+            rep, _ = checked_broadcast(rep, max_broadcast_rows, rows=27 * fac_rows)
+            # left join: a cube with no facility in its block stays pending
+            cand = (_with_cell(pending, "__p", size, "__g")
+                    .join(rep, on=_keys("__g"), how="left")
+                    .drop(*_keys("__g"))
+                    .withColumn("__d", dist)
+                    .withColumn("__r", radius(F.min("__d").over(w))))
+            settled = F.lit(True) if final else F.coalesce(
+                F.col("__r") * F.lit(1 + _SLACK) <= F.lit(size), F.lit(False))
+            cand = cand.withColumn("__ok", settled)
+            # settled cubes keep the facilities inside their radius; this part
+            # is recomputed from the (checkpointed) pending table at the end
+            parts.append(cand.where(F.col("__ok") & (F.col("__d") <= F.col("__r") * F.lit(1 + _SLACK)))
+                         .select(*_keys("__c"), *fac_cols, "__fx", "__fy", "__fz"))
         if final:
             break
         # the window already hash-partitioned rows by cube: no new shuffle
@@ -168,6 +232,9 @@ def _candidate_table(cells: DataFrame, fac: DataFrame, fac_cols: Sequence[str],
 # a grid 8 times finer, against only the candidates pooled from such cubes.
 HEAVY_CUBE_CANDIDATES = 256
 MAX_REFINE_DEPTH = 3
+# Facility tables above this size search through per-sub-cube summaries, so
+# a dense cluster inside a cube's search block is only opened when needed.
+SUMMARY_MIN_FACILITIES = 10_000
 
 
 def _join_candidates(Ic: DataFrame, cand: DataFrame, max_broadcast_rows: int,
@@ -178,12 +245,13 @@ def _join_candidates(Ic: DataFrame, cand: DataFrame, max_broadcast_rows: int,
 
 def _candidate_pairs(I: DataFrame, Fc: DataFrame, fac_cols: list[str], base: float, ratio: float,
                      checkpoint: bool, max_broadcast_rows: int, heavy: int | None,
-                     depth: int) -> DataFrame:
+                     depth: int, summary_min: int | None = SUMMARY_MIN_FACILITIES) -> DataFrame:
     """(incident row, candidate facility) pairs; every incident's nearest
     facilities (and all ties) are among its candidates."""
     Ic = _with_cell(I, "__i", base, "__c")
     cells = Ic.select(*_keys("__c")).distinct()
-    cand = _candidate_table(cells, Fc, fac_cols, base, ratio, checkpoint, max_broadcast_rows)
+    cand = _candidate_table(cells, Fc, fac_cols, base, ratio, checkpoint, max_broadcast_rows,
+                            summary_min)
     if checkpoint:
         cand = cand.checkpoint()
     # one small job: total candidate rows (broadcast decision) and the
@@ -203,7 +271,7 @@ def _candidate_pairs(I: DataFrame, Fc: DataFrame, fac_cols: list[str], base: flo
                 .dropDuplicates(["__fid"]))
         dense_inc = Ic.join(hot_b, _keys("__c"), "left_semi").drop(*_keys("__c"))
         dense = _candidate_pairs(dense_inc, pool, fac_cols, base / 8.0, ratio, checkpoint,
-                                 max_broadcast_rows, heavy, depth + 1)
+                                 max_broadcast_rows, heavy, depth + 1, summary_min)
         return light.unionByName(dense)
     return _join_candidates(Ic, cand, max_broadcast_rows, n_cand)
 
@@ -217,7 +285,8 @@ def nearest_facility(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str],
                      checkpoint: bool = True,
                      max_broadcast_rows: int = MAX_BROADCAST_ROWS,
                      heavy_cube_candidates: int | None = HEAVY_CUBE_CANDIDATES,
-                     precision: str = "double") -> DataFrame:
+                     precision: str = "double",
+                     summary_min_facilities: int | None = SUMMARY_MIN_FACILITIES) -> DataFrame:
     """Distance from every incident group to its nearest facility, exactly.
 
     ``id_cols`` name an incident group (a repeated id forms one group).
@@ -236,8 +305,10 @@ def nearest_facility(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str],
     level-by-level widening search on that small table; then the incident
     table joins its cube's candidates once (equi join on the cube key). A
     cube with more than ``heavy_cube_candidates`` candidates (a dense
-    facility cluster) is solved again on a finer grid. No incident x facility
-    cross product is formed. Incident and facility column names must not
+    facility cluster) is solved again on a finer grid. Facility tables above
+    ``summary_min_facilities`` rows are searched through per-sub-cube
+    summaries, so a dense cluster is only opened for cubes it can serve. No
+    incident x facility cross product is formed. Incident and facility column names must not
     overlap.
 
     ``precision="float"`` rounds every distance to float32 before minima and
@@ -265,7 +336,7 @@ def nearest_facility(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str],
     if checkpoint:
         Fc = Fc.checkpoint()
     pairs = _candidate_pairs(I, Fc, fac_cols + ["__fid"], base, ratio, checkpoint,
-                             max_broadcast_rows, heavy_cube_candidates, 0)
+                             max_broadcast_rows, heavy_cube_candidates, 0, summary_min_facilities)
     pairs = pairs.drop("__ix", "__iy", "__iz", "__fx", "__fy", "__fz", "__fid")
     if metric == "great_circle":
         dist = great_circle_km(F.col(inc_lat), F.col(inc_lon), F.col(fac_lat), F.col(fac_lon), radius_km)

@@ -134,3 +134,29 @@ def test_dense_facility_cluster_is_refined_and_exact(spark):
         m = min(d)
         assert sorted(f for f, _ in got[i]) == sorted(j for j, x in enumerate(d) if x == m), i
         assert all(x == pytest.approx(m, abs=1e-9) for _, x in got[i])
+
+
+@pytest.mark.parametrize("world,metric", [(False, "great_circle"), (True, "great_circle"), (True, "geodesic")])
+def test_summary_search_path_is_exact(spark, world, metric):
+    """The two-step (summary, then opened boxes) level gives the same exact
+    answer as brute force, ties included."""
+    rng = np.random.default_rng(44 if world else 45)
+    inc = _points(rng, 250, world) + [(89.9, 10.0), (0.0, 179.999)]
+    fac = _points(rng, 35, world) + [(34.0 + 2e-5 * i, -118.3) for i in range(25)] + [(0.0, -179.99)]
+    fac += [fac[3]]                                     # duplicate row: a tie
+    idf = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(inc)], "id long, lat double, lon double")
+    fdf = spark.createDataFrame([(j, a, b) for j, (a, b) in enumerate(fac)], "fid long, flat double, flon double")
+    rows = nearest_facility(idf, fdf, ["id"], "lat", "lon", "flat", "flon", keep_ties=True, metric=metric,
+                            cell_km=200.0 if world else 2.0, summary_min_facilities=0).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r.id, []).append((r.fid, r.distance_km))
+    A_, F2 = ellipsoid_params("WGS-84")
+    for i, (a, b) in enumerate(inc):
+        if metric == "great_circle":
+            d = [gc(a, b, c, e) for c, e in fac]
+        else:
+            d = list(vincenty_km([a] * len(fac), [b] * len(fac), [c for c, _ in fac], [e for _, e in fac], A_, F2))
+        m = min(d)
+        assert sorted(f for f, _ in got[i]) == sorted(j for j, x in enumerate(d) if x == m), i
+        assert all(x == pytest.approx(m, abs=1e-9) for _, x in got[i])
