@@ -117,3 +117,14 @@ def test_path_length_long_track_spread_over_slices(spark):
                 exp += 6371.009 * math.atan2(math.hypot(math.cos(p2) * math.sin(dl), math.cos(p1) * math.sin(p2) - math.sin(p1) * math.cos(p2) * math.cos(dl)),
                                              math.sin(p1) * math.sin(p2) + math.cos(p1) * math.cos(p2) * math.cos(dl))
             assert got[t] == pytest.approx(exp, rel=1e-9), (slices, t)
+
+
+def test_dataframe_distance_helpers(spark):
+    from geoincident.operators.distances import with_destination, with_geodesic_km, with_great_circle_km
+    df = spark.createDataFrame([(41.49008, -71.312796, 41.499498, -81.695391, 90.0, 10.0)],
+                               "a double, b double, c double, d double, brg double, km double")
+    r = with_destination(with_geodesic_km(with_great_circle_km(df, "a", "b", "c", "d", unit="mi"),
+                                          "a", "b", "c", "d", unit="mi"), "a", "b", "brg", "km").first()
+    assert r.great_circle_km == pytest.approx(536.997990696, abs=1e-8)
+    assert r.geodesic_km == pytest.approx(538.390445368, abs=1e-6)
+    assert r.dest_lat == pytest.approx(41.49, abs=0.01) and r.dest_lon > -71.312796
