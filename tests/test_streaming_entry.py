@@ -48,10 +48,15 @@ def test_every_query_matches_its_sql_on_sf0001(spark):
         got = _rows(df.columns, [tuple(r) for r in df.collect()])
         if name not in sqls:
             continue
-        res = con.execute(sqls[name])
-        cols = [d[0] for d in res.description]
+        rel = con.sql(sqls[name])
+        cols = rel.columns
         assert sorted(cols) == sorted(df.columns), name
-        assert got == _rows(cols, res.fetchall()), name
+        duck_types = dict(zip(cols, [str(t) for t in rel.types]))
+        spark_to_duck = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                         "date": "DATE"}
+        for c, t in df.dtypes:
+            assert spark_to_duck.get(t, t) == duck_types[c], (name, c, t, duck_types[c])
+        assert got == _rows(cols, rel.fetchall()), name
 
 
 def test_distance_report_on_a_stream_joins_static_stations(spark, tmp_path):
