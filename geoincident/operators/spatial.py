@@ -185,7 +185,7 @@ def _candidate_table(cells: DataFrame, fac: DataFrame, fac_cols: Sequence[str],
     if fac_rows > 0:
         ext = sorted((st["hi" + a] - st["lo" + a]) for a in "xyz")
         spacing = math.sqrt(ext[1] * ext[2] / fac_rows)
-        level = max(1, math.ceil(math.log2(max((spacing + 2.0 * h) / base, 1.0))))
+        level = max(1, math.ceil(math.log2(max((2.0 * spacing + 2.0 * h) / base, 1.0))))
     use_summary = summary_min_facilities is not None and fac_rows > summary_min_facilities
     pending = ctr.checkpoint() if checkpoint else ctr
     parts = []
