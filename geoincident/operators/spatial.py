@@ -17,6 +17,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geoincident.functions.geo import EARTH_RADIUS_KM, chord_of_km, great_circle_km, unit_vector
 from geoincident.operators.geodesic import ellipsoid_params, geodesic_km, ratio_bound
@@ -186,6 +187,10 @@ def _candidate_table(cells: DataFrame, fac: DataFrame, fac_cols: Sequence[str],
         ext = sorted((st["hi" + a] - st["lo" + a]) for a in "xyz")
         spacing = math.sqrt(ext[1] * ext[2] / fac_rows)
         level = max(1, math.ceil(math.log2(max((2.0 * spacing + 2.0 * h) / base, 1.0))))
+    if fac_rows == 0:   # nothing can be nearest: an empty candidate table
+        schema = T.StructType(ctr.select(*_keys("__c")).schema.fields
+                              + fac.select(*fac_cols, "__fx", "__fy", "__fz").schema.fields)
+        return fac.sparkSession.createDataFrame([], schema)
     use_summary = summary_min_facilities is not None and fac_rows > summary_min_facilities
     pending = ctr.checkpoint() if checkpoint else ctr
     parts = []

@@ -160,3 +160,10 @@ def test_summary_search_path_is_exact(spark, world, metric):
         m = min(d)
         assert sorted(f for f, _ in got[i]) == sorted(j for j, x in enumerate(d) if x == m), i
         assert all(x == pytest.approx(m, abs=1e-9) for _, x in got[i])
+
+
+def test_nearest_with_no_facilities_is_empty(spark):
+    idf = spark.createDataFrame([(1, 34.0, -118.0)], "id long, lat double, lon double")
+    fdf = spark.createDataFrame([], "fid long, flat double, flon double")
+    assert nearest_facility(idf, fdf, ["id"], "lat", "lon", "flat", "flon").count() == 0
+    assert nearest_facility(idf, fdf, ["id"], "lat", "lon", "flat", "flon", keep_ties=True).count() == 0
