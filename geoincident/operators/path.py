@@ -54,9 +54,9 @@ def path_length(df: DataFrame, track_cols: Sequence[str], order_cols: Sequence[s
     # consecutive slices, so the crossing pair is (previous last, this first).
     ws = Window.partitionBy(*tracks).orderBy("__slice")
     joined = per_slice.withColumn("__prev", F.lag("__last").over(ws)).withColumn(
-        "__cross", F.coalesce(_segment(metric, F.col("__prev.a"), F.col("__prev.o"),
+        "__bridge", F.coalesce(_segment(metric, F.col("__prev.a"), F.col("__prev.o"),
                                        F.col("__first.a"), F.col("__first.o"), radius_km, ellipsoid),
                               F.lit(0.0)))
     return joined.groupBy(*tracks).agg(
-        (F.sum("__len") + F.sum("__cross")).alias(out_col),
+        (F.sum("__len") + F.sum("__bridge")).alias(out_col),
         F.sum("__n").alias(points_col))

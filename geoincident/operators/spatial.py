@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geoincident.functions.geo import EARTH_RADIUS_KM, chord_of_km, great_circle_km, unit_vector
-from geoincident.operators.geodesic import ellipsoid_params, geodesic_km, ratio_bound
+from geoincident.operators.geodesic import (ellipsoid_params, geodesic_km, ratio_bound,
+                                            spherical_ratio_bounds)
 from geoincident.operators.joins import MAX_BROADCAST_ROWS, checked_broadcast
 from geoincident.session import ensure_checkpoint_dir
 
@@ -64,27 +65,45 @@ def within_distance_join(left: DataFrame, right: DataFrame, km: float,
                          right_lat: str = "lat", right_lon: str = "lon",
                          radius_km: float = EARTH_RADIUS_KM,
                          distance_col: str = "distance_km",
-                         max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """All (left, right) pairs with great-circle distance <= ``km`` (range join).
+                         max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                         metric: str = "great_circle", ellipsoid="WGS-84") -> DataFrame:
+    """All (left, right) pairs within ``km`` of each other (range join).
+
+    ``metric="great_circle"`` measures on the sphere of ``radius_km``;
+    ``"geodesic"`` on the ellipsoid: candidate pairs come from the sphere
+    bound geodesic >= lo * great-circle (lo proven for the ellipsoid), then
+    the geodesic UDF filters them exactly.
 
     ``right`` is the side replicated 27 times (pass the smaller table as
-    ``right``); it is broadcast only if its replicated row count is proven
-    below ``max_broadcast_rows``, else both sides shuffle on the cube key.
+    ``right``); it is broadcast only if its replicated size is proven below
+    the bound, else both sides shuffle on the cube key (AQE splits hot cubes).
     Column names of the two inputs must not overlap (rename first).
     """
     if km < 0:
         raise ValueError("km must be >= 0")
-    size = chord_of_km(km, radius_km) * (1 + _SLACK) + 1e-15
+    if metric not in ("great_circle", "geodesic"):
+        raise ValueError("metric must be 'great_circle' or 'geodesic'")
+    reach = km
+    if metric == "geodesic":
+        lo, _hi = spherical_ratio_bounds(ellipsoid, radius_km)
+        reach = km / lo
+    size = chord_of_km(reach, radius_km) * (1 + _SLACK) + 1e-15
     L = _with_cell(_xyz(left.where(F.col(left_lat).isNotNull() & F.col(left_lon).isNotNull()),
                         left_lat, left_lon, "__l"), "__l", size, "__g")
     Rb = _xyz(right.where(F.col(right_lat).isNotNull() & F.col(right_lon).isNotNull()),
               right_lat, right_lon, "__r")
     R = _replicate27(Rb, "__r", size, "__g")
     R, _ = checked_broadcast(R, max_broadcast_rows)
-    d = great_circle_km(F.col(left_lat), F.col(left_lon), F.col(right_lat), F.col(right_lon), radius_km)
-    pairs = L.join(R, on=_keys("__g"), how="inner").withColumn(distance_col, d)
+    gc = great_circle_km(F.col(left_lat), F.col(left_lon), F.col(right_lat), F.col(right_lon), radius_km)
+    pairs = L.join(R, on=_keys("__g"), how="inner")
+    if metric == "great_circle":
+        pairs = pairs.withColumn(distance_col, gc).where(F.col(distance_col) <= F.lit(km))
+    else:
+        pairs = (pairs.where(gc <= F.lit(reach * (1 + _SLACK)))
+                 .withColumn(distance_col, geodesic_km(left_lat, left_lon, right_lat, right_lon, ellipsoid))
+                 .where(F.col(distance_col) <= F.lit(km)))
     helper = [c for c in pairs.columns if c.startswith("__")]
-    return pairs.where(F.col(distance_col) <= F.lit(km)).drop(*helper)
+    return pairs.drop(*helper)
 
 
 # ------------------------------------------------------------ nearest
@@ -319,6 +338,9 @@ def nearest_facility(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str],
     ``precision="float"`` rounds every distance to float32 before minima and
     ties are taken (the original per-row UDF returned float32, which ties
     more often); the default keeps doubles.
+
+    ``checkpoint=False`` keeps everything lazy, without cutting lineage; it
+    is meant for small inputs and tests only.
     """
     if metric not in ("great_circle", "geodesic"):
         raise ValueError("metric must be 'great_circle' or 'geodesic'")

@@ -167,3 +167,18 @@ def test_nearest_with_no_facilities_is_empty(spark):
     fdf = spark.createDataFrame([], "fid long, flat double, flon double")
     assert nearest_facility(idf, fdf, ["id"], "lat", "lon", "flat", "flon").count() == 0
     assert nearest_facility(idf, fdf, ["id"], "lat", "lon", "flat", "flon", keep_ties=True).count() == 0
+
+
+def test_within_distance_geodesic_matches_brute_force(spark):
+    rng = np.random.default_rng(12)
+    a = _points(rng, 300, False)
+    b = _points(rng, 25, False)
+    adf = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(a)], "aid long, lat double, lon double")
+    bdf = spark.createDataFrame([(j, x, y) for j, (x, y) in enumerate(b)], "bid long, blat double, blon double")
+    A_, F2 = ellipsoid_params("WGS-84")
+    km = 6.0
+    got = {(r.aid, r.bid) for r in within_distance_join(adf, bdf, km, "lat", "lon", "blat", "blon",
+                                                         metric="geodesic").collect()}
+    exp = {(i, j) for i, (x, y) in enumerate(a) for j, (u, v) in enumerate(b)
+           if vincenty_km([x], [y], [u], [v], A_, F2)[0] <= km}
+    assert got == exp and len(exp) > 0
