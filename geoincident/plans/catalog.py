@@ -292,6 +292,24 @@ def q_within_distance(spark, sf):
             .select("station_id", "n_within", _r("avg_km")))
 
 
+def q_within_distance_geodesic(spark, sf):
+    inc = S.customer_incidents(spark, sf).select("incident_id", "lat", "lon")
+    fac = S.supplier_stations(spark, sf).select("station_id", "st_lat", "st_lon")
+    pairs = within_distance_join(inc, fac, WITHIN_KM, "lat", "lon", "st_lat", "st_lon", metric="geodesic")
+    return (pairs.groupBy("station_id")
+            .agg(F.count(F.lit(1)).alias("n_within"), F.avg("distance_km").alias("avg_km"))
+            .select("station_id", "n_within", _r("avg_km")))
+
+
+def _within_geodesic_sql() -> str:
+    ctes, final = vincenty_sql("lat", "lon", "st_lat", "st_lon", "pairs", keep="station_id")
+    return f"""WITH {INC_CTE}, {SUPP_CTE},
+pairs AS (SELECT station_id, lat, lon, st_lat, st_lon FROM inc CROSS JOIN sst),
+{ctes}
+SELECT station_id, COUNT(*) AS n_within, ROUND(AVG(geodesic_km), {KM_DIGITS}) AS avg_km
+FROM {final} WHERE geodesic_km <= {WITHIN_KM!r} GROUP BY station_id"""
+
+
 SQL_WITHIN_DISTANCE = f"""WITH {INC_CTE}, {SUPP_CTE},
 p AS (SELECT station_id, {gc_sql('lat', 'lon', 'st_lat', 'st_lon')} AS d FROM inc CROSS JOIN sst)
 SELECT station_id, COUNT(*) AS n_within, ROUND(AVG(d), {KM_DIGITS}) AS avg_km
@@ -501,6 +519,7 @@ def queries() -> dict[str, Query]:
         "geodesic_nearest": _nearest(False, "geodesic"),
         "geodesic_nearest_facility": _nearest(True, "geodesic"),
         "within_distance": q_within_distance,
+        "within_distance_geodesic": q_within_distance_geodesic,
         "path_length": q_path_length,
         "destination": q_destination,
         "bearing_histogram": q_bearing_histogram,
@@ -539,6 +558,7 @@ def oracle_sql() -> dict[str, str]:
         "geodesic_nearest": _sql_nearest(False, "geodesic"),
         "geodesic_nearest_facility": _sql_nearest(True, "geodesic"),
         "within_distance": SQL_WITHIN_DISTANCE,
+        "within_distance_geodesic": _within_geodesic_sql(),
         "path_length": SQL_PATH_LENGTH,
         "destination": _dest_sql(),
         "bearing_histogram": _bearing_sql(),
