@@ -104,6 +104,21 @@ def vincenty_km(lat1, lon1, lat2, lon2, a: float, f: float,
         done[active[conv]] = True
         active = active[~conv]
 
+    # evaluate the auxiliary-sphere terms once more at the converged lambda
+    fin = np.nonzero(done & ~(np.isnan(L) | np.isnan(U1) | np.isnan(U2)))[0]
+    if fin.size:
+        lm = lam[fin]
+        s_lm, c_lm = np.sin(lm), np.cos(lm)
+        su1, cu1, su2, cu2 = sU1[fin], cU1[fin], sU2[fin], cU2[fin]
+        ss = np.hypot(cu2 * s_lm, cu1 * su2 - su1 * cu2 * c_lm)
+        cs = su1 * su2 + cu1 * cu2 * c_lm
+        with np.errstate(divide="ignore", invalid="ignore"):
+            sa = np.where(ss == 0.0, 0.0, cu1 * cu2 * s_lm / ss)
+            c2a = 1.0 - sa * sa
+            c2m = np.where(c2a == 0.0, 0.0, cs - 2.0 * su1 * su2 / c2a)
+        sin_s[fin], cos_s[fin], sigma[fin] = ss, cs, np.arctan2(ss, cs)
+        cos2a[fin], cos2sm[fin] = c2a, c2m
+
     u2 = cos2a * (a * a - b * b) / (b * b)
     A = 1.0 + u2 / 16384.0 * (4096.0 + u2 * (-768.0 + u2 * (320.0 - 175.0 * u2)))
     B = u2 / 1024.0 * (256.0 + u2 * (-128.0 + u2 * (74.0 - 47.0 * u2)))

@@ -324,6 +324,26 @@ def q_path_length(spark, sf):
     return out.select("o_custkey", _r("path_km"), "points")
 
 
+def q_path_length_geodesic(spark, sf):
+    pts = S.order_points(spark, sf)
+    out = path_length(pts, ["o_custkey"], ["o_orderkey"], "lat", "lon", metric="geodesic")
+    return out.select("o_custkey", _r("path_km"), "points")
+
+
+def _path_geodesic_sql() -> str:
+    ctes, final = vincenty_sql("plat", "plon", "lat", "lon", "seg", keep="o_custkey")
+    return f"""WITH pts AS (
+  SELECT o_custkey, o_orderkey, {lat_sql('o_orderkey')} AS lat, {lon_sql('o_orderkey')} AS lon FROM orders),
+l AS (SELECT *, lag(lat) OVER w AS plat, lag(lon) OVER w AS plon FROM pts
+      WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)),
+seg AS (SELECT o_custkey, plat, plon, lat, lon FROM l WHERE plat IS NOT NULL),
+{ctes},
+tot AS (SELECT o_custkey, SUM(geodesic_km) AS s FROM {final} GROUP BY o_custkey),
+cnt AS (SELECT o_custkey, COUNT(*) AS points FROM pts GROUP BY o_custkey)
+SELECT cnt.o_custkey, ROUND(COALESCE(tot.s, 0), {KM_DIGITS}) AS path_km, cnt.points
+FROM cnt LEFT JOIN tot ON cnt.o_custkey = tot.o_custkey"""
+
+
 SQL_PATH_LENGTH = f"""WITH pts AS (
   SELECT o_custkey, o_orderkey, {lat_sql('o_orderkey')} AS lat, {lon_sql('o_orderkey')} AS lon FROM orders),
 l AS (SELECT *, lag(lat) OVER w AS plat, lag(lon) OVER w AS plon FROM pts
@@ -521,6 +541,7 @@ def queries() -> dict[str, Query]:
         "within_distance": q_within_distance,
         "within_distance_geodesic": q_within_distance_geodesic,
         "path_length": q_path_length,
+        "path_length_geodesic": q_path_length_geodesic,
         "destination": q_destination,
         "bearing_histogram": q_bearing_histogram,
         "convert_length": q_convert_length,
@@ -560,6 +581,7 @@ def oracle_sql() -> dict[str, str]:
         "within_distance": SQL_WITHIN_DISTANCE,
         "within_distance_geodesic": _within_geodesic_sql(),
         "path_length": SQL_PATH_LENGTH,
+        "path_length_geodesic": _path_geodesic_sql(),
         "destination": _dest_sql(),
         "bearing_histogram": _bearing_sql(),
         "convert_length": _units_sql(),
