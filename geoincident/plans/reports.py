@@ -49,9 +49,12 @@ def top_months(df: DataFrame, date_col: str = "DATE OCC", k: int = 3,
 
 
 def top_months_sql(spark: SparkSession, df: DataFrame, date_col: str = "DATE OCC",
-                   k: int = 3, view: str = "crimes") -> DataFrame:
+                   k: int = 3, view: str | None = None) -> DataFrame:
     """Q1 through SQL: the table is registered as a view, replaced by its own
-    projection, then ranked with ROW_NUMBER over the grouped count in a CTE."""
+    projection, then ranked with ROW_NUMBER over the grouped count in a CTE.
+    The view name is unique per call unless given."""
+    import uuid
+    view = view or f"crimes_{uuid.uuid4().hex[:12]}"
     dtype = dict(df.dtypes)[date_col]
     df.select(to_date_any(F.col(f"`{date_col}`"), dtype).alias("date_occ")).createOrReplaceTempView(view)
     spark.sql(f"SELECT date_occ FROM {view} WHERE date_occ IS NOT NULL").createOrReplaceTempView(view)
