@@ -7,8 +7,8 @@ converged. Lanes where that iteration fails (nearly antipodal points) are
 solved instead by bisection on the start azimuth: after reducing the problem
 so that |lat1| >= |lat2|, lat1 <= 0 and the longitude difference is in
 [0, pi], that difference is an increasing function of the azimuth, and the
-same ellipsoidal series give the length. A lane
-that still does not meet the tolerance gives null, never a wrong number.
+same ellipsoidal series give the length. A lane that still does not meet the
+tolerance gives null, never a wrong number.
 """
 
 from __future__ import annotations
