@@ -532,6 +532,9 @@ def queries() -> dict[str, Query]:
         "area_distance_broadcast": _area("segment", "by", "broadcast"),
         "area_distance_merge": _area("segment", "by", "merge"),
         "area_distance_shuffle_hash": _area("segment", "by", "shuffle_hash"),
+        "area_distance_division_broadcast": _area("division", "count", "broadcast"),
+        "area_distance_division_merge": _area("division", "count", "merge"),
+        "area_distance_division_shuffle_hash": _area("division", "count", "shuffle_hash"),
         "nearest_distance": _nearest(False),
         "nearest_facility": _nearest(True),
         "geodesic_area": _area("segment", "by", metric="geodesic"),
@@ -572,6 +575,9 @@ def oracle_sql() -> dict[str, str]:
         "area_distance_broadcast": _sql_area("segment"),
         "area_distance_merge": _sql_area("segment"),
         "area_distance_shuffle_hash": _sql_area("segment"),
+        "area_distance_division_broadcast": _sql_area("division"),
+        "area_distance_division_merge": _sql_area("division"),
+        "area_distance_division_shuffle_hash": _sql_area("division"),
         "nearest_distance": _sql_nearest(False),
         "nearest_facility": _sql_nearest(True),
         "geodesic_area": _sql_area("segment", "geodesic"),
