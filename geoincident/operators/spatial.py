@@ -60,6 +60,12 @@ def _keys(prefix: str) -> list[str]:
     return [prefix + "x", prefix + "y", prefix + "z"]
 
 
+def _check_disjoint(a: DataFrame, b: DataFrame) -> None:
+    both = sorted(set(a.columns) & set(b.columns))
+    if both:
+        raise ValueError(f"column names present on both sides, rename them first: {both}")
+
+
 def within_distance_join(left: DataFrame, right: DataFrame, km: float,
                          left_lat: str = "lat", left_lon: str = "lon",
                          right_lat: str = "lat", right_lon: str = "lon",
@@ -81,6 +87,7 @@ def within_distance_join(left: DataFrame, right: DataFrame, km: float,
     """
     if km < 0:
         raise ValueError("km must be >= 0")
+    _check_disjoint(left, right)
     if metric not in ("great_circle", "geodesic"):
         raise ValueError("metric must be 'great_circle' or 'geodesic'")
     reach = km
@@ -346,6 +353,7 @@ def nearest_facility(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str],
         raise ValueError("metric must be 'great_circle' or 'geodesic'")
     if precision not in ("double", "float"):
         raise ValueError("precision must be 'double' or 'float'")
+    _check_disjoint(inc, fac)
     spark = inc.sparkSession
     if checkpoint:
         ensure_checkpoint_dir(spark)

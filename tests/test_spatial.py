@@ -182,3 +182,11 @@ def test_within_distance_geodesic_matches_brute_force(spark):
     exp = {(i, j) for i, (x, y) in enumerate(a) for j, (u, v) in enumerate(b)
            if vincenty_km([x], [y], [u], [v], A_, F2)[0] <= km}
     assert got == exp and len(exp) > 0
+
+
+def test_overlapping_column_names_are_refused(spark):
+    a = spark.createDataFrame([(1, 34.0, -118.0)], "id long, lat double, lon double")
+    with pytest.raises(ValueError):
+        nearest_facility(a, a, ["id"])
+    with pytest.raises(ValueError):
+        within_distance_join(a, a, 1.0)
