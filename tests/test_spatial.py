@@ -190,3 +190,24 @@ def test_overlapping_column_names_are_refused(spark):
         nearest_facility(a, a, ["id"])
     with pytest.raises(ValueError):
         within_distance_join(a, a, 1.0)
+
+
+def test_hot_repeated_id_holds_a_third_of_rows(spark):
+    rng = np.random.default_rng(77)
+    pts = _points(rng, 300, False)
+    ids = [0 if i % 3 == 0 else i for i in range(len(pts))]          # id 0: a third of all rows
+    fac = _points(rng, 20, False)
+    idf = spark.createDataFrame([(k, a, b) for k, (a, b) in zip(ids, pts)], "id long, lat double, lon double")
+    fdf = spark.createDataFrame([(j, a, b) for j, (a, b) in enumerate(fac)], "fid long, flat double, flon double")
+    best = {r.id: r.distance_km for r in nearest_facility(idf, fdf, ["id"], "lat", "lon", "flat", "flon",
+                                                          max_broadcast_rows=0).collect()}
+    exp = {}
+    for k, (a, b) in zip(ids, pts):
+        d = min(gc(a, b, c, e) for c, e in fac)
+        exp[k] = min(exp.get(k, d), d)
+    assert set(best) == set(exp)
+    for k in exp:
+        assert best[k] == pytest.approx(exp[k], abs=1e-9)
+    ties = nearest_facility(idf, fdf, ["id"], "lat", "lon", "flat", "flon", keep_ties=True,
+                            max_broadcast_rows=0).where("id = 0").collect()
+    assert len(ties) >= 1 and all(r.distance_km == pytest.approx(exp[0], abs=1e-9) for r in ties)
