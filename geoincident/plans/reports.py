@@ -199,6 +199,12 @@ def nearest_report(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str], by: s
     (``by`` must be one of them), then mean and count per ``by``.
     ``keep_ties=True`` (per-division form): every tied nearest facility and
     every repeated id row counts; ``by`` is a facility column."""
+    # project what the report needs first (column pruning; also keeps the two
+    # sides' column names apart, e.g. a LOCATION column on both)
+    keep_inc = list(dict.fromkeys([*id_cols, inc_lat, inc_lon] + ([by] if by in inc.columns else [])))
+    keep_fac = list(dict.fromkeys([fac_lat, fac_lon] + ([by] if by not in keep_inc and by in fac.columns else [])))
+    inc = inc.select(*[F.col(f"`{c}`") for c in keep_inc])
+    fac = fac.select(*[F.col(f"`{c}`") for c in keep_fac])
     near = nearest_facility(inc, fac, id_cols, inc_lat, inc_lon, fac_lat, fac_lon,
                             keep_ties=keep_ties, metric=metric, ellipsoid=ellipsoid,
                             radius_km=radius_km, cell_km=cell_km, distance_col="__d",
