@@ -112,3 +112,10 @@ def test_clean_coordinates_rules(spark):
     assert {r.id: (r.lat, r.lon) for r in valid.collect()} == {1: (10.0, -170.0), 6: (-90.0, -180.0)}
     assert {r.id: r.reject_reason for r in rejects.collect()} == {
         2: "null_coordinate", 3: "null_coordinate", 4: "latitude_out_of_range", 5: "not_finite"}
+
+
+def test_altitude_conflicts(spark):
+    from geoincident.operators.coords import altitude_conflicts
+    df = spark.createDataFrame([(1, 0.5, 0.5), (2, 0.5, 0.5000005), (3, 0.0, 0.712), (4, None, 1.0)],
+                               "id int, a1 double, a2 double")
+    assert [r.id for r in altitude_conflicts(df, "a1", "a2").collect()] == [3]
