@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -37,21 +39,45 @@ def build_session(master: str = "local[*]", app: str = "geoincident",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make reliable ``DataFrame.checkpoint()`` usable.
+    """The shared folder for ``DataFrame.checkpoint()`` and staged tables.
 
-    On a cluster the shared folder comes from ``spark.checkpoint.dir``; only
-    when that is unset (local tests) a scratch folder is created.
+    The session names it in ``spark.checkpoint.dir``. Only a session with a
+    local master may leave it unset: there the driver and the executors are one
+    process, so a scratch folder of this machine serves. Any other master
+    without the setting is an error, because executors would not see each
+    other's files.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: the server's setting applies
-        return spark.conf.get("spark.checkpoint.dir", "") or ""
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(
+                "spark.checkpoint.dir is not set; name a folder that all executors share "
+                f"(master is {master})")
         configured = tempfile.mkdtemp(prefix="geoincident-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the executors' Python workers.
+
+    UDFs pickle their functions by module name, so the workers must be able to
+    import ``geoincident``. The sources go out once per SparkContext as a zip
+    through ``addPyFile``, whatever the workers' own path is.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_geoincident_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="geoincident-py-")) / "geoincident.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, Path("geoincident") / source.relative_to(root))
+    sc.addPyFile(str(target))
+    sc._geoincident_shipped = True
