@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoincident.llm import ngram_join
+from geoincident.llm import chat_trees, embedding_dedup, language_ppm, lm_backoff, ngram_join, token_repair
 
-_MODULES = (ngram_join,)
+_MODULES = (embedding_dedup, ngram_join, language_ppm, token_repair, lm_backoff, chat_trees)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
