@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoincident.llm import chat_trees, embedding_dedup, language_ppm, lm_backoff, ngram_join, token_repair
+from geoincident.llm import (benchmark_index, chat_trees, embedding_dedup, language_ppm, lm_backoff, line_alignment,
+                             ngram_join, secret_ownership, source_mixing, token_repair)
 
-_MODULES = (embedding_dedup, ngram_join, language_ppm, token_repair, lm_backoff, chat_trees)
+_MODULES = (embedding_dedup, ngram_join, language_ppm, source_mixing, token_repair, secret_ownership, lm_backoff,
+            chat_trees, line_alignment, benchmark_index)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
