@@ -8,14 +8,14 @@ be decoded without the rest.
 
 Shard, little endian: ``RPTK``, then u32 documents, rules, symbols, terminals;
 the rules as u32 (left, right, length); the documents' numbers of ids as i64;
-the symbols as varints (7 bits a byte, low ones first, the top bit set on all
-but the last). Symbols below ``terminals`` are ids, the others rules.
+the symbols' lower 16 bits as u16, then their upper 8 bits as u8. Symbols below ``terminals`` are ids, the others rules.
 A file is a Parquet table: part and nth (the shards' order), the documents' own
 ids, n_ids and the shard.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -30,37 +30,59 @@ from pyspark.sql import functions as F
 from geoincident.llm.common import prepare, shuffle_width, staged
 
 _MAGIC = b"RPTK"
+_SLOT_BITS = 18
+_SLOTS = 1 << _SLOT_BITS
+
+
+#: letters that the tokenizer's normaliser maps one to one and its pattern keeps in one piece
+_LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+
+#: one full stop or comma between a letter and white space is a piece of its own
+_STOP = re.compile(rb"(?<=[a-z])[.,](?=\s|\Z)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones for
+    themselves, the others for the next free code points from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(rest)}
 
 
 class WordIds(dict):
-    """Ids of lower-cased words as u32 bytes, encoded when first met.
+    """Ids of words (A-Z lower-cased) as u32 bytes, encoded when first met.
 
     The tokenizer drops white space and never merges across it, so a text's ids
-    are those of its words; letters followed by full stops or commas are split
-    there, as its pattern does. Emptied at ``most`` words to bound memory.
+    are those of its words. Words of plain letters are one piece of its pattern
+    and go to the library's model at once. Emptied at ``most`` words to bound memory.
     """
 
-    def __init__(self, tokenizer, most: int = 800_000):
+    def __init__(self, tokenizer, most: int = 500_000):
         super().__init__()
-        self.tokenizer, self.most = tokenizer, most
+        self.tokenizer, self.model, self.most = tokenizer, tokenizer.model, most
+        self.letters = _byte_letters()
 
     def __missing__(self, word: bytes) -> bytes:
-        core = word.rstrip(b".,")
-        if core != word and core.isalpha():
-            ids = self[core] + self[word[len(core):]]
+        text = word.decode().lower()
+        if _LETTERS.fullmatch(text):
+            mapped = text if text.isascii() else "".join([self.letters[b] for b in text.encode()])
+            ids = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
         else:
-            ids = array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+            ids = self._whole(word.decode())
         if len(self) >= self.most:
             self.clear()
         self[word] = ids
         return ids
 
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
     def text(self, text: bytes | None) -> bytes:
         if not text:
             return b""
         if b"<|" in text:  # may hold the name of a special token, which the tokenizer finds in raw text
-            return array("I", self.tokenizer.encode(text.decode(), add_special_tokens=False).ids).tobytes()
-        return b"".join([self[w] for w in text.lower().split()])
+            return self._whole(text.decode())
+        return b"".join(map(self.__getitem__, _STOP.sub(rb" \g<0>", text.lower()).split()))
 
 
 _WORD_IDS: dict[str, WordIds] = {}
@@ -75,58 +97,40 @@ def word_ids(path: str) -> WordIds:
     return _WORD_IDS[path]
 
 
-def _varints(values: np.ndarray) -> bytes:
-    values = values.astype(np.uint32)
-    size = 1 + (values >= 1 << 7) + (values >= 1 << 14) + (values >= 1 << 21) + (values >= 1 << 28)
-    at = np.cumsum(size) - size
-    out = np.zeros(int(size.sum()), dtype=np.uint8)
-    for k in range(int(size.max(initial=0))):
-        has = size > k
-        out[at[has] + k] = ((values[has] >> np.uint32(7 * k)) & 127) | np.where(size[has] > k + 1, 128, 0)
-    return out.tobytes()
-
-
-def _from_varints(raw: np.ndarray) -> np.ndarray:
-    last = np.flatnonzero(raw < 128)
-    first = np.concatenate([[0], last[:-1] + 1]) if len(last) else last
-    out, size = np.zeros(len(last), dtype=np.uint32), last - first + 1
-    for k in range(int(size.max(initial=0))):
-        has = size > k
-        out[has] |= (raw[first[has] + k].astype(np.uint32) & 127) << np.uint32(7 * k)
-    return out
-
-
 def compress(ids: np.ndarray, terminals: int, rounds: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(symbols, rules): rounds of replacing all pairs met ``least`` times, more frequent ones first."""
+    """(symbols, rules): rounds of replacing the pairs met ``least`` times, more frequent ones first.
+
+    Pairs are counted in a table by hash; of pairs that share a slot one has its
+    turn, the others theirs in a later round. Where chosen pairs overlap, the
+    more frequent one wins, and in a run of one id every second place.
+    """
     seq, rules = ids.astype(np.int64), [np.zeros((0, 2), dtype=np.int64)]
     symbols = terminals
-    for _ in range(rounds):
+    for turn in range(rounds):
         if len(seq) < 2:
             break
-        slot = ((seq[:-1] * 0x9E3779B1 + seq[1:] * 0x85EBCA6B) >> 7) & 0xFFFFF
-        often = np.flatnonzero(np.bincount(slot, minlength=1 << 20)[slot] >= least)
-        if not len(often):
-            break
-        pair, which, count = np.unique((seq[often] << 32) | seq[often + 1], return_inverse=True, return_counts=True)
-        if count.max() < least:
-            break
-        order = np.argsort(-count, kind="stable")
-        priority = np.empty(len(pair), dtype=np.int64)
-        priority[order] = np.arange(len(pair), 0, -1)
-        priority[count < least] = -1
-        # a place wins against its neighbours by priority; in a run of one id, every second place does
-        change = np.flatnonzero(np.concatenate([[True], seq[1:] != seq[:-1]]))
-        in_run = np.arange(len(seq)) - np.repeat(change, np.diff(np.concatenate([change, [len(seq)]])))
+        pair = (seq[:-1] << 32) | seq[1:]
+        slot = ((pair ^ (pair >> 29)) * (0x9E3779B97F4A7C15 - (1 << 64) + 2 * turn)) >> (64 - _SLOT_BITS) & (_SLOTS - 1)
+        count = np.bincount(slot, minlength=_SLOTS)
+        owner = np.zeros(_SLOTS, dtype=np.int64)
+        owner[slot] = pair
+        often = np.flatnonzero((count[slot] >= least) & (owner[slot] == pair))
+        place = slot[often]
+        count = np.bincount(place, minlength=_SLOTS)
+        score = np.where(count >= least, ((count << _SLOT_BITS) + np.arange(_SLOTS)) << 1, -2)
         rank = np.full(len(seq) + 1, -2, dtype=np.int64)
-        p = priority[which]
-        rank[1 + often] = np.where(p > 0, 2 * p + (in_run[often] % 2 == 0), -2)
-        here = rank[1:]
-        win = np.flatnonzero((here > 0) & (here > rank[:-1]) & (here > np.concatenate([here[1:], [-2]])))
+        rank[1 + often] = score[place] + (often & 1)
+        here = rank[1:-1]
+        win = np.flatnonzero((here > 0) & (here > rank[:-2]) & (here > rank[2:]))
         if not len(win):
             break
-        used, name = np.unique((seq[win] << 32) | seq[win + 1], return_inverse=True)
-        rules.append(np.stack([used >> 32, used & 0xFFFFFFFF], axis=1))
-        seq[win] = symbols + name
+        chosen = np.zeros(_SLOTS, dtype=bool)
+        chosen[slot[win]] = True
+        used = np.flatnonzero(chosen)
+        name = np.zeros(_SLOTS, dtype=np.int64)
+        name[used] = symbols + np.arange(len(used))
+        rules.append(np.stack([owner[used] >> 32, owner[used] & 0xFFFFFFFF], axis=1))
+        seq[win] = name[slot[win]]
         keep = np.ones(len(seq), dtype=bool)
         keep[win + 1] = False
         seq = seq[keep]
@@ -134,6 +138,19 @@ def compress(ids: np.ndarray, terminals: int, rounds: int, least: int) -> tuple[
     return seq, np.concatenate(rules)
 
 
+def _expand(seq: np.ndarray, terminals: int, rules: np.ndarray) -> np.ndarray:
+    """The ids that the symbols stand for."""
+    while True:
+        is_rule = seq >= terminals
+        if not is_rule.any():
+            return seq
+        size = 1 + is_rule
+        at = (np.cumsum(size) - size)[is_rule]
+        rule = seq[is_rule] - terminals
+        seq = np.repeat(seq, size)
+        seq[at], seq[at + 1] = rules[rule, 0], rules[rule, 1]
+
+
 def write_shard(counts: list[int], ids: np.ndarray, rounds: int, least: int) -> bytes:
     """A shard of documents with these numbers of ids."""
     terminals = int(ids.max(initial=0)) + 1
@@ -142,8 +159,11 @@ def write_shard(counts: list[int], ids: np.ndarray, rounds: int, least: int) ->
     for r, (a, b) in enumerate(rules.tolist()):
         length[terminals + r] = length[a] + length[b]
     table = np.concatenate([rules, length[terminals:, None]], axis=1).astype("<u4")
+    if len(length) > 1 << 24:
+        raise ValueError("a shard can name 16,777,216 symbols")
     head = np.array([len(counts), len(rules), len(seq), terminals], dtype="<u4")
-    return b"".join([_MAGIC, head.tobytes(), table.tobytes(), np.array(counts, dtype="<i8").tobytes(), _varints(seq)])
+    return b"".join([_MAGIC, head.tobytes(), table.tobytes(), np.array(counts, dtype="<i8").tobytes(),
+                     (seq & 0xFFFF).astype("<u2").tobytes(), (seq >> 16).astype(np.uint8).tobytes()])
 
 
 class Shard:
@@ -157,9 +177,11 @@ class Shard:
         at = 20 + 12 * rules
         self.counts = np.frombuffer(raw, "<i8", documents, at)
         self.starts = np.concatenate([[0], np.cumsum(self.counts)])
-        self.symbols = _from_varints(np.frombuffer(raw, np.uint8, -1, at + 8 * documents)).astype(np.int64)
-        if len(self.symbols) != symbols:
+        at += 8 * documents
+        if len(raw) != at + 3 * symbols:
             raise ValueError("token shard is cut short")
+        self.symbols = (np.frombuffer(raw, "<u2", symbols, at).astype(np.int64)
+                        | (np.frombuffer(raw, np.uint8, symbols, at + 2 * symbols).astype(np.int64) << 16))
         size = np.ones(symbols, dtype=np.int64)
         is_rule = self.symbols >= self.terminals
         size[is_rule] = self.rules[self.symbols[is_rule] - self.terminals, 2]
@@ -169,25 +191,26 @@ class Shard:
         if stop <= start:
             return np.zeros(0, dtype="<u4")
         a, b = np.searchsorted(self.ends, [start, stop - 1], side="right")
-        seq = self.symbols[a:b + 1]
         begin = int(self.ends[a - 1]) if a else 0
-        while True:
-            is_rule = seq >= self.terminals
-            if not is_rule.any():
-                return seq[start - begin:stop - begin].astype("<u4")
-            size = 1 + is_rule
-            at = np.cumsum(size) - size
-            out = np.repeat(seq, size)
-            rule = seq[is_rule] - self.terminals
-            out[at[is_rule]], out[at[is_rule] + 1] = self.rules[rule, 0], self.rules[rule, 1]
-            seq = out
+        return _expand(self.symbols[a:b + 1], self.terminals, self.rules)[start - begin:stop - begin].astype("<u4")
+
+    def all_ids(self) -> np.ndarray:
+        """Every id: the rules are expanded once, each symbol is a copy of its range."""
+        first = np.arange(self.terminals + len(self.rules), dtype=np.int64)
+        flat = np.concatenate([first[:self.terminals],
+                               _expand(first[self.terminals:], self.terminals, self.rules)]).astype("<u4")
+        size = np.ones(len(first), dtype=np.int64)
+        size[self.terminals:] = self.rules[:, 2]
+        first = np.cumsum(size) - size
+        size = size[self.symbols]
+        return flat[np.arange(int(size.sum())) + np.repeat(first[self.symbols] - (self.ends - size), size)]
 
     def document(self, nth: int) -> np.ndarray:
         return self.ids(int(self.starts[nth]), int(self.starts[nth + 1]))
 
 
 def token_shards(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1,
-                 shard_ids: int = 1 << 20, rounds: int = 6, least: int = 16) -> DataFrame:
+                 shard_ids: int = 1 << 19, rounds: int = 6, least: int = 16) -> DataFrame:
     """The file's rows: part, nth, doc_ids, n_ids, shard, in ascending id order (null ids first).
 
     Null text is empty; every document ends with ``end_id``. Rows of equal id
@@ -231,26 +254,28 @@ def token_shards(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     return rows.mapInArrow(write, f"part int, nth int, doc_ids array<{kind.simpleString()}>, n_ids long, shard binary")
 
 
-def read_documents(shards: DataFrame) -> DataFrame:
-    """doc_id, start (ids before it in the whole file), n_tokens and ids (u32 bytes) of every document."""
+def read_documents(shards: DataFrame, crc_only: bool = False) -> DataFrame:
+    """part, nth, doc_id, at (ids before it in the shard), n_tokens and ids (u32 bytes) of every document;
+    ``crc_only``: ids_crc32 in place of ids."""
+    last = "ids_crc32 long" if crc_only else "ids binary"
     kind = shards.schema["doc_ids"].dataType.elementType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 shard = Shard(batch.column(3)[i].as_py())
-                ids = shard.ids(0, int(shard.starts[-1]))
+                ids = shard.all_ids()
                 n = len(shard.counts)
+                each = [ids[a:b].tobytes() for a, b in pairwise(shard.starts.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([batch.column(0)[i].as_py()] * n, pa.int32()),
                      pa.array([batch.column(1)[i].as_py()] * n, pa.int32()),
                      batch.column(2)[i].values, pa.array(shard.starts[:-1]), pa.array(shard.counts),
-                     pa.array([ids[a:b].tobytes() for a, b in pairwise(shard.starts.tolist())], pa.binary())],
-                    names=["part", "nth", "doc_id", "at", "n_tokens", "ids"])
+                     pa.array([zlib.crc32(x) for x in each], pa.int64()) if crc_only else pa.array(each, pa.binary())],
+                    names=["part", "nth", "doc_id", "at", "n_tokens", last.split()[0]])
 
-    docs = shards.select("part", "nth", "doc_ids", "shard").mapInArrow(
-        read, f"part int, nth int, doc_id {kind}, at long, n_tokens long, ids binary")
-    return docs
+    return shards.select("part", "nth", "doc_ids", "shard").mapInArrow(
+        read, f"part int, nth int, doc_id {kind}, at long, n_tokens long, {last}")
 
 
 def with_starts(docs: DataFrame, shards: DataFrame) -> DataFrame:
@@ -264,19 +289,10 @@ def with_starts(docs: DataFrame, shards: DataFrame) -> DataFrame:
     return docs.join(first, ["part", "nth"]).withColumn("start", F.col("first") + F.col("at"))
 
 
-def _crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        crc = pa.array([zlib.crc32(x) for x in batch.column(batch.num_columns - 1).to_pylist()], pa.int64())
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], crc], names=[*batch.schema.names[:-1], "ids_crc32"])
-
-
 def digest(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Writes the documents' ids, reads the file back: doc_id, start, n_tokens, ids_crc32."""
     shards = staged(token_shards(docs, tokenizer), "tokens")
-    read = read_documents(shards)
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in read.schema[:-1])
-    rows = read.mapInArrow(_crc, f"{kinds}, ids_crc32 long")
-    return with_starts(rows, shards).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return with_starts(read_documents(shards, crc_only=True), shards).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op5_token_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
