@@ -57,7 +57,7 @@ class WordIds(dict):
     and go to the library's model at once. Emptied at ``most`` words to bound memory.
     """
 
-    def __init__(self, tokenizer, most: int = 500_000):
+    def __init__(self, tokenizer, most: int = 1_200_000):
         super().__init__()
         self.tokenizer, self.model, self.most = tokenizer, tokenizer.model, most
         self.letters = _byte_letters()
