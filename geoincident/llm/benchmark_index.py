@@ -109,7 +109,7 @@ def _block(rows: DataFrame, items: DataFrame, window: int, anchors: int, slack:
     near = near.join(items.select("unit", "item"), "unit").groupBy("row").agg(F.collect_set("item").alias("near"))
     places = exact.join(items.select("unit", "item", "words"), "unit").groupBy("row").agg(
         F.collect_list(F.struct("item", "place", F.col("words").alias("own"))).alias("places"))
-    texts = rows.join(places, "row").dropDuplicates(["row"]).select("row", "places", words_of(F.col("text")).alias("words"))
+    texts = rows.join(places.hint("merge"), "row").dropDuplicates(["row"]).select("row", "places", words_of(F.col("text")).alias("words"))
 
     def starts(p: Column) -> Column:
         k = F.least(F.lit(window), F.size(p["own"]))

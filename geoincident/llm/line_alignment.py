@@ -133,7 +133,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     gone = staged(both.mapInArrow(align, "row long, gone array<int>").groupBy("row").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone")), "gone")
-    out = rows.join(gone, "row", "left")
+    out = rows.join(gone.hint("merge"), "row", "left")  # the same plan at every size
     lines = F.split("text", "\n")
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("gone", i)), "\n")
     return out.select(

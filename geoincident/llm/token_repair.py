@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from geoincident.llm.common import prepare, shuffle_width, staged
+from geoincident.llm.words import blocks, hash_spans, word_spans
 
 _MAGIC = b"RPTK"
 _SLOT_BITS = 18
@@ -37,8 +38,23 @@ _SLOTS = 1 << _SLOT_BITS
 #: letters that the tokenizer's normaliser maps one to one and its pattern keeps in one piece
 _LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 
-#: one full stop or comma between a letter and white space is a piece of its own
-_STOP = re.compile(rb"(?<=[a-z])[.,](?=\s|\Z)")
+
+def _split_stops(low: bytes, begin: np.ndarray, end: np.ndarray, first: np.ndarray
+                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans with one full stop or comma at the end of a word, after a letter a-z, as a span of its own.
+
+    That is a piece of its own to the tokenizer's pattern too.
+    """
+    raw = np.frombuffer(low, dtype=np.uint8)
+    last, before = raw[end - 1], raw[end - 2]
+    stop = ((last == 0x2E) | (last == 0x2C)) & (end - begin > 1) & (before >= 0x61) & (before <= 0x7A)
+    size = 1 + stop
+    at = np.cumsum(size) - size
+    begin, end = np.repeat(begin, size), np.repeat(end, size)
+    two = at[stop]
+    end[two] -= 1
+    begin[two + 1] = end[two + 1] - 1
+    return begin, end, np.concatenate([at, [len(begin)]])[first]
 
 
 def _byte_letters() -> dict[int, str]:
@@ -57,7 +73,7 @@ class WordIds(dict):
     and go to the library's model at once. Emptied at ``most`` words to bound memory.
     """
 
-    def __init__(self, tokenizer, most: int = 1_200_000):
+    def __init__(self, tokenizer, most: int = 1_000_000):
         super().__init__()
         self.tokenizer, self.model, self.most = tokenizer, tokenizer.model, most
         self.letters = _byte_letters()
@@ -77,12 +93,24 @@ class WordIds(dict):
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def text(self, text: bytes | None) -> bytes:
-        if not text:
-            return b""
-        if b"<|" in text:  # may hold the name of a special token, which the tokenizer finds in raw text
-            return self._whole(text.decode())
-        return b"".join(map(self.__getitem__, _STOP.sub(rb" \g<0>", text.lower()).split()))
+    def encode(self, texts: list[bytes | None]) -> Iterator[np.ndarray]:
+        """Ids of every text. In a block of texts each different word (by 64-bit hash) is looked up once."""
+        for lo, hi in blocks(texts):
+            # a text that may hold the name of a special token, which the tokenizer finds in raw text, goes whole
+            odd = {i: self._whole(t.decode()) for i, t in enumerate(texts[lo:hi]) if t and b"<|" in t}
+            low, begin, end, first = word_spans([b"" if i in odd else t for i, t in enumerate(texts[lo:hi])])
+            begin, end, first = _split_stops(low, begin, end, first)
+            _, at, which = np.unique(hash_spans(low, begin, end), return_index=True, return_inverse=True)
+            known = [self[low[a:b]] for a, b in zip(begin[at].tolist(), end[at].tolist(), strict=True)]
+            flat = np.frombuffer(b"".join(known), dtype="<u4")
+            size = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+            start = (np.cumsum(size) - size)[which]
+            size = size[which]
+            stop = np.concatenate([[0], np.cumsum(size)])
+            ids = flat[np.arange(stop[-1]) + np.repeat(start - stop[:-1], size)]
+            cut = stop[first].tolist()
+            for i, (a, b) in enumerate(pairwise(cut)):
+                yield np.frombuffer(odd[i], dtype="<u4") if i in odd else ids[a:b]
 
 
 _WORD_IDS: dict[str, WordIds] = {}
@@ -226,25 +254,24 @@ def token_shards(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_ids(tokenizer)
-        end = array("I", [end_id]).tobytes()
+        end = np.array([end_id], dtype="<u4")
         part, nth = TaskContext.get().partitionId(), 0
         names, counts, held, size = [], [], [], 0
 
         def shard() -> pa.RecordBatch:
-            raw = write_shard(counts, np.frombuffer(b"".join(held), dtype="<u4"), rounds, least)
+            raw = write_shard(counts, np.concatenate(held), rounds, least)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([nth], pa.int32()), pa.array([names], pa.list_(arrow_ids)),
                  pa.array([size], pa.int64()), pa.array([raw], pa.binary())],
                 names=["part", "nth", "doc_ids", "n_ids", "shard"])
 
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
-            for i, name in enumerate(batch.column(0).to_pylist()):
-                ids = known.text(texts[i].as_py()) + end
+            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            for name, ids in zip(batch.column(0).to_pylist(), known.encode(texts), strict=True):
                 names.append(name)
-                counts.append(len(ids) // 4)
-                held.append(ids)
-                size += len(ids) // 4
+                counts.append(len(ids) + 1)
+                held += (ids, end)
+                size += len(ids) + 1
                 if size >= shard_ids:
                     yield shard()
                     names, counts, held, size, nth = [], [], [], 0, nth + 1

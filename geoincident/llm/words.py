@@ -44,12 +44,12 @@ def blocks(texts: list[bytes | None]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def hash_words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word in order, and the first word of each text (one more entry at the end)."""
+def word_spans(texts: list[bytes | None]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """All texts lower-cased in one piece of bytes, begin and end of every word in it, and the first
+    word of each text (one more entry at the end)."""
     blob = b"\n".join(t or b"" for t in texts) + b"\n" * 9
     low = blob.lower()
-    raw = np.frombuffer(low, dtype=np.uint8)
-    blank = _BLANK[raw]
+    blank = _BLANK[np.frombuffer(low, dtype=np.uint8)]
     edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
     if not blank[0]:
         edges = np.concatenate([[0], edges])
@@ -58,8 +58,19 @@ def hash_words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     offsets = np.concatenate([[0], np.cumsum(lengths)])
     first = np.searchsorted(begin, offsets)
     first[-1] = len(begin)
+    return low, begin, end, first
+
+
+def hash_words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word in order, and the first word of each text (one more entry at the end)."""
+    low, begin, end, first = word_spans(texts)
+    return hash_spans(low, begin, end), first
+
+
+def hash_spans(low: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of every span."""
     size = end - begin
-    eight = np.ndarray((len(raw) - 7,), dtype="<u8", buffer=low, strides=(1,))
+    eight = np.ndarray((len(low) - 7,), dtype="<u8", buffer=low, strides=(1,))
     h = size.astype(U64) * _M1
     h = mix(h ^ (eight[begin] & _KEEP[np.minimum(size, 8)]))
     active, k = np.flatnonzero(size > 8), 8
@@ -72,7 +83,7 @@ def hash_words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         h[active] = mix((h[active] + _M1) ^ part)
         k += 8
         active = active[size[active] > k]
-    return h, first
+    return h
 
 
 def shingle_arrays(texts: list[bytes | None], n: int) -> Iterator[np.ndarray]:
