@@ -169,18 +169,21 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", sampl
     return build_model(counts.toPandas(), order)
 
 
-def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
-    """``keep`` columns, lang_pred, score and bits_per_byte of every row.
+def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text",
+             names: tuple[str, str, str] = ("lang_pred", "score", "bits_per_byte")) -> DataFrame:
+    """``keep`` columns, lang_pred, score and bits_per_byte (under ``names``) of every row.
 
     score is the share of the best language if all are equally likely before
     the text is seen. Null texts and texts without a letter: ``und``, 0, null.
     Ties go to the first language by name; without any learned language all
-    rows are ``und``. ``keep`` must not name the columns added.
+    rows are ``und``. ``keep`` must not hold any of ``names``.
     """
     spark = docs.sparkSession
     prepare(spark)
     shared = spark.sparkContext.broadcast(model)
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema]
+    columns = [*keep] if text_col in keep else [*keep, text_col]
+    at = columns.index(text_col)
 
     def letters(t: bytes | None) -> bool:
         return bool(t) and (bool(t.translate(None, delete=_NO_LETTER)) and
@@ -190,8 +193,8 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "te
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            texts = batch.column(len(keep)).cast(pa.binary()).to_pylist()
-            names, scores, rates = [], [], []
+            texts = batch.column(at).cast(pa.binary()).to_pylist()
+            best_names, scores, rates = [], [], []
             if m.languages:
                 lengths = code_lengths(m, texts)
                 best = lengths.argmin(axis=1)
@@ -199,15 +202,15 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "te
                 share = 1 / np.exp2(np.minimum(low[:, None] - lengths, 0)).sum(axis=1)
             for i, t in enumerate(texts):
                 ok = bool(m.languages) and letters(t)
-                names.append(m.languages[best[i]] if ok else "und")
+                best_names.append(m.languages[best[i]] if ok else "und")
                 scores.append(float(share[i]) if ok else 0.0)
                 rates.append(float(low[i] / len(t)) if ok else None)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(keep)], pa.array(names, pa.string()), pa.array(scores, pa.float64()),
-                 pa.array(rates, pa.float64())], names=[*keep, "lang_pred", "score", "bits_per_byte"])
+                [*batch.columns[:len(keep)], pa.array(best_names, pa.string()), pa.array(scores, pa.float64()),
+                 pa.array(rates, pa.float64())], names=[*keep, *names])
 
-    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(
-        predict, ", ".join([*kinds, "lang_pred string", "score double", "bits_per_byte double"]))
+    added = [f"`{n}` {k}" for n, k in zip(names, ("string", "double", "double"), strict=True)]
+    return docs.select(*columns).mapInArrow(predict, ", ".join([*kinds, *added]))
 
 
 #: bytes that are no part of any letter
