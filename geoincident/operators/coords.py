@@ -11,11 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoincident.functions.geo import (COORDINATE_TEXT_PATTERN, PART_NAMES, REJECT_UNPARSEABLE,
-                                        altitude_mismatch, coordinate_from_parts,
-                                        coordinate_reject_reason, coordinate_text_groups,
-                                        coordinate_text_parts, normalize_coordinate_text,
-                                        wrap_longitude)
+from geoincident.functions.coordtext import parsed_point
+from geoincident.functions.geo import (REJECT_UNPARSEABLE, altitude_mismatch,
+                                        coordinate_reject_reason, wrap_longitude)
+from geoincident.session import ship_package
 
 REASON_COL = "reject_reason"
 
@@ -52,20 +51,15 @@ def tag_parsed_coordinates(df: DataFrame, text: str, lat: str = "lat", lon: str
     lat, lon, alt_km and tag it as :func:`tag_coordinates` does; text that
     does not fit the grammar is tagged ``unparseable``.
 
-    Staged projections: per row the pattern runs twice (a match test and one
-    rewrite that yields all groups); later expressions read the part columns."""
-    staged = df.withColumn("__t", normalize_coordinate_text(text))
-    matched = F.coalesce(F.col("__t").rlike(COORDINATE_TEXT_PATTERN), F.lit(False))
-    staged = staged.select("*", matched.alias("__matched")).withColumn(
-        "__g", F.when(F.col("__matched"), coordinate_text_groups("__t")))
-    staged = staged.select("*", *coordinate_text_parts("__g"))
-    parsed = coordinate_from_parts("__matched")
-    out = (staged.withColumn(lat, parsed["lat"]).withColumn(lon, parsed["lon"])
-           .withColumn(alt, parsed["alt_km"])
-           .drop("__t", "__g", *["__p_" + n for n in PART_NAMES]))
+    The texts go through one Arrow-batched scan (linear in their length)."""
+    ship_package(df.sparkSession)
+    out = df.withColumn("__point", parsed_point(F.col(text)))
+    out = (out.withColumn(lat, F.col("__point.lat")).withColumn(lon, F.col("__point.lon"))
+           .withColumn(alt, F.col("__point.alt_km")))
     tagged = tag_coordinates(out, lat, lon, alt)
-    return tagged.withColumn(REASON_COL, F.when(~F.col("__matched"), F.lit(REJECT_UNPARSEABLE))
-                             .otherwise(F.col(REASON_COL))).drop("__matched")
+    tagged = tagged.withColumn(alt, F.when(F.col("__point.ok"), F.col(alt)))
+    return tagged.withColumn(REASON_COL, F.when(~F.col("__point.ok"), F.lit(REJECT_UNPARSEABLE))
+                             .otherwise(F.col(REASON_COL))).drop("__point")
 
 
 def parse_coordinates(df: DataFrame, text: str, lat: str = "lat", lon: str = "lon",

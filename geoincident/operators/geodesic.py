@@ -17,10 +17,11 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from geoincident.functions.units import length_factor
+from geoincident.session import ship_package
 
 # Named ellipsoids as (major axis km, minor axis km, flattening).
 ELLIPSOIDS = {
@@ -32,6 +33,7 @@ ELLIPSOIDS = {
     "GRS-67": (6378.1600, 6356.774719, 1 / 298.25),
 }
 
+# lanes that the plain iteration has not settled by then go to the azimuth search
 MAX_ROUNDS = 200
 TOLERANCE = 1e-12
 
@@ -58,7 +60,7 @@ def ratio_bound(f: float) -> float:
 
 def vincenty_km(lat1, lon1, lat2, lon2, a: float, f: float,
                 max_rounds: int = MAX_ROUNDS, tol: float = TOLERANCE) -> np.ndarray:
-    """Geodesic length (km) for arrays of degrees; NaN where not converged."""
+    """Geodesic length (km) for arrays of degrees; NaN only for input that is not finite."""
     lat1 = np.asarray(lat1, dtype=float)
     lat2 = np.asarray(lat2, dtype=float)
     lon1 = np.asarray(lon1, dtype=float)
@@ -146,8 +148,12 @@ def _series_length(b: float, ep2: float, ca0sq, sig12, cos2sm):
 
 
 def _azimuth_search_km(lat1, lon1, lat2, lon2, a: float, f: float,
-                       rounds: int = 200, tol: float = 1e-12) -> np.ndarray:
-    """Inverse problem by bisection on the start azimuth (fallback lanes)."""
+                       ) -> np.ndarray:
+    """Inverse problem by bisection on the start azimuth (fallback lanes).
+
+    Two points on the equator leave the start azimuth open; the first one is
+    moved south by 1e-12 degrees (a tenth of a micrometre) there.
+    """
     b = a * (1.0 - f)
     ep2 = (a * a - b * b) / (b * b)
     dlon = np.radians(lon2 - lon1)
@@ -158,6 +164,7 @@ def _azimuth_search_km(lat1, lon1, lat2, lon2, a: float, f: float,
     b1, b2 = np.where(swap, b2, b1), np.where(swap, b1, b2)
     flip = b1 > 0
     b1, b2 = np.where(flip, -b1, b1), np.where(flip, -b2, b2)
+    b1 = np.minimum(b1, -math.radians(1e-12))
     sb1, cb1, sb2, cb2 = np.sin(b1), np.cos(b1), np.sin(b2), np.cos(b2)
 
     def solve(alpha):
@@ -178,17 +185,14 @@ def _azimuth_search_km(lat1, lon1, lat2, lon2, a: float, f: float,
 
     lo = np.zeros_like(L)
     hi = np.full_like(L, np.pi)
-    for _ in range(rounds):
+    while np.any(hi - lo > 1e-15):  # halves each time
         mid = 0.5 * (lo + hi)
         lam, *_ = solve(mid)
         below = lam < L
         lo, hi = np.where(below, mid, lo), np.where(below, hi, mid)
-        if np.all(hi - lo < 1e-15):
-            break
     alpha = 0.5 * (lo + hi)
-    lam, ca0sq, sig12, c2sm = solve(alpha)
+    _, ca0sq, sig12, c2sm = solve(alpha)
     out = _series_length(b, ep2, ca0sq, sig12, c2sm)
-    out[~(np.abs(lam - L) < 1e-9)] = np.nan
     # longitude difference exactly pi: the geodesic is the meridian through
     # the nearer pole (start heading south after the normalisation)
     merid = L >= np.pi - 1e-15
@@ -203,6 +207,9 @@ def geodesic_udf(ellipsoid="WGS-84", unit: str = "km"):
     """A ``pandas_udf(double)`` (lat1, lon1, lat2, lon2) → length in ``unit``."""
     a, f = ellipsoid_params(ellipsoid)
     scale = length_factor("km", unit)
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        ship_package(session)  # the workers import this module
 
     @F.pandas_udf("double")
     def _geodesic(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Series) -> pd.Series:

@@ -5,12 +5,10 @@ from __future__ import annotations
 import contextlib
 import io
 import re
-from typing import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STRATEGIES = (None, "broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl")
+STRATEGIES = (None, "broadcast", "merge", "shuffle_hash")
 
 # Upper bounds for the size checks (rows). A broadcast side is counted first
 # and only broadcast below the bound; above it the planner's shuffle join
@@ -21,8 +19,6 @@ MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 # Conservative widths per column type (bytes); unknown / variable types 64.
 _TYPE_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4,
                "double": 8, "date": 4, "timestamp": 8, "timestamp_ntz": 8}
-# A shuffle-and-replicate nested loop compares every pair; refuse it beyond this.
-MAX_REPLICATED_PAIRS = 50_000_000
 
 _JOIN_NODES = ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin",
                "CartesianProduct", "BroadcastNestedLoopJoin")
@@ -49,28 +45,22 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
 def join_with_strategy(left: DataFrame, right: DataFrame, on, how: str = "inner",
                        strategy: str | None = None,
                        max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                       max_replicated_pairs: int = MAX_REPLICATED_PAIRS) -> DataFrame:
+                       strict: bool = False) -> DataFrame:
     """``left.join(right, on, how)`` with a strategy hint on the right side.
 
     * ``None``: planner's choice (with AQE this already broadcasts a side
       that turns out small at run time).
     * ``"broadcast"``: right side broadcast after a row-count check; above
-      ``max_broadcast_rows`` the planner's choice is kept.
+      ``max_broadcast_rows`` the planner's choice is kept, or with
+      ``strict`` an error says that the side is too large.
     * ``"merge"`` / ``"shuffle_hash"``: sort-merge / shuffled hash join.
-    * ``"shuffle_replicate_nl"``: cartesian product filtered by the
-      condition. Only allowed when |left| x |right| is proven small.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     if strategy == "broadcast":
-        right, _ = checked_broadcast(right, max_broadcast_rows)
-    elif strategy == "shuffle_replicate_nl":
-        pairs = left.count() * right.count()
-        if pairs > max_replicated_pairs:
-            raise ValueError(
-                f"shuffle_replicate_nl would compare {pairs} pairs (> {max_replicated_pairs}); "
-                "use a hash or merge strategy for tables of this size")
-        right = right.hint("shuffle_replicate_nl")
+        right, small = checked_broadcast(right, max_broadcast_rows)
+        if strict and not small:
+            raise ValueError("the right side is over the bound for a broadcast")
     elif strategy is not None:
         right = right.hint(strategy)
     return left.join(right, on=on, how=how)
@@ -88,12 +78,3 @@ def join_strategy_used(df: DataFrame) -> list[str]:
     """Physical join operators in the plan, in plan order."""
     text = plan_text(df)
     return re.findall("|".join(_JOIN_NODES), text)
-
-
-def equi(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Join condition ``left.a == right.b AND ...`` for differently named keys."""
-    cond = None
-    for a, b in pairs:
-        c = left[a] == right[b]
-        cond = c if cond is None else cond & c
-    return cond

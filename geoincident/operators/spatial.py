@@ -378,10 +378,15 @@ def nearest_facility(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str],
     else:
         dist = geodesic_km(inc_lat, inc_lon, fac_lat, fac_lon, ellipsoid)
     pairs = pairs.withColumn(distance_col, dist.cast(precision))
+    if keep_ties and checkpoint:
+        pairs = pairs.checkpoint()  # measured once for the minimum and for the ties
     ids = list(id_cols)
     best = pairs.groupBy(*ids).agg(F.min(distance_col).alias(distance_col))
     if not keep_ties:
         return best
-    best = best.withColumnRenamed(distance_col, "__best")
-    return (pairs.join(best, on=ids, how="inner")
-            .where(F.col(distance_col) == F.col("__best")).drop("__best"))
+    best = best.select(*(F.col(c).alias(f"__id{i}") for i, c in enumerate(ids)), F.col(distance_col).alias("__best"))
+    same = F.lit(True)  # a null id is a group like any other
+    for i, c in enumerate(ids):
+        same = same & F.col(c).eqNullSafe(F.col(f"__id{i}"))
+    return (pairs.join(best, same, "inner").where(F.col(distance_col) == F.col("__best"))
+            .drop("__best", *(f"__id{i}" for i in range(len(ids)))))

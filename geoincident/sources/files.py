@@ -71,19 +71,35 @@ GEOCODE_SCHEMA = T.StructType([
 ])
 
 
-def _csv(spark: SparkSession, schema: T.StructType, paths) -> DataFrame:
-    return (spark.read.schema(schema).option("header", True)
-            .option("mode", "PERMISSIVE").option("multiLine", False).csv(paths))
+def _csv(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+    """One CSV source under ``schema``, its columns found by the header.
+
+    Names are compared without case and blanks at their ends. A header with
+    all names in another order is followed. A name that the schema does not
+    know stands for the column at its place; a known name at another column's
+    place or another number of columns is then an error. Only the first line
+    is read for this."""
+    plain = lambda name: name.strip("\ufeff ").lower()
+    header = [plain(c) for c in spark.read.option("header", True).csv(path).columns]
+    fields = {plain(f.name): f for f in schema}
+    if sorted(header) != sorted(fields):
+        own = list(fields)
+        if len(header) != len(own) or any(h in fields and h != o for h, o in zip(header, own)):
+            raise ValueError(f"{path}: the header names {header}, expected {own}")
+        header = own
+    found = T.StructType([fields[name] for name in header])
+    return (spark.read.schema(found).option("header", True).option("mode", "PERMISSIVE")
+            .option("multiLine", False).csv(path).select([F.col(f"`{f.name}`") for f in schema]))
 
 
 def read_incidents(spark: SparkSession, paths: Iterable[str] | str,
                    schema: T.StructType = INCIDENT_SCHEMA) -> DataFrame:
     """All incident files under one schema, dates parsed to DateType.
 
-    Several paths are read by one scan (a UNION ALL by position, since the
-    schema is positional); unparseable dates become null."""
+    Every path's columns are found by its own header; unparseable dates become
+    null."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = _csv(spark, schema, paths)
+    df = reduce(DataFrame.unionByName, [_csv(spark, schema, p) for p in paths])
     for name in INCIDENT_DATE_COLUMNS:
         if name in df.columns:
             df = df.withColumn(name, text_to_date(name))
@@ -112,23 +128,26 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def union_aligned(dfs: Iterable[DataFrame]) -> DataFrame:
-    """UNION ALL by position; names and types come from the first input.
+    """UNION ALL by position; the names come from the first input.
 
-    Each later input is cast column by column to the first one's types with
-    ``try_cast`` (a value that does not fit becomes null instead of failing
-    the job), so ANSI coercion cannot widen a string column into a number."""
+    Numbers widen as in Spark's own union. A column that is text in the first
+    input is text in the result; any other mismatch is cast to the first
+    input's type with ``try_cast`` (a value that does not fit becomes null), so
+    ANSI coercion cannot turn a text column into a number."""
     dfs = list(dfs)
     if not dfs:
         raise ValueError("union_aligned needs at least one DataFrame")
-    first = dfs[0]
-    fields = first.schema.fields
-    out = first
+    out = dfs[0]
     for other in dfs[1:]:
+        fields = out.schema.fields
         if len(other.columns) != len(fields):
             raise ValueError(f"column count {len(other.columns)} != {len(fields)}")
-        aligned = other.select([F.col(f"`{c}`").try_cast(f.dataType).alias(f.name)
-                                for c, f in zip(other.columns, fields)])
-        out = out.union(aligned)
+        aligned = []
+        for theirs, ours in zip(other.schema.fields, fields):
+            col = F.col(f"`{theirs.name}`")
+            widens = isinstance(theirs.dataType, T.NumericType) and isinstance(ours.dataType, T.NumericType)
+            aligned.append((col if widens else col.try_cast(ours.dataType)).alias(ours.name))
+        out = out.union(other.select(aligned))
     return out
 
 

@@ -76,33 +76,17 @@ def test_union_aligned_names_and_types_from_first(spark):
         union_aligned([a, a.select("k")])
 
 
-def test_parse_coordinate_text_examples(spark):
-    texts = {
-        1: "41.5,-81.0", 2: "41.5;-81.0", 3: "41.5 N -81.0 W", 4: "-41.5 S;81.0 E",
-        5: "23 26m 22s N 23 27m 30s E 21.0mi", 6: "3 26' 22\" N 23 27' 30\" E",
-        7: "UT: N 39°20' 0'' / W 74°35' 0''", 8: "garbage", 9: "91.0, 10.0", 10: "10.0, 540.0",
-        11: "-0 30m 0s N, 10 E", 12: "41.5, -81.0, 712m", 13: None, 14: "41.5 -81.0 712m",
-    }
+def test_tagged_texts(spark):
+    texts = {1: "12.25/ -7.5", 2: "somewhere", 3: None, 4: "93.5, 1.0", 5: "5.0, 545.0", 6: "7.5, -7.5, 90ft"}
     df = spark.createDataFrame(list(texts.items()), "id int, t string")
-    out = {r.id: r for r in tag_parsed_coordinates(df, "t").collect()}
-    close = lambda r, lat, lon, alt=0.0: (r.reject_reason is None and math.isclose(r.lat, lat, abs_tol=1e-12)
-                                           and math.isclose(r.lon, lon, abs_tol=1e-12)
-                                           and math.isclose(r.alt_km, alt, abs_tol=1e-12))
-    assert close(out[1], 41.5, -81.0) and close(out[2], 41.5, -81.0)
-    assert close(out[3], 41.5, 81.0)             # W negates the signed number: -81 W -> +81
-    assert close(out[4], 41.5, 81.0)             # S negates -41.5 -> +41.5
-    assert close(out[5], 23 + 26 / 60 + 22 / 3600, 23 + 27 / 60 + 30 / 3600, 21.0 * 1.609344)
-    assert close(out[6], 3 + 26 / 60 + 22 / 3600, 23 + 27 / 60 + 30 / 3600)
-    assert close(out[7], 39 + 20 / 60, -(74 + 35 / 60))
-    assert out[8].reject_reason == "unparseable" and out[13].reject_reason == "unparseable"
-    assert out[9].reject_reason == "latitude_out_of_range"
-    assert close(out[10], 10.0, -180.0)
-    assert close(out[11], 0.5, 10.0)             # the sign of -0 is lost, as in the original grammar
-    assert close(out[12], 41.5, -81.0, 0.712)
-    # after a blank, "712m" reads as 712 arcminutes of the longitude (same grammar trap)
-    assert close(out[14], 41.5, -(81.0 + 712 / 60))
+    out = {r.id: (r.lat, r.lon, r.alt_km, r.reject_reason) for r in tag_parsed_coordinates(df, "t").collect()}
+    assert out[1] == (12.25, -7.5, 0.0, None)
+    assert out[2] == out[3] == (None, None, None, "unparseable")
+    assert out[4][3] == "latitude_out_of_range"
+    assert out[5] == (5.0, -175.0, 0.0, None)
+    assert math.isclose(out[6][2], 0.027432)
     valid, rejects = parse_coordinates(df, "t")
-    assert valid.count() + rejects.count() == len(texts)
+    assert valid.count() == 3 and rejects.count() == 3
 
 
 def test_clean_coordinates_rules(spark):

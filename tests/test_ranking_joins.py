@@ -58,8 +58,7 @@ def _join_inputs(spark):
 
 
 @pytest.mark.parametrize("strategy,node", [("broadcast", "BroadcastHashJoin"), ("merge", "SortMergeJoin"),
-                                           ("shuffle_hash", "ShuffledHashJoin"),
-                                           ("shuffle_replicate_nl", "CartesianProduct")])
+                                           ("shuffle_hash", "ShuffledHashJoin")])
 def test_join_strategies_same_rows_and_plan(spark, strategy, node):
     left, right = _join_inputs(spark)
     base = sorted(tuple(r) for r in join_with_strategy(left, right, left.k == right.k2).collect())
@@ -78,7 +77,6 @@ def test_join_size_guards(spark):
     assert sorted(tuple(r) for r in df.collect()) == sorted(
         tuple(r) for r in join_with_strategy(left, right, left.k == right.k2).collect())
     with pytest.raises(ValueError):
-        join_with_strategy(left, right, left.k == right.k2, strategy="shuffle_replicate_nl",
-                           max_replicated_pairs=10)
+        join_with_strategy(left, right, left.k == right.k2, strategy="broadcast", max_broadcast_rows=1, strict=True)
     with pytest.raises(ValueError):
         join_with_strategy(left, right, left.k == right.k2, strategy="nested")

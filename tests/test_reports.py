@@ -60,7 +60,7 @@ def test_descent_income_all_strategies_agree(spark):
     # 2015, descent not X/null; geocode duplicates multiply the K rows (2 rows x 2 geocodes)
     assert dict(base) == {"Korean": 4, "Hispanic/Latin/Mexican": 1, "White": 1, "Black": 1,
                           "Other Asian": 1, None: 1}
-    for strategy in ("broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl"):
+    for strategy in ("broadcast", "merge", "shuffle_hash"):
         df = descent_income_report(inc, geo, income, strategy=strategy)
         assert [tuple(r) for r in df.collect()] == base, strategy
 
