@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from geoincident.llm.common import prepare
+from geoincident.llm.common import lean, prepare
 from geoincident.llm.words import blocks
 
 _PIECE = 512
@@ -33,8 +33,8 @@ _PIECE = 512
 
 @dataclass
 class Model:
-    """languages; symbol of each byte (the last symbol stands for unseen bytes);
-    next state and bits per language for every state and symbol."""
+    """languages; symbol of each byte (unseen bytes share one, the last symbol ends a text and costs
+    nothing); next state and bits per language for every state and symbol."""
 
     order: int
     languages: list[str]
@@ -70,8 +70,8 @@ def _context_counts(texts: list[str], order: int, least: int) -> pd.DataFrame:
 def build_model(counts: pd.DataFrame, order: int) -> Model:
     """The automaton over the context trees of all languages; counts: lang, k, context, byte, n."""
     languages = sorted(counts["lang"].unique())
-    symbol = np.full(256, 0, dtype=np.int64)
-    used = np.sort(counts["byte"].unique()) if len(counts) else np.zeros(0, dtype=np.int64)
+    symbol = np.zeros(256, dtype=np.uint16)
+    used = np.union1d(counts["byte"].to_numpy(dtype=np.int64), [10])  # a text is preceded by line ends
     symbol[:] = len(used)
     symbol[used] = np.arange(len(used))
     width = len(used) + 1
@@ -79,8 +79,8 @@ def build_model(counts: pd.DataFrame, order: int) -> Model:
     ids = {(0, 0): 0}
     for k, c in zip(nodes["k"], nodes["context"], strict=True):
         ids.setdefault((k, c), len(ids))
-    bits = np.zeros((len(ids), width, len(languages)), dtype=np.float32)
-    step = np.zeros((len(ids), width), dtype=np.int32)
+    bits = np.zeros((len(ids), width + 1, len(languages)), dtype=np.float32)
+    step = np.zeros((len(ids), width + 1), dtype=np.int32)
     counts = counts.assign(
         node=[ids[x] for x in zip(counts["k"], counts["context"], strict=True)],
         sym=symbol[counts["byte"].to_numpy()], li=np.searchsorted(languages, counts["lang"].to_numpy()))
@@ -112,16 +112,14 @@ def build_model(counts: pd.DataFrame, order: int) -> Model:
         step[i] = 0 if i == 0 else step[shorter[i]]
         for s, to in grown.get(i, ()):
             step[i, s] = to
+    bits[:, width], step[:, width] = 0, 0
     return Model(order, list(languages), symbol, step, bits)
 
 
 def code_lengths(model: Model, texts: list[bytes | None]) -> np.ndarray:
     """Bits of every whole text in every language."""
     k, width = model.order, model.step.shape[1]
-    # one more symbol ends a text: it costs nothing
-    step = np.concatenate([model.step, np.zeros((len(model.step), 1), np.int32)], axis=1).ravel()
-    bits = np.concatenate([model.bits, np.zeros((len(model.bits), 1, len(model.languages)), np.float32)],
-                          axis=1).reshape(-1, len(model.languages))
+    step, bits = model.step.ravel(), model.bits.reshape(-1, len(model.languages))
     out = np.zeros((len(texts), len(model.languages)))
     for lo, hi in blocks(texts):
         raw = [(t or b"").lower() for t in texts[lo:hi]]
@@ -139,8 +137,8 @@ def code_lengths(model: Model, texts: list[bytes | None]) -> np.ndarray:
             cost = np.zeros((len(s), len(model.languages)))
             for j in range(k + min(_PIECE, int((e - s).max()) - k)):
                 at = s + j
-                sym = np.where(at < e, syms[np.minimum(at, len(syms) - 1)], width)
-                cell = state * (width + 1) + sym
+                sym = np.where(at < e, syms[np.minimum(at, len(syms) - 1)], width - 1)
+                cell = state * width + sym
                 if j >= k:
                     cost += bits[cell]
                 state = step[cell]
@@ -149,7 +147,7 @@ def code_lengths(model: Model, texts: list[bytes | None]) -> np.ndarray:
 
 
 def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", sample_rows: int = 300,
-          order: int = 4, least: int = 4) -> Model:
+          order: int = 4, least: int = 8) -> Model:
     """Model from at most ``sample_rows`` rows per language, those with the smallest hash of the text.
 
     Rows with null language or text are left out. ``least``: times a context of
@@ -210,7 +208,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "te
                  pa.array(rates, pa.float64())], names=[*keep, *names])
 
     added = [f"`{n}` {k}" for n, k in zip(names, ("string", "double", "double"), strict=True)]
-    return docs.select(*columns).mapInArrow(predict, ", ".join([*kinds, *added]))
+    return docs.select(*columns).mapInArrow(lean(predict), ", ".join([*kinds, *added]))
 
 
 #: bytes that are no part of any letter

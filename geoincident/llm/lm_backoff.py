@@ -133,7 +133,7 @@ def _counts(train: DataFrame, share: float) -> tuple[DataFrame, DataFrame]:
             value, n = np.unique(tokens, return_counts=True)
             zero = np.zeros(len(value), dtype=U64)
             yield _rows(1, value, n, zero, zero)
-            least = max(2, share * len(tokens))
+            least = share * len(tokens)
             for order, gram, shorter in ((2, pairs, tokens), (3, triples, pairs)):
                 value, at, n = np.unique(gram, return_index=True, return_counts=True)
                 ok = (n >= least) & (value != 0)

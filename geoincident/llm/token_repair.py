@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from geoincident.llm.common import prepare, shuffle_width, staged
+from geoincident.llm.common import lean, prepare, shuffle_width, staged
 from geoincident.llm.words import blocks, hash_spans, word_spans
 
 _MAGIC = b"RPTK"
@@ -278,7 +278,7 @@ def token_shards(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
         if names:
             yield shard()
 
-    return rows.mapInArrow(write, f"part int, nth int, doc_ids array<{kind.simpleString()}>, n_ids long, shard binary")
+    return rows.mapInArrow(lean(write), f"part int, nth int, doc_ids array<{kind.simpleString()}>, n_ids long, shard binary")
 
 
 def read_documents(shards: DataFrame, crc_only: bool = False) -> DataFrame:
@@ -302,7 +302,7 @@ def read_documents(shards: DataFrame, crc_only: bool = False) -> DataFrame:
                     names=["part", "nth", "doc_id", "at", "n_tokens", last.split()[0]])
 
     return shards.select("part", "nth", "doc_ids", "shard").mapInArrow(
-        read, f"part int, nth int, doc_id {kind}, at long, n_tokens long, {last}")
+        lean(read), f"part int, nth int, doc_id {kind}, at long, n_tokens long, {last}")
 
 
 def with_starts(docs: DataFrame, shards: DataFrame) -> DataFrame:
