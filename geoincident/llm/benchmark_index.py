@@ -24,7 +24,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from geoincident.llm.common import prepare, staged
+from geoincident.llm.common import prepare, scratch, staged
 
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: no word: stands past the last word of a text
@@ -53,9 +53,15 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     prepare(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("row", F.xxhash64("id", "text"))
-    items = staged(items.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
-                                words_of(F.col(item_text)).alias("words"))
-                   .where(F.size("words") > 0).withColumn("n", F.size("words"))
+    items = items.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
+                         words_of(F.col(item_text)).alias("words"))
+    with scratch(spark) as keep:
+        found = _search(rows, items, window, anchors, slack, block_words)
+        return keep(found.withColumnRenamed("id", id_col), "found")
+
+
+def _search(rows: DataFrame, items: DataFrame, window: int, anchors: int, slack: int, block_words: int) -> DataFrame:
+    items = staged(items.where(F.size("words") > 0).withColumn("n", F.size("words"))
                    .withColumn("unit", F.monotonically_increasing_id()), "items")
     blocks = max(1, -(-(items.agg(F.sum("n")).first()[0] or 0) // block_words))
     lengths, found = None, None
@@ -72,7 +78,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     none = F.array().cast("array<string>")
     hits = F.coalesce(F.size(F.array_distinct("hit")), F.lit(0)).cast("long")
     return out.select(
-        F.col("id").alias(id_col), "n_words", hits.alias("n_hit"),
+        "id", "n_words", hits.alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", none).alias("items"),
         F.coalesce(F.size("near"), F.lit(0)).cast("long").alias("n_near"), (hits > 0).alias("contaminated"),
         F.col("row").alias("row_key"))

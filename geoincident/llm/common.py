@@ -6,6 +6,7 @@ import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -22,12 +23,49 @@ def prepare(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
 
+#: staged folders of the scopes that are open, innermost last
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A scope whose staged tables are deleted when it ends, done or failed.
+
+    Gives a function that stages a result outside the scope, so it stays.
+    """
+    own: list[str] = []
+    _SCOPES.append(own)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        out, path = _write(df, name)
+        for outer in _SCOPES[-2:-1]:
+            outer.append(path)
+        return out
+
+    try:
+        yield keep
+    finally:
+        _SCOPES.remove(own)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in own:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getParent()
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs at most the running stage, and the
-    shuffle files behind the table are released when the write ends.
+    shuffle files behind the table are released when the write ends. The table
+    goes with the scope it was staged in.
     """
+    out, path = _write(df, name)
+    for scope in _SCOPES[-1:]:
+        scope.append(path)
+    return out
+
+
+def _write(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/staged-{uuid.uuid4().hex}/{name}"
     before = spark.conf.get(_CLEANUP, "false")
@@ -36,7 +74,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
@@ -107,6 +145,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     split by adaptive execution; nothing is collected. Returns node, root, with
     root the smallest node of the component.
     """
+    with scratch(edges.sparkSession) as keep:
+        return keep(_stars(edges), "components")
+
+
+def _stars(edges: DataFrame) -> DataFrame:
+    """node, root of the components."""
     current = staged(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .where("u <> v").distinct(), "edges")

@@ -22,6 +22,8 @@ from geoincident.llm.common import prepare, staged
 
 LEVELS = ("domain", "lang", "source")
 _BIG = "decimal(38,0)"
+#: leaves (of some 200 bytes each) that are sent to all executors at most
+BROADCAST_LEAVES = 200_000
 
 
 def _fill(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
@@ -124,6 +126,8 @@ def mix_sources(docs: DataFrame, domain: Column, weights: dict[tuple[str, ...],
     leaves = staged(leaves.select(*LEVELS, "epochs").join(cut, list(LEVELS), "left"), "cuts")
     leaves = leaves.select(*(F.col(c).alias(f"__{c}") for c in LEVELS), F.col("epochs").alias("__epochs"),
                            F.col("cut").alias("__cut"), F.col("cut_tokens").alias("__cut_tokens"))
+    if leaves.count() <= BROADCAST_LEAVES:  # else a join that shuffles the documents
+        leaves = F.broadcast(leaves)
     out = docs.join(leaves, [F.col(f"mix.{c}") == F.col(f"__{c}") for c in LEVELS], "left")
     key = _order(seed, F.col("__epochs"), F.col(id_col))
     n = F.col("mix.n_tokens")
