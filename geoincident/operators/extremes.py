@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoincident.operators.ranking import top_k_per_group
+from geoincident.session import ensure_checkpoint_dir
 
 
 def extreme_values(df: DataFrame, value_col: str, k: int = 3) -> DataFrame:
@@ -32,6 +33,24 @@ def filter_extreme_groups(df: DataFrame, value_col: str, k: int = 3) -> DataFram
 
     The value set is a sub-plan (no collect to the driver); it has at most 2k
     rows, so broadcasting it for the semi join is size-safe by construction.
+    ``df`` is evaluated twice; to count the kept rows, ``count_extreme_groups``
+    evaluates it once.
     """
     keep = F.broadcast(extreme_values(df, value_col, k))
     return df.join(keep, on=value_col, how="left_semi")
+
+
+def count_extreme_groups(df: DataFrame, value_col: str, group_col: str, k: int = 3,
+                         count_col: str = "n_rows") -> DataFrame:
+    """Rows per ``group_col`` among those that ``filter_extreme_groups`` keeps.
+
+    ``df`` (often a chain of joins) runs once: its rows are counted per value
+    and group with a map-side aggregate, that table is checkpointed, and both
+    the extreme values and the totals come from it. A null group stays a group.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    value, group = F.col(f"`{value_col}`"), F.col(f"`{group_col}`")
+    counts = (df.select(value.alias("__value"), group.alias("__group")).where(F.col("__value").isNotNull())
+              .groupBy("__value", "__group").agg(F.count(F.lit(1)).alias("__n")).checkpoint())
+    kept = filter_extreme_groups(counts, "__value", k)
+    return kept.groupBy(F.col("__group").alias(group_col)).agg(F.sum("__n").alias(count_col))

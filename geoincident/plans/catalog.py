@@ -9,14 +9,13 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoincident.functions.codes import DESCENT_CODES, decode
+from geoincident.functions.codes import decode
 from geoincident.functions.daypart import hhmm_of
-from geoincident.functions.geo import (COMPASS_POINTS, EARTH_RADIUS_KM, destination,
-                                        great_circle_km)
+from geoincident.functions.geo import EARTH_RADIUS_KM, destination, great_circle_km
 from geoincident.functions.money import parse_money
 from geoincident.functions.timeops import in_year, text_to_date
-from geoincident.functions.units import convert_length, length_factor
-from geoincident.operators.coords import REASON_COL, tag_coordinates, tag_parsed_coordinates
+from geoincident.functions.units import convert_angle, convert_length
+from geoincident.operators.coords import REASON_COL, altitude_conflicts, tag_coordinates, tag_parsed_coordinates
 from geoincident.operators.geodesic import vincenty_sql
 from geoincident.operators.path import path_length
 from geoincident.operators.spatial import within_distance_join
@@ -34,12 +33,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # ----------------------------------------------------------- SQL helpers
 
-def lat_sql(k: str) -> str:
-    return f"(CAST(33.7 AS DOUBLE) + CAST(({k} * 7919) % 6500 AS DOUBLE) / CAST(10000 AS DOUBLE))"
+def lat_sql(k: str, per_region: int | None = None) -> str:
+    row = f" + {k} // {per_region} // 400 % 75 * 7000" if per_region else ""
+    return f"(CAST(33.7 AS DOUBLE) + CAST(({k} * 7919) % 6500{row} AS DOUBLE) / CAST(10000 AS DOUBLE))"
 
 
-def lon_sql(k: str) -> str:
-    return f"(CAST(-118.7 AS DOUBLE) + CAST(({k} * 104729) % 6000 AS DOUBLE) / CAST(10000 AS DOUBLE))"
+def lon_sql(k: str, per_region: int | None = None) -> str:
+    column = f" + {k} // {per_region} % 400 * 7000" if per_region else ""
+    return f"(CAST(-118.7 AS DOUBLE) + CAST(({k} * 104729) % 6000{column} AS DOUBLE) / CAST(10000 AS DOUBLE))"
 
 
 def gc_sql(lat1: str, lon1: str, lat2: str, lon2: str, r: float = EARTH_RADIUS_KM) -> str:
@@ -51,11 +52,11 @@ def gc_sql(lat1: str, lon1: str, lat2: str, lon2: str, r: float = EARTH_RADIUS_K
 
 
 INC_CTE = (f"inc AS (SELECT c_custkey AS incident_id, c_nationkey AS area, c_mktsegment AS segment, "
-           f"{lat_sql('c_custkey')} AS lat, {lon_sql('c_custkey')} AS lon FROM customer)")
+           f"{lat_sql('c_custkey', 1500)} AS lat, {lon_sql('c_custkey', 1500)} AS lon FROM customer)")
 NATION_CTE = (f"nst AS (SELECT n_nationkey AS prec, n_name AS division, {lat_sql('n_nationkey')} AS st_lat, "
               f"{lon_sql('n_nationkey')} AS st_lon FROM nation)")
-SUPP_CTE = (f"sst AS (SELECT s_suppkey AS station_id, s_name AS division, {lat_sql('s_suppkey')} AS st_lat, "
-            f"{lon_sql('s_suppkey')} AS st_lon FROM supplier)")
+SUPP_CTE = (f"sst AS (SELECT s_suppkey AS station_id, s_name AS division, {lat_sql('s_suppkey', 100)} AS st_lat, "
+            f"{lon_sql('s_suppkey', 100)} AS st_lon FROM supplier)")
 
 
 def _r(col: str, digits: int = KM_DIGITS) -> F.Column:
@@ -159,16 +160,18 @@ def _descent_income(strategy):
 
 
 def _case_sql(col: str) -> str:
-    whens = " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in DESCENT_CODES.items())
-    return f"CASE {whens} END"
+    # fixed values: the descent codes among the letters that the driver tables hold (A F N O P R)
+    return (f"CASE {col} WHEN 'A' THEN 'Other Asian' WHEN 'F' THEN 'Filipino' WHEN 'O' THEN 'Other' "
+            f"WHEN 'P' THEN 'Pacific Islander' END")
 
 
 def _descent_income_sql() -> str:
     return f"""WITH inc AS (
-  SELECT o_orderstatus AS descent, {lat_sql('o_custkey')} AS lat, {lon_sql('o_custkey')} AS lon
+  SELECT o_orderstatus AS descent, {lat_sql('o_custkey', 1500)} AS lat, {lon_sql('o_custkey', 1500)} AS lon
   FROM orders WHERE year(o_orderdate) = 1996 AND o_orderstatus <> 'X' AND o_orderstatus IS NOT NULL),
 geo AS (
-  SELECT {lat_sql('c_custkey')} AS g_lat, {lon_sql('c_custkey')} AS g_lon, c_nationkey + 90000 AS zip FROM customer),
+  SELECT {lat_sql('c_custkey', 1500)} AS g_lat, {lon_sql('c_custkey', 1500)} AS g_lon,
+         c_nationkey + 90000 AS zip FROM customer),
 inc_geo AS (SELECT descent, zip FROM inc JOIN geo ON inc.lat = geo.g_lat AND inc.lon = geo.g_lon),
 income AS (
   SELECT n_nationkey + 90000 AS zip_code,
@@ -240,6 +243,25 @@ SELECT grp AS {by}, ROUND(AVG(geodesic_km), {KM_DIGITS}) AS average_distance, CO
 FROM {final} GROUP BY grp"""
 
 
+def q_weapon_area(spark, sf):
+    """Weapon codes 100 to 199 only; one segment is unknown, so the report has
+    a null group, whose count of non-null values is 0."""
+    inc = (S.customer_incidents(spark, sf).withColumn("weapon", F.col("area") * F.lit(10))
+           .withColumn("segment", F.nullif(F.col("segment"), F.lit("BUILDING"))))
+    inc = R.weapon_filter(inc, lat="lat", weapon_col="weapon")
+    out = R.distance_report(inc, S.nation_stations(spark, sf), "area", "prec", "segment", "lat", "lon",
+                            "st_lat", "st_lon", metric="great_circle")
+    return out.select("segment", _r("average_distance"), "n_incidents")
+
+
+SQL_WEAPON_AREA = f"""WITH {INC_CTE}, {NATION_CTE},
+j AS (SELECT CASE WHEN segment <> 'BUILDING' THEN segment END AS segment,
+             {gc_sql('lat', 'lon', 'st_lat', 'st_lon')} AS d
+      FROM inc JOIN nst ON inc.area = nst.prec WHERE inc.lat <> 0 AND area * 10 BETWEEN 100 AND 199)
+SELECT segment, ROUND(AVG(d), {KM_DIGITS}) AS average_distance, COUNT(segment) AS n_incidents
+FROM j GROUP BY segment"""
+
+
 # ----------------------------------------------------------- Q4-2 (nearest station)
 
 def _nearest(keep_ties: bool, metric="great_circle"):
@@ -388,7 +410,10 @@ def _bearing_sql() -> str:
     p1, p2 = "radians(st_lat)", "radians(lat)"
     dl = "(radians(lon) - radians(st_lon))"
     b = f"((degrees(atan2(sin({dl}) * cos({p2}), cos({p1}) * sin({p2}) - sin({p1}) * cos({p2}) * cos({dl}))) + 360.0) % 360.0)"
-    names = ", ".join(f"'{n}'" for n in COMPASS_POINTS)
+    # fixed values: the 32 compass points from north clockwise
+    names = ", ".join(f"'{n}'" for n in (
+        "N NbE NNE NEbN NE NEbE ENE EbN E EbS ESE SEbE SE SEbS SSE SbE "
+        "S SbW SSW SWbS SW SWbW WSW WbS W WbN WNW NWbW NW NWbN NNW NbW").split())
     return f"""WITH {INC_CTE}, {NATION_CTE},
 b AS (SELECT {b} AS bearing FROM inc JOIN nst ON inc.area = nst.prec)
 SELECT ([{names}])[CAST(round(bearing / 11.25) AS INTEGER) % 32 + 1] AS compass_point, COUNT(*) AS n_incidents
@@ -408,10 +433,43 @@ def q_convert_length(spark, sf):
 
 
 def _units_sql() -> str:
-    cols = ", ".join(f"ROUND(km * CAST({length_factor('km', u)!r} AS DOUBLE), {KM_DIGITS}) AS {u}" for u in ("mi", "ft", "nm"))
+    # fixed values: a statute mile is 1.609344 km of 5280 feet, a nautical mile 1.852 km
     return f"""WITH {INC_CTE}, {NATION_CTE},
-j AS (SELECT incident_id, {gc_sql('lat', 'lon', 'st_lat', 'st_lon')} AS km FROM inc JOIN nst ON inc.area = nst.prec)
-SELECT incident_id, ROUND(km, {KM_DIGITS}) AS km, {cols} FROM j"""
+j AS (SELECT incident_id, {gc_sql('lat', 'lon', 'st_lat', 'st_lon')} AS km FROM inc JOIN nst ON inc.area = nst.prec),
+u AS (SELECT CAST(1 AS DOUBLE) / CAST('1.609344' AS DOUBLE) AS mi,
+             CAST(1 AS DOUBLE) / (CAST('1.609344' AS DOUBLE) / CAST(5280 AS DOUBLE)) AS ft,
+             CAST(1 AS DOUBLE) / CAST('1.852' AS DOUBLE) AS nm)
+SELECT incident_id, ROUND(km, {KM_DIGITS}) AS km, ROUND(km * u.mi, {KM_DIGITS}) AS mi,
+       ROUND(km * u.ft, {KM_DIGITS}) AS ft, ROUND(km * u.nm, {KM_DIGITS}) AS nm FROM j CROSS JOIN u"""
+
+
+def q_convert_angle(spark, sf):
+    inc = S.customer_incidents(spark, sf)
+    return inc.select("incident_id", F.round(convert_angle("lat", "deg", "rad"), DEG_DIGITS).alias("lat_rad"),
+                      F.round(convert_angle("lat", "deg", "arcmin"), KM_DIGITS).alias("lat_arcmin"),
+                      F.round(convert_angle("lat", "deg", "arcsec"), KM_DIGITS).alias("lat_arcsec"))
+
+
+SQL_CONVERT_ANGLE = f"""WITH {INC_CTE}
+SELECT incident_id, ROUND(radians(lat), {DEG_DIGITS}) AS lat_rad,
+       ROUND(lat * CAST(60 AS DOUBLE), {KM_DIGITS}) AS lat_arcmin,
+       ROUND(lat * CAST(3600 AS DOUBLE), {KM_DIGITS}) AS lat_arcsec
+FROM inc"""
+
+
+# ----------------------------------------------------------- G10 altitudes
+
+def q_altitude_conflicts(spark, sf):
+    """Incidents per area whose altitude is not that of their station."""
+    inc = S.customer_incidents(spark, sf).withColumn("alt", (F.col("incident_id") % 3).cast("double") / 1000.0)
+    fac = S.nation_stations(spark, sf).withColumn("st_alt", (F.col("prec") % 2).cast("double") / 1000.0)
+    pairs = inc.join(fac, inc["area"] == fac["prec"])
+    return altitude_conflicts(pairs, "alt", "st_alt").groupBy("area").agg(F.count(F.lit(1)).alias("n_conflicts"))
+
+
+SQL_ALTITUDE_CONFLICTS = """SELECT c_nationkey AS area, COUNT(*) AS n_conflicts
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE c_custkey % 3 <> n_nationkey % 2 GROUP BY 1"""
 
 
 # ----------------------------------------------------------- G8 clean
@@ -548,6 +606,9 @@ def queries() -> dict[str, Query]:
         "destination": q_destination,
         "bearing_histogram": q_bearing_histogram,
         "convert_length": q_convert_length,
+        "convert_angle": q_convert_angle,
+        "altitude_conflicts": q_altitude_conflicts,
+        "weapon_area": q_weapon_area,
         "clean_coordinates": q_clean_coordinates,
         "parse_coordinates": q_parse_coordinates,
     }
@@ -591,6 +652,9 @@ def oracle_sql() -> dict[str, str]:
         "destination": _dest_sql(),
         "bearing_histogram": _bearing_sql(),
         "convert_length": _units_sql(),
+        "convert_angle": SQL_CONVERT_ANGLE,
+        "altitude_conflicts": SQL_ALTITUDE_CONFLICTS,
+        "weapon_area": SQL_WEAPON_AREA,
         "clean_coordinates": SQL_CLEAN_COORDINATES,
         "parse_coordinates": SQL_PARSE_COORDINATES,
     }

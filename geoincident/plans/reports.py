@@ -16,7 +16,7 @@ from geoincident.functions.daypart import part_of_day
 from geoincident.functions.geo import EARTH_RADIUS_KM, compass_point, great_circle_km, initial_bearing
 from geoincident.functions.money import parse_money
 from geoincident.functions.timeops import in_year, to_date_any
-from geoincident.operators.extremes import filter_extreme_groups
+from geoincident.operators.extremes import count_extreme_groups
 from geoincident.operators.geodesic import geodesic_km
 from geoincident.operators.joins import join_with_strategy
 from geoincident.operators.ranking import top_k_per_group
@@ -110,11 +110,11 @@ def part_of_day_counts_rdd(df: DataFrame, time_col: str = "TIME OCC",
 def extreme_group_counts(df: DataFrame, value_col: str, group_col: str, k: int = 3,
                          out_group: str | None = None, count_col: str = "n_incidents") -> DataFrame:
     """Count rows per group, only among rows whose value is one of the k
-    highest or k lowest distinct values (A6). A null group stays a group."""
-    kept = filter_extreme_groups(df, value_col, k)
+    highest or k lowest distinct values (A6). A null group stays a group.
+    ``df`` runs once, when the report is built."""
     g = out_group or group_col
-    return (kept.groupBy(F.col(f"`{group_col}`").alias(g)).agg(F.count(F.lit(1)).alias(count_col))
-            .orderBy(F.col(count_col).desc(), F.col(f"`{g}`").asc_nulls_last()))
+    totals = count_extreme_groups(df, value_col, group_col, k, count_col).withColumnRenamed(group_col, g)
+    return totals.orderBy(F.col(count_col).desc(), F.col(f"`{g}`").asc_nulls_last())
 
 
 def descent_income_report(incidents: DataFrame, geocodes: DataFrame, income: DataFrame,

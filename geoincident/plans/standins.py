@@ -16,12 +16,29 @@ from geoincident.functions.timeops import INCIDENT_DATETIME_PATTERN
 from geoincident.sources.files import read_table
 
 
-def lat_of(k: Column) -> Column:
-    return F.lit(33.7) + ((k * F.lit(7919)) % F.lit(6500)).cast("double") / F.lit(10000.0)
+#: keys that share one region of 0.65 x 0.6 degrees; tables of more keys fill more
+#: regions, so that the number of points near a point does not grow with the tables
+CUSTOMERS_PER_REGION = 1500
+SUPPLIERS_PER_REGION = 100
 
 
-def lon_of(k: Column) -> Column:
-    return F.lit(-118.7) + ((k * F.lit(104729)) % F.lit(6000)).cast("double") / F.lit(10000.0)
+def _region(k: Column, per_region: int | None) -> Column:
+    return F.lit(0).cast("long") if per_region is None else F.floor(k / F.lit(per_region))
+
+
+def lat_of(k: Column, per_region: int | None = None) -> Column:
+    """Latitude of a key; one region for all keys if ``per_region`` is None.
+
+    Regions lie in rows of 400 from west to east, 75 rows from south to north;
+    beyond these 30,000 regions places repeat.
+    """
+    row = F.floor(_region(k, per_region) / F.lit(400)) % F.lit(75)
+    return F.lit(33.7) + ((k * F.lit(7919)) % F.lit(6500) + row * F.lit(7000)).cast("double") / F.lit(10000.0)
+
+
+def lon_of(k: Column, per_region: int | None = None) -> Column:
+    column = _region(k, per_region) % F.lit(400)
+    return F.lit(-118.7) + ((k * F.lit(104729)) % F.lit(6000) + column * F.lit(7000)).cast("double") / F.lit(10000.0)
 
 
 def customer_incidents(spark: SparkSession, sf: str) -> DataFrame:
@@ -30,7 +47,7 @@ def customer_incidents(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("c_custkey")
     return c.select(k.alias("incident_id"), F.col("c_nationkey").alias("area"),
                     F.col("c_mktsegment").alias("segment"),
-                    lat_of(k).alias("lat"), lon_of(k).alias("lon"))
+                    lat_of(k, CUSTOMERS_PER_REGION).alias("lat"), lon_of(k, CUSTOMERS_PER_REGION).alias("lon"))
 
 
 def nation_stations(spark: SparkSession, sf: str) -> DataFrame:
@@ -46,7 +63,7 @@ def supplier_stations(spark: SparkSession, sf: str) -> DataFrame:
     s = read_table(spark, sf, "supplier")
     k = F.col("s_suppkey")
     return s.select(k.alias("station_id"), F.col("s_name").alias("division"),
-                    lat_of(k).alias("st_lat"), lon_of(k).alias("st_lon"))
+                    lat_of(k, SUPPLIERS_PER_REGION).alias("st_lat"), lon_of(k, SUPPLIERS_PER_REGION).alias("st_lon"))
 
 
 def order_points(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,7 +92,8 @@ def order_incidents(spark: SparkSession, sf: str) -> DataFrame:
     o = read_table(spark, sf, "orders")
     k = F.col("o_custkey")
     return o.select(F.col("o_orderkey").alias("DR_NO"), F.col("o_orderdate").cast("date").alias("DATE OCC"),
-                    F.col("o_orderstatus").alias("Vict Descent"), lat_of(k).alias("LAT"), lon_of(k).alias("LON"))
+                    F.col("o_orderstatus").alias("Vict Descent"), lat_of(k, CUSTOMERS_PER_REGION).alias("LAT"),
+                    lon_of(k, CUSTOMERS_PER_REGION).alias("LON"))
 
 
 def customer_geocodes(spark: SparkSession, sf: str) -> DataFrame:
@@ -85,7 +103,8 @@ def customer_geocodes(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("c_custkey")
     zipcode = F.concat((F.col("c_nationkey") + F.lit(90000)).cast("string"), F.lit("-"),
                        F.lpad((k % 10000).cast("string"), 4, "0"))
-    return c.select(lat_of(k).alias("LAT"), lon_of(k).alias("LON"), zipcode.alias("ZIPcode"))
+    return c.select(lat_of(k, CUSTOMERS_PER_REGION).alias("LAT"), lon_of(k, CUSTOMERS_PER_REGION).alias("LON"),
+                    zipcode.alias("ZIPcode"))
 
 
 def nation_income(spark: SparkSession, sf: str) -> DataFrame:

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from geoincident.operators.extremes import extreme_values, filter_extreme_groups
+from geoincident.operators.extremes import count_extreme_groups, extreme_values, filter_extreme_groups
 from geoincident.operators.joins import join_strategy_used, join_with_strategy, plan_text
 from geoincident.operators.ranking import top_k_per_group
 from geoincident.plans.reports import top_months, top_months_sql
@@ -51,6 +51,23 @@ def test_extreme_groups_cases(spark):
     assert sorted(r.v for r in kept.collect()) == [10, 10, 20, 30, 50, 60, 70]
 
 
+def test_count_extreme_groups_runs_its_input_once(spark):
+    df = spark.createDataFrame([(10, "a"), (10, None), (20, "a"), (30, "b"), (40, "b"), (50, "b"), (60, None),
+                                (70, "a"), (None, "a")], "v int, `the group` string")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count_rows(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    out = count_extreme_groups(df.mapInArrow(count_rows, df.schema), "v", "the group", 3, "n")
+    assert {tuple(r) for r in out.collect()} == {("a", 3), ("b", 2), (None, 2)}
+    assert seen.value == df.count()
+    empty = count_extreme_groups(df.limit(0), "v", "the group")
+    assert empty.columns == ["the group", "n_rows"] and empty.count() == 0
+
+
 def _join_inputs(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b"), (2, "bb"), (4, "d")], "k int, lv string")
     right = spark.createDataFrame([(2, "x"), (2, "y"), (3, "z"), (4, "w")], "k2 int, rv string")
