@@ -149,12 +149,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
         return keep(_stars(edges), "components")
 
 
+def _fingerprint(edges: DataFrame) -> tuple:
+    """Number of distinct edges and the xor of their hashes."""
+    return tuple(edges.agg(F.count("*").alias("n"), F.coalesce(
+        F.expr("bit_xor(xxhash64(u, v))"), F.lit(0)).alias("x")).first())
+
+
 def _stars(edges: DataFrame) -> DataFrame:
     """node, root of the components."""
     current = staged(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .where("u <> v").distinct(), "edges")
-    mark = None
+    mark = _fingerprint(current)
     while True:
         both = current.select("u", "v").unionByName(
             current.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -169,10 +175,9 @@ def _stars(edges: DataFrame) -> DataFrame:
                 F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
         ).select("e.u", "e.v").where("u <> v").distinct()
         current = staged(small, "small")
-        now = current.agg(F.count("*").alias("n"), F.coalesce(
-            F.expr("bit_xor(xxhash64(u, v))"), F.lit(0)).alias("x")).first()
-        if mark == tuple(now):
+        now = _fingerprint(current)
+        if mark == now:
             break
-        mark = tuple(now)
+        mark = now
     return current.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         current.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
