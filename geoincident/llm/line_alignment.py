@@ -1,9 +1,11 @@
 """Line dedup by pairwise alignment (op 9).
 
-1. Every line's hash is counted over the documents. A line that several
-   documents share names one partner for all of them: the first document that
-   has it. So a line of thousands of documents gives as many pairs, not their
-   square, and no line is too frequent to be used.
+1. Every line's hash is counted over the documents, and so is that of every
+   shortest run of consecutive lines that reaches ``least_words`` words. A line
+   or run that several documents share names one partner for all of them: the
+   first document that has it. So a line of thousands of documents gives as many
+   pairs, not their square, none is too frequent to be used, and every block
+   that can be deleted has, from each of its lines on, a partner with the whole run.
 2. Each (later document, partner) pair is aligned by patience diff: lines that
    are unique in both are the anchors, the rarest lines of the pair; the longest
    increasing run of them is kept, equal lines next to an anchor join it, and
@@ -18,9 +20,11 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
+import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,17 +80,30 @@ def patience_blocks(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
     return out
 
 
-def _line_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hash and number of words of every line; white space at its ends does not count."""
-    for batch in batches:
-        hashes, words = [], []
-        for text in batch.column(2).cast(pa.binary()).to_pylist():
-            lines = [x.strip() for x in (text or b"").split(b"\n")]
-            hashes.append([xxhash.xxh3_64_intdigest(x) - (1 << 63) if x else 0 for x in lines])
-            words.append([len(x.split()) for x in lines])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(hashes, pa.list_(pa.int64())),
-             pa.array(words, pa.list_(pa.int32()))], names=["id", "row", "lines", "words"])
+def _line_table(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Hash and number of words of every line, white space at its ends does not count, and the hash of the
+    shortest run of two and more lines from each line on that has ``least`` words."""
+
+    def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, words, runs = [], [], []
+            for text in batch.column(2).cast(pa.binary()).to_pylist():
+                lines = [x.strip() for x in (text or b"").split(b"\n")]
+                own = np.array([xxhash.xxh3_64_intdigest(x) - (1 << 63) if x else 0 for x in lines], dtype=np.int64)
+                size = np.array([len(x.split()) for x in lines], dtype=np.int64)
+                total = np.cumsum(size)
+                stop = np.searchsorted(total, total - size + least) + 1
+                some = np.flatnonzero((own != 0) & (size < least) & (stop <= len(lines)))
+                hashes.append(own)
+                words.append(size)
+                runs.append([xxhash.xxh3_64_intdigest(own[i:k].tobytes()) - (1 << 63)
+                             for i, k in zip(some.tolist(), stop[some].tolist(), strict=True)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(hashes, pa.list_(pa.int64())),
+                 pa.array([x.astype(np.int32) for x in words], pa.list_(pa.int32())),
+                 pa.array(runs, pa.list_(pa.int64()))], names=["id", "row", "lines", "words", "runs"])
+
+    return table
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 10) -> DataFrame:
@@ -102,9 +119,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     table = staged(rows.where("text is not null").mapInArrow(
-        _line_table, f"id {kind}, row long, lines array<long>, words array<int>"), "lines")
+        _line_table(least_words), f"id {kind}, row long, lines array<long>, words array<int>, runs array<long>"), "lines")
     order = F.struct("id", "row").alias("doc")
-    met = table.select(order, F.explode(F.array_distinct("lines")).alias("line")).where("line <> 0")
+    met = table.select(order, F.explode(F.array_distinct(F.concat("lines", "runs"))).alias("line")).where("line <> 0")
     first = (met.groupBy("line").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
              .where("first.row <> last.row").select("line", "first"))
     pairs = staged(met.join(first, "line").where("doc.row <> first.row").select(

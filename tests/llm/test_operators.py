@@ -292,6 +292,15 @@ def test_lines_are_deleted_from_later_documents(spark):
     assert line_alignment.dedup_lines(rows.limit(0)).count() == 0
 
 
+def test_blocks_whose_lines_have_other_first_owners(spark):
+    rows = spark.createDataFrame(
+        [(1, "four words of one\nalone a"), (2, "five words of the other\nalone b"), (3, "three more words\nalone c"),
+         (4, "x y\nfour words of one\nfive words of the other\n\nthree more words\nz"),
+         (5, "new\nfour words of one\nfive words of the other\n\nthree more words\nend")], "doc_id long, text string")
+    got = {r["doc_id"]: r["removed"] for r in line_alignment.dedup_lines(rows).collect()}
+    assert got == {1: [], 2: [], 3: [], 4: [], 5: [1, 2, 3, 4]}
+
+
 # ---- 10
 
 LETTERS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
