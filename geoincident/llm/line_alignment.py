@@ -9,7 +9,8 @@
 2. Each (later document, partner) pair is aligned by patience diff: lines that
    are unique in both are the anchors, the rarest lines of the pair; the longest
    increasing run of them is kept, equal lines next to an anchor join it, and
-   the gaps are aligned again.
+   the gaps are aligned again. A gap without such lines is split at the common
+   run of consecutive lines with the most words.
 3. Aligned common blocks of at least ``least_words`` words are deleted from the
    later document.
 
@@ -23,8 +24,8 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import accumulate
 
-import pyarrow as pa
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +33,59 @@ from pyspark.sql import functions as F
 from geoincident.llm.common import prepare, staged
 
 
-def patience_blocks(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
-    """Aligned common blocks (start in a, start in b, length), in order."""
+def _heaviest_run(a: list[int], b: list[int], words: list[int]) -> tuple[int, int, int, int]:
+    """Words, start in a, start in b and length of the common run of most words (the first one), by the
+    suffix automaton of b; ``words`` are those of a's lines."""
+    step: list[dict[int, int]] = [{}]
+    link, size, end = [-1], [0], [-1]
+    last = 0
+    for at, x in enumerate(b):
+        new = len(step)
+        step.append({})
+        link.append(0)
+        size.append(size[last] + 1)
+        end.append(at)
+        p, last = last, new
+        while p >= 0 and x not in step[p]:
+            step[p][x] = new
+            p = link[p]
+        if p < 0:
+            continue
+        q = step[p][x]
+        if size[q] > size[p] + 1:
+            twin = len(step)
+            step.append(dict(step[q]))
+            link.append(link[q])
+            size.append(size[p] + 1)
+            end.append(end[q])
+            link[q] = twin
+            while p >= 0 and step[p].get(x) == q:
+                step[p][x] = twin
+                p = link[p]
+            q = twin
+        link[new] = q
+    total = [0, *accumulate(words)]
+    best = (0, 0, 0, 0)
+    state = length = 0
+    for at, x in enumerate(a, 1):
+        while state and x not in step[state]:
+            state = link[state]
+            length = size[state]
+        if x in step[state]:
+            state, length = step[state][x], length + 1
+            if total[at] - total[at - length] > best[0]:
+                best = (total[at] - total[at - length], at - length, end[state] + 1 - length, length)
+    return best
+
+
+def patience_blocks(a: list[int], b: list[int], words: list[int] | None = None, least: int = 1
+                    ) -> list[tuple[int, int, int]]:
+    """Aligned common blocks (start in a, start in b, length), in order.
+
+    ``words`` of a's lines (one each if not given): in a gap without a line
+    unique in both, only blocks of ``least`` words and more are sought.
+    """
+    words = [1] * len(a) if words is None else words
     pairs: list[tuple[int, int]] = []
     todo = [(0, len(a), 0, len(b))]
     while todo:
@@ -50,6 +102,11 @@ def patience_blocks(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
         place = {x: y for y, x in enumerate(b[k:m], k) if in_b[x] == 1}
         unique = [(x, place[v]) for x, v in enumerate(a[i:j], i) if in_a[v] == 1 and v in place]
         if not unique:
+            if sum(words[x] for x, v in enumerate(a[i:j], i) if v in in_b) >= least:
+                heavy, x, y, size = _heaviest_run(a[i:j], b[k:m], words[i:j])
+                if heavy >= max(least, 1):
+                    pairs += ((i + x + n, k + y + n) for n in range(size))
+                    todo += ((i, i + x, k, k + y), (i + x + size, j, k + y + size, m))
             continue
         # longest increasing run by piles
         tops, last, back = [], [], [-1] * len(unique)
@@ -139,7 +196,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 shared = set(a)
                 b = [x if x in shared else -1 for x in batch.column(3)[i].as_py()]
                 gone = []
-                for start, _, size in patience_blocks(a, b):
+                for start, _, size in patience_blocks(a, b, words, least_words):
                     if sum(words[start:start + size]) >= least_words:
                         gone += range(start, start + size)
                 if gone:

@@ -292,6 +292,28 @@ def test_lines_are_deleted_from_later_documents(spark):
     assert line_alignment.dedup_lines(rows.limit(0)).count() == 0
 
 
+def _common(a, b, x, y):
+    n = 0
+    while x + n < len(a) and y + n < len(b) and a[x + n] == b[y + n]:
+        n += 1
+    return n
+
+
+def test_patience_finds_the_heaviest_run_of_repeated_lines():
+    rng = random.Random(2)
+    for _ in range(1500):
+        a, b = ([rng.randrange(3) for _ in range(rng.randrange(1, 14))] for _ in range(2))
+        words = [(1, 4, 2)[x] for x in a]
+        runs = [(sum(words[x:x + n]), x, y, n) for x in range(len(a)) for y in range(len(b)) if (n := _common(a, b, x, y))]
+        heavy, x, y, n = line_alignment._heaviest_run(a, b, words)
+        assert heavy == max((r[0] for r in runs), default=0) and a[x:x + n] == b[y:y + n] and sum(words[x:x + n]) == heavy
+        if runs:
+            assert line_alignment.patience_blocks(a, b)
+    p = [1, 2, 3]
+    assert line_alignment.patience_blocks([8, *p, 9], [*p, 7, *p]) == [(1, 0, 3)]
+    assert line_alignment.patience_blocks([*p, 7, *p], [8, *p, 9]) == [(0, 1, 3)]
+
+
 def test_blocks_whose_lines_have_other_first_owners(spark):
     rows = spark.createDataFrame(
         [(1, "four words of one\nalone a"), (2, "five words of the other\nalone b"), (3, "three more words\nalone c"),
@@ -301,6 +323,16 @@ def test_blocks_whose_lines_have_other_first_owners(spark):
     assert got == {1: [], 2: [], 3: [], 4: [], 5: [1, 2, 3, 4]}
 
 
+def test_passages_that_one_document_repeats(spark):
+    passage = "a passage of quite some words\nthat the first document holds twice\nand a third line"
+    rows = spark.createDataFrame(
+        [(6, f"{passage}\nbetween\n{passage}"), (7, f"before\n{passage}\nafter"),
+         (8, "own start\n" + "q w e r t\na s d f g\n" * 2 + "own end"), (9, "q w e r t\na s d f g\nother")],
+        "doc_id long, text string")
+    got = {r["doc_id"]: r["removed"] for r in line_alignment.dedup_lines(rows).collect()}
+    assert got == {6: [], 7: [1, 2, 3], 8: [], 9: [0, 1]}
+
+
 # ---- 10
 
 LETTERS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
