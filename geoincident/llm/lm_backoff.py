@@ -1,47 +1,51 @@
 """Language-model scoring by a weighted backoff automaton (op 7).
 
-Counts
-* Unigrams are counted exactly over all training documents (words and one end
-  each); they give c, N and V.
-* Pairs and triples become states and arcs if their share of the training
-  tokens reaches ``share`` (and 2 occurrences), so at most 1/share of each
-  exist whatever the corpus: tasks name those that reach the share in a chunk
-  of their tokens, those whose named chunks add up to half of the wanted count
-  (at most 2/share) are counted again exactly over all training documents.
-  What a chunk does not name can at worst be missing as a state; its words are
-  then scored by backoff, and the probabilities still add up to one.
+Every pair and triple of words that occurs ``least`` times in the training
+documents is a state and an arc, so the model grows with the corpus; nothing of
+it is broadcast or collected.
 
 Automaton: a state is a known context of one or two words. An arc for word x
 carries log10 (c(hx) - 1/2) / c(h); a failure arc leads to the shorter context
 and carries the weight that makes the probabilities of a state add up to 1; the
 last state has the smoothed unigrams of the base score.
 
-One traversal from left to right scores each text. Words with a share of
-``word_share`` (at most 1/word_share) and all states are broadcast. The other
-words never have arcs, so a text needs only the sum of log10(c + 1/2) over them,
-which an aggregation by word and a join give exactly.
+Documents are dealt by a hash of id and text into chunks of about CHUNK_BYTES.
+1. Each chunk counts its different words and pairs and sends them, by ranges of
+   their hashes, to buckets. A bucket adds up the exact counts and answers every
+   chunk, in the order of the chunk's own sorted keys. Then the same is done for
+   triples, only those whose two pairs are states: no other can occur as often.
+2. Each chunk gets its counts back. Of every key one chunk, the first that has
+   it, gives the arc's probability to the arc's state; buckets of states add
+   these up and answer with the failure weights.
+3. Each chunk traverses its texts with its part of the automaton.
+
+Keys travel as blocks of bytes, a block per chunk and bucket, so frequent words
+cost one key per chunk, and no step has a row per word.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoincident.llm.common import prepare, staged
+from geoincident.llm.common import per_group, prepare, scratch, staged
 from geoincident.llm.words import U64, blocks, hash_words, mix
 
 #: hash of the end of a text, counted as a token
 END = U64(0x5E9D1E0F0A57B1C3)
-#: tokens whose counts a task holds at a time
-CHUNK = 2_000_000
+#: bytes of text in a chunk, and of all texts for one bucket of each order
+CHUNK_BYTES, BUCKET_BYTES = 6 << 20, 12 << 20
 _DISCOUNT = 0.5
+_EVEN = U64(0xFFFFFFFFFFFFFFFE)
+#: rows of an Arrow batch; a block of keys can be as large as a chunk
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH_ROWS = "256"
+_BLOCKS = "grp long, chunk long, size long, data binary, total long, kinds long"
 
 
 def _tokens(texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
@@ -102,229 +106,262 @@ class Lookup:
         return out
 
 
-@dataclass
-class Automaton:
-    """words: hashes, log10 of count and a half, failure weight; arcs: of pairs and of triples.
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns one after the other by byte planes; the first one's differences, as it ascends."""
+    first = np.diff(columns[0], prepend=columns[0].dtype.type(0))
+    return b"".join(np.ascontiguousarray(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T).tobytes()
+                    for c in (first, *columns[1:]))
+
+
+def _unpack(data: bytes, size: int, *kinds: str) -> list[np.ndarray]:
+    out, at = [], 0
+    for kind in kinds:
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(data, np.uint8, size * width, at).reshape(width, size)
+        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(size))
+        at += size * width
+    return [np.cumsum(out[0], dtype=out[0].dtype), *out[1:]]
 
-    ``fail2`` is the failure weight of the state made by a pair. ``level`` is
-    log10(N + (V + 1) / 2).
-    """
 
-    words: np.ndarray
-    half: np.ndarray
-    fail1: np.ndarray
-    pairs: np.ndarray
-    arc2: np.ndarray
-    fail2: np.ndarray
-    triples: np.ndarray
-    arc3: np.ndarray
-    level: float
-
-
-def _counts(train: DataFrame, share: float) -> tuple[DataFrame, DataFrame]:
-    """(k, key, n, a, b) with a, b the shorter grams that a longer one starts and ends with: words counted per chunk, and pairs and triples named by a chunk."""
-
-    def count(batches):
-        held: list = []
-        size = 0
-
-        def flush():
-            tokens, pairs, triples = (np.concatenate([x[i] for x in held]) for i in range(3))
-            value, n = np.unique(tokens, return_counts=True)
-            zero = np.zeros(len(value), dtype=U64)
-            yield _rows(1, value, n, zero, zero)
-            least = share * len(tokens)
-            for order, gram, shorter in ((2, pairs, tokens), (3, triples, pairs)):
-                value, at, n = np.unique(gram, return_index=True, return_counts=True)
-                ok = (n >= least) & (value != 0)
-                yield _rows(order, value[ok], n[ok], shorter[at[ok] - 1], shorter[at[ok]])
-
-        for batch in batches:
-            for tokens, first, _ in _tokens(batch.column(0).cast(pa.binary()).to_pylist()):
-                held.append((tokens, *_grams(tokens, first)))
-                size += len(tokens)
-                if size >= CHUNK:
-                    yield from flush()
-                    held, size = [], 0
-        if size:
-            yield from flush()
-
-    return train.select("text").mapInArrow(count, "k int, key long, n long, a long, b long")
-
-
-def _rows(order: int, key, n, a, b) -> pa.RecordBatch:
+def _block_rows(rows: list[tuple]) -> pa.RecordBatch:
+    """(grp, chunk, size, data, total, kinds)"""
+    columns = list(zip(*rows, strict=True))
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(key), order, dtype=np.int32)), pa.array(key.view(np.int64)),
-         pa.array(n.astype(np.int64)), pa.array(np.asarray(a, dtype=U64).view(np.int64)),
-         pa.array(np.asarray(b, dtype=U64).view(np.int64))], names=["k", "key", "n", "a", "b"])
-
-
-def _recount(train: DataFrame, named: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
-    """Exact counts over all training documents of the named pairs and triples."""
-    spark = train.sparkSession
-    shared = spark.sparkContext.broadcast(named)
-
-    def count(batches):
-        find = {k: Lookup(v) for k, v in shared.value.items()}
-        held = {k: np.zeros(len(v), dtype=np.int64) for k, v in shared.value.items()}
-        for batch in batches:
-            for tokens, first, _ in _tokens(batch.column(0).cast(pa.binary()).to_pylist()):
-                for k, gram in zip((2, 3), _grams(tokens, first), strict=True):
-                    at = find[k](gram)
-                    held[k] += np.bincount(at[at >= 0], minlength=len(held[k]))
-        for k, n in held.items():
-            some = np.flatnonzero(n)
-            key = shared.value[k][some]
-            yield _rows(k, key, n[some], np.zeros_like(key), np.zeros_like(key)).select(["k", "key", "n"])
-
-    got = (train.select("text").mapInArrow(count, "k int, key long, n long")
-           .groupBy("k", "key").agg(F.sum("n").alias("n"))).toPandas()
-    out = {}
-    for k, keys in named.items():
-        own = got[got["k"] == k]
-        out[k] = np.zeros(len(keys), dtype=np.int64)
-        out[k][np.searchsorted(keys, own["key"].to_numpy(dtype=np.int64).view(U64))] = own["n"].to_numpy()
-    return out
-
-
-def train_automaton(train: DataFrame, share: float, word_share: float) -> tuple[Automaton, DataFrame, int]:
-    """The automaton, the exact unigram table (key, n) and N."""
-    spark = train.sparkSession
-    counts = staged(_counts(train, share), "counts")
-    words = staged(counts.where("k = 1").groupBy("key").agg(F.sum("n").alias("n")), "words")
-    total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    level = float(np.log10(total + 0.5 * (kinds + 1)))
-    top = words.where(F.col("n") >= max(1.0, word_share * total)).toPandas()  # at most 1 / word_share rows
-    top = top.assign(key=top["key"].to_numpy(dtype=np.int64).view(U64)).sort_values("key")
-    word_key, word_n = top["key"].to_numpy(), top["n"].to_numpy(dtype=np.float64)
-    grams = (counts.where("k > 1").groupBy("k", "key", "a", "b").agg(F.sum("n").alias("n"))
-             .where(F.col("n") >= max(2.0, share * total / 2))).toPandas()  # at most 2 / share rows an order
-    for c in ("key", "a", "b"):
-        grams[c] = grams[c].to_numpy(dtype=np.int64).view(U64)
-    grams = grams.drop_duplicates(["k", "key"]).sort_values(["k", "key"])
-    named = {k: grams.loc[grams["k"] == k, "key"].to_numpy(dtype=U64) for k in (2, 3)}
-    exact = _recount(train, named) if len(grams) else {2: np.zeros(0), 3: np.zeros(0)}
-    least = max(2.0, share * total)
-    two, three = (grams[grams["k"] == k].assign(n=exact[k]) for k in (2, 3))
-    two, three = two[two["n"] >= least], three[three["n"] >= least]
-    find_word = Lookup(word_key)
-    two = two.assign(left=find_word(two["a"].to_numpy(dtype=U64)), right=find_word(two["b"].to_numpy(dtype=U64)))
-    two = two[(two["left"] >= 0) & (two["right"] >= 0)]
-    find_pair = Lookup(two["key"].to_numpy(dtype=U64))
-    three = three.assign(left=find_pair(three["a"].to_numpy(dtype=U64)), low=find_pair(three["b"].to_numpy(dtype=U64)))
-    three = three[(three["left"] >= 0) & (three["low"] >= 0)]
-    p1 = (word_n + 0.5) / 10 ** level
-    left, right, low, head = (x.to_numpy(dtype=np.int64) for x in (two["left"], two["right"], three["low"], three["left"]))
-    p2 = (two["n"].to_numpy(dtype=np.float64) - _DISCOUNT) / word_n[left]
-    fail1 = _failure(left, p2, p1[right], len(word_n))
-    p3 = (three["n"].to_numpy(dtype=np.float64) - _DISCOUNT) / two["n"].to_numpy(dtype=np.float64)[head]
-    fail2 = _failure(head, p3, p2[low], len(two))
-    return Automaton(word_key, np.log10(word_n + 0.5), fail1, find_pair.keys, np.log10(p2), fail2,
-                     three["key"].to_numpy(dtype=U64), np.log10(p3), level), words, int(total)
-
-
-def _failure(state: np.ndarray, arc: np.ndarray, lower: np.ndarray, states: int) -> np.ndarray:
-    """log10 of what is left to the shorter context, over what its own arcs leave there; 0 without arcs."""
-    spent = np.bincount(state, weights=arc, minlength=states)
-    below = np.bincount(state, weights=lower, minlength=states)
-    return np.log10(np.maximum(1 - spent, 1e-300) / np.maximum(1 - below, 1e-300))
-
-
-def traverse(m: Automaton, find: tuple[Lookup, Lookup, Lookup], tokens: np.ndarray, first: np.ndarray
-             ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per token: word index (-1 if not broadcast), log10 of the arcs and failures taken, whether it fell to unigrams.
-
-    The state before a token is the longest known context that ends there.
-    """
-    two, three = _grams(tokens, first)
-    word = find[0](tokens)
-    pair = np.full(len(tokens), -1, dtype=np.int64)
-    may = np.flatnonzero((word[1:] >= 0) & (word[:-1] >= 0) & (two[1:] != 0)) + 1
-    pair[may] = find[1](two[may])
-    triple = np.full(len(tokens), -1, dtype=np.int64)
-    may = np.flatnonzero((pair[1:] >= 0) & (pair[:-1] >= 0) & (three[1:] != 0)) + 1
-    triple[may] = find[2](three[may])
-    inner = np.ones(len(tokens), dtype=bool)
-    inner[first[:-1]] = False
-    inner = np.flatnonzero(inner)  # tokens with a word before them
-    weight = np.zeros(len(tokens))
-    by3 = triple >= 0
-    weight[by3] = m.arc3[triple[by3]]
-    # from a pair state without the arc: its failure arc
-    before = inner[(~by3[inner]) & (pair[inner - 1] >= 0)]
-    weight[before] += m.fail2[pair[before - 1]]
-    by2 = ~by3 & (pair >= 0)
-    weight[by2] += m.arc2[pair[by2]]
-    before = inner[(~by3[inner]) & (~by2[inner]) & (word[inner - 1] >= 0)]
-    weight[before] += m.fail1[word[before - 1]]
-    return word, weight, ~by3 & ~by2
+        [pa.array(c, pa.binary() if i == 3 else pa.int64()) for i, c in enumerate(columns)],
+        names=["grp", "chunk", "size", "data", "total", "kinds"])
+
+
+class _Chunk:
+    """Tokens of a chunk's texts and the sorted keys of each order; keys are even hashes."""
+
+    def __init__(self, table: pa.Table):
+        texts = table.filter(pc.less(table.column("grp"), 0))
+        self.ids = texts.column("id")
+        learn = np.array(texts.column("learn").to_pylist(), dtype=bool)
+        parts = [(t, f) for t, f, _ in _tokens(texts.column("text").cast(pa.binary()).to_pylist())]
+        self.tokens = np.concatenate([t for t, _ in parts])
+        base = np.cumsum([0, *(len(t) for t, _ in parts)])
+        self.first = np.concatenate([*(f[:-1] + b for (_, f), b in zip(parts, base[:-1], strict=True)), base[-1:]])
+        two, three = _grams(self.tokens, self.first)
+        self.inside2, self.inside3 = two != 0, three != 0
+        self.learned = np.repeat(learn, np.diff(self.first)).astype(U64)
+        self.grams = [x & _EVEN for x in (self.tokens, two, three)]
+        self.mine: list[np.ndarray] = []
+        self.n: list[np.ndarray] = []
+        self.keys: list[np.ndarray] = []
+
+    def count(self, order: int, ok: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys of an order at the tokens ``ok`` and how often each is learned here."""
+        code = np.sort(self.grams[order - 1][ok] | self.learned[ok])
+        key = code & _EVEN
+        if not len(key):
+            return key, np.zeros(0, np.uint32)
+        at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        return key[at], np.add.reduceat(code & U64(1), at).astype(np.uint32)
+
+    def _known(self, table: pa.Table, buckets: int, order: int, ok: np.ndarray, least: float) -> np.ndarray:
+        """Index of the key that ends at each token ``ok`` and has ``least`` occurrences; else -1."""
+        keys, _ = self.count(order, ok)
+        counts = _answers(table, buckets, order, "<u8")
+        keep = (counts >> U64(1)) >= least
+        self.keys.append(keys[keep])
+        self.n.append((counts[keep] >> U64(1)).astype(np.float64))
+        self.mine.append((counts[keep] & U64(1)).astype(bool))
+        out = np.full(len(self.tokens), -1, dtype=np.int64)
+        out[ok] = Lookup(self.keys[-1])(self.grams[order - 1][ok])
+        return out
+
+    def locate(self, table: pa.Table, buckets: int, least: float) -> None:
+        """The known words and pairs, and the tokens that a known triple may end at."""
+        self.word = self._known(table, buckets, 1, np.ones(len(self.tokens), dtype=bool), 1)
+        self.pair = self._known(table, buckets, 2, self.inside2, least)
+        self.may = self.inside3 & (self.pair >= 0)
+        self.may[1:] &= self.pair[:-1] >= 0
+
+    def locate_all(self, table: pa.Table, buckets: int, least: float) -> None:
+        self.locate(table, buckets, least)
+        self.triple = self._known(table, buckets, 3, self.may, least)
+
+    def arcs(self, level: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Of the words and the pairs: keys, probability of the arcs given by this chunk, and that of the shorter context."""
+        n1, n2, n3 = self.n
+        for state, arc, (keys, n), (mine, longer) in (
+                (self.word, self.pair, (self.keys[0], n1), (self.mine[1], n2)),
+                (self.pair, self.triple, (self.keys[1], n2), (self.mine[2], n3))):
+            at = np.full(len(longer), -1, dtype=np.int64)
+            some = np.flatnonzero(arc >= 0)
+            at[arc[some]] = some
+            own = np.flatnonzero(mine & (at >= 0))
+            at = at[own]
+            left, low = state[at - 1], state[at]
+            lower = (n1[low] + 0.5) / 10 ** level if arc is self.pair else (n2[low] - _DISCOUNT) / n1[self.word[at - 1]]
+            yield (keys, np.bincount(left, weights=(longer[own] - _DISCOUNT) / n[left], minlength=len(n)),
+                   np.bincount(left, weights=lower, minlength=len(n)))
+
+    def scores(self, fail1: np.ndarray, fail2: np.ndarray, level: float) -> tuple[np.ndarray, ...]:
+        """Per text: tokens, known tokens, base score, score. The state before a token is the longest known context."""
+        n1, n2, n3 = self.n
+        word, pair, triple = self.word, self.pair, self.triple
+        base = np.full(len(word), np.log10(0.5) - level)
+        base[word >= 0] = np.log10(n1[word[word >= 0]] + 0.5) - level
+        inner = np.flatnonzero(self.inside2)  # tokens with a word before them
+        by3 = triple >= 0
+        by2 = ~by3 & (pair >= 0)
+        weight = np.where(by3 | by2, 0.0, base)
+        at = np.flatnonzero(by3)
+        weight[at] += np.log10((n3[triple[at]] - _DISCOUNT) / n2[pair[at - 1]])
+        at = np.flatnonzero(by2)
+        weight[at] += np.log10((n2[pair[at]] - _DISCOUNT) / n1[word[at - 1]])
+        # from a state without the arc: its failure arc
+        at = inner[~by3[inner] & (pair[inner - 1] >= 0)]
+        weight[at] += fail2[pair[at - 1]]
+        at = inner[~by3[inner] & ~by2[inner] & (word[inner - 1] >= 0)]
+        weight[at] += fail1[word[at - 1]]
+        start = self.first[:-1]
+        return (np.diff(self.first), np.add.reduceat(word >= 0, start, dtype=np.int64),
+                np.add.reduceat(base, start), np.add.reduceat(weight, start))
+
+
+def _deal(order: int, keys: np.ndarray, *columns: np.ndarray, buckets: int, only: range | None = None
+          ) -> Iterator[tuple[int, int, bytes]]:
+    """(group, number of keys, bytes) of every bucket (of ``only``) that has some of the sorted keys."""
+    width = (1 << 64) // buckets + 1
+    cut = np.searchsorted(keys, np.array([b * width for b in range(buckets)], dtype=U64))
+    cut = [*cut.tolist(), len(keys)]
+    for b in only or range(buckets):
+        x, y = cut[b], cut[b + 1]
+        if y > x:
+            yield order * buckets + b, y - x, _pack(keys[x:y], *(c[x:y] for c in columns))
+
+
+def _answers(table: pa.Table, buckets: int, order: int, kind: str) -> np.ndarray:
+    """The buckets' answers of an order, in the order of the chunk's keys."""
+    rows = table.filter(pc.equal(pc.floor(pc.divide(table.column("grp"), buckets)), order)).sort_by("grp")
+    got = [np.zeros(0, dtype=kind)]
+    for size, data in zip(rows.column("size").to_pylist(), rows.column("data").to_pylist(), strict=True):
+        got.append(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(-1, size).T).view(kind).reshape(size))
+    return np.concatenate(got)
+
+
+def _add_up(table: pa.Table, kinds: tuple[str, ...], answer) -> Iterator[pa.RecordBatch]:
+    """Sums each key's columns over the chunks of a bucket and answers every chunk; one more row, of chunk -1,
+    with the sum of the first column and the number of keys where it is not 0."""
+    group, chunks = table.column("grp")[0].as_py(), table.column("chunk").to_pylist()
+    sent = [_unpack(d, n, "<u8", *kinds) for d, n in
+            zip(table.column("data").to_pylist(), table.column("size").to_pylist(), strict=True)]
+    keys = np.concatenate([x[0] for x in sent])
+    order = np.argsort(keys, kind="stable")
+    new = np.concatenate([[True], keys[order[1:]] != keys[order[:-1]]])
+    at = np.flatnonzero(new)
+    sums = [np.add.reduceat(np.concatenate([x[i + 1] for x in sent])[order], at, dtype="f8" if k == "<f8" else "i8")
+            for i, k in enumerate(kinds)]
+    value = answer(*sums)[np.cumsum(new) - 1]
+    out = np.empty(len(keys), dtype=value.dtype)
+    out[order] = value
+    if out.dtype == U64:  # the first chunk that has the key is told so
+        out[order[at]] |= U64(1)
+    ends = np.cumsum([0, *(len(x[0]) for x in sent)])
+    for i, chunk in enumerate(chunks):
+        part = out[ends[i]:ends[i + 1]]
+        planes = np.ascontiguousarray(part.view(np.uint8).reshape(len(part), 8).T).tobytes()
+        yield _block_rows([(group, chunk, len(part), planes, None, None)])
+    yield _block_rows([(group, -1, 0, None, int(sums[0].sum()), int(np.count_nonzero(sums[0])))])
 
 
 def score_texts(docs: DataFrame, train: F.Column, id_col: str = "doc_id", text_col: str = "text",
-                share: float = 2e-6, word_share: float = 5e-7) -> DataFrame:
+                share: float = 0.0, word_share: float = 0.0, least: int = 2) -> DataFrame:
     """Base and model log10 probability of every text, learned from the rows where ``train`` holds.
 
+    Pairs and triples of ``least`` occurrences are states. ``share`` asks for
+    that share of the training tokens as well, 0 for none; ``word_share`` has
+    no effect any more, as no word is broadcast.
+
     Returns one row per input row: id, n_tokens, n_known, train_tokens,
-    base_score, score. Null text is empty: its one token is the end. Rows are
-    told apart by position, so repeated rows and ids, null ones too, keep rows
-    of their own. Extra columns are ignored. Without training rows every word
-    is unknown; an empty table gives an empty result.
+    base_score, score. Null text is empty: its one token is the end. Repeated
+    rows and ids, null ones too, keep rows of their own; rows equal in id and
+    text fall into one chunk. Extra columns are ignored. Without training rows
+    every word is unknown; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     prepare(spark)
-    automaton, words, total = train_automaton(docs.where(train).select(F.col(text_col).alias("text")), share, word_share)
-    shared = spark.sparkContext.broadcast(automaton)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-
-    def score(batches):
-        m = shared.value
-        find = (Lookup(m.words), Lookup(m.pairs), Lookup(m.triples))
-        row = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            for tokens, first, lo in _tokens(texts):
-                word, weight, fell = traverse(m, find, tokens, first)
-                known = word >= 0
-                half = np.zeros(len(tokens))
-                half[known] = m.half[word[known]]
-                weight[fell] += half[fell] - m.level
-                n = len(first) - 1
-                doc = np.repeat(np.arange(n), np.diff(first))
-                rare = np.flatnonzero(~known)
-                order = np.lexsort((tokens[rare], doc[rare]))
-                rd, rt = doc[rare][order], tokens[rare][order]
-                new = np.ones(len(rd), dtype=bool)
-                new[1:] = (rd[1:] != rd[:-1]) | (rt[1:] != rt[:-1])
-                at = np.flatnonzero(new)
-                times = np.diff(np.concatenate([at, [len(rd)]]))
-                offsets = np.searchsorted(rd[at], np.arange(n + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[lo:lo + n], pa.array(np.arange(row, row + n)), pa.array(np.diff(first)),
-                     pa.array(np.add.reduceat(known, first[:-1], dtype=np.int64)),
-                     pa.array(np.add.reduceat(half, first[:-1])), pa.array(np.add.reduceat(weight, first[:-1])),
-                     pa.ListArray.from_arrays(offsets, pa.array(rt[at].view(np.int64))),
-                     pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32)))],
-                    names=["id", "row", "n_tokens", "n_head", "half", "weight", "rare", "times"])
-                row += n
-
-    scored = staged(rows.mapInArrow(
-        score, f"id {kind}, row long, n_tokens long, n_head long, half double, weight double, "
-               "rare array<long>, times array<int>"), "scored")
-    wanted = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(
-        "row", F.col("w.rare").alias("key"), F.col("w.times").alias("times"))
-    rare = words.where(F.col("n") < max(1.0, word_share * total))
-    found = wanted.join(rare, "key", "left").groupBy("row").agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more"),
-        F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("tail"))
-    out = scored.select("id", "row", "n_tokens", "n_head", "half", "weight").join(found, "row", "left")
-    tail = F.coalesce("tail", F.lit(0.0))
-    return out.select(
-        F.col("id").alias(id_col), "n_tokens",
-        (F.col("n_head") + F.coalesce("more", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("half") + tail - F.col("n_tokens") * F.lit(automaton.level)).alias("base_score"),
-        (F.col("weight") + tail).alias("score"))
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, _BATCH_ROWS)
+    try:
+        with scratch(spark) as keep:
+            return _score(docs, train, id_col, text_col, share, max(2, least), keep)
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
+def _score(docs: DataFrame, train: F.Column, id_col: str, text_col: str, share: float, least: int, keep) -> DataFrame:
+    size = docs.agg(F.coalesce(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)) + 1), F.lit(0))).first()[0]
+    chunks, buckets = max(8, -(-size // CHUNK_BYTES)), max(8, -(-size // BUCKET_BYTES))
+    kind = docs.schema[id_col].dataType.simpleString()
+    texts = docs.select(
+        F.pmod(F.xxhash64(id_col, text_col), F.lit(chunks)).alias("chunk"), F.lit(-1).cast("long").alias("grp"),
+        F.col(id_col).alias("id"), F.coalesce(train, F.lit(False)).alias("learn"), F.col(text_col).alias("text"),
+        F.lit(None).cast("long").alias("size"), F.lit(None).cast("binary").alias("data"))
+
+    def beside(*answers: DataFrame) -> DataFrame:
+        out = texts
+        for x in answers:
+            out = out.unionByName(x.where("chunk >= 0").select("chunk", "grp", "size", "data"), allowMissingColumns=True)
+        return out
+
+    def count(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        own, chunk = _Chunk(table), table.column("chunk")[0].as_py()
+        for k, ok in ((1, slice(None)), (2, own.inside2)):
+            for group, n, data in _deal(k, *own.count(k, ok), buckets=buckets):
+                yield _block_rows([(group, chunk, n, data, None, None)])
+
+    def count_triples(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        own, chunk = _Chunk(table), table.column("chunk")[0].as_py()
+        own.locate(table, buckets, wanted)
+        for group, n, data in _deal(3, *own.count(3, own.may), buckets=buckets):
+            yield _block_rows([(group, chunk, n, data, None, None)])
+
+    def total_counts(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        yield from _add_up(table, ("<u4",), lambda n: n.astype(U64) << U64(1))
+
+    # blocks of keys are only shuffled, the answers are written
+    counts = staged(per_group(per_group(texts, ["chunk"], [], count, _BLOCKS), ["grp"], [], total_counts, _BLOCKS), "counts")
+    total, kinds = (counts.where(F.col("chunk") == -1).where(F.col("grp") < 2 * buckets)
+                    .agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first())
+    level = float(np.log10(total + 0.5 * (kinds + 1)))
+    wanted = max(least, share * total)
+    triples = staged(per_group(per_group(beside(counts), ["chunk"], [], count_triples, _BLOCKS),
+                               ["grp"], [], total_counts, _BLOCKS), "triples")
+
+    def arcs(only: range):
+        def run(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            own, chunk = _Chunk(table), table.column("chunk")[0].as_py()
+            own.locate_all(table, buckets, wanted)
+            for k, (keys, spent, below) in enumerate(own.arcs(level), 4):
+                for group, n, data in _deal(k, keys, spent, below, buckets=buckets, only=only):
+                    yield _block_rows([(group, chunk, n, data, None, None)])
+
+        return run
+
+    def failures(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        # what is left to the shorter context, over what the state's own arcs leave there; 0 without arcs
+        yield from _add_up(table, ("<f8", "<f8"), lambda spent, below: np.log10(
+            np.maximum(1 - spent, 1e-300) / np.maximum(1 - below, 1e-300)))
+
+    def score(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        own = _Chunk(table)
+        own.locate_all(table, buckets, wanted)
+        out = own.scores(*(_answers(table, buckets, k, "<f8") for k in (4, 5)), level)
+        yield from pa.Table.from_arrays([own.ids, *map(pa.array, out)],
+                                        names=["id", "n_tokens", "n_known", "base_score", "score"]).to_batches()
+
+    # one half of the buckets after the other, so that only one's sums lie on disk
+    failed = [staged(per_group(per_group(beside(counts, triples), ["chunk"], [], arcs(only), _BLOCKS),
+                               ["grp"], [], failures, _BLOCKS), "failures")
+              for only in (range(buckets // 2), range(buckets // 2, buckets))]
+    scored = keep(per_group(beside(counts, triples, *failed), ["chunk"], [], score,
+                            f"id {kind}, n_tokens long, n_known long, base_score double, score double"), "scored")
+    return scored.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
+                         "base_score", "score")
 
 
 def op7_lm_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -239,6 +239,20 @@ def test_scores_against_brute_force(spark, docs):
     assert lm_backoff.score_texts(rows.limit(3), F.lit(False)).where("n_known = 0").count() == 3
 
 
+def test_pairs_seen_twice_are_states_whatever_the_corpus(spark):
+    """1.2 million other tokens must not take the arcs away from a pair that was seen twice."""
+    filler = " ".join(["f"] * 1000)
+    rows = spark.range(1200).select(F.col("id").alias("doc_id"), F.lit(filler).alias("text")).unionByName(
+        spark.createDataFrame([(5000, "p q r"), (5001, "p q r"), (5002, "p q r"), (5003, "r q p")], "doc_id long, text string"))
+    got = {r["doc_id"]: r for r in lm_backoff.score_texts(rows, F.col("doc_id") < 5002).where("doc_id >= 5000").collect()}
+    n = 1200 * 1001 + 8
+    level = math.log10(n + 0.5 * 6)
+    start = math.log10(2.5) - level
+    seen = 3 * math.log10(1.5 / 2)
+    assert got[5002]["score"] == pytest.approx(start + seen, rel=1e-9) and got[5002]["train_tokens"] == n
+    assert got[5003]["score"] < got[5002]["score"] and got[5003]["n_known"] == 4
+
+
 # ---- 8
 
 def test_escape_is_reversible():
