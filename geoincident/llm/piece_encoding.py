@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geoincident.llm.common import lean, prepare
 from geoincident.llm.words import blocks, hash_spans
@@ -305,7 +306,7 @@ def pieces(path: str) -> Pieces:
     return _PIECES[path]
 
 
-def _with(df: DataFrame, name: str, kind: str, arrow: pa.DataType, source: str, work) -> DataFrame:
+def _with(df: DataFrame, name: str, kind: T.DataType, arrow: pa.DataType, source: str, work) -> DataFrame:
     """``df`` with a column computed batch by batch; a column of that name is replaced, all others stay."""
     own = [c for c in df.columns if c != name]
     schema = df.select(*[F.col(f"`{c}`") for c in own]).schema.add(name, kind)
@@ -333,7 +334,7 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", ids_col: str = "
     def work(texts: pa.Array) -> list[np.ndarray]:
         return list(pieces(model).encode(texts.cast(pa.binary()).to_pylist()))
 
-    return _with(docs, ids_col, "array<int>", pa.list_(pa.int32()), text_col, work)
+    return _with(docs, ids_col, T.ArrayType(T.IntegerType()), pa.list_(pa.int32()), text_col, work)
 
 
 def decode(rows: DataFrame, model: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -344,7 +345,7 @@ def decode(rows: DataFrame, model: str, ids_col: str = "ids", text_col: str = "d
         known, values, at = pieces(model), ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
         return [known.decode(values[a:b]) for a, b in pairwise(at.tolist())]
 
-    return _with(rows, text_col, "string", pa.string(), ids_col, work)
+    return _with(rows, text_col, T.StringType(), pa.string(), ids_col, work)
 
 
 def op11_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
