@@ -15,6 +15,7 @@ the shards as intervals of the next level.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ from geoincident.llm.piece_encoding import _distinct
 
 #: bytes of text in a shard; a longer text is a shard of its own
 SHARD_BYTES = 16 << 20
+#: rows of a BWT that are looked at together, and rows sent on together
+EXTEND_ROWS, SEND_ROWS = 1 << 19, 1 << 17
 _BLANK, _BREAK = 1, 2
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[[0x20, 0x09]] = _BLANK
@@ -134,8 +137,8 @@ class BidirectionalIndex:
         """Row of the suffix that is one symbol longer, for every row."""
         if self._steps[side] is None:
             order = np.argsort(self.bwt[side], kind="stable")
-            step = np.empty(len(order), dtype=np.int64)
-            step[order] = np.arange(len(order))
+            step = np.empty(len(order), dtype=np.int32 if len(order) < 1 << 31 else np.int64)
+            step[order] = np.arange(len(order), dtype=step.dtype)
             self._steps[side] = step
         return self._steps[side]
 
@@ -145,11 +148,18 @@ class BidirectionalIndex:
 
         ``near``: starts in the BWT of that side, ``far``: in the other one. Gives for
         each extension the interval it comes from, its starts near and far, and its size.
+        Intervals are taken in runs of about ``EXTEND_ROWS`` rows to bound memory.
         """
+        cuts = np.flatnonzero(np.diff(np.cumsum(size) // EXTEND_ROWS)) + 1
+        runs = [r for r in pairwise([0, *cuts.tolist(), len(size)]) if r[1] > r[0]]
+        found = [self._extend(side, near[a:b], far[a:b], size[a:b], a) for a, b in runs]
+        return tuple(np.concatenate([f[i] for f in found] + [np.zeros(0, dtype=np.int64)]) for i in range(4))
+
+    def _extend(self, side: int, near: np.ndarray, far: np.ndarray, size: np.ndarray, base: int
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         total = np.cumsum(size)
-        if not len(size) or not total[-1]:
-            none = np.zeros(0, dtype=np.int64)
-            return none, none, none, none
+        if not total[-1]:
+            return (total[:0],) * 4
         of = np.repeat(np.arange(len(size)), size)
         rows = np.arange(total[-1]) + np.repeat(near - (total - size), size)
         symbol = self.bwt[side][rows]
@@ -163,7 +173,7 @@ class BidirectionalIndex:
         # smaller symbols of the interval come first on the far side
         before = first - (total - size)[come]
         real = symbol > 0
-        return come[real], self._step(side)[rows[at[real]]], (far[come] + before)[real], count[real]
+        return come[real] + base, self._step(side)[rows[at[real]]].astype(np.int64), (far[come] + before)[real], count[real]
 
 
 def _extensions(index: BidirectionalIndex, lo: np.ndarray, rlo: np.ndarray, size: np.ndarray, ids: np.ndarray
@@ -190,7 +200,7 @@ def _index_shard(shards: pa.Table, frequent: pa.Table, depth: int) -> pa.Table:
     schema = pa.schema([("shard", pa.int64()), ("ids", pa.binary()), ("bwt", pa.binary()), ("reverse", pa.binary())])
     if not shards.num_rows or not frequent.num_rows:
         return schema.empty_table()
-    seq = np.frombuffer(shards.column("seq")[0].as_py(), dtype=np.int32)
+    seq = _array(shards, "seq", 0, np.int32)
     word, ids, size = (frequent.column(c).to_numpy() for c in ("place", "id", "size"))
     order = np.lexsort((ids, -size))
     symbol = np.zeros(max(int(seq.max(initial=0)), int(word.max())) + 1, dtype=np.int32)
@@ -208,24 +218,32 @@ def _index_shard(shards: pa.Table, frequent: pa.Table, depth: int) -> pa.Table:
          *(pa.array([b.astype(np.int32).tobytes()], pa.binary()) for b in index.bwt)], schema=schema)
 
 
-def _load(bwt: bytes, reverse: bytes) -> BidirectionalIndex:
-    return BidirectionalIndex(np.frombuffer(bwt, dtype=np.int32), np.frombuffer(reverse, dtype=np.int32))
+def _array(table: pa.Table, column: str, row: int, kind: type) -> np.ndarray:
+    return np.frombuffer(table.column(column)[row].as_buffer(), dtype=kind)
+
+
+def _load(table: pa.Table, row: int) -> BidirectionalIndex:
+    return BidirectionalIndex(_array(table, "bwt", row, np.int32), _array(table, "reverse", row, np.int32))
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Two-word phrases of every shard."""
     for batch in batches:
-        for row in batch.to_pylist():
-            index, ids = _load(row["bwt"], row["reverse"]), np.frombuffer(row["ids"], dtype=np.int64)
+        table = pa.Table.from_batches([batch])
+        for i in range(table.num_rows):
+            index, ids = _load(table, i), _array(table, "ids", i, np.int64)
             lo, rlo, size = index.words()
-            yield _phrases(row["shard"], _extensions(index, lo, rlo, size, ids[:len(lo)]))
+            found = _phrases(table.column("shard")[i].as_py(), _extensions(index, lo, rlo, size, ids[:len(lo)]))
+            del index
+            for start in range(0, found.num_rows, SEND_ROWS):
+                yield found.slice(start, SEND_ROWS)
 
 
 def _longer(index: pa.Table, alive: pa.Table) -> pa.Table:
     """One word longer phrases of a shard from those that are still frequent."""
     if not index.num_rows or not alive.num_rows:
         return pa.Table.from_batches([_phrases(0, (np.zeros(0),) * 5)])
-    own = _load(index.column("bwt")[0].as_py(), index.column("reverse")[0].as_py())
+    own = _load(index, 0)
     columns = [alive.column(c).to_numpy() for c in ("lo", "rlo", "size", "id")]
     return pa.Table.from_batches([_phrases(index.column("shard")[0].as_py(), _extensions(own, *columns))])
 
