@@ -28,8 +28,8 @@ from geoincident.llm.piece_encoding import _distinct
 
 #: bytes of text in a shard; a longer text is a shard of its own
 SHARD_BYTES = 16 << 20
-#: rows of a BWT that are looked at together, and rows sent on together
-EXTEND_ROWS, SEND_ROWS = 1 << 19, 1 << 17
+#: rows of a BWT that are looked at together
+EXTEND_ROWS = 1 << 18
 _BLANK, _BREAK = 1, 2
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[[0x20, 0x09]] = _BLANK
@@ -47,7 +47,7 @@ def tokenize(texts: list[bytes | None]) -> tuple[bytes, np.ndarray, np.ndarray,
     if inside[0]:
         edges = np.concatenate([[0], edges])
     begin, end = edges[0::2], edges[1::2]
-    breaks = np.cumsum(kind == _BREAK)[begin]
+    breaks = np.cumsum(kind == _BREAK, dtype=np.int32 if len(kind) < 1 << 31 else np.int64)[begin]
     return blob, begin, end, np.concatenate([[True], breaks[1:] != breaks[:-1]])[:len(begin)]
 
 
@@ -142,24 +142,20 @@ class BidirectionalIndex:
             self._steps[side] = step
         return self._steps[side]
 
-    def extend(self, side: int, near: np.ndarray, far: np.ndarray, size: np.ndarray
-               ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def extend(self, side: int, near: np.ndarray, far: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         """All extensions of intervals by one symbol: to the left with side 0, to the right with side 1.
 
         ``near``: starts in the BWT of that side, ``far``: in the other one. Gives for
-        each extension the interval it comes from, its starts near and far, and its size.
-        Intervals are taken in runs of about ``EXTEND_ROWS`` rows to bound memory.
+        each extension the interval it comes from, its starts near and far, its size and
+        the symbol, in runs of about ``EXTEND_ROWS`` rows to bound memory.
         """
         cuts = np.flatnonzero(np.diff(np.cumsum(size) // EXTEND_ROWS)) + 1
-        runs = [r for r in pairwise([0, *cuts.tolist(), len(size)]) if r[1] > r[0]]
-        found = [self._extend(side, near[a:b], far[a:b], size[a:b], a) for a, b in runs]
-        return tuple(np.concatenate([f[i] for f in found] + [np.zeros(0, dtype=np.int64)]) for i in range(4))
+        for a, b in pairwise([0, *cuts.tolist(), len(size)]):
+            if size[a:b].any():
+                yield self._extend(side, near[a:b], far[a:b], size[a:b], a)
 
-    def _extend(self, side: int, near: np.ndarray, far: np.ndarray, size: np.ndarray, base: int
-                ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def _extend(self, side: int, near: np.ndarray, far: np.ndarray, size: np.ndarray, base: int) -> tuple[np.ndarray, ...]:
         total = np.cumsum(size)
-        if not total[-1]:
-            return (total[:0],) * 4
         of = np.repeat(np.arange(len(size)), size)
         rows = np.arange(total[-1]) + np.repeat(near - (total - size), size)
         symbol = self.bwt[side][rows]
@@ -173,15 +169,21 @@ class BidirectionalIndex:
         # smaller symbols of the interval come first on the far side
         before = first - (total - size)[come]
         real = symbol > 0
-        return come[real] + base, self._step(side)[rows[at[real]]].astype(np.int64), (far[come] + before)[real], count[real]
+        return come[real] + base, self._step(side)[rows[at[real]]].astype(np.int64), (far[come] + before)[real], count[real], \
+            symbol[real]
+
+
+def _all(runs: Iterator[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+    none = np.zeros(0, dtype=np.int64)
+    return [np.concatenate(x) for x in zip((none,) * 5, *runs, strict=True)]
 
 
 def _extensions(index: BidirectionalIndex, lo: np.ndarray, rlo: np.ndarray, size: np.ndarray, ids: np.ndarray
                 ) -> tuple[np.ndarray, ...]:
     """One word longer phrases whose first and last words are both among the given ones: forward and reverse starts, size,
     ids of the first and of the last words."""
-    prefix, right_rlo, right_lo, count = index.extend(1, rlo, lo, size)
-    suffix, left_lo, _, _ = index.extend(0, lo, rlo, size)
+    prefix, right_rlo, right_lo, count, _ = _all(index.extend(1, rlo, lo, size))
+    suffix, left_lo, *_ = _all(index.extend(0, lo, rlo, size))
     _, a, b = np.intersect1d(right_lo, left_lo, assume_unique=True, return_indices=True)
     return right_lo[a], right_rlo[a], count[a], ids[prefix[a]], ids[suffix[b]]
 
@@ -227,16 +229,14 @@ def _load(table: pa.Table, row: int) -> BidirectionalIndex:
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Two-word phrases of every shard."""
+    """Two-word phrases of every shard; all its words are frequent, so extensions to the right are enough."""
     for batch in batches:
         table = pa.Table.from_batches([batch])
         for i in range(table.num_rows):
             index, ids = _load(table, i), _array(table, "ids", i, np.int64)
             lo, rlo, size = index.words()
-            found = _phrases(table.column("shard")[i].as_py(), _extensions(index, lo, rlo, size, ids[:len(lo)]))
-            del index
-            for start in range(0, found.num_rows, SEND_ROWS):
-                yield found.slice(start, SEND_ROWS)
+            for first, at, far, count, last in index.extend(1, rlo, lo, size):
+                yield _phrases(table.column("shard")[i].as_py(), (far, at, count, ids[first], ids[last - 1]))
 
 
 def _longer(index: pa.Table, alive: pa.Table) -> pa.Table:
