@@ -14,7 +14,7 @@ the shards as intervals of the next level.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import pairwise
 
 import numpy as np
@@ -27,7 +27,7 @@ from geoincident.llm.common import lean, prepare, scratch, staged
 from geoincident.llm.piece_encoding import _distinct
 
 #: bytes of text in a shard; a longer text is a shard of its own
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 #: rows of a BWT that are looked at together
 EXTEND_ROWS = 1 << 18
 _BLANK, _BREAK = 1, 2
@@ -239,6 +239,16 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _phrases(table.column("shard")[i].as_py(), (far, at, count, ids[first], ids[last - 1]))
 
 
+def _trimmed(work: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """``work`` on one shard at a time, after which freed memory goes back."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        [made] = lean(lambda _: iter([work(left, right)]))(iter(()))
+        return made
+
+    return run
+
+
 def _longer(index: pa.Table, alive: pa.Table) -> pa.Table:
     """One word longer phrases of a shard from those that are still frequent."""
     if not index.num_rows or not alive.num_rows:
@@ -312,13 +322,13 @@ def _levels(docs: DataFrame, text_col: str, lang_col: str, max_words: int, least
                                                   F.first("f").alias("f")), "words")]
         index = keep(shards.select("shard", "seq").groupBy("shard").cogroup(
             frequent.select("shard", "place", "id", "size").groupBy("shard")).applyInArrow(
-                lambda a, b: _index_shard(a, b, max_words), "shard long, ids binary, bwt binary, reverse binary"), "index")
+                _trimmed(lambda a, b: _index_shard(a, b, max_words)), "shard long, ids binary, bwt binary, reverse binary"), "index")
     alive = None
     for length in range(2, max_words + 1):
         if alive is None:
             longer = index.mapInArrow(lean(_pairs), _PHRASES)
         else:
-            longer = index.groupBy("shard").cogroup(alive.groupBy("shard")).applyInArrow(_longer, _PHRASES)
+            longer = index.groupBy("shard").cogroup(alive.groupBy("shard")).applyInArrow(_trimmed(_longer), _PHRASES)
         alive = staged(_summed(longer, ["prefix", "suffix"], "lo", least), f"phrases{length}")
         levels.append(staged(alive.groupBy("id").agg(
             F.first("prefix").alias("prefix"), F.first("suffix").alias("suffix"), F.first("f").alias("f")), f"level{length}"))
