@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoincident.llm import (benchmark_index, chat_trees, collocations, embedding_dedup, language_ppm, lm_backoff, line_alignment,
-                             ngram_join, piece_encoding, secret_ownership, source_mixing, token_repair)
+from geoincident.llm import (benchmark_index, chat_trees, collocations, conversation_repair, embedding_dedup, language_ppm,
+                             line_alignment, lm_backoff, ngram_join, piece_encoding, secret_ownership, source_mixing, token_repair)
 
 _MODULES = (embedding_dedup, ngram_join, language_ppm, source_mixing, token_repair, secret_ownership, lm_backoff,
-            chat_trees, line_alignment, benchmark_index, piece_encoding, collocations)
+            chat_trees, line_alignment, benchmark_index, piece_encoding, conversation_repair, collocations)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
