@@ -3,8 +3,8 @@ import math
 import numpy as np
 import pytest
 
-from geoincident.operators.geodesic import (ELLIPSOIDS, ellipsoid_params, geodesic_km, ratio_bound,
-                                            spherical_ratio_bounds, vincenty_km)
+from geoincident.operators.geodesic import (ELLIPSOIDS, _on_azimuth, ellipsoid_params, geodesic_inverse, geodesic_km,
+                                            inverse, principal_radii, ratio_bound, spherical_ratio_bounds, vincenty_km)
 from geoincident.operators.path import path_length
 
 A, F_ = ellipsoid_params("WGS-84")
@@ -40,17 +40,14 @@ def test_special_cases():
 
 
 def test_azimuth_search_agrees_with_iteration():
-    from geoincident.operators.geodesic import _azimuth_search_km
     rng = np.random.default_rng(1)
     n = 5000
     la1, la2 = rng.uniform(-89, 89, n), rng.uniform(-89, 89, n)
     lo1, lo2 = rng.uniform(-180, 180, n), rng.uniform(-180, 180, n)
-    v = vincenty_km(la1, lo1, la2, lo2, A, F_)
-    w = _azimuth_search_km(la1, lo1, la2, lo2, A, F_)
-    assert not np.isnan(w).any()
-    assert np.max(np.abs(v - w)) < 1e-7
-    g = _azimuth_search_km(np.array([-41.32]), np.array([174.81]), np.array([40.96]), np.array([-5.50]), A, F_)
-    assert g[0] == pytest.approx(19959.6792674, abs=1e-4)
+    v, w = inverse(la1, lo1, la2, lo2, A, F_), _on_azimuth(la1, lo1, la2, lo2, A, F_)
+    assert np.max(np.abs(v[0] - w[0])) < 1e-6
+    for x, y in zip(v[1:], w[1:], strict=True):
+        assert np.max(np.abs((x - y + 180) % 360 - 180)) < 1e-6
     # near-antipodal points: the answer is within the proven sphere bounds and
     # no shorter than a dense brute-force check along candidate azimuths allows
     for lat in (0.5, 20.0, 48.522876735459, 88.202499451857):
@@ -128,3 +125,80 @@ def test_dataframe_distance_helpers(spark):
     assert r.great_circle_km == pytest.approx(536.997990696, abs=1e-8)
     assert r.geodesic_km == pytest.approx(538.390445368, abs=1e-6)
     assert r.dest_lat == pytest.approx(41.49, abs=0.01) and r.dest_lon > -71.312796
+
+
+# ---- either sign of the flattening, azimuths
+
+def solve(lat1, lon1, lat2, lon2, f, a=A):
+    return [float(x[0]) for x in inverse(*[np.array([v]) for v in (lat1, lon1, lat2, lon2)], a, f)]
+
+
+def test_published_azimuths():
+    # published direct / inverse pairs on WGS-84
+    assert solve(-30, 0, 29.9, 179.8, F_) == pytest.approx([19989.832827610, 161.890524736, 18.090737246], abs=1e-7)
+    assert solve(40, 0, 41.79331020506, 137.84490004377, F_) == pytest.approx([10000, 30, 149.09016931807], abs=1e-7)
+    assert solve(40.6, -73.8, 51.6, -0.5, F_) == pytest.approx([5551.759400319, 51.198882845579824, 107.821776735514], abs=1e-6)
+
+
+def walk(lat, lon, azimuth, km, a, f, steps=3000):
+    """End and azimuth of a geodesic by Runge-Kutta steps along its differential equation."""
+    e2 = f * (2 - f)
+
+    def slope(y):
+        p, _, z = y
+        w = 1 - e2 * np.sin(p) ** 2
+        m, n = a * (1 - e2) / w ** 1.5, a / np.sqrt(w)
+        return np.array([np.cos(z) / m, np.sin(z) / (n * np.cos(p)), np.sin(z) * np.tan(p) / n])
+
+    y, h = np.radians(np.array([lat, lon, azimuth])), km / steps
+    for _ in range(steps):
+        k1 = slope(y)
+        k2 = slope(y + h / 2 * k1)
+        k3 = slope(y + h / 2 * k2)
+        y = y + h / 6 * (k1 + 2 * k2 + 2 * k3 + slope(y + h * k3))
+    return np.degrees(y)
+
+
+@pytest.mark.parametrize("f", [-0.2, -0.05, -1 / 298.0, 0.05, 0.15])
+def test_lines_of_any_ellipsoid_end_where_they_should(f):
+    rng = np.random.default_rng(6)
+    lat1, lat2 = rng.uniform(-70, 70, 200), rng.uniform(-70, 70, 200)
+    lon1 = rng.uniform(-180, 180, 200)
+    lon2 = lon1 + rng.uniform(-170, 170, 200)
+    km, first, last = inverse(lat1, lon1, lat2, lon2, A, f)
+    lat, lon, azimuth = walk(lat1, lon1, first, km, A, f)
+    turn = lambda x, y: np.abs((x - y + 180) % 360 - 180)
+    assert np.max(np.abs(lat - lat2)) < 1e-8 and np.max(turn(lon, lon2)) < 1e-8 and np.max(turn(azimuth, last)) < 1e-8
+    lo, hi = spherical_ratio_bounds((A, 0, f))
+    p1, p2, dl = np.radians(lat1), np.radians(lat2), np.radians(lon2 - lon1)
+    gc = 6371.009 * np.arctan2(np.hypot(np.cos(p2) * np.sin(dl), np.cos(p1) * np.sin(p2) - np.sin(p1) * np.cos(p2) * np.cos(dl)),
+                               np.sin(p1) * np.sin(p2) + np.cos(p1) * np.cos(p2) * np.cos(dl))
+    assert (km >= lo * gc * (1 - 1e-12)).all() and (km <= hi * gc * (1 + 1e-12)).all()
+    assert hi / lo == pytest.approx(ratio_bound(f)) and ratio_bound(f) >= 1
+
+
+def test_antipodal_lines_are_the_shortest():
+    half = {f: solve(-90, 0, 90, 0, f)[0] for f in (-0.2, -0.05, 0.1)}
+    assert solve(0, 0, 0, 180, -0.05)[0] == pytest.approx(math.pi * A)      # round a prolate one's waist
+    assert solve(0, 0, 0, 179, -0.2) == pytest.approx([A * math.radians(179), 90, 90])
+    assert solve(0, 0, 0, 180, 0.1)[0] == pytest.approx(half[0.1])          # over an oblate one's pole
+    for f, pole in half.items():
+        for lat, lon in ((0.0, 179.0), (10.0, 180.0), (30.0, 179.9), (60.0, 178.0), (89.0, 180.0), (5.0, 170.0)):
+            km, first, _ = solve(lat, 0, -lat, lon, f)
+            assert km <= (pole if lon == 180.0 else pole * 1.001) + 1e-6
+            # no start azimuth nearby that ends there is shorter: by way of any third point it is further
+            for third in np.linspace(-60, 60, 7):
+                via = solve(lat, 0, third, lon / 2, f)[0] + solve(third, lon / 2, -lat, lon, f)[0]
+                assert km <= via + 1e-6
+    assert math.isnan(solve(91, 0, 0, 0, -0.05)[0]) and math.isnan(solve(0, 0, 91, 0, F_)[0])
+    assert solve(12.5, 7, 12.5, 7, -0.05) == [0.0, 0.0, 0.0]
+    with pytest.raises(ValueError, match="ellipsoid"):
+        principal_radii(A, 1.0)
+
+
+def test_azimuth_struct_column(spark):
+    df = spark.createDataFrame([(-30.0, 0.0, 29.9, 179.8), (1.0, None, 2.0, 3.0)], "a double, b double, c double, d double")
+    row, null = df.select(geodesic_inverse("a", "b", "c", "d", unit="m").alias("g")).collect()
+    assert row.g.length == pytest.approx(19989832.827610, abs=1e-3)
+    assert (row.g.azimuth, row.g.final_azimuth) == pytest.approx((161.890524736, 18.090737246), abs=1e-7)
+    assert null.g.length is None or math.isnan(null.g.length)

@@ -211,3 +211,21 @@ def test_hot_repeated_id_holds_a_third_of_rows(spark):
     ties = nearest_facility(idf, fdf, ["id"], "lat", "lon", "flat", "flon", keep_ties=True,
                             max_broadcast_rows=0).where("id = 0").collect()
     assert len(ties) >= 1 and all(r.distance_km == pytest.approx(exp[0], abs=1e-9) for r in ties)
+
+
+@pytest.mark.parametrize("ellipsoid", [(6378.137, 6697.0, -0.05), (6378.137, 5102.5, 0.2)])
+def test_searches_on_ellipsoids_of_either_sign(spark, ellipsoid):
+    rng = np.random.default_rng(18)
+    a = _points(rng, 250, True) + [(0.3, 10.0), (-89.9, 0.0), (0.0, 179.9999)]
+    b = _points(rng, 60, True) + [(0.3, 11.0), (-89.5, 120.0), (0.0, -179.9999)]
+    adf = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(a)], "aid long, lat double, lon double")
+    bdf = spark.createDataFrame([(j, x, y) for j, (x, y) in enumerate(b)], "bid long, blat double, blon double")
+    km = [vincenty_km([x] * len(b), [y] * len(b), [u for u, _ in b], [v for _, v in b], ellipsoid[0], ellipsoid[2]) for x, y in a]
+    for reach in (100.0, 1500.0):
+        got = {(r.aid, r.bid) for r in within_distance_join(adf, bdf, reach, "lat", "lon", "blat", "blon",
+                                                            metric="geodesic", ellipsoid=ellipsoid).collect()}
+        assert got == {(i, j) for i in range(len(a)) for j in range(len(b)) if km[i][j] <= reach}
+    best = {r.aid: (r.bid, r.distance_km) for r in nearest_facility(
+        adf, bdf, ["aid"], "lat", "lon", "blat", "blon", keep_ties=True, metric="geodesic", ellipsoid=ellipsoid,
+        cell_km=300.0).collect()}
+    assert {i: best[i][0] for i in best} == {i: int(np.argmin(d)) for i, d in enumerate(km)}
