@@ -1,38 +1,34 @@
 """Spatial joins without a cross product.
 
-Points are mapped to unit vectors on the sphere and bucketed into a 3-D grid
-of cubes with edge ``c`` (in unit-sphere chord units). For a point in cube
-``(i, j, k)`` every point within chord distance ``c`` lies in the 27 cubes
-``(i±1, j±1, k±1)``. So a range join replicates the smaller side into its 27
-neighbour cubes and equi-joins on the cube key: no poles, no date line, no
-pair outside the neighbourhood is ever formed. Hot cubes (one cube holding a
-large share of the rows) are split by AQE's skew-join handling.
+Points are mapped to unit vectors on the sphere and bucketed into a 3-D grid of
+cubes: no poles and no date line. A range join uses cubes whose edge is twice
+the reach: a point of the right side is copied into the cubes that its ball's
+box touches, at most 8, a point of the left side lies in one, so a pair meets
+once and none outside the neighbourhood is ever formed. Cubes that hold many rows
+are counted and split on both sides. The nearest search descends an octree
+(``octree.py``).
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from geoincident.functions.geo import EARTH_RADIUS_KM, chord_of_km, great_circle_km, unit_vector
 from geoincident.operators.geodesic import (ellipsoid_params, geodesic_km, ratio_bound,
                                             spherical_ratio_bounds)
 from geoincident.operators.joins import MAX_BROADCAST_ROWS, checked_broadcast
+from geoincident.operators.octree import cell_key, nearest_candidates
 from geoincident.session import ensure_checkpoint_dir
 
 _SLACK = 1e-9
-
-
-def _offsets() -> Column:
-    """The 27 neighbour offsets (dx, dy, dz) in {-1, 0, 1}^3."""
-    return F.array(*[
-        F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(dz).alias("dz"))
-        for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)])
+#: rows of one side in a cube of the range join beyond which it is split
+CUBE_ROWS = 100_000
+#: distances rounded to float32 tie when they are this close
+_FLOAT_SLACK = 2.5e-7
 
 
 def _xyz(df: DataFrame, lat: str, lon: str, p: str) -> DataFrame:
@@ -40,22 +36,6 @@ def _xyz(df: DataFrame, lat: str, lon: str, p: str) -> DataFrame:
     return df.withColumns({p + "x": x, p + "y": y, p + "z": z})
 
 
-def _cell(c: Column, size: float) -> Column:
-    return F.floor(c / F.lit(size)).cast("long")
-
-
-def _with_cell(df: DataFrame, p: str, size: float, out: str) -> DataFrame:
-    return df.withColumns({out + a: _cell(F.col(p + a), size) for a in "xyz"})
-
-
-def _replicate27(df: DataFrame, p: str, size: float, out: str) -> DataFrame:
-    """Each row once per neighbour cube of its own cube."""
-    o = "__off"
-    return (df.withColumn(o, F.explode(_offsets()))
-            .withColumns({out + a: _cell(F.col(p + a), size) + F.col(f"{o}.d{a}") for a in "xyz"})
-            .drop(o))
-
-
 def _keys(prefix: str) -> list[str]:
     return [prefix + "x", prefix + "y", prefix + "z"]
 
@@ -66,13 +46,31 @@ def _check_disjoint(a: DataFrame, b: DataFrame) -> None:
         raise ValueError(f"column names present on both sides, rename them first: {both}")
 
 
+def _split_cubes(left: DataFrame, right: DataFrame, cube: list[str], rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the part of their cube (__i of the left rows, __j of the right ones); cubes of more than ``rows``
+    rows of a side have several, all others one. The counts are map-side sums; only the large cubes are kept of them."""
+    counts = left.groupBy(*cube).agg(F.count(F.lit(1)).alias("l")).join(
+        right.groupBy(*cube).agg(F.count(F.lit(1)).alias("r")), cube)  # a cube of one side has no pairs
+    large = counts.where((F.col("l") > rows) | (F.col("r") > rows)).select(
+        *cube, F.ceil(F.col("l") / F.lit(rows)).alias("__nl"), F.ceil(F.col("r") / F.lit(rows)).alias("__nr"))
+
+    def parts(df: DataFrame, own: str, other: str, n_own: str, n_other: str) -> DataFrame:
+        turn = F.when(F.col(n_own).isNull(), F.lit(0)).otherwise(F.pmod(F.col("__t"), F.col(n_own)))
+        every = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(n_other), F.lit(1)) - F.lit(1))
+        return (df.withColumn("__t", F.monotonically_increasing_id()).join(large, cube, "left")
+                .withColumn(own, turn.cast("long")).withColumn(other, F.explode(every)).drop("__nl", "__nr", "__t"))
+
+    return parts(left, "__i", "__j", "__nl", "__nr"), parts(right, "__j", "__i", "__nr", "__nl")
+
+
 def within_distance_join(left: DataFrame, right: DataFrame, km: float,
                          left_lat: str = "lat", left_lon: str = "lon",
                          right_lat: str = "lat", right_lon: str = "lon",
                          radius_km: float = EARTH_RADIUS_KM,
                          distance_col: str = "distance_km",
                          max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                         metric: str = "great_circle", ellipsoid="WGS-84") -> DataFrame:
+                         metric: str = "great_circle", ellipsoid="WGS-84",
+                         cube_rows: int = CUBE_ROWS) -> DataFrame:
     """All (left, right) pairs within ``km`` of each other (range join).
 
     ``metric="great_circle"`` measures on the sphere of ``radius_km``;
@@ -80,9 +78,11 @@ def within_distance_join(left: DataFrame, right: DataFrame, km: float,
     bound geodesic >= lo * great-circle (lo proven for the ellipsoid), then
     the geodesic UDF filters them exactly.
 
-    ``right`` is the side replicated 27 times (pass the smaller table as
-    ``right``); it is broadcast only if its replicated size is proven below
-    the bound, else both sides shuffle on the cube key (AQE splits hot cubes).
+    ``right`` is the side that is copied, at most 8 times (pass the smaller
+    table as ``right``); it is broadcast only if its copied size is proven below
+    the bound, else both sides shuffle on the cube. Cubes of more than
+    ``cube_rows`` rows of a side are then split: a row of that side takes one of
+    the parts by turns and meets a copy of the other side's rows in each.
     Column names of the two inputs must not overlap (rename first).
     """
     if km < 0:
@@ -95,14 +95,21 @@ def within_distance_join(left: DataFrame, right: DataFrame, km: float,
         lo, _hi = spherical_ratio_bounds(ellipsoid, radius_km)
         reach = km / lo
     size = chord_of_km(reach, radius_km) * (1 + _SLACK) + 1e-15
-    L = _with_cell(_xyz(left.where(F.col(left_lat).isNotNull() & F.col(left_lon).isNotNull()),
-                        left_lat, left_lon, "__l"), "__l", size, "__g")
-    Rb = _xyz(right.where(F.col(right_lat).isNotNull() & F.col(right_lon).isNotNull()),
-              right_lat, right_lon, "__r")
-    R = _replicate27(Rb, "__r", size, "__g")
-    R, _ = checked_broadcast(R, max_broadcast_rows)
+    edge = F.lit(2.0 * size)
+    L = _xyz(left.where(F.col(left_lat).isNotNull() & F.col(left_lon).isNotNull()), left_lat, left_lon, "__l")
+    L = L.withColumns({"__g" + a: F.floor(F.col("__l" + a) / edge) for a in "xyz"}).drop(*_keys("__l"))
+    R = _xyz(right.where(F.col(right_lat).isNotNull() & F.col(right_lon).isNotNull()), right_lat, right_lon, "__r")
+    for a in "xyz":
+        from_to = [F.floor((F.col("__r" + a) + s * F.lit(size)) / edge) for s in (F.lit(-1.0), F.lit(1.0))]
+        R = R.withColumn("__g" + a, F.explode(F.sequence(*from_to)))
+    R = R.drop(*_keys("__r"))
+    R, small = checked_broadcast(R, max_broadcast_rows)
+    on = _keys("__g")
+    if not small:
+        L, R = _split_cubes(L, R, on, cube_rows)
+        on = [*on, "__i", "__j"]
     gc = great_circle_km(F.col(left_lat), F.col(left_lon), F.col(right_lat), F.col(right_lon), radius_km)
-    pairs = L.join(R, on=_keys("__g"), how="inner")
+    pairs = L.join(R, on=on, how="inner")
     if metric == "great_circle":
         pairs = pairs.withColumn(distance_col, gc).where(F.col(distance_col) <= F.lit(km))
     else:
@@ -115,209 +122,15 @@ def within_distance_join(left: DataFrame, right: DataFrame, km: float,
 
 # ------------------------------------------------------------ nearest
 
-def _summary_level(pending: DataFrame, fac: DataFrame, fac_cols: Sequence[str], size: float,
-                   final: bool, w, dist: Column, radius, max_broadcast_rows: int,
-                   fac_rows: int) -> DataFrame:
-    """One search level through facility summaries (see ``_candidate_table``).
-
-    Returns one row per pending cube and opened facility (``__take`` marks
-    the cube's exact candidates) plus one row per cube with ``__ok`` false
-    when the cube is not settled at this level."""
-    sub = size / 8.0
-    fk = fac.withColumns({**{"__o" + a: _cell(F.col("__f" + a), size) for a in "xyz"},
-                          **{"__s" + a: _cell(F.col("__f" + a), sub) for a in "xyz"}})
-    grp = [*_keys("__o"), *_keys("__s")]
-    summ = fk.groupBy(*grp).agg(
-        *[F.min("__f" + a).alias("__lo" + a) for a in "xyz"],
-        *[F.max("__f" + a).alias("__hi" + a) for a in "xyz"],
-        F.min_by(F.struct(*[F.col("__f" + a).alias(a) for a in "xyz"]), F.col("__fid")).alias("__rep"))
-    summ = (summ.withColumn("__off", F.explode(_offsets()))
-            .withColumns({"__g" + a: F.col("__o" + a) + F.col(f"__off.d{a}") for a in "xyz"})
-            .drop("__off"))
-    summ, _ = checked_broadcast(summ, max_broadcast_rows, rows=27 * fac_rows)
-    to_rep = F.sqrt(sum((F.col("__p" + a) - F.col("__rep." + a)) ** 2 for a in "xyz"))
-    to_box = F.sqrt(sum(F.greatest(F.lit(0.0), F.col("__lo" + a) - F.col("__p" + a),
-                                   F.col("__p" + a) - F.col("__hi" + a)) ** 2 for a in "xyz"))
-    # step A: representatives bound the nearest distance from above
-    a = (_with_cell(pending, "__p", size, "__g")
-         .join(summ, on=_keys("__g"), how="left").drop(*_keys("__g"))
-         .withColumn("__R", radius(F.min(to_rep).over(w))))
-    ok = F.lit(True) if final else F.coalesce(
-        F.col("__R") * F.lit(1 + _SLACK) <= F.lit(size), F.lit(False))
-    a = a.withColumn("__ok", ok)
-    opened = (a.where(F.col("__ok") & (to_box <= F.col("__R") * F.lit(1 + _SLACK)))
-              .select(*_keys("__c"), "__px", "__py", "__pz", "__R", *grp))
-    # step B: fetch the facilities of the opened boxes only, then exact radius
-    fb, _ = checked_broadcast(fk.select(*fac_cols, "__fx", "__fy", "__fz", *grp), max_broadcast_rows,
-                              rows=fac_rows)
-    b = (opened.join(fb, on=grp, how="inner").drop(*grp)
-         .withColumn("__d", dist).where(F.col("__d") <= F.col("__R") * F.lit(1 + _SLACK))
-         .withColumn("__r", radius(F.min("__d").over(w)))
-         .withColumn("__take", F.col("__d") <= F.col("__r") * F.lit(1 + _SLACK))
-         .withColumn("__ok", F.lit(True)))
-    waiting = (a.where(~F.col("__ok")).select(*_keys("__c"), "__px", "__py", "__pz")
-               .withColumn("__ok", F.lit(False)))
-    cols = [*_keys("__c"), "__px", "__py", "__pz", "__ok"]
-    return (b.select(*cols, "__take", *fac_cols, "__fx", "__fy", "__fz")
-            .unionByName(waiting, allowMissingColumns=True))
-
-
-def _candidate_table(cells: DataFrame, fac: DataFrame, fac_cols: Sequence[str], base: float,
-                     ratio: float, checkpoint: bool, max_broadcast_rows: int,
-                     summary_min_facilities: int | None = None) -> DataFrame:
-    """For every occupied base cube, the facilities that can be nearest (or
-    tied nearest) to ANY point in that cube.
-
-    For a cube with centre c and half-diagonal h and a facility set with
-    minimum centre distance m, every point p of the cube has its nearest
-    facility within chord m + h, and a facility f can only be that close to p
-    if |c - f| <= m + 2h. With an ellipsoid metric whose ratio to the sphere
-    is within ``ratio``, the bound widens to g(m + h) + h where g scales the
-    arc by ``ratio``. The search around each cube grows level by level
-    (cube edge doubles); a cube is settled at the first level whose 27-cube
-    block provably contains that radius. Only unsettled cubes move on, and
-    each level is checkpointed so lineage stays short.
-
-    Large facility tables (more than ``summary_min_facilities`` rows) take a
-    two-step level: (A) each pending cube meets per-sub-cube summaries
-    (bounding box + one representative facility, sub-cube edge = level edge
-    / 8), at most 27 x 512 rows per cube however dense the facilities are;
-    the representatives give an upper bound m' >= m and a radius R. (B) Only
-    summaries whose box lies within R are opened and their facilities
-    fetched; every facility within radius(m) <= R lies in such a box, so the
-    result is the same exact candidate set, but a dense cluster outside the
-    ball is never joined.
-    """
-    h = base * math.sqrt(3.0) / 2.0
-    ctr = cells.select(*_keys("__c"), *[
-        ((F.col("__c" + a).cast("double") + F.lit(0.5)) * F.lit(base)).alias("__p" + a) for a in "xyz"])
-    dist = F.sqrt(F.pow(F.col("__px") - F.col("__fx"), 2) + F.pow(F.col("__py") - F.col("__fy"), 2)
-                  + F.pow(F.col("__pz") - F.col("__fz"), 2))
-
-    def radius(m: Column) -> Column:
-        if ratio == 1.0:
-            return m + F.lit(2.0 * h)
-        ang = F.least(F.lit(ratio) * F.lit(2.0) * F.asin(F.least(F.lit(1.0), (m + F.lit(h)) / 2.0)),
-                      F.lit(math.pi))
-        return F.lit(2.0) * F.sin(ang / 2.0) + F.lit(h)
-
-    # One small job over the facility table: its size and extent. The typical
-    # facility spacing picks the first search level (a speed choice only: a
-    # cube that is not settled there moves on to coarser levels).
-    st = fac.agg(F.count(F.lit(1)).alias("n"),
-                 *[F.min("__f" + a).alias("lo" + a) for a in "xyz"],
-                 *[F.max("__f" + a).alias("hi" + a) for a in "xyz"]).first()
-    fac_rows = int(st["n"])
-    level = 1
-    if fac_rows > 0:
-        ext = sorted((st["hi" + a] - st["lo" + a]) for a in "xyz")
-        spacing = math.sqrt(ext[1] * ext[2] / fac_rows)
-        level = max(1, math.ceil(math.log2(max((2.0 * spacing + 2.0 * h) / base, 1.0))))
-    if fac_rows == 0:   # nothing can be nearest: an empty candidate table
-        schema = T.StructType(ctr.select(*_keys("__c")).schema.fields
-                              + fac.select(*fac_cols, "__fx", "__fy", "__fz").schema.fields)
-        return fac.sparkSession.createDataFrame([], schema)
-    use_summary = summary_min_facilities is not None and fac_rows > summary_min_facilities
-    pending = ctr.checkpoint() if checkpoint else ctr
-    parts = []
-    w = Window.partitionBy(*_keys("__c"))
-    while True:
-        size = base * (2.0 ** level)
-        final = size >= 2.0 + 2.0 * h
-        if final:
-            size = max(size, 2.0 + 2.0 * h)
-        if use_summary:
-            cand = _summary_level(pending, fac, fac_cols, size, final, w, dist, radius,
-                                  max_broadcast_rows, fac_rows)
-            parts.append(cand.where("__take").select(*_keys("__c"), *fac_cols, "__fx", "__fy", "__fz"))
-        else:
-            rep = _replicate27(fac.select(*fac_cols, "__fx", "__fy", "__fz"), "__f", size, "__g")
-            rep, _ = checked_broadcast(rep, max_broadcast_rows, rows=27 * fac_rows)
-            # left join: a cube with no facility in its block stays pending
-            cand = (_with_cell(pending, "__p", size, "__g")
-                    .join(rep, on=_keys("__g"), how="left")
-                    .drop(*_keys("__g"))
-                    .withColumn("__d", dist)
-                    .withColumn("__r", radius(F.min("__d").over(w))))
-            settled = F.lit(True) if final else F.coalesce(
-                F.col("__r") * F.lit(1 + _SLACK) <= F.lit(size), F.lit(False))
-            cand = cand.withColumn("__ok", settled)
-            # settled cubes keep the facilities inside their radius; this part
-            # is recomputed from the (checkpointed) pending table at the end
-            parts.append(cand.where(F.col("__ok") & (F.col("__d") <= F.col("__r") * F.lit(1 + _SLACK)))
-                         .select(*_keys("__c"), *fac_cols, "__fx", "__fy", "__fz"))
-        if final:
-            break
-        # the window already hash-partitioned rows by cube: no new shuffle
-        pending = cand.where(~F.col("__ok")).select(*_keys("__c"), "__px", "__py", "__pz").distinct()
-        if checkpoint:
-            pending = pending.checkpoint()
-        if pending.isEmpty():
-            break
-        level += 1
-    return reduce(DataFrame.unionByName, parts)
-
-
-# A base cube whose candidate set exceeds this many facilities (a dense
-# facility cluster next to it) is refined: its incidents are solved again on
-# a grid 8 times finer, against only the candidates pooled from such cubes.
-HEAVY_CUBE_CANDIDATES = 256
-MAX_REFINE_DEPTH = 3
-# Facility tables above this size search through per-sub-cube summaries, so
-# a dense cluster inside a cube's search block is only opened when needed.
-SUMMARY_MIN_FACILITIES = 10_000
-
-
-def _join_candidates(Ic: DataFrame, cand: DataFrame, max_broadcast_rows: int,
-                     rows: int | None = None) -> DataFrame:
-    cand, _ = checked_broadcast(cand, max_broadcast_rows, rows=rows)
-    return Ic.join(cand, on=_keys("__c"), how="inner").drop(*_keys("__c"))
-
-
-def _candidate_pairs(I: DataFrame, Fc: DataFrame, fac_cols: list[str], base: float, ratio: float,
-                     checkpoint: bool, max_broadcast_rows: int, heavy: int | None,
-                     depth: int, summary_min: int | None = SUMMARY_MIN_FACILITIES) -> DataFrame:
-    """(incident row, candidate facility) pairs; every incident's nearest
-    facilities (and all ties) are among its candidates."""
-    Ic = _with_cell(I, "__i", base, "__c")
-    cells = Ic.select(*_keys("__c")).distinct()
-    cand = _candidate_table(cells, Fc, fac_cols, base, ratio, checkpoint, max_broadcast_rows,
-                            summary_min)
-    if checkpoint:
-        cand = cand.checkpoint()
-    # one small job: total candidate rows (broadcast decision) and the
-    # largest candidate set of a single cube (refinement decision)
-    st = (cand.groupBy(*_keys("__c")).count()
-          .agg(F.sum("count").alias("n"), F.max("count").alias("mx")).first())
-    n_cand, largest = int(st["n"] or 0), int(st["mx"] or 0)
-    if heavy and depth < MAX_REFINE_DEPTH and largest > heavy:
-        hot = (cand.groupBy(*_keys("__c")).count().where(F.col("count") > F.lit(heavy))
-               .select(*_keys("__c")))
-        hot_b, _ = checked_broadcast(hot, max_broadcast_rows, rows=n_cand // heavy + 1)
-        light = _join_candidates(Ic.join(hot_b, _keys("__c"), "left_anti"),
-                                 cand.join(hot_b, _keys("__c"), "left_anti"), max_broadcast_rows, n_cand)
-        # exact: the nearest facilities of any point in a heavy cube are in
-        # that cube's candidates, so the pool of those is enough
-        pool = (cand.join(hot_b, _keys("__c"), "left_semi").drop(*_keys("__c"))
-                .dropDuplicates(["__fid"]))
-        dense_inc = Ic.join(hot_b, _keys("__c"), "left_semi").drop(*_keys("__c"))
-        dense = _candidate_pairs(dense_inc, pool, fac_cols, base / 8.0, ratio, checkpoint,
-                                 max_broadcast_rows, heavy, depth + 1, summary_min)
-        return light.unionByName(dense)
-    return _join_candidates(Ic, cand, max_broadcast_rows, n_cand)
-
-
 def nearest_facility(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str],
                      inc_lat: str = "lat", inc_lon: str = "lon",
                      fac_lat: str = "lat", fac_lon: str = "lon",
                      keep_ties: bool = False, metric: str = "great_circle",
                      ellipsoid="WGS-84", radius_km: float = EARTH_RADIUS_KM,
-                     cell_km: float = 1.0, distance_col: str = "distance_km",
+                     cell_km: float | None = None, distance_col: str = "distance_km",
                      checkpoint: bool = True,
                      max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                     heavy_cube_candidates: int | None = HEAVY_CUBE_CANDIDATES,
-                     precision: str = "double",
-                     summary_min_facilities: int | None = SUMMARY_MIN_FACILITIES) -> DataFrame:
+                     precision: str = "double") -> DataFrame:
     """Distance from every incident group to its nearest facility, exactly.
 
     ``id_cols`` name an incident group (a repeated id forms one group).
@@ -327,20 +140,16 @@ def nearest_facility(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str],
       equals its group's minimum, with all incident and facility columns.
 
     ``metric`` is ``"great_circle"`` (sphere of ``radius_km``) or
-    ``"geodesic"`` (ellipsoid). For the ellipsoid the candidate radius of a
-    cube is widened by the proven ellipsoid/sphere distance ratio, and the
-    geodesic UDF runs on each incident's candidates only.
+    ``"geodesic"`` (an ellipsoid of either sign of flattening). For the ellipsoid
+    the candidates' reach is widened by the proven ellipsoid/sphere distance
+    ratio, and the geodesic UDF runs on each incident's candidates only.
 
-    Plan: incidents are reduced to their distinct base cubes (edge
-    ``cell_km``); the candidate facilities of each cube are found by a
-    level-by-level widening search on that small table; then the incident
-    table joins its cube's candidates once (equi join on the cube key). A
-    cube with more than ``heavy_cube_candidates`` candidates (a dense
-    facility cluster) is solved again on a finer grid. Facility tables above
-    ``summary_min_facilities`` rows are searched through per-sub-cube
-    summaries, so a dense cluster is only opened for cubes it can serve. No
-    incident x facility cross product is formed. Incident and facility column names must not
-    overlap.
+    Plan: the candidates of every occupied cell come from a descent of an octree
+    of both tables (``octree.nearest_candidates``); then the incident table
+    joins its cells' candidates once per level at which cells settled (one,
+    unless facilities cluster). ``cell_km`` overrides the counted edge of the
+    cells at which most settle. No incident x facility cross product is formed.
+    Incident and facility column names must not overlap.
 
     ``precision="float"`` rounds every distance to float32 before minima and
     ties are taken (the original per-row UDF returned float32, which ties
@@ -357,22 +166,24 @@ def nearest_facility(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str],
     spark = inc.sparkSession
     if checkpoint:
         ensure_checkpoint_dir(spark)
-    base = cell_km / radius_km
-    ratio = 1.0
-    if metric == "geodesic":
-        _a, f = ellipsoid_params(ellipsoid)
-        ratio = ratio_bound(f)
-
-    fac_cols = list(fac.columns)
+    base = None if cell_km is None else round(math.log2(2.0 * radius_km / cell_km))
+    ratio = ratio_bound(ellipsoid_params(ellipsoid)[1]) if metric == "geodesic" else 1.0
+    slack = _SLACK if precision == "double" else _FLOAT_SLACK
     I = _xyz(inc.where(F.col(inc_lat).isNotNull() & F.col(inc_lon).isNotNull()), inc_lat, inc_lon, "__i")
-    # facility rows get a stable id (the small table is materialised first)
-    Fc = _xyz(fac.where(F.col(fac_lat).isNotNull() & F.col(fac_lon).isNotNull()), fac_lat, fac_lon, "__f")
-    Fc = Fc.withColumn("__fid", F.monotonically_increasing_id())
+    Fc = _xyz(fac.where(F.col(fac_lat).isNotNull() & F.col(fac_lon).isNotNull()), fac_lat, fac_lon, "__s")
+    if not keep_ties:  # a place counts once
+        Fc = Fc.select(fac_lat, fac_lon, *_keys("__s")).dropDuplicates([fac_lat, fac_lon])
     if checkpoint:
         Fc = Fc.checkpoint()
-    pairs = _candidate_pairs(I, Fc, fac_cols + ["__fid"], base, ratio, checkpoint,
-                             max_broadcast_rows, heavy_cube_candidates, 0, summary_min_facilities)
-    pairs = pairs.drop("__ix", "__iy", "__iz", "__fx", "__fy", "__fz", "__fid")
+    pairs = None
+    for level, cand in nearest_candidates(I, "__i", Fc, "__s", ratio, slack, max_broadcast_rows, checkpoint, base):
+        if checkpoint:
+            cand = cand.checkpoint()
+        cand, _ = checked_broadcast(cand.drop(*_keys("__s")), max_broadcast_rows)
+        part = I.withColumn("__q", cell_key("__i", level)).join(cand, "__q").drop("__q", *_keys("__i"))
+        pairs = part if pairs is None else pairs.unionByName(part)
+    if pairs is None:  # no incident or no facility
+        pairs = I.drop(*_keys("__i")).join(Fc.drop(*_keys("__s")), F.lit(False))
     if metric == "great_circle":
         dist = great_circle_km(F.col(inc_lat), F.col(inc_lon), F.col(fac_lat), F.col(fac_lon), radius_km)
     else:

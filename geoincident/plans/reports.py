@@ -191,7 +191,7 @@ def nearest_report(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str], by: s
                    keep_ties: bool, inc_lat: str = "LAT", inc_lon: str = "LON",
                    fac_lat: str = "Y", fac_lon: str = "X", metric: str = "geodesic",
                    ellipsoid="WGS-84", radius_km: float = EARTH_RADIUS_KM,
-                   cell_km: float = 1.0, order: str = "by", count_col: str = "n_incidents",
+                   cell_km: float | None = None, order: str = "by", count_col: str = "n_incidents",
                    precision: str = "double") -> DataFrame:
     """Q4-2: distance from every incident to its nearest facility.
 

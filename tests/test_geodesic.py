@@ -202,3 +202,39 @@ def test_azimuth_struct_column(spark):
     assert row.g.length == pytest.approx(19989832.827610, abs=1e-3)
     assert (row.g.azimuth, row.g.final_azimuth) == pytest.approx((161.890524736, 18.090737246), abs=1e-7)
     assert null.g.length is None or math.isnan(null.g.length)
+
+
+def test_path_moves_its_rows_once(spark):
+    import re
+    from geoincident.operators.joins import plan_text
+    df = spark.createDataFrame([("a", i, float(i % 50), float(i % 70)) for i in range(1000)],
+                               "track string, seq int, lat double, lon double")
+    for metric in ("great_circle", "geodesic"):
+        text = plan_text(path_length(df, ["track"], ["seq"], metric=metric))
+        below = text[text.index("MapInArrow"):]  # what stands under the scan of sorted rows
+        assert len(re.findall(r"Exchange rangepartitioning", below)) == 1 and "hashpartitioning" not in below
+        assert "rangepartitioning" not in text[:text.index("MapInArrow")]
+
+
+def test_path_of_null_tracks_batches_and_units(spark):
+    rows = [(None, 7, i, 10.0, i / 10) for i in range(25)] + [("t", None, i, 20.0, i / 10) for i in range(9)]
+    rows += [("t", 1, 0, 0.0, 0.0), ("t", 1, 1, None, 1.0), ("t", 1, 2, 0.0, 1.0)]
+    df = spark.createDataFrame(rows, "track string, leg int, seq int, lat double, lon double")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        for slices in (1, 3):
+            got = {(r.track, r.leg): (r.path_km, r.points) for r in path_length(
+                df, ["track", "leg"], ["seq"], slices=slices, unit="m").collect()}
+            arc = lambda lat, n: sum(R1 * math.atan2(math.hypot(math.cos(p) * math.sin(d), math.cos(p) * math.sin(p) * (1 - math.cos(d))),
+                                                     math.sin(p) ** 2 + math.cos(p) ** 2 * math.cos(d))
+                                     for p, d in [(math.radians(lat), math.radians(0.1))] * n)
+            assert got[None, 7] == (pytest.approx(1000 * arc(10.0, 24), rel=1e-9), 25)
+            assert got["t", None] == (pytest.approx(1000 * arc(20.0, 8), rel=1e-9), 9)
+            assert got["t", 1] == (pytest.approx(1000 * R1 * math.radians(1), rel=1e-9), 2)
+            assert path_length(df.limit(0), ["track"], ["seq"], slices=slices).count() == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+R1 = 6371.009

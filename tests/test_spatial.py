@@ -124,8 +124,7 @@ def test_dense_facility_cluster_is_refined_and_exact(spark):
     inc = _points(rng, 150, False) + [(34.0 + 1e-3 * i, -118.3005 + 1e-4 * i) for i in range(40)]
     idf = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(inc)], "id long, lat double, lon double")
     fdf = spark.createDataFrame([(j, a, b) for j, (a, b) in enumerate(fac)], "fid long, flat double, flon double")
-    ties = nearest_facility(idf, fdf, ["id"], "lat", "lon", "flat", "flon", keep_ties=True,
-                            heavy_cube_candidates=4).collect()
+    ties = nearest_facility(idf, fdf, ["id"], "lat", "lon", "flat", "flon", keep_ties=True).collect()
     got = {}
     for r in ties:
         got.setdefault(r.id, []).append((r.fid, r.distance_km))
@@ -137,9 +136,8 @@ def test_dense_facility_cluster_is_refined_and_exact(spark):
 
 
 @pytest.mark.parametrize("world,metric", [(False, "great_circle"), (True, "great_circle"), (True, "geodesic")])
-def test_summary_search_path_is_exact(spark, world, metric):
-    """The two-step (summary, then opened boxes) level gives the same exact
-    answer as brute force, ties included."""
+def test_search_beside_a_cluster_is_exact(spark, world, metric):
+    """The descent gives the same exact answer as brute force, ties included."""
     rng = np.random.default_rng(44 if world else 45)
     inc = _points(rng, 250, world) + [(89.9, 10.0), (0.0, 179.999)]
     fac = _points(rng, 35, world) + [(34.0 + 2e-5 * i, -118.3) for i in range(25)] + [(0.0, -179.99)]
@@ -147,7 +145,7 @@ def test_summary_search_path_is_exact(spark, world, metric):
     idf = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(inc)], "id long, lat double, lon double")
     fdf = spark.createDataFrame([(j, a, b) for j, (a, b) in enumerate(fac)], "fid long, flat double, flon double")
     rows = nearest_facility(idf, fdf, ["id"], "lat", "lon", "flat", "flon", keep_ties=True, metric=metric,
-                            cell_km=200.0 if world else 2.0, summary_min_facilities=0).collect()
+                            cell_km=200.0 if world else 2.0).collect()
     got = {}
     for r in rows:
         got.setdefault(r.id, []).append((r.fid, r.distance_km))
@@ -229,3 +227,40 @@ def test_searches_on_ellipsoids_of_either_sign(spark, ellipsoid):
         adf, bdf, ["aid"], "lat", "lon", "blat", "blon", keep_ties=True, metric="geodesic", ellipsoid=ellipsoid,
         cell_km=300.0).collect()}
     assert {i: best[i][0] for i in best} == {i: int(np.argmin(d)) for i, d in enumerate(km)}
+
+
+@pytest.mark.parametrize("cube_rows", [100_000, 7])
+def test_range_join_with_half_of_all_points_in_one_cube(spark, cube_rows):
+    rng = np.random.default_rng(40)
+    a = _points(rng, 150, False) + [(34.01 + 1e-5 * (i % 20), -118.31) for i in range(150)]  # also repeated points
+    b = _points(rng, 40, False) + [(34.0101 + 1e-5 * (i % 9), -118.3101) for i in range(40)]
+    adf = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(a)], "aid long, lat double, lon double")
+    bdf = spark.createDataFrame([(j, x, y) for j, (x, y) in enumerate(b)], "bid long, blat double, blon double")
+    got = within_distance_join(adf, bdf, 2.0, "lat", "lon", "blat", "blon", max_broadcast_rows=0, cube_rows=cube_rows).collect()
+    exp = [(i, j) for i, (x, y) in enumerate(a) for j, (u, v) in enumerate(b) if gc(x, y, u, v) <= 2.0]
+    assert sorted((r.aid, r.bid) for r in got) == exp and len(exp) >= 6000  # every pair once
+
+
+def test_range_join_copies_a_point_eight_times_at_most(spark):
+    bdf = spark.createDataFrame([(j, x, y) for j, (x, y) in enumerate(_points(np.random.default_rng(3), 500, True))],
+                                "bid long, blat double, blon double")
+    adf = spark.createDataFrame([(1, 0.0, 0.0)], "aid long, lat double, lon double")
+    import re
+    pairs = within_distance_join(adf, bdf, 50.0, "lat", "lon", "blat", "blon")
+    text = plan_text(pairs, "extended")
+    assert len(re.findall("Generate explode", text.split("Physical Plan")[1])) == 3  # two cubes an axis
+    assert within_distance_join(adf, bdf, 21000.0, "lat", "lon", "blat", "blon").count() == 500
+
+
+def test_a_cluster_takes_the_same_search(spark):
+    """Nine tenths of the facilities within 20 m, incidents beside and far from it."""
+    rng = np.random.default_rng(5)
+    fac = _points(rng, 60, True) + [(34.0 + 1e-6 * (i % 23), -118.3 + 1e-6 * (i // 23)) for i in range(540)]
+    inc = _points(rng, 80, True) + [(34.0 + 1e-4 * i, -118.3) for i in range(60)] + [(34.0, -118.3)] * 40
+    idf = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(inc)], "id long, lat double, lon double")
+    fdf = spark.createDataFrame([(j, a, b) for j, (a, b) in enumerate(fac)], "fid long, flat double, flon double")
+    got = {r.id: r.distance_km for r in nearest_facility(idf, fdf, ["id"], "lat", "lon", "flat", "flon").collect()}
+    for i, (a, b) in enumerate(inc):
+        assert got[i] == pytest.approx(min(gc(a, b, c, d) for c, d in fac), abs=1e-9)
+    single = nearest_facility(idf, fdf, ["id"], "lat", "lon", "flat", "flon", keep_ties=True, precision="float")
+    assert single.select("id").distinct().count() == len(inc)
