@@ -1,18 +1,16 @@
-"""Coordinate text (G9): one scan into tokens, then one reading from left to right.
+"""Coordinate text (G9) on the JVM: one scan into tokens, then one pattern from the first place where it fits.
 
 A text holds a latitude, a separator (blanks, comma, semicolon or slash), a
 longitude and optionally another separator, an altitude and its unit. An angle
 is a number of degrees, optionally with a degree sign and minutes and seconds,
 and a compass letter in front or behind. Anything may stand before the latitude.
-All Unicode blanks count as blanks. The work is linear in the text's length for
-every starting place, and runs of blanks or digits are one token each.
+All Unicode blanks count as blanks, digits are 0 to 9. A point ends with the text
+and has at most ``MOST_TOKENS`` tokens, so only as many places at the end are
+tried, and each try is linear: every repeat in the pattern is possessive.
 """
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,124 +20,73 @@ from geoincident.functions.units import KM_PER_UNIT
 DEGREE_MARKS, MINUTE_MARKS, SECOND_MARKS = "°D*", "′'m", "″\"s"
 ALTITUDE_UNITS = ("km", "m", "mi", "ft", "nm", "nmi")
 
-_TOKEN = re.compile(r"(?P<number>\d+(?:\.\d+)?)|(?P<blank>\s+)|(?P<unit>km|nmi|nm|mi|ft)|(?P<other>.)", re.S)
-
-
-class _Reader:
-    """Tokens of one text and a place among them."""
-
-    def __init__(self, text: str):
-        self.tokens = [(m.lastgroup, m.group()) for m in _TOKEN.finditer(text.replace("''", '"'))]
-        self.at = 0
-
-    def kind(self, ahead: int = 0) -> str:
-        at = self.at + ahead
-        return self.tokens[at][0] if at < len(self.tokens) else "end"
-
-    def text(self, ahead: int = 0) -> str:
-        at = self.at + ahead
-        return self.tokens[at][1] if at < len(self.tokens) else ""
-
-    def take(self, allowed: str) -> str:
-        """The next token if it is one of these characters."""
-        got = self.text()
-        if self.kind() == "other" and got in allowed:
-            self.at += 1
-            return got
-        return ""
-
-    def blanks(self) -> bool:
-        if self.kind() == "blank":
-            self.at += 1
-            return True
-        return False
-
-    def number(self, signed: bool) -> float | None:
-        sign = self.take("+-") if signed and self.kind(1) == "number" else ""
-        if self.kind() != "number":
-            return None
-        self.at += 1
-        return float(sign + self.text(-1))
-
-    def part(self, marks: str) -> float:
-        """A number that one of the marks follows, or 0."""
-        if self.kind() == "number" and self.kind(1) == "other" and self.text(1) in marks:
-            value = self.number(False)
-            self.at += 1
-            self.blanks()
-            return value
-        return 0.0
-
-    def angle(self, plus: str, minus: str) -> float | None:
-        front = self.take(plus + minus)
-        if front:
-            self.blanks()
-        degrees = self.number(True)
-        if degrees is None:
-            return None
-        before = self.at
-        if self.take(DEGREE_MARKS) or self.blanks():
-            marked = self.tokens[before][0] == "other"
-            if marked:
-                self.blanks()
-            start = self.at
-            more = self.part(MINUTE_MARKS) / 60 + self.part(SECOND_MARKS) / 3600
-            back = self.take(plus + minus)
-            if self.at == start and self.tokens[start - 1][0] == "blank":
-                self.at = start - 1  # the blank is the separator
-        else:
-            more, back = 0.0, self.take(plus + minus)
-        # the sign of the degrees counts, so "-0 30m" stays positive
-        value = degrees - more if degrees < 0 else degrees + more
-        return -value if (front or back) == minus else value
-
-    def separator(self) -> bool:
-        found = self.blanks()
-        if self.take(",;/"):
-            found = True
-            self.blanks()
-        return found
-
-    def point(self, start: int) -> tuple[float, float, float] | None:
-        self.at = start
-        lat = self.angle("N", "S")
-        if lat is None or not self.separator():
-            return None
-        lon = self.angle("E", "W")
-        if lon is None:
-            return None
-        height = 0.0
-        if self.kind() != "end" and self.separator() and self.kind() != "end":
-            value = self.number(True)
-            self.blanks()
-            if value is None or self.text() not in ALTITUDE_UNITS:
-                return None
-            height = value * KM_PER_UNIT[self.text()]
-            self.at += 1
-            self.blanks()
-        return (lat, lon, height) if self.kind() == "end" else None
-
-
-def read_point(text: str | None) -> tuple[float, float, float] | None:
-    """(latitude, longitude, altitude in km) or None. The first place where a point can start wins."""
-    if text is None:
-        return None
-    reader = _Reader(text)
-    for start in range(len(reader.tokens)):
-        if reader.kind(start - reader.at) == "number" or reader.text(start - reader.at) in ("N", "S", "+", "-"):
-            point = reader.point(start)
-            if point:
-                return point
-    return None
-
-
-def _read_points(text: pd.Series) -> pd.DataFrame:
-    points = [read_point(t) for t in text]
-    return pd.DataFrame([(*p, True) if p else (None, None, None, False) for p in points],
-                        columns=["lat", "lon", "alt_km", "ok"])
+#: of an angle 13 (letter, blank, sign, number, mark, blank, twice number, mark, blank, letter), of a separator 3, of an
+#: altitude 5
+MOST_TOKENS = 13 + 3 + 13 + 3 + 5
+
+_BLANK = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_NUMBER = r"[0-9]++(?:\.[0-9]++)?+"
+_TOKEN = rf"(?s){_NUMBER}|{_BLANK}++|km|nmi|nm|mi|ft|."
+
+
+def _angle(plus: str, minus: str) -> str:
+    """Groups: letter in front, degrees, minutes, seconds, letter behind, letter right behind the degrees."""
+    letter, minute = f"[{plus}{minus}]", r"(?:[′']|m(?!i))"  # "mi" is a unit
+    more = rf"(?={_NUMBER}(?:{minute}|[″\"s])|{letter})"
+    return (rf"(?:({letter}){_BLANK}*+)?+([+-]?{_NUMBER})"
+            rf"(?>(?:[{DEGREE_MARKS}]{_BLANK}*+|{_BLANK}++){more}"
+            rf"(?:({_NUMBER}){minute}{_BLANK}*+)?+(?:({_NUMBER})[″\"s]{_BLANK}*+)?+({letter})?+"
+            rf"|[{DEGREE_MARKS}]|({letter})|)")
+
+
+_SEPARATOR = rf"(?:{_BLANK}++(?:[,;/]{_BLANK}*+)?+|[,;/]{_BLANK}*+)"
+_UNITS = "|".join(sorted(ALTITUDE_UNITS, key=len, reverse=True))
+_POINT = (rf"\A{_angle('N', 'S')}{_SEPARATOR}{_angle('E', 'W')}"
+          rf"(?:{_SEPARATOR}(?:([+-]?{_NUMBER}){_BLANK}*+({_UNITS}){_BLANK}*+)?+)?+\z")
+
+
+def _value(text: Column, first: int, minus: str) -> Column:
+    """Degrees of the angle whose groups begin at ``first``."""
+    def group(n: int) -> Column:
+        return F.regexp_extract(text, _POINT, first + n)
+
+    def number(n: int, parts: float) -> Column:
+        return F.coalesce(F.nullif(group(n), F.lit("")).cast("double"), F.lit(0.0)) / F.lit(parts)
+
+    more = number(2, 60.0) + number(3, 3600.0)
+    degrees = group(1).cast("double")
+    # the sign of the degrees counts, so "-0 30m" stays positive
+    value = F.when(degrees < 0, degrees - more).otherwise(degrees + more)
+    letter = F.concat(group(0), group(4), group(5))  # the one in front wins
+    return F.when(F.substring(letter, 1, 1) == minus, -value).otherwise(value)
+
+
+def _read(text: Column) -> Column:
+    factors = F.create_map(*[x for u in ALTITUDE_UNITS for x in (F.lit(u), F.lit(float(KM_PER_UNIT[u])))])
+    height = F.nullif(F.regexp_extract(text, _POINT, 13), F.lit("")).cast("double")
+    unit = F.regexp_extract(text, _POINT, 14)
+    return F.struct(_value(text, 1, "S").alias("lat"), _value(text, 7, "W").alias("lon"),
+                    F.coalesce(height * F.try_element_at(factors, unit), F.lit(0.0)).alias("alt_km"),
+                    F.lit(True).alias("ok"))
 
 
 def parsed_point(text: Column) -> Column:
-    """Struct (lat, lon, alt_km, ok) of every text, evaluated once however often it is read."""
-    udf = F.pandas_udf(_read_points, "lat double, lon double, alt_km double, ok boolean")
-    return udf.asNondeterministic()(text)
+    """Struct (lat, lon, alt_km, ok) of every text; ok is false and the others null where there is no point.
+
+    The first place where a point can start wins.
+    """
+    tokens = F.regexp_extract_all(F.replace(text, F.lit("''"), F.lit('"')), F.lit(_TOKEN), F.lit(0))
+
+    def ending(tokens: Column) -> Column:
+        """The texts from each of the last tokens on that are points."""
+        size = F.size(tokens)
+        starts = F.when(size > 0, F.sequence(F.greatest(F.lit(1), size - F.lit(MOST_TOKENS - 1)), size)).otherwise(
+            F.array().cast("array<int>"))
+        return F.filter(F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(MOST_TOKENS)), "")),
+                        lambda t: t.rlike(_POINT))
+
+    # bound as a lambda's variable, the tokens and the point are made once
+    found = F.get(F.flatten(F.transform(F.array(tokens), ending)), F.lit(0))
+    read = F.get(F.transform(F.filter(F.array(found), lambda t: t.isNotNull()), _read), F.lit(0))
+    none = F.struct(*[F.lit(None).cast("double").alias(c) for c in ("lat", "lon", "alt_km")], F.lit(False).alias("ok"))
+    return F.coalesce(read, none)

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from geoincident.functions.coordtext import parsed_point
 from geoincident.functions.geo import (REJECT_UNPARSEABLE, altitude_mismatch,
                                         coordinate_reject_reason, wrap_longitude)
-from geoincident.session import ship_package
 
 REASON_COL = "reject_reason"
 
@@ -51,8 +50,7 @@ def tag_parsed_coordinates(df: DataFrame, text: str, lat: str = "lat", lon: str
     lat, lon, alt_km and tag it as :func:`tag_coordinates` does; text that
     does not fit the grammar is tagged ``unparseable``.
 
-    The texts go through one Arrow-batched scan (linear in their length)."""
-    ship_package(df.sparkSession)
+    All of it are column expressions; the work is linear in the texts' length."""
     out = df.withColumn("__point", parsed_point(F.col(text)))
     out = (out.withColumn(lat, F.col("__point.lat")).withColumn(lon, F.col("__point.lon"))
            .withColumn(alt, F.col("__point.alt_km")))
