@@ -581,6 +581,7 @@ def queries() -> dict[str, Query]:
         "descent_income_broadcast": _descent_income("broadcast"),
         "descent_income_merge": _descent_income("merge"),
         "descent_income_shuffle_hash": _descent_income("shuffle_hash"),
+        "descent_income_skew": _descent_income("skew"),
         "decode_codes": q_decode_codes,
         "parse_money": q_parse_money,
         "union_aligned": q_union_aligned,
@@ -627,6 +628,7 @@ def oracle_sql() -> dict[str, str]:
         "descent_income_broadcast": _descent_income_sql(),
         "descent_income_merge": _descent_income_sql(),
         "descent_income_shuffle_hash": _descent_income_sql(),
+        "descent_income_skew": _descent_income_sql(),
         "decode_codes": SQL_DECODE_CODES,
         "parse_money": SQL_PARSE_MONEY,
         "union_aligned": SQL_UNION_ALIGNED,

@@ -18,7 +18,7 @@ from geoincident.functions.money import parse_money
 from geoincident.functions.timeops import in_year, to_date_any
 from geoincident.operators.extremes import count_extreme_groups
 from geoincident.operators.geodesic import geodesic_km
-from geoincident.operators.joins import join_with_strategy
+from geoincident.operators.joins import join_with_strategy, skew_join
 from geoincident.operators.ranking import top_k_per_group
 from geoincident.operators.spatial import nearest_facility
 from geoincident.sources.files import profile
@@ -83,28 +83,6 @@ def part_of_day_counts(df: DataFrame, time_col: str = "TIME OCC", premise_col: s
             .orderBy(F.col(count_col).desc(), "partofday"))
 
 
-def part_of_day_counts_rdd(df: DataFrame, time_col: str = "TIME OCC",
-                           premise_col: str = "Premis Cd", premise: int = 101) -> list[tuple[str, int]]:
-    """Q2 as RDD map/filter/reduceByKey/sortBy, kept only to show that the
-    DataFrame form gives the same answer (tests); it bypasses Catalyst."""
-    from geoincident.functions.daypart import DAY_PARTS, NIGHT
-
-    def band(t):
-        if t is None:
-            return None
-        for name, lo, hi in DAY_PARTS:
-            if lo <= t <= hi:
-                return name
-        return NIGHT
-
-    rdd = (df.select(F.col(f"`{time_col}`").alias("t"), F.col(f"`{premise_col}`").alias("p")).rdd
-           .filter(lambda r: r.p == premise)
-           .map(lambda r: (band(r.t), 1))
-           .reduceByKey(lambda a, b: a + b)
-           .sortBy(lambda kv: (-kv[1], kv[0] or "")))
-    return rdd.collect()
-
-
 # ------------------------------------------------------------------ Q3
 
 def extreme_group_counts(df: DataFrame, value_col: str, group_col: str, k: int = 3,
@@ -126,7 +104,9 @@ def descent_income_report(incidents: DataFrame, geocodes: DataFrame, income: Dat
     incidents(DATE OCC date, Vict Descent, LAT, LON) ⋈ geocodes(LAT, LON,
     ZIPcode) on both coordinates; ZIP = first five characters as int;
     ⋈ income(Zip Code, Estimated Median Income[, year]). ``strategy`` picks
-    the physical join for both joins."""
+    the physical join for both joins (``"skew"``: places and ZIP areas with very
+    many incidents are found by a sketch and split). Coordinates are compared as
+    doubles: 0.0 equals -0.0, NaN equals NaN, and a null one joins nothing."""
     inc = (incidents
            .where(in_year(F.col("`DATE OCC`"), year))
            .where((F.col("`Vict Descent`") != "X") & F.col("`Vict Descent`").isNotNull())
@@ -134,16 +114,22 @@ def descent_income_report(incidents: DataFrame, geocodes: DataFrame, income: Dat
                    F.col("LON").alias("lon")))
     geo = geocodes.select(F.col("LAT").alias("g_lat"), F.col("LON").alias("g_lon"),
                           F.substring("ZIPcode", 1, 5).try_cast("int").alias("zip"))
-    inc_geo = join_with_strategy(inc, geo, (inc["lat"] == geo["g_lat"]) & (inc["lon"] == geo["g_lon"]),
-                                 strategy=strategy).select("descent", "zip")
+    if strategy == "skew":
+        inc_geo = skew_join(inc, geo, ["lat", "lon"], ["g_lat", "g_lon"]).select("descent", "zip")
+    else:
+        inc_geo = join_with_strategy(inc, geo, (inc["lat"] == geo["g_lat"]) & (inc["lon"] == geo["g_lon"]),
+                                     strategy=strategy).select("descent", "zip")
     inc_geo = inc_geo.where(F.col("zip").isNotNull())
     inc_sel = income
     if "year" in income.columns:
         inc_sel = income.where(F.col("year") == F.lit(year))
     inc_sel = inc_sel.select(F.col("`Zip Code`").alias("zip_code"),
                              parse_money("Estimated Median Income").alias("income"))
-    joined = join_with_strategy(inc_geo, inc_sel, inc_geo["zip"] == inc_sel["zip_code"],
-                                strategy=strategy)
+    if strategy == "skew":
+        joined = skew_join(inc_geo, inc_sel.withColumn("zip_code", F.col("zip_code").cast("int")), ["zip"], ["zip_code"])
+    else:
+        joined = join_with_strategy(inc_geo, inc_sel, inc_geo["zip"] == inc_sel["zip_code"],
+                                    strategy=strategy)
     rows = joined.select(decode("descent", descent_codes).alias("Victim Descent"), "income")
     return extreme_group_counts(rows, "income", "Victim Descent", k)
 

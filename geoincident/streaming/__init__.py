@@ -4,7 +4,7 @@ The reference has no streaming job. Its per-row steps (date parsing, part of
 day, code decoding, money parsing, great-circle distance) are stateless
 column expressions, so the same report functions run on a streaming
 DataFrame; aggregations then keep their state in Structured Streaming's
-state store. This module only provides the source side and a bounded run.
+state store. This module only provides the source side.
 """
 
 from __future__ import annotations
@@ -32,13 +32,3 @@ def incident_stream(spark: SparkSession, directory: str, schema: T.StructType =
 
 def parquet_stream(spark: SparkSession, directory: str, schema: T.StructType) -> DataFrame:
     return spark.readStream.schema(schema).parquet(directory)
-
-
-def run_available(df: DataFrame, query_name: str, checkpoint_dir: str,
-                  output_mode: str = "complete") -> DataFrame:
-    """Process everything available now into a memory table and return it
-    as a batch DataFrame (for tests and one-shot catch-up runs)."""
-    q = (df.writeStream.format("memory").queryName(query_name).outputMode(output_mode)
-         .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return df.sparkSession.sql(f"SELECT * FROM {query_name}")

@@ -1,10 +1,11 @@
 import datetime as dt
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from geoincident.operators.extremes import count_extreme_groups, extreme_values, filter_extreme_groups
-from geoincident.operators.joins import join_strategy_used, join_with_strategy, plan_text
+from geoincident.operators.joins import heavy_keys, join_strategy_used, join_with_strategy, plan_text, skew_join
 from geoincident.operators.ranking import top_k_per_group
 from geoincident.plans.reports import top_months, top_months_sql
 
@@ -97,3 +98,62 @@ def test_join_size_guards(spark):
         join_with_strategy(left, right, left.k == right.k2, strategy="broadcast", max_broadcast_rows=1, strict=True)
     with pytest.raises(ValueError):
         join_with_strategy(left, right, left.k == right.k2, strategy="nested")
+
+
+# ---- heavy keys
+
+def _places(spark, n=60_000):
+    """Three tenths of the rows on one place, some on null, zero and NaN ones."""
+    k = F.when(F.col("id") % 10 < 3, F.lit(7.0)).when(F.col("id") % 997 == 0, F.lit(None)).when(
+        F.col("id") % 991 == 0, F.lit(-0.0)).when(F.col("id") % 983 == 0, F.lit(float("nan"))).otherwise(
+        (F.col("id") * 7919 % 5000).cast("double"))
+    left = spark.range(0, n, 1, 8).select("id", k.alias("lat"), (k * 2).alias("lon"))
+    place = spark.range(5000).select(F.col("id").cast("double").alias("g_lat"), (F.col("id") * 2.0).alias("g_lon"),
+                                     F.col("id").alias("zip"))
+    odd = spark.createDataFrame([(0.0, -0.0, -1), (float("nan"), float("nan"), -2), (None, None, -3), (7.0, 14.0, -4)],
+                                "g_lat double, g_lon double, zip long")
+    return left, place.unionByName(odd)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_skew_join_equals_the_plain_join(spark, how):
+    left, right = _places(spark, 6000)
+    plain = left.join(right, (F.col("lat") == F.col("g_lat")) & (F.col("lon") == F.col("g_lon")), how)
+    got = skew_join(left, right, ["lat", "lon"], ["g_lat", "g_lon"], how, parts=16)
+    assert got.columns == plain.columns
+    same = lambda df: Counter(map(repr, df.collect()))
+    assert same(got) == same(plain)
+    assert heavy_keys(left, ["lat", "lon"], 16).keys() == {
+        left.where("lat = 7").select(F.xxhash64("lat", "lon").alias("h")).first()["h"]}
+
+
+def test_no_task_has_four_times_the_median(spark):
+    left, right = _places(spark)
+    keys = ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in zip(keys, ("false", "48", "-1")):
+            spark.conf.set(k, v)
+        def sizes(df):
+            return sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        even = sizes(skew_join(left, right, ["lat", "lon"], ["g_lat", "g_lon"]))
+        hot = sizes(left.join(right, (F.col("lat") == F.col("g_lat")) & (F.col("lon") == F.col("g_lon"))))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert hot[-1] > 10 * hot[len(hot) // 2]
+    assert even[-1] <= 4 * even[len(even) // 2] and sum(even) == sum(hot)
+
+
+def test_skew_strategy_by_name_and_its_errors(spark):
+    left, right = _places(spark, 2000)
+    named = right.withColumnsRenamed({"g_lat": "lat", "g_lon": "lon"})
+    got = join_with_strategy(left, named, ["lat", "lon"], strategy="skew")
+    assert sorted(got.columns) == ["id", "lat", "lon", "zip"]
+    assert got.count() == left.join(named, ["lat", "lon"]).count()
+    with pytest.raises(ValueError, match="names"):
+        join_with_strategy(left, right, left["lat"] == right["g_lat"], strategy="skew")
+    with pytest.raises(ValueError, match="how"):
+        skew_join(left, right, ["lat"], ["g_lat"], "full")
+    with pytest.raises(ValueError, match="types"):
+        skew_join(left, right, ["id"], ["g_lat"])

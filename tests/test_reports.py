@@ -2,17 +2,41 @@ import datetime as dt
 import math
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoincident.operators.geodesic import ellipsoid_params, vincenty_km
 from geoincident.operators.joins import join_strategy_used
 from geoincident.plans.reports import (descent_income_report, distance_report, nearest_report,
-                                       part_of_day_counts, part_of_day_counts_rdd, weapon_filter)
+                                       part_of_day_counts, weapon_filter)
 
 INC_COLS = "DR_NO long, `DATE OCC` date, `TIME OCC` int, `AREA ` int, `Premis Cd` int, " \
            "`Vict Descent` string, `Weapon Used Cd` int, LAT double, LON double"
 
 
+def part_of_day_counts_rdd(df: DataFrame, time_col: str = "TIME OCC",
+                           premise_col: str = "Premis Cd", premise: int = 101) -> list[tuple[str, int]]:
+    """Q2 as RDD map/filter/reduceByKey/sortBy, kept only to show that the
+    DataFrame form gives the same answer (tests); it bypasses Catalyst."""
+    from geoincident.functions.daypart import DAY_PARTS, NIGHT
+
+    def band(t):
+        if t is None:
+            return None
+        for name, lo, hi in DAY_PARTS:
+            if lo <= t <= hi:
+                return name
+        return NIGHT
+
+    rdd = (df.select(F.col(f"`{time_col}`").alias("t"), F.col(f"`{premise_col}`").alias("p")).rdd
+           .filter(lambda r: r.p == premise)
+           .map(lambda r: (band(r.t), 1))
+           .reduceByKey(lambda a, b: a + b)
+           .sortBy(lambda kv: (-kv[1], kv[0] or "")))
+    return rdd.collect()
+
+
+
 def _incidents(spark):
     d15, d16 = dt.date(2015, 5, 1), dt.date(2016, 5, 1)
     rows = [

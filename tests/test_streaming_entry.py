@@ -7,11 +7,21 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from geoincident.plans.reports import part_of_day_counts
-from geoincident.streaming import incident_stream, run_available
+from geoincident.streaming import incident_stream
 
 SF001 = "/root/testdata/sf0.001"
 
 
+def run_available(df, query_name: str, checkpoint_dir: str,
+                  output_mode: str = "complete"):
+    """Process everything available now into a memory table and return it
+    as a batch DataFrame (for tests and one-shot catch-up runs)."""
+    q = (df.writeStream.format("memory").queryName(query_name).outputMode(output_mode)
+         .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return df.sparkSession.sql(f"SELECT * FROM {query_name}")
+
+
 def test_part_of_day_on_a_stream(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
