@@ -332,7 +332,7 @@ def vincenty_sql(lat1: str, lon1: str, lat2: str, lon2: str, source: str,
                  keep: str, ellipsoid="WGS-84", rounds: int = 6, prefix: str = "vg") -> tuple[str, str]:
     """The same iteration as a chain of SQL CTEs with a fixed round count
     (for an independent SQL engine). Returns (cte_text, final_cte_name); the
-    final CTE has the ``keep`` columns plus ``geodesic_km``."""
+    final CTE has the ``keep`` columns plus ``geodesic_km`` and the start ``azimuth``."""
     a, f = ellipsoid_params(ellipsoid)
     b = a * (1 - f)
 
@@ -379,7 +379,8 @@ def vincenty_sql(lat1: str, lon1: str, lat2: str, lon2: str, source: str,
 {prefix}out AS (
   SELECT {keep}, {dbl(b)} * aa * (sg_prev - bb * ss_prev * (c2m_prev + bb / 4 * (
       cs_prev * (-1 + 2 * c2m_prev * c2m_prev)
-      - bb / 6 * c2m_prev * (-3 + 4 * ss_prev * ss_prev) * (-3 + 4 * c2m_prev * c2m_prev)))) AS geodesic_km
+      - bb / 6 * c2m_prev * (-3 + 4 * ss_prev * ss_prev) * (-3 + 4 * c2m_prev * c2m_prev)))) AS geodesic_km,
+    (degrees(atan2(cos(U2) * sin(lam), cos(U1) * sin(U2) - sin(U1) * cos(U2) * cos(lam))) + 360) % 360 AS azimuth
   FROM {prefix}ab)""")
     return ",\n".join(ctes), f"{prefix}out"
 

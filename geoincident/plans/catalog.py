@@ -4,9 +4,10 @@ floating results are rounded (6 digits for km, 9 for degrees)."""
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from geoincident.functions.codes import decode
@@ -21,7 +22,8 @@ from geoincident.operators.path import path_length
 from geoincident.operators.spatial import within_distance_join
 from geoincident.plans import reports as R
 from geoincident.plans import standins as S
-from geoincident.sources.files import profile, read_table, union_aligned
+from geoincident.session import ensure_checkpoint_dir
+from geoincident.sources.files import profile, read_facilities, read_table, union_aligned
 
 KM_DIGITS = 6
 DEG_DIGITS = 9
@@ -398,22 +400,74 @@ SELECT incident_id, ROUND(degrees(p2), {DEG_DIGITS}) AS dest_lat,
 FROM q"""
 
 
+# ----------------------------------------------------------- S2 CSV files
+
+def q_csv_stations(spark, sf):
+    """Station files of two headers in one folder, read back, with the count of values that were none."""
+    folder = f"{ensure_checkpoint_dir(spark)}/stations-{uuid.uuid4().hex}"
+    S.write_station_files(spark, sf, folder)
+    counted = Observation("station files")
+    st = read_facilities(spark, folder, counted)
+    out = st.groupBy((F.col("FID") % 2).cast("int").alias("odd")).agg(
+        F.count(F.lit(1)).alias("n_stations"), F.count("X").alias("n_x"), F.round(F.avg("X"), DEG_DIGITS).alias("avg_x"),
+        F.round(F.avg("Y"), DEG_DIGITS).alias("avg_y")).checkpoint()
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return out.withColumn("bad_x", F.lit(counted.get["bad_X"]).cast("long"))
+
+
+SQL_CSV_STATIONS = f"""WITH {SUPP_CTE},
+f AS (SELECT CASE WHEN station_id % 50 <> 0 THEN st_lon END AS x, st_lat AS y, CAST(station_id % 2 AS INTEGER) AS odd FROM sst)
+SELECT odd, COUNT(*) AS n_stations, COUNT(x) AS n_x, ROUND(AVG(x), {DEG_DIGITS}) AS avg_x, ROUND(AVG(y), {DEG_DIGITS}) AS avg_y,
+       (SELECT COUNT(*) FROM f WHERE x IS NULL) AS bad_x
+FROM f GROUP BY odd"""
+
+# ----------------------------------------------------------- O4 limit after a total order
+
+def q_first_incidents(spark, sf):
+    """The 25 northernmost incidents, ties by id: a limit after a total order."""
+    inc = S.customer_incidents(spark, sf)
+    return (inc.orderBy(F.col("lat").desc(), "incident_id").limit(25)
+            .select("incident_id", F.round("lat", DEG_DIGITS).alias("lat"), "segment"))
+
+
+SQL_FIRST_INCIDENTS = f"""WITH {INC_CTE}
+SELECT incident_id, ROUND(lat, {DEG_DIGITS}) AS lat, segment FROM inc ORDER BY inc.lat DESC, incident_id LIMIT 25"""
+
 # ----------------------------------------------------------- G12 bearings
 
+# fixed values: the 32 compass points from north clockwise
+COMPASS_POINTS = ("N NbE NNE NEbN NE NEbE ENE EbN E EbS ESE SEbE SE SEbS SSE SbE "
+                  "S SbW SSW SWbS SW SWbW WSW WbS W WbN WNW NWbW NW NWbN NNW NbW").split()
+
+
 def q_bearing_histogram(spark, sf):
     inc = S.customer_incidents(spark, sf)
     fac = S.nation_stations(spark, sf)
     return R.bearing_histogram(inc, fac, "area", "prec", "lat", "lon", "st_lat", "st_lon")
 
 
+def q_bearing_histogram_geodesic(spark, sf):
+    """Compass points of the geodesics' start azimuths on WGS-84."""
+    return R.bearing_histogram(S.customer_incidents(spark, sf), S.nation_stations(spark, sf), "area", "prec", "lat", "lon",
+                               "st_lat", "st_lon", metric="geodesic")
+
+
+def _bearing_geodesic_sql() -> str:
+    ctes, final = vincenty_sql("st_lat", "st_lon", "lat", "lon", "pairs", keep="incident_id")
+    names = ", ".join(f"'{n}'" for n in COMPASS_POINTS)
+    return f"""WITH {INC_CTE}, {NATION_CTE},
+pairs AS (SELECT incident_id, lat, lon, st_lat, st_lon FROM inc JOIN nst ON inc.area = nst.prec),
+{ctes}
+SELECT ([{names}])[CAST(round(azimuth / 11.25) AS INTEGER) % 32 + 1] AS compass_point, COUNT(*) AS n_incidents
+FROM {final} GROUP BY 1"""
+
+
 def _bearing_sql() -> str:
     p1, p2 = "radians(st_lat)", "radians(lat)"
     dl = "(radians(lon) - radians(st_lon))"
     b = f"((degrees(atan2(sin({dl}) * cos({p2}), cos({p1}) * sin({p2}) - sin({p1}) * cos({p2}) * cos({dl}))) + 360.0) % 360.0)"
-    # fixed values: the 32 compass points from north clockwise
-    names = ", ".join(f"'{n}'" for n in (
-        "N NbE NNE NEbN NE NEbE ENE EbN E EbS ESE SEbE SE SEbS SSE SbE "
-        "S SbW SSW SWbS SW SWbW WSW WbS W WbN WNW NWbW NW NWbN NNW NbW").split())
+    names = ", ".join(f"'{n}'" for n in COMPASS_POINTS)
     return f"""WITH {INC_CTE}, {NATION_CTE},
 b AS (SELECT {b} AS bearing FROM inc JOIN nst ON inc.area = nst.prec)
 SELECT ([{names}])[CAST(round(bearing / 11.25) AS INTEGER) % 32 + 1] AS compass_point, COUNT(*) AS n_incidents
@@ -606,6 +660,9 @@ def queries() -> dict[str, Query]:
         "path_length_geodesic": q_path_length_geodesic,
         "destination": q_destination,
         "bearing_histogram": q_bearing_histogram,
+        "bearing_histogram_geodesic": q_bearing_histogram_geodesic,
+        "csv_stations": q_csv_stations,
+        "first_incidents": q_first_incidents,
         "convert_length": q_convert_length,
         "convert_angle": q_convert_angle,
         "altitude_conflicts": q_altitude_conflicts,
@@ -653,6 +710,9 @@ def oracle_sql() -> dict[str, str]:
         "path_length_geodesic": _path_geodesic_sql(),
         "destination": _dest_sql(),
         "bearing_histogram": _bearing_sql(),
+        "bearing_histogram_geodesic": _bearing_geodesic_sql(),
+        "csv_stations": SQL_CSV_STATIONS,
+        "first_incidents": SQL_FIRST_INCIDENTS,
         "convert_length": _units_sql(),
         "convert_angle": SQL_CONVERT_ANGLE,
         "altitude_conflicts": SQL_ALTITUDE_CONFLICTS,

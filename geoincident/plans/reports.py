@@ -17,7 +17,7 @@ from geoincident.functions.geo import EARTH_RADIUS_KM, compass_point, great_circ
 from geoincident.functions.money import parse_money
 from geoincident.functions.timeops import in_year, to_date_any
 from geoincident.operators.extremes import count_extreme_groups
-from geoincident.operators.geodesic import geodesic_km
+from geoincident.operators.geodesic import geodesic_inverse, geodesic_km
 from geoincident.operators.joins import join_with_strategy, skew_join
 from geoincident.operators.ranking import top_k_per_group
 from geoincident.operators.spatial import nearest_facility
@@ -204,12 +204,16 @@ def nearest_report(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str], by: s
 
 def bearing_histogram(inc: DataFrame, fac: DataFrame, inc_key: str, fac_key: str,
                       inc_lat: str = "LAT", inc_lon: str = "LON", fac_lat: str = "Y",
-                      fac_lon: str = "X", count_col: str = "n_incidents") -> DataFrame:
+                      fac_lon: str = "X", count_col: str = "n_incidents",
+                      metric: str = "great_circle", ellipsoid="WGS-84") -> DataFrame:
     """Compass direction from each incident's responsible facility to
-    the incident, counted per compass point (32 points)."""
+    the incident, counted per compass point (32 points). ``metric="geodesic"``
+    takes the azimuth of the inverse problem on the ellipsoid."""
     joined = inc.join(fac, inc[f"`{inc_key}`"] == fac[f"`{fac_key}`"], "inner")
-    b = initial_bearing(F.col(f"`{fac_lat}`"), F.col(f"`{fac_lon}`"),
-                        F.col(f"`{inc_lat}`"), F.col(f"`{inc_lon}`"))
+    ends = [F.col(f"`{c}`") for c in (fac_lat, fac_lon, inc_lat, inc_lon)]
+    if metric not in ("great_circle", "geodesic"):
+        raise ValueError("metric must be 'great_circle' or 'geodesic'")
+    b = initial_bearing(*ends) if metric == "great_circle" else geodesic_inverse(*ends, ellipsoid)["azimuth"]
     return (joined.select(compass_point(b).alias("compass_point"))
             .groupBy("compass_point").agg(F.count(F.lit(1)).alias(count_col))
             .orderBy(F.col(count_col).desc(), "compass_point"))

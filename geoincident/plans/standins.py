@@ -115,3 +115,16 @@ def nation_income(spark: SparkSession, sf: str) -> DataFrame:
     text = F.when(k == 7, F.lit("---")).otherwise(F.concat(F.lit("$"), F.format_number(amount, 0)))
     return n.select((k + F.lit(90000)).cast("int").alias("Zip Code"), F.col("n_name").alias("Community"),
                     text.alias("Estimated Median Income"))
+
+
+def write_station_files(spark: SparkSession, sf: str, folder: str) -> None:
+    """Every supplier as a station in CSV files of two headers, X before Y and Y before X, in one folder; every 50th
+    station has no usable X."""
+    s = supplier_stations(spark, sf)
+    k = F.col("station_id")
+    rows = s.select(F.when(k % 50 == 0, F.lit("n/a")).otherwise(F.col("st_lon").cast("string")).alias("X"),
+                    F.col("st_lat").alias("Y"), k.alias("FID"), F.col("division").alias("DIVISION"),
+                    F.lit("").alias("LOCATION"), k.alias("PREC"))
+    for odd, order in ((0, ["X", "Y"]), (1, ["Y", "X"])):
+        (rows.where(k % 2 == odd).select(*order, "FID", "DIVISION", "LOCATION", "PREC")
+         .write.mode("append").option("header", True).csv(folder))

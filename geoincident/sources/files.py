@@ -7,10 +7,12 @@ only where a ``try_`` function is used on purpose.
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 from typing import Iterable, Mapping
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,44 +73,89 @@ GEOCODE_SCHEMA = T.StructType([
 ])
 
 
-def _csv(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
-    """One CSV source under ``schema``, its columns found by the header.
-
-    Names are compared without case and blanks at their ends. A header with
-    all names in another order is followed. A name that the schema does not
-    know stands for the column at its place; a known name at another column's
-    place or another number of columns is then an error. Only the first line
-    is read for this."""
-    plain = lambda name: name.strip("\ufeff ").lower()
-    header = [plain(c) for c in spark.read.option("header", True).csv(path).columns]
-    fields = {plain(f.name): f for f in schema}
-    if sorted(header) != sorted(fields):
-        own = list(fields)
-        if len(header) != len(own) or any(h in fields and h != o for h, o in zip(header, own)):
-            raise ValueError(f"{path}: the header names {header}, expected {own}")
-        header = own
-    found = T.StructType([fields[name] for name in header])
-    return (spark.read.schema(found).option("header", True).option("mode", "PERMISSIVE")
-            .option("multiLine", False).csv(path).select([F.col(f"`{f.name}`") for f in schema]))
+def _plain(name: str) -> str:
+    """Column names are compared without case, blanks at their ends and the byte-order mark."""
+    return name.strip("\ufeff \t\r").lower()
+
+
+def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files of a path (a file, a folder or a pattern) by their header line. Files without any line are left out.
+
+    The lines are found by Spark, one per file: of the first block of each file the line that comes first.
+    """
+    lines = (spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+             .where("file_block_start = 0").withColumn("nth", F.monotonically_increasing_id())
+             .groupBy("file_path").agg(F.min_by("value", "nth").alias("line")))
+    out: dict[str, list[str]] = {}
+    for line, files in lines.groupBy("line").agg(F.sort_array(F.collect_list("file_path")).alias("files")).collect():
+        out[line] = [unquote(f) for f in files]
+    return dict(sorted(out.items()))
+
+
+def _fields(header: list[str], schema: T.StructType, path: str) -> list[T.StructField]:
+    """The schema's fields in the order of the header's names."""
+    fields, names = {_plain(f.name): f for f in schema}, [_plain(c) for c in header]
+    if sorted(names) == sorted(fields):
+        return [fields[n] for n in names]
+    own = list(fields)
+    if len(names) != len(own) or any(n in fields and n != o for n, o in zip(names, own)):
+        raise ValueError(f"{path}: the header names {names}, expected {own}")
+    return list(schema)
+
+
+def _csv(spark: SparkSession, schema: T.StructType, path: str, counted: Observation | None = None,
+         dates: tuple[str, ...] = ()) -> DataFrame:
+    """The CSV files of a path under ``schema``, the columns of each file found by its own header.
+
+    A header with all names in another order is followed. A name that the schema does not know stands for the column at
+    its place; a known name at another column's place or another number of columns is an error. Files of one header are
+    read together. Spark holds every file against the header it was grouped by, so one that changes meanwhile fails.
+
+    ``counted`` gets, once an action has read the table, the ``rows`` and for each column that is no text the number of
+    texts there that are no value and became null (``bad_<column>``); it reads all columns for this.
+    """
+    text = T.StringType()
+    parts = []
+    for line, files in _headers(spark, path).items():
+        header = next(csv.reader([line.lstrip("\ufeff")]))
+        found = _fields(header, schema, ", ".join(files[:3]))
+        own = T.StructType([T.StructField(h, f.dataType if counted is None else text) for h, f in zip(header, found)])
+        read = (spark.read.schema(own).option("header", True).option("mode", "PERMISSIVE").option("multiLine", False)
+                .option("enforceSchema", False).csv(files))
+        parts.append(read.toDF(*[f.name for f in found]).select([F.col(f"`{f.name}`") for f in schema]))
+    if not parts:
+        return spark.createDataFrame([], schema)
+    df = reduce(DataFrame.unionByName, parts)
+    if counted is None:
+        for name in dates:
+            df = df.withColumn(name, text_to_date(name))
+        return df
+    values = {f.name: text_to_date(f.name) if f.name in dates else F.col(f"`{f.name}`").try_cast(f.dataType)
+              for f in schema if f.dataType != text or f.name in dates}
+    both = df.withColumns({f"__value_{n}": v for n, v in values.items()})
+    bad = [F.count_if((F.trim(F.col(f"`{n}`")) != "") & F.col(f"`__value_{n}`").isNull()).alias(f"bad_{n.strip()}") for n in values]
+    both = both.observe(counted, F.count(F.lit(1)).alias("rows"), *bad)
+    return both.select([F.col(f"`__value_{f.name}`").alias(f.name) if f.name in values else F.col(f"`{f.name}`") for f in schema])
 
 
 def read_incidents(spark: SparkSession, paths: Iterable[str] | str,
-                   schema: T.StructType = INCIDENT_SCHEMA) -> DataFrame:
+                   schema: T.StructType = INCIDENT_SCHEMA, counted: Observation | None = None) -> DataFrame:
     """All incident files under one schema, dates parsed to DateType.
 
-    Every path's columns are found by its own header; unparseable dates become
-    null."""
+    Paths are files, folders or patterns; every file's columns are found by its
+    own header. Unparseable dates and numbers become null; ``counted`` (one path)
+    tells how many did, see ``_csv``.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = reduce(DataFrame.unionByName, [_csv(spark, schema, p) for p in paths])
-    for name in INCIDENT_DATE_COLUMNS:
-        if name in df.columns:
-            df = df.withColumn(name, text_to_date(name))
-    return df
+    if counted is not None and len(paths) != 1:
+        raise ValueError("an observation counts one path; use a folder or a pattern")
+    dates = tuple(f.name for f in schema if f.name in INCIDENT_DATE_COLUMNS)
+    return reduce(DataFrame.unionByName, [_csv(spark, schema, p, counted, dates) for p in paths])
 
 
-def read_facilities(spark: SparkSession, path: str) -> DataFrame:
-    """Station table; Spark's CSV reader drops the UTF-8 byte-order mark."""
-    return _csv(spark, FACILITY_SCHEMA, path)
+def read_facilities(spark: SparkSession, path: str, counted: Observation | None = None) -> DataFrame:
+    """Station table; the UTF-8 byte-order mark is no part of the first name."""
+    return _csv(spark, FACILITY_SCHEMA, path, counted)
 
 
 def read_income(spark: SparkSession, paths_by_year: Mapping[int, str]) -> DataFrame:
@@ -118,8 +165,8 @@ def read_income(spark: SparkSession, paths_by_year: Mapping[int, str]) -> DataFr
     return reduce(DataFrame.unionByName, parts)
 
 
-def read_geocodes(spark: SparkSession, path: str) -> DataFrame:
-    return _csv(spark, GEOCODE_SCHEMA, path)
+def read_geocodes(spark: SparkSession, path: str, counted: Observation | None = None) -> DataFrame:
+    return _csv(spark, GEOCODE_SCHEMA, path, counted)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

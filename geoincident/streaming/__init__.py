@@ -19,8 +19,9 @@ from geoincident.sources.files import INCIDENT_DATE_COLUMNS, INCIDENT_SCHEMA
 def incident_stream(spark: SparkSession, directory: str, schema: T.StructType = INCIDENT_SCHEMA,
                     max_files_per_trigger: int | None = None) -> DataFrame:
     """New CSV incident files in ``directory`` as a streaming DataFrame with
-    the same explicit schema and date parsing as the batch reader."""
-    reader = spark.readStream.schema(schema).option("header", True)
+    the same explicit schema and date parsing as the batch reader. A file whose
+    header does not name the schema's columns in their order fails the query."""
+    reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     df = reader.csv(directory)

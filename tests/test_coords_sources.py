@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from geoincident.operators.coords import (clean_coordinates, parse_coordinates, tag_parsed_coordinates)
@@ -103,3 +104,48 @@ def test_altitude_conflicts(spark):
     df = spark.createDataFrame([(1, 0.5, 0.5), (2, 0.5, 0.5000005), (3, 0.0, 0.712), (4, None, 1.0)],
                                "id int, a1 double, a2 double")
     assert [r.id for r in altitude_conflicts(df, "a1", "a2").collect()] == [3]
+
+
+# ---- folders of files
+
+def test_folder_of_mixed_headers_and_bad_values(spark, tmp_path):
+    folder = tmp_path / "stations of 2020"
+    folder.mkdir()
+    (folder / "a.csv").write_text("\ufeffX,Y,FID,DIVISION,LOCATION,PREC\n-118.0,34.0,1,A,\"q,r\",2\nn/a,35.0,2,B,x,\n", encoding="utf-8")
+    (folder / "b.csv").write_text("Y,X,FID,DIVISION,LOCATION,PREC\n36.0,-119.0,3,C,y,7x\n")
+    (folder / "c.csv").write_text("Y , x,FID,division,LOCATION,PREC\r\n37.0,-120.0,4,D,,9\r\n")
+    (folder / "empty.csv").write_text("")
+    expected = {1: (-118.0, 34.0, "A", "q,r", 2), 2: (None, 35.0, "B", "x", None), 3: (-119.0, 36.0, "C", "y", None),
+                4: (-120.0, 37.0, "D", None, 9)}
+    for path in (str(folder), f"{folder}/*.csv"):
+        counted = Observation()
+        df = read_facilities(spark, path, counted)
+        assert {r.FID: (r.X, r.Y, r.DIVISION, r.LOCATION, r.PREC) for r in df.collect()} == expected
+        assert {k: v for k, v in counted.get.items() if v} == {"rows": 4, "bad_X": 1, "bad_PREC": 1}
+        assert read_facilities(spark, path).schema == df.schema
+        assert {r.FID: (r.X, r.Y, r.DIVISION, r.LOCATION, r.PREC) for r in read_facilities(spark, path).collect()} == expected
+    (folder / "d.csv").write_text("Y,FID,X,DIVISION,LOCATION,OTHER\n1,2,3,4,5,6\n")
+    with pytest.raises(ValueError, match="header"):
+        read_facilities(spark, str(folder))
+
+
+def test_a_header_that_changes_after_planning_fails(spark, tmp_path):
+    path = tmp_path / "s.csv"
+    path.write_text("X,Y,FID,DIVISION,LOCATION,PREC\n-118.0,34.0,1,A,B,2\n")
+    df = read_facilities(spark, str(path))
+    path.write_text("Y,X,FID,DIVISION,LOCATION,PREC\n34.0,-118.0,1,A,B,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        df.collect()
+
+
+def test_bad_dates_are_counted(spark, tmp_path):
+    from geoincident.sources import INCIDENT_SCHEMA, read_incidents
+    names = [f.name for f in INCIDENT_SCHEMA]
+    line = lambda d, t: ",".join({"DATE OCC": d, "TIME OCC": t, "DR_NO": "1"}.get(n, "") for n in names)
+    (tmp_path / "i.csv").write_text("\n".join([",".join(names), line("01/02/2015 12:00:00 AM", "900"), line("never", "noon"), line("", "")]) + "\n")
+    counted = Observation()
+    rows = read_incidents(spark, str(tmp_path / "i.csv"), counted=counted).select("DATE OCC", "TIME OCC").collect()
+    assert [r["TIME OCC"] for r in rows] == [900, None, None] and rows[1]["DATE OCC"] is None
+    assert {k: v for k, v in counted.get.items() if v} == {"rows": 3, "bad_DATE OCC": 1, "bad_TIME OCC": 1}
+    with pytest.raises(ValueError, match="one path"):
+        read_incidents(spark, ["a", "b"], counted=Observation())
