@@ -148,3 +148,33 @@ def join_strategy_used(df: DataFrame) -> list[str]:
     """Physical join operators in the plan, in plan order."""
     text = plan_text(df)
     return re.findall("|".join(_JOIN_NODES), text)
+
+
+def executed_plan_text(df: DataFrame) -> str:
+    """The plan that ran: adaptive execution's final tree, without its first draft.
+
+    Runs the query if no action on this DataFrame has run it yet; rows stay with the executors.
+    """
+    run = df._jdf.queryExecution()
+    text = run.executedPlan().toString()
+    if "isFinalPlan=false" in text:
+        run.toRdd().count()
+        text = run.executedPlan().toString()
+    head, final, rest = text.partition("== Final Plan ==")
+    return rest.split("== Initial Plan ==")[0] if final else head
+
+
+def executed_joins(df: DataFrame) -> list[str]:
+    """Physical join operators of the plan that ran, in plan order."""
+    return re.findall("|".join(_JOIN_NODES), executed_plan_text(df))
+
+
+def bucketed_table(df: DataFrame, name: str, keys: list[str], buckets: int, path: str) -> DataFrame:
+    """``df`` written once as a table of the catalog, bucketed and sorted by ``keys`` with one file per bucket.
+
+    Tables of equal keys and buckets join on them without moving a row, however often. ``path`` is a new folder that all
+    executors share; the table is external, so dropping it leaves the files.
+    """
+    (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path)
+     .format("parquet").saveAsTable(name))
+    return df.sparkSession.table(name)

@@ -18,6 +18,7 @@ from geoincident.functions.timeops import in_year, text_to_date
 from geoincident.functions.units import convert_angle, convert_length
 from geoincident.operators.coords import REASON_COL, altitude_conflicts, tag_coordinates, tag_parsed_coordinates
 from geoincident.operators.geodesic import vincenty_sql
+from geoincident.operators.joins import bucketed_table, join_with_strategy
 from geoincident.operators.path import path_length
 from geoincident.operators.spatial import within_distance_join
 from geoincident.plans import reports as R
@@ -29,6 +30,7 @@ KM_DIGITS = 6
 DEG_DIGITS = 9
 WITHIN_KM = 5.0
 DEST_KM = 10.0
+BUCKETS = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -130,7 +132,6 @@ GROUP BY 1 ORDER BY crime_total DESC, partofday"""
 
 def _extreme_groups(strategy):
     def run(spark, sf):
-        from geoincident.operators.joins import join_with_strategy
         li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
         o = (read_table(spark, sf, "orders").where(in_year("o_orderdate", 1996))
              .select("o_orderkey", "o_orderpriority"))
@@ -400,6 +401,29 @@ SELECT incident_id, ROUND(degrees(p2), {DEG_DIGITS}) AS dest_lat,
 FROM q"""
 
 
+# ----------------------------------------------------------- J6 over co-bucketed tables
+
+def q_co_bucketed(spark, sf):
+    """Order lines per priority over two tables bucketed alike: a merge join without an exchange of rows."""
+    folder, run = ensure_checkpoint_dir(spark), uuid.uuid4().hex
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_quantity")
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    names = [f"lines_{run}", f"orders_{run}"]
+    li, o = (bucketed_table(t, n, [k], BUCKETS, f"{folder}/{n}")
+             for t, n, k in zip((li, o), names, ("l_orderkey", "o_orderkey"), strict=True))
+    out = (join_with_strategy(li, o, li["l_orderkey"] == o["o_orderkey"], strategy="merge")
+           .groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n_lines"), F.countDistinct("l_orderkey").alias("n_orders"))
+           .checkpoint())
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return out
+
+
+SQL_CO_BUCKETED = """SELECT o_orderpriority, COUNT(*) AS n_lines, COUNT(DISTINCT l_orderkey) AS n_orders
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderpriority"""
+
 # ----------------------------------------------------------- S2 CSV files
 
 def q_csv_stations(spark, sf):
@@ -661,6 +685,7 @@ def queries() -> dict[str, Query]:
         "destination": q_destination,
         "bearing_histogram": q_bearing_histogram,
         "bearing_histogram_geodesic": q_bearing_histogram_geodesic,
+        "co_bucketed_join": q_co_bucketed,
         "csv_stations": q_csv_stations,
         "first_incidents": q_first_incidents,
         "convert_length": q_convert_length,
@@ -711,6 +736,7 @@ def oracle_sql() -> dict[str, str]:
         "destination": _dest_sql(),
         "bearing_histogram": _bearing_sql(),
         "bearing_histogram_geodesic": _bearing_geodesic_sql(),
+        "co_bucketed_join": SQL_CO_BUCKETED,
         "csv_stations": SQL_CSV_STATIONS,
         "first_incidents": SQL_FIRST_INCIDENTS,
         "convert_length": _units_sql(),

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from geoincident.functions.codes import DESCENT_CODES, decode
 from geoincident.functions.daypart import part_of_day
-from geoincident.functions.geo import EARTH_RADIUS_KM, compass_point, great_circle_km, initial_bearing
+from geoincident.functions.exact import exact_mean
+from geoincident.functions.geo import EARTH_RADIUS_KM, altitude_mismatch, compass_point, great_circle_km, initial_bearing
 from geoincident.functions.money import parse_money
 from geoincident.functions.timeops import in_year, to_date_any
+from geoincident.functions.units import length_factor
 from geoincident.operators.extremes import count_extreme_groups
 from geoincident.operators.geodesic import geodesic_inverse, geodesic_km
 from geoincident.operators.joins import join_with_strategy, skew_join
@@ -158,16 +160,23 @@ def distance_report(inc: DataFrame, fac: DataFrame, inc_key: str, fac_key: str,
                     metric: str = "geodesic", strategy: str | None = None,
                     ellipsoid="WGS-84", radius_km: float = EARTH_RADIUS_KM,
                     order: str = "by", count_col: str = "n_incidents",
-                    precision: str = "double") -> DataFrame:
+                    precision: str = "double", unit: str = "km",
+                    altitude: tuple[str, str] | None = None) -> DataFrame:
     """Q4-1: join each incident to its responsible facility (key equality,
     unmatched incidents drop), measure the distance, and report the mean
     distance and the count of non-null ``by`` values per ``by`` group.
-    ``precision="float"`` averages float32 distances like the original UDF."""
+    ``precision="float"`` averages float32 distances like the original UDF. The
+    mean's bits do not depend on partitions; an altitude rule is
+    ``altitude`` = (incident column, facility column): pairs whose altitudes
+    differ by more than the tolerance can't be measured and are left out."""
     joined = join_with_strategy(inc, fac, inc[f"`{inc_key}`"] == fac[f"`{fac_key}`"], strategy=strategy)
+    if altitude is not None:
+        joined = joined.where(~F.coalesce(altitude_mismatch(F.col(f"`{altitude[0]}`"), F.col(f"`{altitude[1]}`")), F.lit(False)))
     d = _distance(metric, F.col(f"`{inc_lat}`"), F.col(f"`{inc_lon}`"),
                   F.col(f"`{fac_lat}`"), F.col(f"`{fac_lon}`"), radius_km, ellipsoid)
+    d = d if unit == "km" else d * F.lit(length_factor("km", unit))
     out = (joined.select(F.col(f"`{by}`").alias(by), d.cast(precision).alias("__d"))
-           .groupBy(by).agg(F.avg("__d").alias("average_distance"), F.count(F.col(f"`{by}`")).alias(count_col)))
+           .groupBy(by).agg(exact_mean("__d").alias("average_distance"), F.count(F.col(f"`{by}`")).alias(count_col)))
     if order == "by":
         return out.orderBy(F.col(f"`{by}`"))
     return out.orderBy(F.col(count_col).desc(), F.col(f"`{by}`"))
@@ -178,7 +187,7 @@ def nearest_report(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str], by: s
                    fac_lat: str = "Y", fac_lon: str = "X", metric: str = "geodesic",
                    ellipsoid="WGS-84", radius_km: float = EARTH_RADIUS_KM,
                    cell_km: float | None = None, order: str = "by", count_col: str = "n_incidents",
-                   precision: str = "double") -> DataFrame:
+                   precision: str = "double", unit: str = "km") -> DataFrame:
     """Q4-2: distance from every incident to its nearest facility.
 
     ``keep_ties=False`` (per-year form): the minimum per ``id_cols`` group
@@ -195,8 +204,10 @@ def nearest_report(inc: DataFrame, fac: DataFrame, id_cols: Sequence[str], by: s
                             keep_ties=keep_ties, metric=metric, ellipsoid=ellipsoid,
                             radius_km=radius_km, cell_km=cell_km, distance_col="__d",
                             precision=precision)
+    if unit != "km":
+        near = near.withColumn("__d", F.col("__d") * F.lit(length_factor("km", unit)))
     out = near.groupBy(F.col(f"`{by}`").alias(by)).agg(
-        F.avg("__d").alias("average_distance"), F.count(F.col(f"`{by}`")).alias(count_col))
+        exact_mean("__d").alias("average_distance"), F.count(F.col(f"`{by}`")).alias(count_col))
     if order == "by":
         return out.orderBy(F.col(f"`{by}`"))
     return out.orderBy(F.col(count_col).desc(), F.col(f"`{by}`"))

@@ -1,11 +1,16 @@
 import datetime as dt
+import math
+import random
+import struct
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from geoincident.operators.extremes import count_extreme_groups, extreme_values, filter_extreme_groups
-from geoincident.operators.joins import heavy_keys, join_strategy_used, join_with_strategy, plan_text, skew_join
+from geoincident.functions.exact import exact_mean
+from geoincident.operators.joins import (bucketed_table, executed_joins, executed_plan_text, heavy_keys,
+                                          join_strategy_used, join_with_strategy, plan_text, skew_join)
 from geoincident.operators.ranking import top_k_per_group
 from geoincident.plans.reports import top_months, top_months_sql
 
@@ -157,3 +162,52 @@ def test_skew_strategy_by_name_and_its_errors(spark):
         skew_join(left, right, ["lat"], ["g_lat"], "full")
     with pytest.raises(ValueError, match="types"):
         skew_join(left, right, ["id"], ["g_lat"])
+
+
+# ---- plans that ran, co-bucketed tables, means
+
+def test_the_report_names_the_join_that_ran(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10m")
+    try:
+        a = spark.range(200_000).select("id", (F.col("id") % 100).alias("v")).groupBy("id").agg(F.sum("v").alias("v"))
+        b = spark.range(200_000).where("id % 1000 = 0").groupBy(F.col("id").alias("b")).count()
+        df = a.join(b, F.col("id") == F.col("b"))
+        assert join_strategy_used(df) == ["SortMergeJoin"]  # the plan before it runs
+        assert executed_joins(df) == ["BroadcastHashJoin"]  # adaptive execution saw how small b is
+        assert "isFinalPlan" not in executed_plan_text(df) and df.count() == 200
+        assert executed_joins(df.groupBy().count()) == ["BroadcastHashJoin"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_co_bucketed_tables_join_without_an_exchange(spark, tmp_path):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = bucketed_table(spark.range(5000).select("id", (F.col("id") * 2).alias("x")), "bucketed_a", ["id"], 6, str(tmp_path / "a"))
+        b = bucketed_table(spark.range(0, 5000, 3).select(F.col("id").alias("k")), "bucketed_b", ["k"], 6, str(tmp_path / "b"))
+        df = join_with_strategy(a, b, a["id"] == b["k"], strategy="merge")
+        text = executed_plan_text(df)
+        assert "SortMergeJoin" in text and "Exchange" not in text and df.count() == 1667
+    finally:
+        for t in ("bucketed_a", "bucketed_b"):
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_means_have_equal_bits_for_any_partitions(spark):
+    rnd = random.Random(3)
+    rows = [(i % 3, rnd.choice([-1, 1]) * 10 ** rnd.uniform(-9, 9)) for i in range(4000)] + [(0, None), (4, None), (5, float("nan")), (6, -0.0)]
+    df = spark.createDataFrame(rows, "g int, x double")
+    seen = set()
+    for n in (1, 7, 211):
+        got = {r["g"]: r["m"] for r in df.repartition(n).groupBy("g").agg(exact_mean("x").alias("m")).collect()}
+        seen.add(tuple(struct.pack("<d", got[g]) for g in range(3)))
+        assert got[4] is None and math.isnan(got[5]) and got[6] == 0.0
+    assert len(seen) == 1
+    for g in range(3):
+        values = [x for k, x in rows if k == g and x is not None]
+        assert got[g] == pytest.approx(math.fsum(values) / len(values), rel=1e-14)

@@ -137,3 +137,16 @@ def test_float_precision_switch(spark):
         assert f[k] == pytest.approx(d[k], rel=1e-6)
     near = nearest_report(inc, st, ["DR_NO"], "DIVISION", True, precision="float").collect()
     assert sum(r.n_incidents for r in near) == 9
+
+
+def test_units_and_altitudes_of_distances(spark):
+    inc = spark.createDataFrame([(1, 5, 0.0, 0.0, 0.0), (2, 5, 0.0, 1.0, 0.2), (3, 5, 0.0, 2.0, None)],
+                                "DR_NO long, area int, lat double, lon double, alt double")
+    st = spark.createDataFrame([(5, "A", 0.0, 3.0, 0.0)], "prec int, division string, st_lat double, st_lon double, st_alt double")
+    args = (inc, st, "area", "prec", "division", "lat", "lon", "st_lat", "st_lon")
+    km = distance_report(*args, metric="great_circle").first()
+    m = distance_report(*args, metric="great_circle", unit="m", altitude=("alt", "st_alt")).first()
+    assert (km.n_incidents, m.n_incidents) == (3, 2)
+    assert m.average_distance == pytest.approx(1000 * 6371.009 * math.radians(2)) == pytest.approx(1000 * km.average_distance)
+    near = nearest_report(inc, st, ["DR_NO"], "division", True, "lat", "lon", "st_lat", "st_lon", metric="great_circle", unit="mi")
+    assert near.first().average_distance == pytest.approx(km.average_distance / 1.609344)
