@@ -23,13 +23,13 @@ from pyspark.sql import functions as F
 from geoincident.llm.common import prepare, staged
 
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]")
-_CONTROL = re.compile(r"(<|\[)(?=/?s>|/?INST\])")
+_CONTROL = re.compile(r"<(?=/?s>)|\[(?=/?INST\])")
 _ESCAPED = re.compile(r"\\(\\?)")
 _TURN = re.compile(r"<s>\[INST\](.*?)\[/INST\](.*?)</s>", re.S)
 
 
 def escape(text: str) -> str:
-    return _CONTROL.sub(r"\1\\", text.replace("\\", "\\\\"))
+    return _CONTROL.sub(r"\g<0>\\", text.replace("\\", "\\\\"))
 
 
 def unescape(text: str) -> str:
@@ -64,16 +64,22 @@ def format_reply_trees(messages: DataFrame, tree: str = "tree", node: str = "nod
     loss (array of spans in code points). Ties in score go to the smaller leaf.
     A message whose parent is null or missing is a root; messages on a cycle
     have no path from a root and give none. Null role, text or score: empty,
-    empty, 0. Null tree: one tree of its own. (tree, node) has to be unique.
+    empty, 0. Null tree: one tree of its own. Of rows of equal tree and node the
+    least by parent, role, text and score counts, so repeated rows count once.
     An empty table gives an empty result; extra columns are ignored.
     """
     spark = messages.sparkSession
     prepare(spark)
     rows = staged(messages.select(
-        F.col(tree).alias("tree"), F.coalesce(F.col(tree).cast("string"), F.lit("null")).alias("t"),
+        F.col(tree).alias("tree"), F.coalesce(F.concat(F.lit("="), F.col(tree).cast("string")), F.lit("")).alias("t"),
         F.col(node).alias("node"), F.col(parent).alias("parent"),
         F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"),
         F.coalesce(F.col(score).cast("double"), F.lit(0.0)).alias("score")), "messages")
+    names = rows.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("t", "node").alias("kinds"))
+    if names.where("n <> kinds").count():  # also where a node is null
+        rest = F.struct(F.col("parent").alias("parent"), "role", "text", "score", "tree")
+        rows = staged(rows.groupBy("t", "node").agg(F.min(rest).alias("m")).select(
+            "m.tree", "t", "node", "m.parent", "m.role", "m.text", "m.score"), "once")
     ids = rows.select("t", F.col("node").alias("parent"), F.lit(True).alias("there"))
     links = rows.select("t", "node", "parent", "score").join(ids, ["t", "parent"], "left").select(
         "t", "node", F.when(F.col("there"), F.col("parent")).alias("top"), "score")

@@ -281,6 +281,20 @@ def test_branches_of_a_tree(spark):
     assert chat_trees.format_reply_trees(rows.limit(0)).count() == 0
 
 
+def test_null_tree_and_repeated_messages(spark):
+    rows = [(None, 1, None, "user", "a", 1.0), ("null", 1, None, "user", "b", 1.0), ("", 1, None, "user", "c", 1.0)]
+    rows += [("t", i, i - 1 or None, "user", f"m{i}", 1.0) for i in range(1, 6)] * 2 + [("t", 5, 4, "user", "zz", 9.0)]
+    df = spark.createDataFrame(rows, "tree string, node int, parent int, role string, text string, score double")
+    got = {r["tree"]: (r["n_turns"], [t for _, t in chat_trees.read_turns(r["formatted"])])
+           for r in chat_trees.format_reply_trees(df).collect()}
+    assert got == {None: (1, ["a"]), "null": (1, ["b"]), "": (1, ["c"]), "t": (5, [f"m{i}" for i in range(1, 6)])}
+
+
+def test_only_control_strings_are_marked():
+    for text in ("[s>", "<INST]", "</INST]", "[/s>", "< s>", "[inst]"):
+        assert chat_trees.escape(text) == text
+
+
 # ---- 9
 
 def test_patience_blocks_are_common_and_in_order():
