@@ -45,10 +45,14 @@ _POINT = (rf"\A{_angle('N', 'S')}{_SEPARATOR}{_angle('E', 'W')}"
           rf"(?:{_SEPARATOR}(?:([+-]?{_NUMBER}){_BLANK}*+({_UNITS}){_BLANK}*+)?+)?+\z")
 
 
-def _value(text: Column, first: int, minus: str) -> Column:
+#: all groups in one text; none of them can hold a semicolon
+_GROUPS = ";".join(f"${n}" for n in range(1, 15))
+
+
+def _value(groups: Column, first: int, minus: str) -> Column:
     """Degrees of the angle whose groups begin at ``first``."""
     def group(n: int) -> Column:
-        return F.regexp_extract(text, _POINT, first + n)
+        return groups[first + n - 1]
 
     def number(n: int, parts: float) -> Column:
         return F.coalesce(F.nullif(group(n), F.lit("")).cast("double"), F.lit(0.0)) / F.lit(parts)
@@ -61,12 +65,11 @@ def _value(text: Column, first: int, minus: str) -> Column:
     return F.when(F.substring(letter, 1, 1) == minus, -value).otherwise(value)
 
 
-def _read(text: Column) -> Column:
+def _read(groups: Column) -> Column:
     factors = F.create_map(*[x for u in ALTITUDE_UNITS for x in (F.lit(u), F.lit(float(KM_PER_UNIT[u])))])
-    height = F.nullif(F.regexp_extract(text, _POINT, 13), F.lit("")).cast("double")
-    unit = F.regexp_extract(text, _POINT, 14)
-    return F.struct(_value(text, 1, "S").alias("lat"), _value(text, 7, "W").alias("lon"),
-                    F.coalesce(height * F.try_element_at(factors, unit), F.lit(0.0)).alias("alt_km"),
+    height = F.nullif(groups[12], F.lit("")).cast("double")
+    return F.struct(_value(groups, 1, "S").alias("lat"), _value(groups, 7, "W").alias("lon"),
+                    F.coalesce(height * F.try_element_at(factors, groups[13]), F.lit(0.0)).alias("alt_km"),
                     F.lit(True).alias("ok"))
 
 
@@ -82,11 +85,13 @@ def parsed_point(text: Column) -> Column:
         size = F.size(tokens)
         starts = F.when(size > 0, F.sequence(F.greatest(F.lit(1), size - F.lit(MOST_TOKENS - 1)), size)).otherwise(
             F.array().cast("array<int>"))
+        starts = F.filter(starts, lambda i: F.substring(tokens[i - 1], 1, 1).rlike("[0-9NS+-]"))
         return F.filter(F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(MOST_TOKENS)), "")),
                         lambda t: t.rlike(_POINT))
 
-    # bound as a lambda's variable, the tokens and the point are made once
-    found = F.get(F.flatten(F.transform(F.array(tokens), ending)), F.lit(0))
-    read = F.get(F.transform(F.filter(F.array(found), lambda t: t.isNotNull()), _read), F.lit(0))
+    # bound as a lambda's variable, the tokens and the point's groups are made once
+    found = F.slice(F.flatten(F.transform(F.array(tokens), ending)), 1, 1)
+    groups = F.transform(found, lambda t: F.split(F.regexp_replace(t, _POINT, _GROUPS), ";", -1))
+    read = F.get(F.transform(groups, _read), F.lit(0))
     none = F.struct(*[F.lit(None).cast("double").alias(c) for c in ("lat", "lon", "alt_km")], F.lit(False).alias("ok"))
     return F.coalesce(read, none)
