@@ -1,10 +1,11 @@
-"""Write PLANS.md: the physical plan tree of every registered query.
+"""Write PLANS.md: the physical plan tree of every query of the incident analytics.
 
     python tools/plan_report.py [sf_dir]
 
-Each query is executed once first (so adaptive plans are final), then the
-operator tree of ``explain("formatted")`` is kept (the per-node details are
-left out to keep the file short).
+Each query is executed first, so that adaptive plans are final; of
+``explain("formatted")`` the tree that ran is kept (the per-node details and the
+first draft are left out to keep the file short). Steps that a query has run
+before, up to a checkpoint, are not in its last plan.
 """
 
 from __future__ import annotations
@@ -15,8 +16,8 @@ from pathlib import Path
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
-import __spark_entry__ as E  # noqa: E402
-from geoincident.operators.joins import plan_text  # noqa: E402
+from geoincident.operators.joins import executed_plan_text, plan_text  # noqa: E402
+from geoincident.plans import catalog  # noqa: E402
 from geoincident.session import build_session  # noqa: E402
 
 
@@ -24,13 +25,13 @@ def main(argv):
     sf = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session("local[8]")
     out = ["# Physical plans", "",
-           f"Final adaptive plans of every registered query on `{sf}` (`local[8]`),",
+           f"Final adaptive plans of every query of the incident analytics on `{sf}` (`local[8]`),",
            "operator tree of `explain(\"formatted\")`. Generated by `tools/plan_report.py`.", ""]
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         df = fn(spark, sf)
-        df.write.format("noop").mode("overwrite").save()
-        text = plan_text(df, "formatted")
-        tree = text.split("\n\n")[0].replace("== Physical Plan ==\n", "")
+        executed_plan_text(df)
+        tree = plan_text(df, "formatted").split("\n\n")[0].replace("== Physical Plan ==\n", "")
+        tree = tree.split("+- == Final Plan ==\n")[-1].split("+- == Initial Plan ==")[0]
         out += [f"## {name}", "", "```", tree.rstrip(), "```", ""]
     (ROOT / "PLANS.md").write_text("\n".join(out))
     spark.stop()
