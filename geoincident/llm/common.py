@@ -23,6 +23,14 @@ def prepare(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 #: staged folders of the scopes that are open, innermost last
 _SCOPES: list[list[str]] = []
 

@@ -10,7 +10,11 @@ tokens of one more epoch, in an order seeded per epoch.
 
 The prefix is found without putting a leaf into one task: documents are summed
 by leaf and the first four hex digits of their order (at most 65,536 sums a
-leaf), and only the documents of the digits where the budget ends are ordered.
+leaf), and only the documents of the digits where the budget ends are ordered:
+first the sums of their ids, then those of 65,536 ranges of the hashes of the
+texts with the last id, then those of the different texts in the last range.
+The rows equal to the last one are numbered. So a leaf's budget is met to the
+token with null and repeated ids and repeated rows.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from geoincident.llm.common import prepare, staged
+from geoincident.llm.common import free_name, prepare, staged
 
 LEVELS = ("domain", "lang", "source")
 _BIG = "decimal(38,0)"
@@ -85,7 +89,43 @@ def word_count(text: Column) -> Column:
 
 
 def _order(seed: int, epoch: Column, ident: Column) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(ident.cast("string"), F.lit(""))))
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), ident))
+
+
+#: order of a leaf's rows inside an epoch; the cut is sought one step after the other
+_STEPS = (["slot"], ["key", "ident"], ["part"], ["hash", "n_tokens"])
+
+
+def _cuts(lengths: DataFrame, leaves: DataFrame, seed: int) -> DataFrame:
+    """domain, lang, source, key, ident, hash, n_tokens of the rows that each leaf's budget ends in, and ``rest``,
+    the tokens left for all of these rows together."""
+    rows = lengths.join(leaves.where("rest > 0"), list(LEVELS)).where("n_tokens > 0")
+    rows = rows.withColumn("key", _order(seed, F.col("epochs"), F.col("ident")))
+    rows = rows.withColumn("slot", F.substring("key", 1, 4)).withColumn("part", F.shiftright("hash", 48))
+    by: list[str] = []
+    for step in _STEPS:
+        by = [*by, *step]
+        sums = rows.groupBy(*LEVELS, *by, "rest").agg(F.sum("n_tokens").alias("n"))
+        upto = F.sum("n").over(Window.partitionBy(*LEVELS).orderBy(*by).rowsBetween(Window.unboundedPreceding, 0))
+        ends = (sums.withColumn("before", upto - F.col("n"))
+                .where((F.col("before") < F.col("rest")) & (F.col("before") + F.col("n") >= F.col("rest")))
+                .select(*LEVELS, *by, (F.col("rest") - F.col("before")).alias("rest")))
+        if step is _STEPS[-1]:
+            return ends.select(*LEVELS, "key", "ident", "hash", "n_tokens", "rest")
+        rows = staged(rows.drop("rest").join(ends, [*LEVELS, *by]), step[0])
+
+
+def _numbered(rows: DataFrame, leaf: list[Column], name: str) -> DataFrame:
+    """``rows`` and their number (column ``name``), from 0 within the leaf, counted by partition, so that no leaf is one task's."""
+    own = [f"_leaf{i}" for i in range(len(leaf))]
+    rows = staged(rows.select(F.struct("*").alias("row"), *(c.alias(n) for c, n in zip(leaf, own, strict=True)),
+                              F.monotonically_increasing_id().alias("uid")), "tied")
+    rows = rows.withColumn("dealt", F.shiftright("uid", 33))
+    inside = F.row_number().over(Window.partitionBy(*own, "dealt").orderBy("uid"))
+    sums = rows.groupBy(*own, "dealt").count()
+    upto = F.sum("count").over(Window.partitionBy(*own).orderBy("dealt")) - F.col("count")
+    rows = rows.withColumn("inside", inside).join(sums.select(*own, "dealt", upto.alias("upto")), [*own, "dealt"])
+    return rows.select("row.*", (F.col("upto") + F.col("inside") - 1).alias(name))
 
 
 def mix_sources(docs: DataFrame, domain: Column, weights: dict[tuple[str, ...], int], budget: float,
@@ -95,52 +135,47 @@ def mix_sources(docs: DataFrame, domain: Column, weights: dict[tuple[str, ...],
 
     epochs: whole copies taken; part_tokens: tokens of the last, cut epoch (the
     first ones of the document). Tokens are words. Null domain, language or
-    source is the leaf name ``-``. Rows of equal id and length are taken alike.
-    A row without words takes nothing. An input column ``mix`` is replaced. An
-    empty table gives an empty result.
+    source is the leaf name ``-``. Rows of equal id, null ids too, are ordered
+    by a hash of their text; of rows equal in both, some are taken whole, one in
+    part and the rest not, so every leaf takes its budget to the token. A row
+    without words takes nothing. An input column ``mix`` is replaced, all
+    others stay, whatever their names. An empty table gives an empty result.
     """
     prepare(docs.sparkSession)
     name = F.coalesce
     docs = docs.withColumn("mix", F.struct(
         name(domain.cast("string"), F.lit("-")).alias("domain"), name(F.col(lang_col).cast("string"), F.lit("-")).alias("lang"),
-        name(F.col(source_col).cast("string"), F.lit("-")).alias("source"), word_count(F.col(text_col)).alias("n_tokens")))
-    lengths = staged(docs.select("mix.*", F.col(id_col).alias("id")), "lengths")
+        name(F.col(source_col).cast("string"), F.lit("-")).alias("source"), word_count(F.col(text_col)).alias("n_tokens"),
+        name(F.col(id_col).cast("string"), F.lit("")).alias("ident"), F.xxhash64(text_col).alias("hash")))
+    lengths = staged(docs.select("mix.*"), "lengths")
     sizes = lengths.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
     leaves = staged(leaf_budgets(sizes, weights, budget, max_epochs).withColumn(
         "epochs", F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(0)).withColumn(
-        "rest", F.col("budget") - F.col("epochs") * F.col("tokens")), "leaves")
-    rows = lengths.join(leaves.where("rest > 0"), list(LEVELS)).where("n_tokens > 0").withColumn(
-        "key", _order(seed, F.col("epochs"), F.col("id")))
-    rows = rows.withColumn("slot", F.substring("key", 1, 4))
-    slots = rows.groupBy(*LEVELS, "slot", "rest").agg(F.sum("n_tokens").alias("n"))
-    upto = F.sum("n").over(Window.partitionBy(*LEVELS).orderBy("slot"))
-    last = (slots.withColumn("before", upto - F.col("n"))
-            .where((F.col("before") < F.col("rest")) & (F.col("before") + F.col("n") >= F.col("rest")))
-            .select(*LEVELS, "slot", "before"))
-    inside = Window.partitionBy(*LEVELS).orderBy("key", "id", "n_tokens").rowsBetween(Window.unboundedPreceding, 0)
-    cut = rows.join(last, [*LEVELS, "slot"]).withColumn(
-        "start", F.col("before") + F.sum("n_tokens").over(inside) - F.col("n_tokens"))
-    cut = cut.where((F.col("start") < F.col("rest")) & (F.col("start") + F.col("n_tokens") >= F.col("rest"))).select(
-        *LEVELS, F.struct("key", F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"), "n_tokens").alias("cut"),
-        (F.col("rest") - F.col("start")).alias("cut_tokens"))
-    leaves = staged(leaves.select(*LEVELS, "epochs").join(cut, list(LEVELS), "left"), "cuts")
-    leaves = leaves.select(*(F.col(c).alias(f"__{c}") for c in LEVELS), F.col("epochs").alias("__epochs"),
-                           F.col("cut").alias("__cut"), F.col("cut_tokens").alias("__cut_tokens"))
+        "rest", F.col("budget") - F.col("epochs") * F.col("tokens")), "leaves").select(*LEVELS, "epochs", "rest")
+    cuts = _cuts(lengths, leaves, seed).select(
+        *LEVELS, F.struct("key", "ident", "hash", "n_tokens").alias("cut"), F.col("rest").alias("cut_tokens"))
+    leaf = free_name(docs, "leaf")
+    leaves = staged(leaves.drop("rest").join(cuts, list(LEVELS), "left"), "cuts").select(F.struct("*").alias(leaf))
     if leaves.count() <= BROADCAST_LEAVES:  # else a join that shuffles the documents
         leaves = F.broadcast(leaves)
-    out = docs.join(leaves, [F.col(f"mix.{c}") == F.col(f"__{c}") for c in LEVELS], "left")
-    key = _order(seed, F.col("__epochs"), F.col(id_col))
-    n = F.col("mix.n_tokens")
-    ident = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    part = (F.when(F.col("__cut").isNull() | (key > F.col("__cut.key")), 0)
-            .when((key == F.col("__cut.key")) & (ident == F.col("__cut.id")) & (n == F.col("__cut.n_tokens")),
-                  F.col("__cut_tokens"))
-            .when((key == F.col("__cut.key")) & (n > F.col("__cut.n_tokens")), 0).otherwise(n))
-    out = out.withColumn("mix", F.struct(
-        *(F.col(f"mix.{c}").alias(c) for c in LEVELS), n.alias("n_tokens"),
-        F.when(n > 0, F.coalesce("__epochs", F.lit(0))).otherwise(0).cast("long").alias("epochs"),
-        part.cast("long").alias("part_tokens")))
-    return out.drop("__domain", "__lang", "__source", "__epochs", "__cut", "__cut_tokens")
+    out = docs.join(leaves, [F.col(f"mix.{c}") == F.col(f"{leaf}.{c}") for c in LEVELS], "left")
+    n, cut = F.col("mix.n_tokens"), F.col(f"{leaf}.cut")
+    own = F.struct(_order(seed, F.col(f"{leaf}.epochs"), F.col("mix.ident")).alias("key"), F.col("mix.ident").alias("ident"),
+                   F.col("mix.hash").alias("hash"), n.alias("n_tokens"))
+    tied = cut.isNotNull() & (own == cut)
+
+    def taken(rows: DataFrame, part: Column) -> DataFrame:
+        return rows.withColumn("mix", F.struct(
+            *(F.col(f"mix.{c}").alias(c) for c in LEVELS), n.alias("n_tokens"),
+            F.when(n > 0, F.coalesce(f"{leaf}.epochs", F.lit(0))).otherwise(0).cast("long").alias("epochs"),
+            part.cast("long").alias("part_tokens"))).select(*(f"`{c}`" for c in docs.columns))
+
+    nth = free_name(out, "nth")
+    ends = _numbered(out.where(tied).withColumn(leaf, F.struct(f"{leaf}.epochs", f"{leaf}.cut_tokens")),
+                     [F.col(f"mix.{c}") for c in LEVELS], nth)
+    rest = F.greatest(F.lit(0), F.least(n, F.col(f"{leaf}.cut_tokens") - F.col(nth) * n))
+    whole = F.when(cut.isNull() | (own > cut), 0).otherwise(n)
+    return taken(out.where(~tied), whole).unionByName(taken(ends, rest))
 
 
 #: fixed values of the query: three domains by the source's number, target weights, budget
