@@ -12,7 +12,8 @@
    the gaps are aligned again. A gap without such lines is split at the common
    run of consecutive lines with the most words.
 3. Aligned common blocks of at least ``least_words`` words are deleted from the
-   later document.
+   later document, and what is left of it is aligned again until the partner has
+   no run of so many words of it: passages may stand in any order.
 
 Documents are ordered by id, then by a hash of id and text.
 """
@@ -32,6 +33,9 @@ from pyspark.sql import functions as F
 
 from geoincident.llm.common import prepare, staged
 
+#: marks in place of a line's hash: deleted, and not in the other document
+_GONE, _ELSE = -2, -1
+
 
 def _heaviest_run(a: list[int], b: list[int], words: list[int]) -> tuple[int, int, int, int]:
     """Words, start in a, start in b and length of the common run of most words (the first one), by the
@@ -137,6 +141,47 @@ def patience_blocks(a: list[int], b: list[int], words: list[int] | None = None,
     return out
 
 
+def common_blocks(a: list[int], b: list[int], words: list[int], least: int) -> list[int]:
+    """Lines of ``a`` in blocks of ``least`` words and more that ``b`` has too, wherever they stand in it.
+
+    The pair is aligned; what is left of ``a`` is aligned again with the whole
+    of ``b``, which finds passages in another order, and at last the heaviest
+    common runs are taken until none reaches ``least``.
+    """
+    gone: set[int] = set()
+    rest, theirs = list(a), set(b)
+
+    def take(blocks: list[tuple[int, int, int]]) -> bool:
+        found = False
+        for start, _, size in blocks:
+            if sum(words[start:start + size]) >= least:
+                found = True
+                gone.update(range(start, start + size))
+                rest[start:start + size] = [_GONE] * size
+        return found
+
+    aligning = take(patience_blocks(a, b, words, least))
+    while _heaviest_stretch(rest, theirs, words) >= least:
+        some = set(rest)
+        other = [x if x in some else _ELSE for x in b]
+        if aligning:
+            aligning = take(patience_blocks(rest, other, words, least))
+            continue
+        _, x, y, size = _heaviest_run(rest, other, words)
+        if not take([(x, y, size)]):
+            break
+    return sorted(gone)
+
+
+def _heaviest_stretch(a: list[int], theirs: set[int], words: list[int]) -> int:
+    """Words of the heaviest run of lines of ``a`` that the other document has anywhere; no common run has more."""
+    best = now = 0
+    for x, n in zip(a, words, strict=True):
+        now = now + n if x in theirs else 0
+        best = max(best, now)
+    return best
+
+
 def _line_table(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Hash and number of words of every line, white space at its ends does not count, and the hash of the
     shortest run of two and more lines from each line on that has ``least`` words."""
@@ -194,11 +239,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for i, row in enumerate(batch.column(0).to_pylist()):
                 a, words = batch.column(1)[i].as_py(), batch.column(2)[i].as_py()
                 shared = set(a)
-                b = [x if x in shared else -1 for x in batch.column(3)[i].as_py()]
-                gone = []
-                for start, _, size in patience_blocks(a, b, words, least_words):
-                    if sum(words[start:start + size]) >= least_words:
-                        gone += range(start, start + size)
+                b = [x if x in shared else _ELSE for x in batch.column(3)[i].as_py()]
+                gone = common_blocks(a, b, words, least_words)
                 if gone:
                     own.append(row)
                     cut.append(gone)
