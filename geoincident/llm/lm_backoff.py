@@ -269,12 +269,11 @@ def _add_up(table: pa.Table, kinds: tuple[str, ...], answer) -> Iterator[pa.Reco
 
 
 def score_texts(docs: DataFrame, train: F.Column, id_col: str = "doc_id", text_col: str = "text",
-                share: float = 0.0, word_share: float = 0.0, least: int = 2) -> DataFrame:
+                share: float = 0.0, least: int = 2) -> DataFrame:
     """Base and model log10 probability of every text, learned from the rows where ``train`` holds.
 
-    Pairs and triples of ``least`` occurrences are states. ``share`` asks for
-    that share of the training tokens as well, 0 for none; ``word_share`` has
-    no effect any more, as no word is broadcast.
+    Pairs and triples of ``least`` occurrences (1 and more) are states.
+    ``share`` asks for that share of the training tokens as well, 0 for none.
 
     Returns one row per input row: id, n_tokens, n_known, train_tokens,
     base_score, score. Null text is empty: its one token is the end. Repeated
@@ -288,7 +287,7 @@ def score_texts(docs: DataFrame, train: F.Column, id_col: str = "doc_id", text_c
     spark.conf.set(_BATCH, _BATCH_ROWS)
     try:
         with scratch(spark) as keep:
-            return _score(docs, train, id_col, text_col, share, max(2, least), keep)
+            return _score(docs, train, id_col, text_col, share, max(1, least), keep)
     finally:
         spark.conf.set(_BATCH, before)
 
