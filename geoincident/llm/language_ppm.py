@@ -211,6 +211,48 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "te
     return docs.select(*columns).mapInArrow(lean(predict), ", ".join([*kinds, *added]))
 
 
+#: bytes added to a text's length before its code length is held against it: short texts vary more
+SLACK_BYTES = 32
+
+
+def _rate(rate: F.Column, text: F.Column) -> F.Column:
+    size = F.octet_length(text)
+    return rate * size / (size + SLACK_BYTES)
+
+
+def usual_rates(docs: DataFrame, model: Model, lang_col: str = "lang", text_col: str = "text",
+                sample_rows: int = 200, share: float = 0.99) -> dict[str, float]:
+    """Bits per byte that ``share`` of a language's texts stay under, for each learned language.
+
+    From at most ``sample_rows`` labelled rows a language, those with the
+    smallest hash of the text, which the model has told right; ``docs`` should
+    be rows that it has not learned from. Rows with null language or text are
+    left out; a language without rows has no entry.
+    """
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
+    sample = (docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+              .where("lang is not null and text is not null")
+              .withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= sample_rows).drop("nth"))
+    told = identify(sample, model, ["lang", "text"]).where("lang_pred = lang")
+    rows = told.groupBy("lang").agg(F.percentile(_rate(F.col("bits_per_byte"), F.col("text")), F.lit(share)).alias("r"))
+    return {r["lang"]: r["r"] for r in rows.collect()}
+
+
+def fits(lang_pred: F.Column, bits_per_byte: F.Column, text: F.Column, usual: dict[str, float],
+         times: float = 2.0) -> F.Column:
+    """Whether a text's code length is at most ``times`` what its language's texts usually need.
+
+    The best of the learned languages is a poor one for noise and for a
+    language never learned. True where ``usual`` has no figure; false for
+    ``und`` and null texts.
+    """
+    limit = F.lit(None).cast("double")
+    if usual:
+        limit = F.try_element_at(F.create_map(*(F.lit(x) for pair in sorted(usual.items()) for x in pair)), lang_pred)
+    known = (lang_pred != "und") & text.isNotNull()
+    return F.coalesce(known & (limit.isNull() | (_rate(bits_per_byte, text) <= times * limit)), F.lit(False))
+
+
 #: bytes that are no part of any letter
 _NO_LETTER = bytes(c for c in range(128) if not chr(c).isalpha())
 
