@@ -76,6 +76,27 @@ def test_language_held_out_accuracy_and_und(spark):
     assert {r["lang_pred"] for r in language_ppm.identify(rows, none, ["doc_id"]).collect()} == {"und"}
 
 
+def test_noise_and_languages_never_learned_do_not_fit(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language_ppm.train(docs.where(language_ppm.fold() != 0))
+    usual = language_ppm.usual_rates(docs.where(language_ppm.fold() == 0), model)
+    assert sorted(usual) == model.languages
+    rng = random.Random(3)
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(400)) for _ in range(50)]
+    other = ["Это обычный текст на русском языке о погоде и о людях, которые живут в городе.", "今日は天気がいいので散歩に行きます。"]
+    odd = spark.createDataFrame([(t,) for t in [*noise, *other, None, "", "12 34"]], "text string")
+
+    def fitting(df, figures):
+        known = language_ppm.identify(df, model, ["text"])
+        return known.where(language_ppm.fits(F.col("lang_pred"), F.col("bits_per_byte"), F.col("text"), figures)).count()
+
+    assert fitting(odd, usual) == 0
+    assert fitting(odd, {}) == len(noise) + len(other)
+    labelled = docs.where("lang is not null and text rlike '[a-z]'")
+    assert fitting(labelled, usual) >= 0.995 * labelled.count()
+    assert language_ppm.usual_rates(docs.limit(0), model) == {}
+
+
 def test_code_length_against_plain_ppm():
     """Exact code length by walking the context trees, method C, byte by byte."""
     texts = ["abracadabra abra", "cadabra bra"]
@@ -109,12 +130,36 @@ def test_mixing_edge_cases(spark):
     got = source_mixing.mix_sources(rows, F.lit("all"), {}, 0.5, 2)
     out = [r["mix"] for r in got.collect()]
     assert len(out) == 6 and all(0 <= m["part_tokens"] <= m["n_tokens"] for m in out)
-    assert sum(m["epochs"] * m["n_tokens"] + m["part_tokens"] for m in out) == pytest.approx(0.5 * 58, abs=4)
+    assert sum(m["epochs"] * m["n_tokens"] + m["part_tokens"] for m in out) == 0.5 * 58
     assert source_mixing.mix_sources(rows.limit(0), F.lit("all"), {}, 0.5).count() == 0
     shut = source_mixing.mix_sources(rows, F.lit("all"), {("all", "de"): 0}, 1.0).collect()
     assert all(r["mix"]["epochs"] == 0 and r["mix"]["part_tokens"] == 0 for r in shut if r["lang"] == "de")
 
 
+def _taken(rows, budget, epochs=1):
+    got = source_mixing.mix_sources(rows, F.lit("all"), {}, budget, epochs).collect()
+    out = [r["mix"] for r in got]
+    assert len(got) == rows.count() and all(0 <= m["part_tokens"] <= m["n_tokens"] for m in out)
+    return sum(m["epochs"] * m["n_tokens"] + m["part_tokens"] for m in out), got
+
+
+def test_mixing_meets_the_budget_with_null_and_repeated_ids(spark):
+    shape = "doc_id long, text string, lang string, source string, nth int, leaf string, __domain string"
+    word = lambda i: " ".join(f"w{i}x{k}" for k in range(11))
+    tail = ("en", "s", 5, "own", "theirs")
+    cases = {"null ids": [(None, word(i), *tail) for i in range(300)],
+             "one id": [(4, word(i), *tail) for i in range(300)],
+             "equal rows": [(4, word(0), *tail)] * 300,
+             "equal rows among others": [(i % 50, word(i % 60), *tail) for i in range(300)] + [(None, word(1), *tail)] * 100}
+    for name, rows in cases.items():
+        df = spark.createDataFrame(rows, shape).repartition(7)
+        for budget, epochs in ((0.5, 1), (0.123, 1), (0.999, 1), (1.7, 3)):
+            total, got = _taken(df, budget, epochs)
+            assert total == math.floor(budget * 11 * len(rows)), (name, budget)
+            assert sum(0 < r["mix"]["part_tokens"] < r["mix"]["n_tokens"] for r in got) <= 1
+            assert {(r["nth"], r["leaf"], r["__domain"]) for r in got} == {(5, "own", "theirs")}
+
+
 # ---- 5
 
 def test_tokens_against_the_library(spark, docs):
@@ -191,7 +236,8 @@ def test_copied_examples_and_live_values(spark):
 
 # ---- 7
 
-def test_scores_against_brute_force(spark, docs):
+@pytest.mark.parametrize("least", [1, 2, 3])
+def test_scores_against_brute_force(spark, docs, least):
     rows = spark.createDataFrame([*docs.items(), (-1, None), (-2, "zzz zzz the"), (-3, "w" * 5000)], "doc_id long, text string")
     train = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1
     toks = {i: [*WORDS.findall(lower_ascii(t or "")), "\n"] for i, t in rows.collect()}
@@ -202,8 +248,8 @@ def test_scores_against_brute_force(spark, docs):
         pairs.update(zip(toks[i], toks[i][1:]))
         triples.update(zip(toks[i], toks[i][1:], toks[i][2:]))
     n, v = sum(uni.values()), len(uni)
-    pairs = {k: c for k, c in pairs.items() if c >= 2}
-    triples = {k: c for k, c in triples.items() if c >= 2}
+    pairs = {k: c for k, c in pairs.items() if c >= least}
+    triples = {k: c for k, c in triples.items() if c >= least}
     p1 = lambda w: (uni[w] + 0.5) / (n + 0.5 * (v + 1))
     after, after2 = {}, {}
     for a, b in pairs:
@@ -226,16 +272,14 @@ def test_scores_against_brute_force(spark, docs):
         own = after2[a, b]
         return p2(b, w) * (1 - sum((triples[a, b, x] - 0.5) / pairs[a, b] for x in own)) / (1 - sum(p2(b, x) for x in own))
 
-    for share in (1e-9, 0.002):  # words broadcast: all, and the frequent ones with the others joined
-        got = {r["doc_id"]: r for r in lm_backoff.score_texts(rows, train, share=1e-9, word_share=share).collect()}
-        for i, words in toks.items():
-            r = got[i]
-            assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(words), sum(w in uni for w in words), n)
-            assert r["base_score"] == pytest.approx(sum(math.log10(p1(w)) for w in words), rel=1e-9)
-            if share < 1e-6:
-                model = sum(math.log10(p1(w) if k == 0 else p2(words[0], w) if k == 1 else p3(words[k - 2], words[k - 1], w))
-                            for k, w in enumerate(words))
-                assert r["score"] == pytest.approx(model, rel=1e-8), i
+    got = {r["doc_id"]: r for r in lm_backoff.score_texts(rows, train, least=least).collect()}
+    for i, words in toks.items():
+        r = got[i]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(words), sum(w in uni for w in words), n)
+        assert r["base_score"] == pytest.approx(sum(math.log10(p1(w)) for w in words), rel=1e-9)
+        model = sum(math.log10(p1(w) if k == 0 else p2(words[0], w) if k == 1 else p3(words[k - 2], words[k - 1], w))
+                    for k, w in enumerate(words))
+        assert r["score"] == pytest.approx(model, rel=1e-8), i
     assert lm_backoff.score_texts(rows.limit(0), train).count() == 0
     assert lm_backoff.score_texts(rows.limit(3), F.lit(False)).where("n_known = 0").count() == 3
 
@@ -362,6 +406,30 @@ def test_passages_that_one_document_repeats(spark):
     assert got == {6: [], 7: [1, 2, 3], 8: [], 9: [0, 1]}
 
 
+def test_passages_in_another_order(spark):
+    a, b, c = ("\n".join(f"passage {x} line {i} with some words" for i in range(6)) for x in "abc")
+    rows = spark.createDataFrame([(1, f"{b}\n{a}\n{c}"), (2, f"own\n{c}\n{a}\nmiddle\n{b}")], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_alignment.dedup_lines(rows).collect()}
+    assert got == {1: f"{b}\n{a}\n{c}", 2: "own\nmiddle"}
+
+
+def test_nothing_heavy_is_left_in_common():
+    """Brute force over every pair of places: no run of ``least`` words stays, and what goes stood in the other."""
+    rng = random.Random(4)
+    for _ in range(1500):
+        kinds = rng.choice((3, 8, 20))
+        a, b = ([rng.randrange(kinds) for _ in range(rng.randrange(1, 25))] for _ in range(2))
+        words, least = [x % 4 for x in a], rng.choice((1, 3, 6))
+        gone = line_alignment.common_blocks(a, b, words, least)
+        assert all(a[i] in b for i in gone)
+        left = [-5 if i in set(gone) else x for i, x in enumerate(a)]
+        for x in range(len(a)):
+            for y in range(len(b)):
+                assert sum(words[x:x + _common(left, b, x, y)]) < least
+        runs = [sum(words[x:x + _common(a, b, x, y)]) for x in range(len(a)) for y in range(len(b))]
+        assert bool(gone) == (max(runs) >= least)
+
+
 # ---- 10
 
 LETTERS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
