@@ -22,6 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -167,18 +168,19 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", sampl
     return build_model(counts.toPandas(), order)
 
 
-def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text",
+def identify(docs: DataFrame, model: Model | Broadcast, keep: list[str], text_col: str = "text",
              names: tuple[str, str, str] = ("lang_pred", "score", "bits_per_byte")) -> DataFrame:
     """``keep`` columns, lang_pred, score and bits_per_byte (under ``names``) of every row.
 
     score is the share of the best language if all are equally likely before
     the text is seen. Null texts and texts without a letter: ``und``, 0, null.
     Ties go to the first language by name; without any learned language all
-    rows are ``und``. ``keep`` must not hold any of ``names``.
+    rows are ``und``. ``keep`` must not hold any of ``names``. A model that
+    serves several calls can be given as one broadcast.
     """
     spark = docs.sparkSession
     prepare(spark)
-    shared = spark.sparkContext.broadcast(model)
+    shared = model if isinstance(model, Broadcast) else spark.sparkContext.broadcast(model)
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema]
     columns = [*keep] if text_col in keep else [*keep, text_col]
     at = columns.index(text_col)
@@ -220,7 +222,7 @@ def _rate(rate: F.Column, text: F.Column) -> F.Column:
     return rate * size / (size + SLACK_BYTES)
 
 
-def usual_rates(docs: DataFrame, model: Model, lang_col: str = "lang", text_col: str = "text",
+def usual_rates(docs: DataFrame, model: Model | Broadcast, lang_col: str = "lang", text_col: str = "text",
                 sample_rows: int = 200, share: float = 0.99) -> dict[str, float]:
     """Bits per byte that ``share`` of a language's texts stay under, for each learned language.
 
