@@ -1,13 +1,16 @@
 """Language identification by prediction by partial matching (op 3).
 
 Every language has a tree of byte contexts of up to ``order`` bytes with the
-counts of the next byte, learned from a bounded sample of its labelled rows and
-then frozen. A byte costs ``-log2 c/(n+d)`` bits where its context has seen it
+counts of the next byte over all its labelled rows, frozen once learned: tasks
+count the bytes of their rows, Spark adds the counts up, and contexts that are
+rare in the language are left out, so the model does not grow with the corpus.
+A byte costs ``-log2 c/(n+d)`` bits where its context has seen it
 (c of n times, d different bytes) and ``-log2 d/(n+d)`` bits for each escape to
 the next shorter context (method C), down to 8 bits for a byte never seen. A
 text goes to the language with the shortest exact code length.
 
-Frozen, all trees together are one automaton: a state is the longest known
+Frozen, all trees together are one automaton, built where texts are scored; the
+driver only holds the counts. A state is the longest known
 context, and the code lengths of every byte in every language are a table.
 Texts are cut into pieces that overlap by ``order`` bytes, which fixes the
 state, and all pieces advance together, so whole texts are scored by table
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -44,27 +48,63 @@ class Model:
     bits: np.ndarray
 
 
-def _context_counts(texts: list[str], order: int, least: int) -> pd.DataFrame:
-    """Counts of (context, next byte) for contexts of 0 to ``order`` bytes seen ``least`` times."""
+class Trees:
+    """Counts of the context trees of all languages: lang, k, context, byte, n."""
+
+    def __init__(self, order: int, counts: pa.Table):
+        self.order, self.counts = order, counts
+
+    def __getstate__(self) -> dict:
+        return {"order": self.order, "counts": self.counts}
+
+    @cached_property
+    def languages(self) -> list[str]:
+        return sorted(self.counts.column("lang").unique().to_pylist())
+
+    @cached_property
+    def model(self) -> Model:
+        return build_model(self.counts.to_pandas(), self.order)
+
+
+def _summed(codes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Different codes, sorted, and the sum of their counts (one each if not given)."""
+    if counts is None:
+        return np.unique(codes, return_counts=True)
+    by = np.argsort(codes, kind="stable")
+    codes, counts = codes[by], counts[by]
+    first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])[:len(codes)])
+    return codes[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _top_counts(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different runs of ``order`` bytes and the next one, as one number, with their counts."""
     pad = b"\n" * order
-    raw = np.frombuffer(b"".join(pad + t.encode().lower() for t in texts), dtype=np.uint8).astype(np.uint64)
+    raw = np.frombuffer(b"".join(pad + t.lower() for t in texts), dtype=np.uint8).astype(np.int64)
     inside = np.ones(len(raw), dtype=bool)
     at = 0
     for t in texts:
         inside[at:at + order] = False
-        at += order + len(t.encode())
-    where = np.flatnonzero(inside)
+        at += order + len(t)
+    code = raw.copy()
+    for j in range(1, order + 1):
+        code[j:] |= raw[:-j] << (8 * j)
+    return _summed(code[inside])
+
+
+def _all_orders(codes: np.ndarray, counts: np.ndarray, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per order from the highest to 0: codes of (context, next byte) and their counts."""
+    for k in range(order, -1, -1):
+        codes, counts = _summed(codes & ((1 << (8 * (k + 1))) - 1), counts)
+        yield k, codes, counts
+
+
+def _context_counts(texts: list[str], order: int, least: int) -> pd.DataFrame:
+    """Counts of (context, next byte) for contexts of 0 to ``order`` bytes seen ``least`` times."""
     out = []
-    for k in range(order + 1):
-        code = np.zeros(len(where), dtype=np.uint64)
-        for j in range(k, -1, -1):
-            code = (code << np.uint64(8)) | raw[where - j]
-        value, count = np.unique(code, return_counts=True)
-        context = value >> np.uint64(8)
-        _, group = np.unique(context, return_inverse=True)
-        keep = np.bincount(group, weights=count)[group] >= (least if k > 1 else 1)
-        out.append(pd.DataFrame({"k": k, "context": context[keep].astype(np.int64),
-                                 "byte": (value[keep] & np.uint64(255)).astype(np.int64), "n": count[keep]}))
+    for k, codes, counts in _all_orders(*_top_counts([t.encode() for t in texts], order), order):
+        _, group = np.unique(codes >> 8, return_inverse=True)
+        keep = np.bincount(group, weights=counts)[group] >= (least if k > 1 else 1)
+        out.append(pd.DataFrame({"k": k, "context": codes[keep] >> 8, "byte": codes[keep] & 255, "n": counts[keep]}))
     return pd.concat(out, ignore_index=True)
 
 
@@ -147,28 +187,64 @@ def code_lengths(model: Model, texts: list[bytes | None]) -> np.ndarray:
     return out
 
 
-def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", sample_rows: int = 300,
-          order: int = 4, least: int = 8) -> Model:
-    """Model from at most ``sample_rows`` rows per language, those with the smallest hash of the text.
+#: different codes of a language that a task holds before it sends their counts on
+_HELD = 1 << 21
 
-    Rows with null language or text are left out. ``least``: times a context of
-    two or more bytes must have been seen.
-    """
-    prepare(docs.sparkSession)
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = (docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-              .where("lang is not null and text is not null")
-              .withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= sample_rows))
 
-    def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = _context_counts(pdf["text"].tolist(), order, least)
-        return out.assign(lang=pdf["lang"].iloc[0])[["lang", "k", "context", "byte", "n"]]
+def _count_rows(order: int):
+    """Of batches of lang and text: lang, k, code and n, summed over the task's rows."""
 
-    counts = sample.groupBy("lang").applyInPandas(count, "lang string, k int, context long, byte int, n long")
-    return build_model(counts.toPandas(), order)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
+        def send(lang: str) -> Iterator[pa.RecordBatch]:
+            for k, codes, counts in _all_orders(*held.pop(lang), order):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(codes), dtype=np.int32))),
+                     pa.array(np.full(len(codes), k, dtype=np.int32)), pa.array(codes), pa.array(counts)],
+                    names=["lang", "k", "code", "n"])
 
-def identify(docs: DataFrame, model: Model | Broadcast, keep: list[str], text_col: str = "text",
+        for batch in batches:
+            texts: dict[str, list[bytes]] = {}
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                texts.setdefault(lang, []).append(text)
+            for lang, own in texts.items():
+                for lo, hi in blocks(own):
+                    new = _top_counts(own[lo:hi], order)
+                    if lang in held:
+                        new = _summed(*(np.concatenate(x) for x in zip(held[lang], new, strict=True)))
+                    held[lang] = new
+                    if len(new[0]) >= _HELD:
+                        yield from send(lang)
+        for lang in list(held):
+            yield from send(lang)
+
+    return run
+
+
+def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", order: int = 4, least: int = 8,
+          share: float = 1 / 60_000) -> Trees:
+    """Context trees of all rows; those with null language or text are left out.
+
+    A context of two or more bytes is kept if it is followed by ``least`` bytes
+    and by ``share`` of its language's bytes, which bounds the model; counts of
+    kept contexts are exact.
+    """
+    prepare(docs.sparkSession)
+    rows = (docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+            .where("lang is not null and text is not null"))
+    sizes = rows.groupBy("lang").agg((F.sum(F.octet_length("text")) * F.lit(share)).alias("floor"))
+    same = Window.partitionBy("lang", "k", "context")
+    counts = (rows.mapInArrow(lean(_count_rows(order)), "lang string, k int, code long, n long")
+              .select("lang", "k", F.shiftright("code", 8).alias("context"), F.col("code").bitwiseAND(255).alias("byte"), "n")
+              .groupBy("lang", "k", "context", "byte").agg(F.sum("n").alias("n"))
+              .withColumn("seen", F.sum("n").over(same)).where((F.col("k") < 2) | (F.col("seen") >= least))
+              .join(F.broadcast(sizes), "lang").where((F.col("k") < 2) | (F.col("seen") >= F.col("floor")))
+              .select("lang", F.col("k").cast("long").alias("k"), "context", "byte", "n"))
+    return Trees(order, counts.toArrow())
+
+
+def identify(docs: DataFrame, model: Trees | Broadcast, keep: list[str], text_col: str = "text",
              names: tuple[str, str, str] = ("lang_pred", "score", "bits_per_byte")) -> DataFrame:
     """``keep`` columns, lang_pred, score and bits_per_byte (under ``names``) of every row.
 
@@ -191,7 +267,7 @@ def identify(docs: DataFrame, model: Model | Broadcast, keep: list[str], text_co
                              or any(c.isalpha() for c in t.decode())))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = shared.value.model
         for batch in batches:
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             best_names, scores, rates = [], [], []
@@ -222,22 +298,26 @@ def _rate(rate: F.Column, text: F.Column) -> F.Column:
     return rate * size / (size + SLACK_BYTES)
 
 
-def usual_rates(docs: DataFrame, model: Model | Broadcast, lang_col: str = "lang", text_col: str = "text",
-                sample_rows: int = 200, share: float = 0.99) -> dict[str, float]:
+#: steps of the rates to a bit per byte; equal ones are counted together, so few rows tell a language's share
+_RATE_STEPS = 10_000
+
+
+def usual_rates(docs: DataFrame, model: Trees | Broadcast, lang_col: str = "lang", text_col: str = "text",
+                share: float = 0.99) -> dict[str, float]:
     """Bits per byte that ``share`` of a language's texts stay under, for each learned language.
 
-    From at most ``sample_rows`` labelled rows a language, those with the
-    smallest hash of the text, which the model has told right; ``docs`` should
-    be rows that it has not learned from. Rows with null language or text are
-    left out; a language without rows has no entry.
+    From all labelled rows that the model has told right; ``docs`` should be
+    rows that it has not learned from. Rows with null language or text are left
+    out; a language without rows has no entry. Rates are rounded to
+    1 / 10,000 bit.
     """
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = (docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-              .where("lang is not null and text is not null")
-              .withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= sample_rows).drop("nth"))
-    told = identify(sample, model, ["lang", "text"]).where("lang_pred = lang")
-    rows = told.groupBy("lang").agg(F.percentile(_rate(F.col("bits_per_byte"), F.col("text")), F.lit(share)).alias("r"))
-    return {r["lang"]: r["r"] for r in rows.collect()}
+    rows = (docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+            .where("lang is not null and text is not null"))
+    told = identify(rows, model, ["lang", "text"]).where("lang_pred = lang")
+    step = F.round(_rate(F.col("bits_per_byte"), F.col("text")) * _RATE_STEPS).cast("long")
+    counted = told.groupBy("lang", step.alias("step")).count()
+    found = counted.groupBy("lang").agg(F.percentile("step", F.lit(share), F.col("count")).alias("r"))
+    return {r["lang"]: r["r"] / _RATE_STEPS for r in found.collect()}
 
 
 def fits(lang_pred: F.Column, bits_per_byte: F.Column, text: F.Column, usual: dict[str, float],

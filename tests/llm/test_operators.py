@@ -97,6 +97,30 @@ def test_noise_and_languages_never_learned_do_not_fit(spark):
     assert language_ppm.usual_rates(docs.limit(0), model) == {}
 
 
+def test_trees_and_usual_rates_come_from_all_rows(spark):
+    rng = random.Random(5)
+    words = ["the", "thing", "other", "and", "over", "house", "river"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(3, 30))) + f" {i}" for i in range(900)]
+    df = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string").repartition(5)
+    model = language_ppm.train(df)
+    counts = model.counts.to_pandas()
+    assert counts[counts["k"] == 0]["n"].sum() == sum(len(t) for t in texts)
+    plain = language_ppm._context_counts(texts, 4, 8)
+    columns = ["k", "context", "byte", "n"]
+    assert sorted(map(tuple, counts[columns].to_numpy().tolist())) == sorted(map(tuple, plain[columns].to_numpy().tolist()))
+    few = language_ppm.train(df, share=0.01).counts.to_pandas()
+    sizes = few.groupby(["k", "context"])["n"].sum().reset_index()
+    assert sizes[sizes["k"] > 1]["n"].min() >= 0.01 * sum(len(t) for t in texts)
+    # one text in fifty is of letters that the model has seldom met
+    odd = [t.upper() if i % 50 else "".join(rng.choice("jkqxz ") for _ in range(200)) + " the" for i, t in enumerate(texts)]
+    held = spark.createDataFrame([(t, "en") for t in odd], "text string, lang string")
+    rates = [r["bits_per_byte"] * len(r["text"]) / (len(r["text"]) + language_ppm.SLACK_BYTES)
+             for r in language_ppm.identify(held, model, ["text"]).collect()]
+    for share in (0.5, 0.97, 0.99):
+        got = language_ppm.usual_rates(held, model, share=share)
+        assert got == {"en": pytest.approx(float(np.percentile(rates, 100 * share)), abs=1e-4)}
+
+
 def test_code_length_against_plain_ppm():
     """Exact code length by walking the context trees, method C, byte by byte."""
     texts = ["abracadabra abra", "cadabra bra"]
