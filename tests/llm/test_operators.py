@@ -308,6 +308,17 @@ def test_scores_against_brute_force(spark, docs, least):
     assert lm_backoff.score_texts(rows.limit(3), F.lit(False)).where("n_known = 0").count() == 3
 
 
+def test_sums_that_are_mostly_0_travel_as_bits():
+    rng = np.random.default_rng(8)
+    for size, share in ((0, 0), (1, 0), (1, 1), (1003, 0), (1003, 0.1), (1003, 1)):
+        keys = np.sort(rng.integers(0, 1 << 62, size).astype(np.uint64))
+        spent, below = (np.where(rng.random(size) < share, rng.random(size), 0.0) for _ in range(2))
+        sent = lm_backoff._pack(keys, spent, below)
+        got = lm_backoff._unpack(sent, size, "<u8", "<f8", "<f8")
+        assert all(np.array_equal(a, b) for a, b in zip(got, (keys, spent, below), strict=True))
+        assert len(sent) <= 8 * (size + np.count_nonzero(spent) + np.count_nonzero(below)) + size // 4 + 2
+
+
 def test_pairs_seen_twice_are_states_whatever_the_corpus(spark):
     """1.2 million other tokens must not take the arcs away from a pair that was seen twice."""
     filler = " ".join(["f"] * 1000)
