@@ -76,19 +76,30 @@ def _summed(codes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.nda
     return codes[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+#: bytes of text whose codes are held at a time
+_COUNT_BYTES = 1 << 20
+
+
 def _top_counts(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     """Different runs of ``order`` bytes and the next one, as one number, with their counts."""
     pad = b"\n" * order
-    raw = np.frombuffer(b"".join(pad + t.lower() for t in texts), dtype=np.uint8).astype(np.int64)
+    raw = np.frombuffer(b"".join(pad + t.lower() for t in texts), dtype=np.uint8)
     inside = np.ones(len(raw), dtype=bool)
     at = 0
     for t in texts:
         inside[at:at + order] = False
         at += order + len(t)
-    code = raw.copy()
-    for j in range(1, order + 1):
-        code[j:] |= raw[:-j] << (8 * j)
-    return _summed(code[inside])
+    found = []
+    for a in range(order, len(raw), _COUNT_BYTES):
+        b = min(a + _COUNT_BYTES, len(raw))
+        code = raw[a:b].astype(np.int64)
+        for j in range(1, order + 1):
+            code |= raw[a - j:b - j].astype(np.int64) << (8 * j)
+        found.append(_summed(code[inside[a:b]]))
+    if len(found) == 1:
+        return found[0]
+    none = np.zeros(0, dtype=np.int64)
+    return _summed(*(np.concatenate([none, *x]) for x in zip(*found, strict=True))) if found else (none, none)
 
 
 def _all_orders(codes: np.ndarray, counts: np.ndarray, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

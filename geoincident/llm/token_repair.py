@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from geoincident.llm.common import lean, prepare, shuffle_width, staged
+from geoincident.llm.common import kept, lean, prepare, shuffle_width, staged
 from geoincident.llm.words import blocks, hash_spans, word_spans
 
 _MAGIC = b"RPTK"
@@ -113,7 +113,7 @@ class WordIds(dict):
                 yield np.frombuffer(odd[i], dtype="<u4") if i in odd else ids[a:b]
 
 
-_WORD_IDS: dict[str, WordIds] = {}
+_WORD_IDS: dict[str, WordIds] = kept("word_ids")
 
 
 def word_ids(path: str) -> WordIds:
@@ -278,7 +278,7 @@ def token_shards(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
         if names:
             yield shard()
 
-    return rows.mapInArrow(lean(write), f"part int, nth int, doc_ids array<{kind.simpleString()}>, n_ids long, shard binary")
+    return rows.mapInArrow(lean(write, "word_ids"), f"part int, nth int, doc_ids array<{kind.simpleString()}>, n_ids long, shard binary")
 
 
 def read_documents(shards: DataFrame, crc_only: bool = False) -> DataFrame:

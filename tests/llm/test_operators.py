@@ -498,3 +498,25 @@ def test_contamination_against_brute_force(spark, docs):
             assert r["n_near"] >= r["n_items"] and r["contaminated"] == bool(hit)
     assert benchmark_index.contamination(rows, bench.limit(0)).where("contaminated").count() == 0
     assert benchmark_index.contamination(rows.limit(0), bench).count() == 0
+
+
+def test_workers_give_up_what_other_operators_kept():
+    from geoincident.llm import common
+
+    mine, other = common.kept("test_mine"), common.kept("test_other")
+    mine[1], other[1] = "a", "b"
+    assert list(common.lean(lambda batches: batches, "test_mine")(iter([3]))) == [3]
+    assert mine == {1: "a"} and other == {}
+    assert list(common.lean(lambda batches: batches)(iter([]))) == [] and mine == {}
+    assert token_repair._WORD_IDS is common.kept("word_ids")
+
+
+def test_byte_contexts_are_counted_in_pieces(monkeypatch):
+    from collections import Counter
+
+    texts = [b"", b"Abcab", b"x" * 50, b"abc abd abe" * 9]
+    plain = Counter((b"\n" * 4 + t.lower())[i:i + 5] for t in texts for i in range(len(t)))
+    monkeypatch.setattr(language_ppm, "_COUNT_BYTES", 7)
+    codes, counts = language_ppm._top_counts(texts, 4)
+    assert {int(c).to_bytes(5, "big"): n for c, n in zip(codes, counts.tolist(), strict=True)} == plain
+    assert [len(x) for x in language_ppm._top_counts([], 4)] == [0, 0]
