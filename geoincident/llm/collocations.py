@@ -8,8 +8,9 @@ Level by level, each shard extends the intervals of the phrases that are still
 frequent over all shards by one word to the right (reverse BWT) and to the left
 (BWT); a longer phrase is met where both extensions give the same interval, so
 its first and its last words are known to be frequent too. Its counts are summed
-across shards, one row a shard, and only phrases that reach ``least`` go back to
-the shards as intervals of the next level.
+across shards: a shard deals its phrases to buckets by the hash of first and last
+words and sends each bucket one packed block, and only phrases that reach
+``least`` go back to the shards, packed too, as intervals of the next level.
 """
 
 from __future__ import annotations
@@ -23,13 +24,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from geoincident.llm.common import lean, prepare, scratch, staged
+from geoincident.llm.common import lean, per_group, prepare, scratch, shuffle_width, staged
 from geoincident.llm.piece_encoding import _distinct
+from geoincident.llm.words import U64, mix
 
 #: bytes of text in a shard; a longer text is a shard of its own
 SHARD_BYTES = 8 << 20
 #: rows of a BWT that are looked at together
 EXTEND_ROWS = 1 << 18
+#: words of all texts for each bucket that phrases are dealt to, at most; a phrase stands for one word place of a shard at least
+BUCKET_WORDS = 1 << 21
 _BLANK, _BREAK = 1, 2
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[[0x20, 0x09]] = _BLANK
@@ -188,13 +192,35 @@ def _extensions(index: BidirectionalIndex, lo: np.ndarray, rlo: np.ndarray, size
     return right_lo[a], right_rlo[a], count[a], ids[prefix[a]], ids[suffix[b]]
 
 
-_PHRASES = "shard long, lo long, rlo long, size long, prefix long, suffix long"
+def _pack(rising: list[np.ndarray], others: list[np.ndarray]) -> bytes:
+    """Columns of whole numbers, the first ones as differences, byte by byte of the numbers, compressed."""
+    raw = np.stack([np.asarray(c, dtype="<i8") for c in [*(np.diff(c, prepend=0) for c in rising), *others]])
+    planes = np.ascontiguousarray(raw.view(np.uint8).reshape(raw.size, 8).T)
+    return raw.shape[1].to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
 
 
-def _phrases(shard: int, found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-    names = [c.split()[0] for c in _PHRASES.split(", ")]
+def _unpack(block: bytes, rising: int, columns: int) -> np.ndarray:
+    n = int.from_bytes(block[:8], "little")
+    planes = np.frombuffer(pa.decompress(block[8:], n * 8 * columns, "zstd", asbytes=True), dtype=np.uint8).reshape(8, -1)
+    raw = np.ascontiguousarray(planes.T).view("<i8").reshape(columns, n)
+    np.cumsum(raw[:rising], axis=1, out=raw[:rising])
+    return raw
+
+
+_DEALT = "bucket long, shard long, block binary"
+
+
+def _dealt(shard: int, found: list[np.ndarray] | tuple[np.ndarray, ...], buckets: int) -> pa.RecordBatch:
+    """Phrases of a shard (forward and reverse starts, size, ids of first and last words): a row for each bucket."""
+    lo, rlo, size, prefix, suffix = (np.asarray(x, dtype=np.int64) for x in found)
+    bucket = (mix(mix(prefix.astype(U64)) + suffix.astype(U64)) % U64(buckets)).astype(np.int64)
+    by = np.argsort(bucket.astype(np.min_scalar_type(buckets)), kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[by])) + 1
+    parts = [by[a:b] for a, b in pairwise([0, *cuts.tolist(), len(by)])] if len(by) else []
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(found[0]), shard)), *(pa.array(np.asarray(x, dtype=np.int64)) for x in found)], names=names)
+        [pa.array([int(bucket[p[0]]) for p in parts], pa.int64()), pa.array([shard] * len(parts), pa.int64()),
+         pa.array([_pack([lo[p], prefix[p]], [rlo[p], suffix[p], size[p]]) for p in parts], pa.binary())],
+        names=["bucket", "shard", "block"])
 
 
 def _index_shard(shards: pa.Table, frequent: pa.Table, depth: int) -> pa.Table:
@@ -228,15 +254,19 @@ def _load(table: pa.Table, row: int) -> BidirectionalIndex:
     return BidirectionalIndex(_array(table, "bwt", row, np.int32), _array(table, "reverse", row, np.int32))
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pairs(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Two-word phrases of every shard; all its words are frequent, so extensions to the right are enough."""
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        for i in range(table.num_rows):
-            index, ids = _load(table, i), _array(table, "ids", i, np.int64)
-            lo, rlo, size = index.words()
-            for first, at, far, count, last in index.extend(1, rlo, lo, size):
-                yield _phrases(table.column("shard")[i].as_py(), (far, at, count, ids[first], ids[last - 1]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            for i in range(table.num_rows):
+                index, ids = _load(table, i), _array(table, "ids", i, np.int64)
+                lo, rlo, size = index.words()
+                first, at, far, count, last = _all(index.extend(1, rlo, lo, size))
+                yield _dealt(table.column("shard")[i].as_py(), (far, at, count, ids[first], ids[last - 1]), buckets)
+
+    return run
 
 
 def _trimmed(work: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -249,13 +279,59 @@ def _trimmed(work: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable[[pa.Tab
     return run
 
 
-def _longer(index: pa.Table, alive: pa.Table) -> pa.Table:
+def _longer(buckets: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """One word longer phrases of a shard from those that are still frequent."""
-    if not index.num_rows or not alive.num_rows:
-        return pa.Table.from_batches([_phrases(0, (np.zeros(0),) * 5)])
-    own = _load(index, 0)
-    columns = [alive.column(c).to_numpy() for c in ("lo", "rlo", "size", "id")]
-    return pa.Table.from_batches([_phrases(index.column("shard")[0].as_py(), _extensions(own, *columns))])
+
+    def run(index: pa.Table, alive: pa.Table) -> pa.Table:
+        if not index.num_rows or not alive.num_rows:
+            return pa.Table.from_batches([_dealt(0, (np.zeros(0),) * 5, buckets)])
+        blocks = [_unpack(b, 1, 4) for b in alive.column("block").to_pylist()]
+        found = _extensions(_load(index, 0), *np.concatenate(blocks, axis=1))
+        return pa.Table.from_batches([_dealt(index.column("shard")[0].as_py(), found, buckets)])
+
+    return run
+
+
+#: stands in place of a shard where a block holds phrases of all shards
+_EVERY = -1
+
+
+def _frequent(dealt: DataFrame, buckets: int, least: int) -> DataFrame:
+    """Phrases whose sizes reach ``least`` over all shards: for each bucket a block of their ids, first and last words'
+    ids and sums (under ``_EVERY``), and for each shard its blocks of forward and reverse starts, sizes and ids."""
+
+    def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        bucket, shards = table.column("bucket")[0].as_py(), table.column("shard").to_pylist()
+        parts = [_unpack(b, 2, 5) for b in table.column("block").to_pylist()]
+        ends = np.cumsum([p.shape[1] for p in parts]).tolist()
+        lo, prefix, rlo, suffix, size = np.concatenate(parts, axis=1)
+        del parts
+        order = np.lexsort((suffix, prefix))
+        a, b = prefix[order], suffix[order]
+        first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        f = np.add.reduceat(size[order], first)
+        live = f >= least
+        if not live.any():
+            return
+        names = np.where(live, (np.cumsum(live) - 1) * buckets + bucket, -1)
+        own = np.empty(len(order), dtype=np.int64)
+        own[order] = np.repeat(names, np.diff(np.append(first, len(order))))
+        at = first[live]
+        to, blocks = [_EVERY], [_pack([], [names[live], a[at], b[at], f[live]])]
+        for shard, (start, end) in zip(shards, pairwise([0, *ends]), strict=True):
+            here = start + np.flatnonzero(own[start:end] >= 0)
+            if len(here):
+                to.append(shard)
+                blocks.append(_pack([lo[here]], [rlo[here], size[here], own[here]]))
+        yield pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array(blocks, pa.binary())], names=["shard", "block"])
+
+    return per_group(dealt, ["bucket"], ["shard"], work, "shard long, block binary")
+
+
+def _level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for block in batch.column(0).to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in _unpack(block, 0, 4)], names=["id", "prefix", "suffix", "f"])
 
 
 def _summed(rows: DataFrame, keys: list[str], place: str, least: int) -> DataFrame:
@@ -323,15 +399,18 @@ def _levels(docs: DataFrame, text_col: str, lang_col: str, max_words: int, least
         index = keep(shards.select("shard", "seq").groupBy("shard").cogroup(
             frequent.select("shard", "place", "id", "size").groupBy("shard")).applyInArrow(
                 _trimmed(lambda a, b: _index_shard(a, b, max_words)), "shard long, ids binary, bwt binary, reverse binary"), "index")
+    n = totals.agg(F.sum("n")).first()[0] or 0
+    buckets = max(2 * shuffle_width(docs.sparkSession), n // BUCKET_WORDS + 1)
     alive = None
     for length in range(2, max_words + 1):
         if alive is None:
-            longer = index.mapInArrow(lean(_pairs), _PHRASES)
+            longer = index.mapInArrow(lean(_pairs(buckets)), _DEALT)
         else:
-            longer = index.groupBy("shard").cogroup(alive.groupBy("shard")).applyInArrow(_trimmed(_longer), _PHRASES)
-        alive = staged(_summed(longer, ["prefix", "suffix"], "lo", least), f"phrases{length}")
-        levels.append(staged(alive.groupBy("id").agg(
-            F.first("prefix").alias("prefix"), F.first("suffix").alias("suffix"), F.first("f").alias("f")), f"level{length}"))
+            alive = alive.where(F.col("shard") != _EVERY)
+            longer = index.groupBy("shard").cogroup(alive.groupBy("shard")).applyInArrow(_trimmed(_longer(buckets)), _DEALT)
+        alive = staged(_frequent(longer, buckets, least), f"phrases{length}")
+        levels.append(alive.where(F.col("shard") == _EVERY).select("block").mapInArrow(
+            lean(_level), "id long, prefix long, suffix long, f long"))
     return levels, totals
 
 

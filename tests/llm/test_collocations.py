@@ -84,6 +84,36 @@ def test_intervals_count_every_phrase(monkeypatch):
     assert list(none.extend(1, *none.words())) == []
 
 
+def test_phrases_travel_in_blocks(spark):
+    rnd = np.random.default_rng(5)
+    shards, n, buckets = 6, 400, 3
+    plain, batches = Counter(), []
+    for shard in range(shards):
+        key = rnd.choice(5000, n, replace=False)
+        prefix, suffix = (1 << 40) + key // 70, (1 << 41) - key % 70
+        lo, rlo, size = np.sort(rnd.integers(0, 1 << 45, n)), rnd.integers(0, 1 << 45, n), rnd.integers(1, 60, n)
+        batches.append(collocations._dealt(shard, (lo, rlo, size, prefix, suffix), buckets))
+        for row in zip(prefix.tolist(), suffix.tolist(), size.tolist(), strict=True):
+            plain[row[:2]] += row[2]
+    assert all(b.num_rows <= buckets for b in batches)  # a row for each phrase before
+    rows = [r for b in batches for r in b.to_pylist()]
+    sent = {(r["shard"], *x) for r in rows for x in collocations._unpack(r["block"], 2, 5).T.tolist()}
+    dealt = spark.createDataFrame([tuple(r.values()) for r in rows], collocations._DEALT).repartition(4)
+    found = collocations._frequent(dealt, buckets, 70).collect()
+    names, back = {}, set()
+    for r in found:
+        if r["shard"] == collocations._EVERY:
+            for name, a, b, f in collocations._unpack(bytes(r["block"]), 0, 4).T.tolist():
+                assert name not in names and f == plain[a, b] >= 70
+                names[name] = (a, b)
+    assert set(names.values()) == {k for k, f in plain.items() if f >= 70} != set()
+    for r in found:
+        if r["shard"] != collocations._EVERY:
+            for lo, rlo, size, name in collocations._unpack(bytes(r["block"]), 1, 4).T.tolist():
+                back.add((r["shard"], lo, names[name][0], rlo, names[name][1], size))
+    assert back == {x for x in sent if plain[x[2], x[4]] >= 70}
+
+
 def test_scores_are_exact_beyond_64_bits(spark):
     numbers = [(99_999_999_999, 9_876_543_210_123, 99_999_999_999, 100_000_000_003), (10**12 + 1, 10**13 + 7, 10**12 + 1, 10**12 + 3),
                (100, 10**13, 100, 100), (7, 3, 10**9, 10**9), (123_456_789, 987_654_321_000, 123_456_790, 3_000_000_000)]
