@@ -40,6 +40,8 @@ _KIND[[0x20, 0x09]] = _BLANK
 _KIND[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = _BREAK
 #: bits of a symbol's or an interval's place in its shard, of a shard's place in its task
 _PLACE_BITS, _NTH_BITS = 31, 12
+#: numbers of columns that travel packed: of symbols, of ids, places and counts
+_SYMBOL, _NUMBER = "<i4", "<i8"
 
 
 def tokenize(texts: list[bytes | None]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
@@ -55,17 +57,37 @@ def tokenize(texts: list[bytes | None]) -> tuple[bytes, np.ndarray, np.ndarray,
     return blob, begin, end, np.concatenate([[True], breaks[1:] != breaks[:-1]])[:len(begin)]
 
 
+def _pack(rising: list[np.ndarray], others: list[np.ndarray], kind: str = _NUMBER) -> bytes:
+    """Columns of whole numbers, the first ones as differences, byte by byte of the numbers, compressed."""
+    raw = np.stack([np.asarray(c, dtype=kind) for c in [*(np.diff(c, prepend=0) for c in rising), *others]])
+    planes = np.ascontiguousarray(raw.view(np.uint8).reshape(raw.size, raw.itemsize).T)
+    return raw.shape[1].to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _unpack(block: bytes | pa.Buffer, rising: int, columns: int, kind: str = _NUMBER) -> np.ndarray:
+    n, width = int.from_bytes(block[:8], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(block[8:], n * width * columns, "zstd", asbytes=True), dtype=np.uint8).reshape(width, -1)
+    raw = np.ascontiguousarray(planes.T).view(kind).reshape(columns, n)
+    np.cumsum(raw[:rising], axis=1, out=raw[:rising])
+    return raw
+
+
 def _shard(texts: dict[str, list[bytes | None]], shard: int) -> pa.RecordBatch:
-    """A row: shard, its words by language with their counts, and the sequence of their numbers (from 1; 0 separates)."""
+    """A row: shard, its words by language with their counts, and the packed sequence of their numbers (from 1; 0 separates)."""
     langs, words, counts, parts, base = [], [], [], [np.zeros(1, dtype=np.int32)], 0
     for lang, own in texts.items():
         blob, begin, end, first = tokenize(own)
         if not len(begin):
             continue
         at, which = _distinct(blob, begin, end)
+        size = np.bincount(which, minlength=len(at))
+        order = np.argsort(-size, kind="stable")  # frequent words get small numbers, which pack well
+        place = np.empty(len(at), dtype=np.int32)
+        place[order] = np.arange(len(at), dtype=np.int32)
+        at, which = at[order], place[which]
         words += [blob[a:b] for a, b in zip(begin[at].tolist(), end[at].tolist(), strict=True)]
         langs += [lang] * len(at)
-        counts.append(np.bincount(which, minlength=len(at)))
+        counts.append(size[order])
         size = 1 + first
         seq = np.zeros(int(size.sum()) + 1, dtype=np.int32)
         seq[np.cumsum(size) - 1] = which + base + 1
@@ -75,7 +97,7 @@ def _shard(texts: dict[str, list[bytes | None]], shard: int) -> pa.RecordBatch:
         [pa.array([shard], pa.int64()), pa.array([langs], pa.list_(pa.string())),
          pa.array([[w.decode() for w in words]], pa.list_(pa.string())),
          pa.array([np.concatenate(counts) if counts else []], pa.list_(pa.int64())),
-         pa.array([np.concatenate(parts).tobytes()], pa.binary())],
+         pa.array([_pack([], [np.concatenate(parts)], _SYMBOL)], pa.binary())],
         names=["shard", "langs", "words", "counts", "seq"])
 
 
@@ -192,21 +214,6 @@ def _extensions(index: BidirectionalIndex, lo: np.ndarray, rlo: np.ndarray, size
     return right_lo[a], right_rlo[a], count[a], ids[prefix[a]], ids[suffix[b]]
 
 
-def _pack(rising: list[np.ndarray], others: list[np.ndarray]) -> bytes:
-    """Columns of whole numbers, the first ones as differences, byte by byte of the numbers, compressed."""
-    raw = np.stack([np.asarray(c, dtype="<i8") for c in [*(np.diff(c, prepend=0) for c in rising), *others]])
-    planes = np.ascontiguousarray(raw.view(np.uint8).reshape(raw.size, 8).T)
-    return raw.shape[1].to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
-
-
-def _unpack(block: bytes, rising: int, columns: int) -> np.ndarray:
-    n = int.from_bytes(block[:8], "little")
-    planes = np.frombuffer(pa.decompress(block[8:], n * 8 * columns, "zstd", asbytes=True), dtype=np.uint8).reshape(8, -1)
-    raw = np.ascontiguousarray(planes.T).view("<i8").reshape(columns, n)
-    np.cumsum(raw[:rising], axis=1, out=raw[:rising])
-    return raw
-
-
 _DEALT = "bucket long, shard long, block binary"
 
 
@@ -228,7 +235,7 @@ def _index_shard(shards: pa.Table, frequent: pa.Table, depth: int) -> pa.Table:
     schema = pa.schema([("shard", pa.int64()), ("ids", pa.binary()), ("bwt", pa.binary()), ("reverse", pa.binary())])
     if not shards.num_rows or not frequent.num_rows:
         return schema.empty_table()
-    seq = _array(shards, "seq", 0, np.int32)
+    seq = _array(shards, "seq", 0, _SYMBOL)
     word, ids, size = (frequent.column(c).to_numpy() for c in ("place", "id", "size"))
     order = np.lexsort((ids, -size))
     symbol = np.zeros(max(int(seq.max(initial=0)), int(word.max())) + 1, dtype=np.int32)
@@ -242,16 +249,16 @@ def _index_shard(shards: pa.Table, frequent: pa.Table, depth: int) -> pa.Table:
     seq = np.concatenate([seq, np.zeros(1, dtype=np.int32)])
     index = BidirectionalIndex.build(seq, depth)
     return pa.Table.from_arrays(
-        [pa.array([shards.column("shard")[0].as_py()], pa.int64()), pa.array([ids[order].tobytes()], pa.binary()),
-         *(pa.array([b.astype(np.int32).tobytes()], pa.binary()) for b in index.bwt)], schema=schema)
+        [pa.array([shards.column("shard")[0].as_py()], pa.int64()), pa.array([_pack([], [ids[order]])], pa.binary()),
+         *(pa.array([_pack([], [b], _SYMBOL)], pa.binary()) for b in index.bwt)], schema=schema)
 
 
-def _array(table: pa.Table, column: str, row: int, kind: type) -> np.ndarray:
-    return np.frombuffer(table.column(column)[row].as_buffer(), dtype=kind)
+def _array(table: pa.Table, column: str, row: int, kind: str) -> np.ndarray:
+    return _unpack(table.column(column)[row].as_buffer(), 0, 1, kind)[0]
 
 
 def _load(table: pa.Table, row: int) -> BidirectionalIndex:
-    return BidirectionalIndex(_array(table, "bwt", row, np.int32), _array(table, "reverse", row, np.int32))
+    return BidirectionalIndex(_array(table, "bwt", row, _SYMBOL), _array(table, "reverse", row, _SYMBOL))
 
 
 def _pairs(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -261,7 +268,7 @@ def _pairs(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
         for batch in batches:
             table = pa.Table.from_batches([batch])
             for i in range(table.num_rows):
-                index, ids = _load(table, i), _array(table, "ids", i, np.int64)
+                index, ids = _load(table, i), _array(table, "ids", i, _NUMBER)
                 lo, rlo, size = index.words()
                 first, at, far, count, last = _all(index.extend(1, rlo, lo, size))
                 yield _dealt(table.column("shard")[i].as_py(), (far, at, count, ids[first], ids[last - 1]), buckets)

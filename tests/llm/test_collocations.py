@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import lower_ascii
 from pyspark.sql import functions as F
@@ -114,6 +115,32 @@ def test_phrases_travel_in_blocks(spark):
     assert back == {x for x in sent if plain[x[2], x[4]] >= 70}
 
 
+def test_sequences_travel_packed():
+    rnd = np.random.default_rng(6)
+    words = rnd.zipf(1.3, 40000) % 3000
+    texts = {lang: [" ".join(f"w{w}" + "," * (i % 9 == 0) for i, w in enumerate(part)).encode()]
+             for lang, part in (("en", words[:30000]), ("de", words[30000:]))}
+    batch = collocations._shard(texts, 7)
+    table = pa.Table.from_batches([batch])
+    row = batch.to_pylist()[0]
+    seq = collocations._array(table, "seq", 0, collocations._SYMBOL)
+    pieces = [p.split() for lang in texts for p in texts[lang][0].decode().split(",") if p]
+    assert [row["words"][i - 1] for i in seq[seq > 0]] == [w for p in pieces for w in p]
+    assert np.bincount(seq)[1:].tolist() == row["counts"]
+    assert len(row["seq"]) < 2 * len(seq)  # 4 bytes a symbol before
+    lang = np.array(row["langs"])
+    assert all((np.diff(np.array(row["counts"])[lang == g]) <= 0).all() for g in texts)  # small numbers for frequent words
+    some = np.arange(1, len(lang) + 1, 2)
+    ids = rnd.permutation(len(some)) + (5 << 31)
+    frequent = pa.table({"place": some, "id": ids, "size": np.array(row["counts"])[some - 1]})
+    index = collocations._index_shard(table, frequent, 3)
+    loaded = collocations._load(index, 0)
+    named = collocations._array(index, "ids", 0, collocations._NUMBER)
+    sizes = dict(zip(ids.tolist(), row["counts"][::2], strict=True))
+    assert sorted(named.tolist()) == sorted(ids.tolist()) and len(index["bwt"][0].as_py()) < 2 * len(loaded.bwt[0])
+    assert all(c <= sizes[i] for i, c in zip(named.tolist(), loaded.counts[1:].tolist(), strict=True))
+
+
 def test_scores_are_exact_beyond_64_bits(spark):
     numbers = [(99_999_999_999, 9_876_543_210_123, 99_999_999_999, 100_000_000_003), (10**12 + 1, 10**13 + 7, 10**12 + 1, 10**12 + 3),
                (100, 10**13, 100, 100), (7, 3, 10**9, 10**9), (123_456_789, 987_654_321_000, 123_456_790, 3_000_000_000)]
