@@ -9,6 +9,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import WORDS, lower_ascii
 from pyspark.sql import functions as F
@@ -308,6 +309,35 @@ def test_scores_against_brute_force(spark, docs, least):
     assert lm_backoff.score_texts(rows.limit(3), F.lit(False)).where("n_known = 0").count() == 3
 
 
+def test_keys_are_ordered_by_one_sort_of_their_leading_bits(monkeypatch):
+    rng = np.random.default_rng(7)
+    argsort, slow = np.argsort, []
+    monkeypatch.setattr(np, "argsort", lambda keys, **kw: slow.append(len(keys)) or argsort(keys, **kw))
+    far = rng.integers(0, 1 << 64, 4000, dtype=np.uint64)[rng.integers(0, 4000, 9000)]
+    narrow = np.uint64(0xFFF0000000000000) + (rng.integers(0, 1 << 40, 5000, dtype=np.uint64) & lm_backoff._EVEN)
+    top = np.array([0, (1 << 64) - 1, 0, (1 << 64) - 1, 5], dtype=np.uint64)
+    for keys in (far, narrow, top[:0], top[:1], np.full(9, 3, dtype=np.uint64)):
+        assert np.array_equal(lm_backoff._ordered(keys), argsort(keys, kind="stable"))
+    assert not slow
+    close = np.concatenate([top, rng.integers(0, 50, 300).astype(np.uint64)])  # equal in their leading bits
+    assert np.array_equal(lm_backoff._ordered(close), argsort(close, kind="stable")) and slow
+
+
+def test_known_keys_are_found_at_every_token():
+    texts = ["the cat the cat sat", "", None, "the cat ran"] * 3 + ["one"]
+    table = pa.table({"grp": pa.array([-1] * len(texts), pa.int64()), "id": list(range(len(texts))), "learn": [True] * len(texts),
+                      "text": texts})
+    own = lm_backoff._Chunk(table)
+    keys, n = own.count(2, own.inside2)
+    rows = [lm_backoff._block_rows([(g, 0, size, lm_backoff._wire(n[a:a + size].astype(np.uint64) << np.uint64(1)), None, None)])
+            for a, (g, size, _) in zip(np.cumsum([0, *(s for _, s, _ in lm_backoff._deal(2, keys, n, buckets=4))]),
+                                       lm_backoff._deal(2, keys, n, buckets=4))]
+    at = own._known(pa.Table.from_batches(rows[::-1]), 4, 2, own.inside2, 6)
+    assert np.array_equal(own.keys[0], keys[n >= 6]) and own.n[0].tolist() == n[n >= 6].tolist()
+    often = np.isin(own.grams[1], keys[n >= 6]) & own.inside2
+    assert np.array_equal(at >= 0, often) and np.array_equal(own.keys[0][at[often]], own.grams[1][often])
+
+
 def test_sums_that_are_mostly_0_travel_as_bits():
     rng = np.random.default_rng(8)
     for size, share in ((0, 0), (1, 0), (1, 1), (1003, 0), (1003, 0.1), (1003, 1)):
